@@ -6,11 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import packed_ids
+from . import packed_ids, simhash
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_simhash": simhash.op1_simhash,
         "op10_packed_ids": packed_ids.op10_packed_ids,
     }
 
