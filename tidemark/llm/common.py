@@ -124,9 +124,9 @@ def ordered_slices(docs: DataFrame, id_col: str, text_col: str, with_next: bool
         first = {r[0]: r[1] for r in out.groupBy("slot").agg(F.min(id_col)).collect()}
         full = sorted(first)
         copies = [(first[k], full[i - 1]) for i, k in enumerate(full)]
-        known = F.create_map(*[F.lit(x) for pair in copies if pair[0] is not None for x in pair]) if any(p[0] is not None for p in copies) else F.create_map().cast("map<bigint,int>")
-        of_null = next((slot for i, slot in copies if i is None), None)
-        to = F.when(F.col(id_col).isNull(), F.lit(of_null).cast("int")).otherwise(F.try_element_at(known, F.col(id_col).cast("long")))
+        heads = np.array(sorted((i, slot) for i, slot in copies if i is not None), dtype=np.int64).reshape(-1, 2)
+        of_null = next((slot for i, slot in copies if i is None), -1)
+        to = F.nullif(F.pandas_udf(lambda ids: _copied_to(ids, heads, of_null), "int")(F.col(id_col).cast("long")), F.lit(-1))
         both = F.array(F.struct("slot", F.lit(False).alias("lead")), F.struct(to.alias("slot"), F.lit(True).alias("lead")))
         out = out.withColumn("_at", F.explode(F.filter(both, lambda x: x["slot"].isNotNull())))
         out = out.withColumn("slot", F.col("_at.slot")).withColumn("lead", F.col("_at.lead")).drop("_at")
@@ -144,3 +144,17 @@ def _slot(ids, cuts: np.ndarray, slots: int):
     return pd.Series(np.where(none, slots - 1, at).astype(np.int32))
 
 
+
+
+def _copied_to(ids, heads: np.ndarray, of_null: int):
+    """The slot that gets a copy of each row: that before the slice which begins with its id; -1 for none."""
+    import pandas as pd
+
+    none = ids.isna()
+    own = ids.fillna(0).to_numpy().astype(np.int64)
+    if len(heads):
+        at = np.minimum(np.searchsorted(heads[:, 0], own), len(heads) - 1)
+        to = np.where(heads[at, 0] == own, heads[at, 1], -1)
+    else:
+        to = np.full(len(own), -1)
+    return pd.Series(np.where(none, of_null, to).astype(np.int32))

@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, packed_ids, simhash
+from . import chunkprint, mixing, packed_ids, simhash
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_simhash": simhash.op1_simhash,
+        "op2_chunk_fingerprint": chunkprint.op2_chunk_fingerprint,
         "op3_source_mix": mixing.op3_source_mix,
         "op10_packed_ids": packed_ids.op10_packed_ids,
     }
