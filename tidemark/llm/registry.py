@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chunkprint, mixing, packed_ids, simhash
+from . import chunkprint, language, mixing, packed_ids, secrets, simhash
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -14,6 +14,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_simhash": simhash.op1_simhash,
         "op2_chunk_fingerprint": chunkprint.op2_chunk_fingerprint,
         "op3_source_mix": mixing.op3_source_mix,
+        "op6_secret_scan": secrets.op6_secret_scan,
+        "op8_language": language.op8_language,
         "op10_packed_ids": packed_ids.op10_packed_ids,
     }
 
