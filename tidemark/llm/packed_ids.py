@@ -17,7 +17,9 @@ from __future__ import annotations
 
 import re
 import struct
+import sys
 import zlib
+from array import array
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -31,6 +33,7 @@ BLOCK, PERCENTILE, MAGIC = 512, 0.95, b"TPF1"
 #: Ids after which a shard's part is written and a new one begun.
 PART_IDS = 1 << 20
 HEAD = struct.Struct("<4sIQQI")  # magic, block size, ids, documents, blocks
+assert sys.byteorder == "little" and array("I").itemsize == 4
 INDEX = np.dtype([("base", "<u4"), ("width", "<u2"), ("exceptions", "<u2"), ("at", "<u8"), ("exception_at", "<u8")])
 ENTRY = np.dtype([("doc_id", "<i8"), ("known", "u1"), ("n", "<u8")])
 
@@ -149,12 +152,11 @@ def read_block(payload: bytes, k: int) -> np.ndarray:
 
 #: The tokenizer file's own split pattern, for ASCII without white space.
 PIECE = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
-PLAIN = re.compile(r"[!-~]+")
-MOST_CACHED = 400_000
+MOST_CACHED = 250_000
 
 
-class Encoder:
-    """The tokenizer's ids of whole texts.
+class Encoder(dict):
+    """The tokenizer's ids of whole texts, as little-endian unsigned 32-bit integers.
 
     Its normaliser and splitter never join what a space or line feed separates, so
     ids are kept by chunk between them. Plain ASCII chunks go straight to the
@@ -164,43 +166,40 @@ class Encoder:
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
+        super().__init__({"": b""})
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
-        self.special = [t.content.lower() for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.chunks: dict[str, bytes] = {"": b""}
+        self.older: dict[str, bytes] = {}
         self.pieces: dict[str, bytes] = {}
 
-    def _chunk(self, chunk: str) -> bytes:
-        if not PLAIN.fullmatch(chunk) or "<|" in chunk:
-            ids = self.tokenizer.encode(chunk, add_special_tokens=False).ids
-            return np.array(ids, "<u4").tobytes()
-        out = []
-        for p in PIECE.findall(chunk.lower()):
-            if (got := self.pieces.get(p)) is None:
-                got = self.pieces[p] = np.array([t.id for t in self.model.tokenize(p)], "<u4").tobytes()
-            out.append(got)
-        return b"".join(out)
-
-    def __call__(self, text: str) -> bytes:
-        """Ids as little-endian unsigned 32-bit integers."""
-        chunks = text.replace("\n", " ").split(" ")
-        known = self.chunks
-        try:
-            return b"".join([known[c] for c in chunks])
-        except KeyError:
-            pass
-        if len(known) > MOST_CACHED or len(self.pieces) > MOST_CACHED:
-            known.clear()
+    def _piece(self, piece: str) -> bytes:
+        if (got := self.pieces.get(piece)) is None:
+            got = self.pieces[piece] = array("I", [t.id for t in self.model.tokenize(piece)]).tobytes()
+        return got
+
+    def __missing__(self, chunk: str) -> bytes:
+        if (got := self.older.get(chunk)) is not None:
+            self[chunk] = got
+            return got
+        if chunk.isascii() and chunk.isprintable() and "<|" not in chunk:
+            low = chunk.lower()
+            found = [low] if low.isalpha() else PIECE.findall(low)
+            got = self._piece(low) if len(found) == 1 else b"".join(map(self._piece, found))
+        else:
+            got = array("I", self.tokenizer.encode(chunk, add_special_tokens=False).ids).tobytes()
+        if len(chunk) <= 64:
+            self[chunk] = got
+        return got
+
+    def ids(self, text: str) -> bytes:
+        if len(self) > MOST_CACHED:
+            self.older = dict(self)
+            self.clear()
+        if len(self.pieces) > MOST_CACHED:
             self.pieces.clear()
-            known[""] = b""
-        out = []
-        for c in chunks:
-            if (got := known.get(c)) is None:
-                got = self._chunk(c)
-                if len(c) <= 64:
-                    known[c] = got
-            out.append(got)
-        return b"".join(out)
+        if text.isascii() and "<|" not in text:
+            text = text.lower()  # as the normaliser does; fewer chunks to keep
+        return b"".join(map(self.__getitem__, text.replace("\n", " ").split(" ")))
 
 
 _encoders: dict[str, Encoder] = {}
@@ -226,7 +225,7 @@ def _parts(batches: Iterable[pa.RecordBatch], path: str, end_id: int, schema: pa
                 part, start = (part + 1, start + held) if k == slot else (0, 0)
                 docs, ids, held = [], [], 0
             slot = k
-            ids.append(encoder(text) + end)
+            ids.append(encoder.ids(text) + end)
             docs.append((d, len(ids[-1]) // 4))
             held += docs[-1][1]
     if docs:

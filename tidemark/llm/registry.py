@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chunkprint, language, mixing, packed_ids, secrets, simhash
+from . import chunkprint, language, mixing, packed_ids, secrets, simhash, toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -16,6 +16,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_source_mix": mixing.op3_source_mix,
         "op6_secret_scan": secrets.op6_secret_scan,
         "op8_language": language.op8_language,
+        "op9_toxicity": toxicity.op9_toxicity,
         "op10_packed_ids": packed_ids.op10_packed_ids,
     }
 
