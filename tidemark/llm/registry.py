@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chunkprint, decontaminate, language, mixing, packed_ids, secrets, simhash, toxicity
+from . import chunkprint, decontaminate, language, mixing, packed_ids, secrets, simhash, toxicity, url_filter
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -14,6 +14,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_simhash": simhash.op1_simhash,
         "op2_chunk_fingerprint": chunkprint.op2_chunk_fingerprint,
         "op3_source_mix": mixing.op3_source_mix,
+        "op4_url_filter": url_filter.op4_url_filter,
         "op5_decontaminate": decontaminate.op5_decontaminate,
         "op6_secret_scan": secrets.op6_secret_scan,
         "op8_language": language.op8_language,
@@ -23,4 +24,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op4_url_filter": url_filter.OP4_SQL}
