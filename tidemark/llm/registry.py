@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
+
 from . import chunkprint, decontaminate, language, mixing, packed_ids, secrets, simhash, toxicity, url_filter
 
 
@@ -20,6 +22,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_language": language.op8_language,
         "op9_toxicity": toxicity.op9_toxicity,
         "op10_packed_ids": packed_ids.op10_packed_ids,
+        "pipeline": corpus_pipeline.run,
     }
 
 
