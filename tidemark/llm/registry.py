@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
 
-from . import chunkprint, decontaminate, language, mixing, packed_ids, secrets, simhash, toxicity, url_filter
+from . import chunkprint, decontaminate, html_blocks, language, mixing, packed_ids, secrets, simhash, toxicity, url_filter
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -19,6 +19,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_url_filter": url_filter.op4_url_filter,
         "op5_decontaminate": decontaminate.op5_decontaminate,
         "op6_secret_scan": secrets.op6_secret_scan,
+        "op7_html_text": html_blocks.op7_html_text,
         "op8_language": language.op8_language,
         "op9_toxicity": toxicity.op9_toxicity,
         "op10_packed_ids": packed_ids.op10_packed_ids,
