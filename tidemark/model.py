@@ -9,8 +9,12 @@ from pyspark.sql import types as T
 VERSION = 1
 
 
-def _schema(ddl: str) -> T.StructType:
-    return T.StructType.fromDDL(ddl)
+_KINDS = {"string": T.StringType(), "long": T.LongType(), "int": T.IntegerType(), "boolean": T.BooleanType(), "date": T.DateType(), "timestamp": T.TimestampType(), "decimal(14,2)": T.DecimalType(14, 2), "array<string>": T.ArrayType(T.StringType())}
+
+
+def _schema(fields: str) -> T.StructType:
+    """Fields given as `name type, name type`; needs no session."""
+    return T.StructType([T.StructField(n, _KINDS[t]) for n, t in (f.split(" ") for f in fields.split(", "))])
 
 
 @dataclass(frozen=True)
