@@ -70,6 +70,12 @@ def in_fold(doc_id: Column | str) -> Column:
     return F.coalesce(F.crc32(c.cast("string").cast("binary")) % 4, F.lit(0)) != 2
 
 
+def row_order(docs: DataFrame, row: str = "row") -> Column:
+    """A hash of the struct column `row` of docs' columns, to tell apart rows that are otherwise alike; columns that can't be hashed don't count."""
+    hashed = [c for c, kind in docs.dtypes if "map<" not in kind and "variant" not in kind]
+    return F.xxhash64(*[F.col(row)[c] for c in hashed])
+
+
 def shuffle_parts(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 

@@ -101,15 +101,12 @@ def op3_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def apply(docs: DataFrame, labels: DataFrame | None = None) -> DataFrame:
     """Rows of docs as often as the mix takes them."""
-    found = mix(docs, labels).where("epochs > 0")
-    times = found.groupBy("doc_id", "text_hash", "source").agg(F.sum("epochs").alias("_all"), F.count("*").alias("_same"))
-    keys = [c for c in times.columns if not c.startswith("_")]
-    times = times.select(*[F.col(c).alias(f"_{c}") for c in keys], "_all")
-    keyed = docs.withColumn("_key", F.col("doc_id").cast("long")).withColumn("_hash", F.xxhash64("text"))
-    on = F.col("_key").eqNullSafe(F.col("_doc_id")) & (F.col("_hash") == F.col("_text_hash")) & F.col("source").cast("string").eqNullSafe(F.col("_source"))
-    order = Window.partitionBy("_key", "_hash", "source").orderBy(F.lit(0))
-    joined = keyed.join(times, on)
-    counted = joined.withColumn("_nth", F.row_number().over(order)).withColumn("_of", F.count("*").over(Window.partitionBy("_key", "_hash", "source")))
-    share = F.floor(F.col("_all") / F.col("_of")) + F.when(F.col("_nth") <= F.col("_all") % F.col("_of"), 1).otherwise(0)
-    out = counted.withColumn("_copies", share.cast("int")).where("_copies > 0")
-    return out.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*[F.col(f"`{c}`") for c in docs.columns])
+    found = mix(docs, labels)
+    times = found.groupBy(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), F.col("source").alias("_source")).agg(F.sum("epochs").alias("all"), F.count("*").alias("same")).where("all > 0")
+    keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").cast("long").alias("id"), F.xxhash64("text").alias("hash"), F.col("source").cast("string").alias("source"))
+    joined = keyed.join(times, F.col("id").eqNullSafe(F.col("_id")) & (F.col("hash") == F.col("_hash")) & F.col("source").eqNullSafe(F.col("_source")))
+    # Rows that are alike in id, text and source share what their like took between them.
+    nth = F.row_number().over(Window.partitionBy("id", "hash", "source").orderBy(common.row_order(docs)))
+    copies = F.floor(F.col("all") / F.col("same")) + F.when(nth <= F.col("all") % F.col("same"), 1).otherwise(0)
+    taken = joined.withColumn("copies", copies.cast("int")).where("copies > 0")
+    return taken.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("row.*")

@@ -267,7 +267,7 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     """Rows of docs, one of each group: that with the smallest id (null ids last), of those that tie one chosen by its text's hash."""
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")).alias("f")
     stay = groups(docs, id_col, text_col).groupBy("root").agg(first).select(F.col("f.doc_id").alias("_id"), F.col("f.text_hash").alias("_hash"))
-    keyed = docs.withColumn("_key", F.col(id_col).cast("long")).withColumn("_text_hash", F.xxhash64(text_col))
-    left = keyed.join(stay, F.col("_key").eqNullSafe(F.col("_id")) & (F.col("_text_hash") == F.col("_hash")), "left_semi")
-    order = Window.partitionBy("_key", "_text_hash").orderBy(*[F.col(f"`{c}`") for c in docs.columns if dict(docs.dtypes)[c] not in ("variant",) and not dict(docs.dtypes)[c].startswith("map")])
-    return left.withColumn("_nth", F.row_number().over(order)).where("_nth = 1").select(*[F.col(f"`{c}`") for c in docs.columns])
+    keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(id_col).cast("long").alias("key"), F.xxhash64(text_col).alias("hash"))
+    left = keyed.join(stay, F.col("key").eqNullSafe(F.col("_id")) & (F.col("hash") == F.col("_hash")), "left_semi")
+    order = Window.partitionBy("key", "hash").orderBy(common.row_order(docs))
+    return left.withColumn("nth", F.row_number().over(order)).where("nth = 1").select("row.*")
