@@ -29,7 +29,7 @@ def posting_days(rows: DataFrame, deliveries: DataFrame | None, as_of: Column, i
 @dataclass
 class Merged:
     outcomes: DataFrame  # every new row, with outcome and what it replaced
-    state: DataFrame  # the state after, of each key that the new rows have
+    state: DataFrame  # the state after, of each key that new rows count for
 
 
 def merge(prior: DataFrame, new: DataFrame, key: Column | str, columns: list[str], order: tuple[str, ...] = ("file_load_id", "line_no"), retry: bool = False) -> Merged:
@@ -61,9 +61,9 @@ def merge(prior: DataFrame, new: DataFrame, key: Column | str, columns: list[str
     last_change = F.max_by(F.struct("content_hash", "_row"), F.when(F.col("outcome") != "unchanged", place)).alias("_last")
     state = counted.groupBy("k").agg(
         last_change, F.min_by("posting_day", place).alias("posting_day"), F.min_by("first_file_load_id", place).alias("first_file_load_id"),
-        F.max_by("last_file_load_id", place).alias("last_file_load_id"), F.sum("times_seen").cast("int").alias("times_seen"),
+        F.max_by("last_file_load_id", place).alias("last_file_load_id"), F.sum("times_seen").cast("int").alias("times_seen"), F.max("_new").alias("_any"),
     )
-    state = state.select("k", *[F.col(f"_last._row.{c}").alias(c) for c in columns], "posting_day", F.col("_last.content_hash").alias("content_hash"), "first_file_load_id", "last_file_load_id", "times_seen")
+    state = state.where("_any = 1").select("k", *[F.col(f"_last._row.{c}").alias(c) for c in columns], "posting_day", F.col("_last.content_hash").alias("content_hash"), "first_file_load_id", "last_file_load_id", "times_seen")
     outcomes = rows.where("_new = 1").select("k", *[F.col(f"_o{i}").alias(o) for i, o in enumerate(order)], "outcome", "event_day", "day", F.col("_before._row").alias("previous"), F.col("_row").alias("incoming"))
     return Merged(outcomes, state)
 
