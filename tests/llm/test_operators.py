@@ -1,0 +1,489 @@
+"""Each operator against a brute-force version, and on edge cases."""
+
+import hashlib
+import random
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+import xxhash
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from tidemark.llm import chunkprint, common, decontaminate, html_blocks, language, mixing, packed_ids, secrets, simhash, toxicity, url_filter
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def rows_of(df):
+    return [r.asDict() for r in df.collect()]
+
+
+# ---- 1
+
+
+def plain_print(text):
+    text = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+    words = WORD.findall(text)
+    shingles = [" ".join(words[i : i + 3]) for i in range(len(words) - 2)] or ([" ".join(words)] if words else [])
+    hashes = [xxhash.xxh64_intdigest(s.encode(), 42) for s in shingles]
+    return sum((2 * sum(h >> b & 1 for h in hashes) > len(hashes)) << b for b in range(64)) if hashes else 0
+
+
+def plain_components(ids, prints, distance=3):
+    of = list(range(len(prints)))
+
+    def top(x):
+        while of[x] != x:
+            x = of[x]
+        return x
+
+    for i in range(len(prints)):
+        for j in range(i):
+            if (prints[i] ^ prints[j]).bit_count() <= distance:
+                a, b = top(i), top(j)
+                of[max(a, b)] = min(a, b)
+    least = {}
+    for i, d in enumerate(ids):
+        if d is not None:
+            least[top(i)] = min(d, least.get(top(i), d))
+    return [least.get(top(i)) for i in range(len(ids))]
+
+
+def test_simhash_against_all_pairs(spark, sf):
+    docs = sorted(common.table(spark, sf, "documents").select("doc_id", "text").collect())
+    prints = [plain_print(t) for _, t in docs]
+    want = {(d, f"{p:016x}", c) for (d, _), p, c in zip(docs, prints, plain_components([d for d, _ in docs], prints), strict=True)}
+    assert {tuple(r) for r in simhash.op1_simhash(spark, sf).collect()} == want
+
+
+def test_links_of_planted_prints(spark):
+    rng = random.Random(3)
+    prints = [rng.getrandbits(64) for _ in range(120)]
+    for p in prints[:60]:
+        q = p
+        for b in rng.sample(range(64), rng.randint(1, 4)):
+            q ^= 1 << b
+        prints.append(q)
+    prints = sorted(set(prints))
+    signed = [p - (1 << 64) if p >> 63 else p for p in prints]
+    got = simhash.components(simhash.similar_prints(spark.createDataFrame([(p,) for p in signed], "fp long")))
+    of = {r["node"]: r["root"] for r in got.collect()}
+    want = plain_components(range(len(prints)), prints)
+    mine = {}
+    for i, p in enumerate(signed):
+        mine.setdefault(of.get(p, p), set()).add(i)
+    theirs = {}
+    for i, c in enumerate(want):
+        theirs.setdefault(c, set()).add(i)
+    assert sorted(map(sorted, mine.values())) == sorted(map(sorted, theirs.values()))
+
+
+@pytest.mark.parametrize("long_", [5, 40, 4096])
+def test_long_lists_lose_no_connection(monkeypatch, long_):
+    monkeypatch.setattr(simhash, "LONG", long_)
+    rng = np.random.default_rng(1)
+    base = rng.integers(0, 1 << 63, 1, dtype=np.uint64)[0]
+    fps = np.unique(np.array([base ^ np.bitwise_or.reduce(np.uint64(1) << rng.choice(24, k, replace=False).astype(np.uint64) + np.uint64(40)) for k in rng.integers(1, 9, 150)]))
+    links = simhash.list_links(fps, (0, 1, 2))
+    assert len(links) < len(fps) and all((int(fps[a]) ^ int(fps[b])).bit_count() <= 3 for a, b in links)
+    of = plain_components(range(len(fps)), [int(x) for x in fps])
+    joined = list(range(len(fps)))
+    for a, b in links:
+        old, new = max(joined[a], joined[b]), min(joined[a], joined[b])
+        joined = [new if x == old else x for x in joined]
+    assert len(set(joined)) == len(set(of))
+
+
+def test_simhash_edges(edge_docs, no_docs):
+    got = rows_of(simhash.groups(edge_docs))
+    docs = edge_docs.collect()
+    prints = [plain_print(r["text"]) for r in docs]
+    want = Counter(zip((r["doc_id"] for r in docs), prints, plain_components([r["doc_id"] for r in docs], prints), strict=True))
+    assert Counter((r["doc_id"], r["fp"] % (1 << 64), r["component_id"]) for r in got) == want
+    left = simhash.deduplicate(edge_docs)
+    assert left.columns == edge_docs.columns and left.count() == len({r["root"] for r in got}) == 7
+    assert simhash.groups(no_docs).count() == 0 == simhash.deduplicate(no_docs).count()
+
+
+# ---- 2
+
+
+def test_fingerprints(spark, sf, monkeypatch):
+    monkeypatch.setattr(common, "SLICE_BYTES", 50_000)
+    docs = sorted(common.table(spark, sf, "documents").select("doc_id", "text").collect())
+    got = {r["doc_id"]: r for r in chunkprint.op2_chunk_fingerprint(spark, sf).collect()}
+    same = {}
+    for (d, t), (_, following) in zip(docs, docs[1:] + docs[:1], strict=True):
+        half = len(t) // 2
+        changed = t[: len(t) - half] + following[:half]
+        r = got[d]
+        assert (r["n_chars"], r["edited_sha256"]) == (len(t), hashlib.sha256(changed.encode()).hexdigest())
+        assert r["near_edited"] == chunkprint.likeness(chunkprint.parse(r["fingerprint"]), chunkprint.parse(r["edited_fingerprint"]))
+        assert same.setdefault(t, r["fingerprint"]) == r["fingerprint"]
+    long_ = [r for r in got.values() if r["n_chars"] > 500]
+    assert np.mean([r["near_edited"] for r in long_]) > 0.4 > 0.1 > np.mean([r["near_next"] for r in long_])
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.text(max_size=800), st.text(max_size=30))
+def test_chunks_cover_and_resist_shifts(text, more):
+    raw = text.encode("utf-8", "surrogatepass")
+    ends = chunkprint.chunk_ends(raw)
+    assert ends == sorted(set(ends)) and (ends[-1:] == [len(raw)] or not raw) and all(b - a <= chunkprint.MOST for a, b in zip([0, *ends], ends, strict=False))
+    h = chunkprint.gear_hashes(raw)
+    for i in (0, len(raw) // 2, len(raw) - 1):
+        if raw:
+            want = sum(int(chunkprint.GEAR[raw[j]]) << (i - j) for j in range(max(0, i - 31), i + 1)) % (1 << 32)
+            assert int(h[i]) == want
+
+
+def test_shift_keeps_most_chunks():
+    rng = random.Random(1)
+    text = " ".join("".join(rng.choices("abcdefgh", k=5)) for _ in range(2000))
+    assert chunkprint.likeness(chunkprint.chunk_set(text), chunkprint.chunk_set("inserted here " + text)) > 0.95
+
+
+def test_fingerprint_edges(edge_docs, no_docs):
+    got = chunkprint.fingerprints(edge_docs).collect()
+    assert Counter(r["doc_id"] for r in got) == Counter(r["doc_id"] for r in edge_docs.collect())
+    ordered = sorted(edge_docs.collect(), key=lambda r: (r["doc_id"] is None, r["doc_id"] or 0, r["text"] is not None, r["text"] or ""))
+    texts = [r["text"] or "" for r in ordered]
+    want = Counter((r["doc_id"], hashlib.sha256(chunkprint.edited(t, n).encode()).hexdigest()) for r, t, n in zip(ordered, texts, texts[1:] + texts[:1], strict=True))
+    assert Counter((r["doc_id"], r["edited_sha256"]) for r in got) == want
+    assert chunkprint.fingerprints(no_docs).count() == 0
+    assert chunkprint.fingerprints(edge_docs.where("doc_id = 3")).first()["near_next"] == 1.0
+
+
+# ---- 3
+
+
+def plain_targets(sizes):
+    source = sorted(sizes, key=lambda s: (s is None, s or ""))
+    weight = {s: (3, 1, 2)[i % 3] for i, s in enumerate(source)}
+    target, active = {}, set(source)
+    left = 1.5 * sum(sizes.values())
+    while active:
+        total = sum(weight[s] for s in active)
+        over = [s for s in active if left * weight[s] / total > 2 * sizes[s]]
+        if not over:
+            return target | {s: left * weight[s] / total for s in active}
+        for s in over:
+            target[s] = 2.0 * sizes[s]
+            active.remove(s)
+        left = 1.5 * sum(sizes.values()) - sum(target.values())
+    return target
+
+
+def check_mix(found, docs):
+    sizes = Counter()
+    for r in docs:
+        sizes[r["source"]] += len(WORD.findall(r["text"] or ""))
+    want = plain_targets(sizes)
+    taken = Counter()
+    for r in found:
+        assert r["source_size"] == sizes[r["source"]] and r["target"] == pytest.approx(want[r["source"]]) and 0 <= r["taken"] <= 2 * r["size"]
+        taken[r["source"]] += r["taken"]
+    for s, t in want.items():
+        largest = max(len(WORD.findall(r["text"] or "")) for r in docs if r["source"] == s)
+        assert abs(taken[s] - t) <= largest
+    return taken
+
+
+def test_mix(spark, sf):
+    docs = common.table(spark, sf, "documents").collect()
+    found = mixing.op3_source_mix(spark, sf).collect()
+    check_mix(found, docs)
+    assert Counter((r["doc_id"], r["taken"]) for r in found) == Counter((r["doc_id"], r["taken"]) for r in mixing.op3_source_mix(spark, sf).collect())
+
+
+def test_mix_edges(edge_docs, no_docs, edge_labels):
+    found = mixing.mix(edge_docs, edge_labels).collect()
+    assert len(found) == edge_docs.count()
+    check_mix(found, edge_docs.collect())
+    kept = mixing.apply(edge_docs, edge_labels)
+    assert kept.columns == edge_docs.columns and kept.count() == sum(r["epochs"] for r in found)
+    assert mixing.mix(no_docs, edge_labels).count() == 0 == mixing.apply(no_docs).count()
+
+
+def test_better_labels_are_taken_first(spark):
+    docs = spark.createDataFrame([(i, "a b c d", "x" if i < 600 else "y") for i in range(900)], "doc_id long, text string, source string")
+    labels = spark.createDataFrame([(i, int(i % 2)) for i in range(900)], "doc_id long, quality int")
+    found = mixing.mix(docs, labels).where("source = 'y'").groupBy(F.col("doc_id") % 2).agg(F.sum("taken")).collect()
+    share = dict(found)
+    assert share[1] > share[0]
+
+
+# ---- 4
+
+
+def test_url_filter(spark, noon):
+    t = lambda m: noon.replace(month=m)
+    entries = spark.createDataFrame(
+        [("domain", "Bad.com", "add", t(1)), ("domain", "bad.com", "add", t(2)), ("domain", "bad.com", "remove", t(4)), ("host", "x.org", "add", t(3)), ("prefix", "p.net/a/b", "add", t(3)), ("domain", "tie.io", "add", t(3)), ("domain", "tie.io", "remove", t(3)), ("host", None, "add", t(1)), ("host", "x.org", None, t(1))],
+        "kind string, value string, action string, at timestamp",
+    )
+    captures = [
+        (1, "http://www.bad.com/q", t(2), "domain:bad.com"), (2, "http://www.bad.com/q", t(4), None), (3, "http://www.bad.com/q", t(1), "domain:bad.com"), (4, "https://u:p@X.org:8080/", t(5), "host:x.org"), (5, "https://a.x.org/", t(5), None),
+        (6, "http://p.net/a/b/c?x=1", t(5), "prefix:p.net/a/b"), (7, "http://p.net/a/bb", t(5), None), (8, "http://tie.io/", t(5), None), (9, None, t(5), None), (10, "not a url", t(5), None), (11, "http://www.bad.com/q", None, None), (None, "http://bad.com.", t(3), "domain:bad.com"),
+    ]
+    frame = spark.createDataFrame([c[:3] + ("k",) for c in captures] + [captures[0][:3] + ("k",)], "page_id long, url string, fetched timestamp, key string")
+    got = url_filter.evaluate(frame, entries).collect()
+    assert Counter((r["page_id"], r["first_key"]) for r in got) == Counter([(c[0], c[3]) for c in captures] + [(1, "domain:bad.com")])
+    assert all(r["blocked"] == (r["n_active"] > 0) == (r["first_key"] is not None) for r in got)
+    assert url_filter.evaluate(frame, entries.limit(0)).where("blocked").count() == 0 == url_filter.evaluate(frame.limit(0), entries).count()
+
+
+# ---- 5
+
+
+def test_decontamination(spark, sf):
+    docs = {r["doc_id"]: " ".join(decontaminate.words(r["text"])) for r in common.table(spark, sf, "documents").collect()}
+    items = {r["item_id"]: " ".join(decontaminate.words(r["text"])) for r in common.table(spark, sf, "benchmark").collect()}
+    verbatim = {(d, i) for d, t in docs.items() for i, w in items.items() if w in t}
+    share = lambda w, t: decontaminate.lcs(w.split(), t.split()) / len(w.split())
+    found = {(r["doc_id"], r["item_id"]) for r in decontaminate.op5_decontaminate(spark, sf).collect()}
+    assert verbatim and verbatim <= found and all(share(items[i], docs[d]) >= decontaminate.LIKELY for d, i in found)
+
+
+def test_paraphrases_are_found(spark, sf):
+    docs, bench = common.table(spark, sf, "documents"), common.table(spark, sf, "benchmark")
+    items = [(r["item_id"], r["text"]) for r in bench.orderBy("item_id").collect()]
+    rng, rows = random.Random(5), []
+    around = docs.where("lang = 'en'").orderBy("doc_id").select("text").head(2)
+    for i, t in items:
+        words = [w for w in t.split() if rng.random() > 0.12]
+        rows.append((i, around[0][0][:1000] + " " + " ".join(words) + " " + around[1][0][:500]))
+    found = decontaminate.search(spark.createDataFrame(rows, "doc_id long, text string"), bench).where("doc_id = item_id")
+    assert found.count() >= 0.9 * len(items)
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.integers(0, 4), max_size=30), st.lists(st.integers(0, 4), max_size=30))
+def test_lcs(a, b):
+    best = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+    for i, x in enumerate(a):
+        for j, y in enumerate(b):
+            best[i + 1][j + 1] = best[i][j] + 1 if x == y else max(best[i][j + 1], best[i + 1][j])
+    assert decontaminate.lcs(a, b) == best[-1][-1]
+
+
+def test_decontamination_edges(spark, edge_docs, no_docs):
+    bench = spark.createDataFrame([(1, "one two three four five six", "x"), (2, None, "x"), (3, "", "x"), (None, "a text without an id it has seven words", "x"), (4, "one two", "x")], "item_id long, text string, doc_id string")
+    found = decontaminate.search(edge_docs, bench)
+    assert Counter((r["doc_id"], r["item_id"]) for r in found.collect()) == Counter({(1, 1): 2, (None, None): 1})
+    left = decontaminate.keep_uncontaminated(edge_docs, bench)
+    assert left.columns == edge_docs.columns and left.count() == edge_docs.count() - 3
+    assert decontaminate.search(no_docs, bench).count() == 0 == decontaminate.search(edge_docs, bench.limit(0)).count()
+
+
+# ---- 6
+
+
+def plain_secrets(text):
+    out = []
+    for m in re.finditer(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", text, re.I | re.A):
+        out += [(m.start(), 0, m.end())] * (len(m[2]) >= 8)
+    out += [(m.start(), 1, m.end()) for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 16]
+    return sorted(out + [(m.start(), 2, m.end()) for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 32])
+
+
+PARTS = st.lists(st.sampled_from(["password", "TOKEN", "api_key", "apikey", '"', "'", " ", ":", "=", "abcdef12", "AKIA", "ABCDEFGHIJKL", "0123456789abcdef" * 2, "é", "\n", "key", "x"]), max_size=14).map("".join)
+
+
+@settings(max_examples=300, deadline=None)
+@given(PARTS)
+def test_base_spans(text):
+    assert secrets.base_spans(text) == plain_secrets(text)
+    found = secrets.spans(text)
+    assert [x for x in found if x[1] < 3] == plain_secrets(text) and all(0 <= a < b <= len(text) for a, _, b in found)
+
+
+@pytest.mark.parametrize(
+    ("text", "want"),
+    [
+        ('key = "Zx81kQ9fLmN2pR"\nauth_token = key\n', ["Zx81kQ9fLmN2pR"]),
+        ('a = "Zx81kQ9fLmN2pR"\nb = a\ndb_password = b', ["Zx81kQ9fLmN2pR"]),
+        ('K = "Zx81k" + "Q9fLmN2pR"\nclient_secret = K', ['Zx81k" + "Q9fLmN2pR']),
+        ("db_pwd: s3cr3tP4ss99", ["s3cr3tP4ss99"]),
+        ('"privateKey": "Qm4x!9Zp_77aLk2Wd0",', ["Qm4x!9Zp_77aLk2Wd0"]),
+        ('password = "changeme"', []),
+        ('title = "A long and plain sentence"', []),
+        ("secret_name: production-database", []),
+    ],
+)
+def test_lexed_pairs(text, want):
+    assert [text[a:b] for a, k, b in secrets.spans(text) if k == 3] == want
+
+
+def test_secrets(spark, sf, edge_docs, no_docs):
+    texts = {r["doc_id"]: r["text"] or "" for r in common.table(spark, sf, "documents").collect()}
+    for r in secrets.op6_secret_scan(spark, sf).collect():
+        own = plain_secrets(texts[r["doc_id"]])
+        assert [r["n_assign"], r["n_access"], r["n_hex"]] == [sum(x[1] == k for x in own) for k in range(3)]
+        assert r["base_sha256"] == hashlib.sha256(secrets.told(own).encode()).hexdigest()
+    assert secrets.scan(edge_docs).count() == edge_docs.count() and secrets.scan(no_docs).count() == 0
+
+
+# ---- 7
+
+
+@pytest.fixture(scope="module")
+def labeller(spark, sf):
+    return html_blocks.learn(common.table(spark, sf, "pages"))
+
+
+def test_pages(spark, sf, labeller):
+    import html
+
+    pages = common.table(spark, sf, "pages")
+    bad = 0
+    want = {}
+    for r in pages.collect():
+        inner = re.search(r"<article>(.*?)(?:</article>|$)", r["html"], re.S)
+        want[r["page_id"]] = " ".join(html.unescape(re.sub(r"<[^>]*>", " ", inner[1] if inner else "")).split())
+    for r in html_blocks.extract(pages, labeller).collect():
+        bad += r["text"] != want[r["page_id"]]
+        assert r["n_chars"] == len(r["text"])
+    assert bad <= 0.02 * len(want)
+
+
+def test_generated_pages(labeller):
+    generator, right, all_ = html_blocks.Generator(1234), 0, 0
+    for _ in range(120):
+        page, main = generator.page()
+        found = html_blocks.blocks(page)
+        if found:
+            keep = html_blocks.label(labeller, [html_blocks.vectors(found)])[0] >= 0.5
+            right += sum(k == (b.text in main) for k, b in zip(keep, found, strict=True))
+            all_ += len(found)
+    assert right / all_ > 0.98
+
+
+def test_blocks():
+    page = "<p>a&amp;b\n <b>c</b>d<p>e<br>f<script>x='<p>'</script><ul><li>g<li>h</ul><form>i<textarea>no</textarea></form>j<!-- no --><div class='x Y-z'>k<"
+    assert [b.text for b in html_blocks.blocks(page)] == ["a&b cd", "e f", "g", "h", "i", "j", "k<"]
+    assert html_blocks.blocks(page)[-1].path == ("div", ".x", ".y", ".z")
+
+
+def test_backward_and_forward_directions_mirror():
+    rng = np.random.default_rng(0)
+    p = html_blocks._start(rng)
+    for k in "xhc":
+        p[f"{k}b"] = p[f"{k}f"]
+    x = rng.normal(size=(1, 7, html_blocks.DIMS)).astype(np.float32)
+    mask = np.ones((1, 7), np.float32)
+    assert np.allclose(html_blocks._pass(p, "f", x, mask), html_blocks._pass(p, "b", x[:, ::-1], mask)[:, ::-1], atol=1e-5)
+
+
+def test_page_edges(spark, labeller):
+    rows = [(1, "u", "", 1), (2, None, None, 1), (None, "u", "<p>", 1), (3, "u", "no markup at all", 1), (4, "u", "<article>" + "<p>long text here.</p>" * 3000, 1), (4, "u", "<article>" + "<p>long text here.</p>" * 3000, 1)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string, text int")
+    got = html_blocks.extract(pages, labeller).collect()
+    assert len(got) == 6 and {r["text"] for r in got if r["page_id"] in (1, 2, None)} == {""} and html_blocks.extract(pages.limit(0), labeller).count() == 0
+    assert html_blocks.learn(pages.limit(0))
+
+
+# ---- 8
+
+
+def test_language(spark, sf, edge_docs, no_docs):
+    want = {r["doc_id"]: r["lang"] for r in common.table(spark, sf, "documents").collect()}
+    got = language.op8_language(spark, sf).collect()
+    assert len(got) == len(want)
+    assert all(r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 4 == 2) for r in got)
+    held = [r for r in got if r["held_out"]]
+    assert np.mean([r["lang_pred"] == want[r["doc_id"]] for r in held]) > 0.95 and all(0 <= r["score"] <= 1 for r in got)
+    edge = rows_of(language.identify(edge_docs, language.learn(edge_docs)))
+    assert len(edge) == edge_docs.count() and {r["lang_pred"] for r in edge if r["doc_id"] in (2, 3, 4, 7)} == {"und"}
+    assert language.learn(no_docs) is None and language.identify(no_docs, None).count() == 0
+    assert {r["lang_pred"] for r in rows_of(language.identify(edge_docs, None))} == {"und"}
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 4, 6, 9, 30])
+def test_codewords_differ(n):
+    code = language.codewords(n)
+    assert len({tuple(c) for c in code}) == n and (n == 1 or all(len(set(col)) == 2 for col in code.T))
+
+
+# ---- 9
+
+
+@pytest.fixture(scope="module")
+def toxic_model(spark):
+    sf = "/root/testdata/sf0.01"
+    return toxicity.learn(common.table(spark, sf, "documents"), common.table(spark, sf, "labels"))
+
+
+def test_toxicity(spark, toxic_model, edge_docs, no_docs, edge_labels):
+    sf = "/root/testdata/sf0.01"
+    want = {r["doc_id"]: r["toxic"] for r in common.table(spark, sf, "labels").collect()}
+    got = [r for r in toxicity.score(common.table(spark, sf, "documents"), toxic_model).collect() if r["doc_id"] in want and r["held_out"]]
+    hits = sum(r["predicted"] for r in got if want[r["doc_id"]])
+    false = sum(r["predicted"] for r in got if not want[r["doc_id"]])
+    assert hits >= 0.6 * sum(want[r["doc_id"]] for r in got) and false <= 0.05 * len(got)
+    assert all(r["predicted"] == int(r["score"] >= 0.3) for r in got)
+    edge = toxicity.score(edge_docs, toxicity.learn(edge_docs, edge_labels))
+    assert edge.count() == edge_docs.count() and edge.where("score between 0 and 1").count() == edge_docs.count()
+    assert toxicity.keep_clean(edge_docs, toxic_model).columns == edge_docs.columns
+    assert toxicity.learn(no_docs, edge_labels) is None and toxicity.learn(edge_docs, edge_labels.limit(0)) is None
+    assert toxicity.score(no_docs, toxic_model).count() == 0 and toxicity.score(edge_docs, None).where("score <> 0").count() == 0
+
+
+@pytest.mark.parametrize("text", ["1d10t", "i d i o t", "p@thet1c", "stuuuupid", "w.o.r.t.h.l.e.s.s", "l0$er", "tr4sh!!", "scum###"])
+def test_disguises_are_read(toxic_model, text):
+    scorer = toxicity.Scorer(toxic_model)
+    assert scorer.score(f"of the and {text} of") > scorer.score("of the and of") + 0.2
+
+
+# ---- 10
+
+
+@settings(max_examples=80, deadline=None)
+@given(st.lists(st.one_of(st.integers(0, 50), st.integers(0, 60_000), st.integers(0, 2**32 - 1)), max_size=1500))
+def test_blocks_round_trip(ids):
+    a = np.array(ids, np.uint32)
+    _, index, body, n = packed_ids.open_part(packed_ids.write_part([(7, len(a))], a))
+    assert (packed_ids.decode_ids(index, body, n) == a).all()
+    for k in range(len(index)):
+        assert (packed_ids.read_block(packed_ids.write_part([(7, len(a))], a), k) == a[k * packed_ids.BLOCK : (k + 1) * packed_ids.BLOCK]).all()
+
+
+def plain_ids(docs):
+    from tokenizers import Tokenizer
+
+    tokenizer, at, out = Tokenizer.from_file(packed_ids.tokenizer_file()), 0, []
+    for d, t in docs:
+        ids = np.array([*tokenizer.encode(t or "", add_special_tokens=False).ids, 2], "<u4")
+        out.append((d, at, len(ids), zlib.crc32(ids.tobytes())))
+        at += len(ids)
+    return out
+
+
+def test_packed_ids(spark, sf, monkeypatch):
+    monkeypatch.setattr(common, "SLICE_BYTES", 100_000)
+    docs = sorted(common.table(spark, sf, "documents").select("doc_id", "text").collect())
+    assert sorted(map(tuple, packed_ids.op10_packed_ids(spark, sf).collect())) == plain_ids(docs)
+
+
+def test_packed_ids_edges(edge_docs, no_docs):
+    ordered = sorted(edge_docs.collect(), key=lambda r: (r["doc_id"] is None, r["doc_id"] or 0, r["text"] is not None, r["text"] or ""))
+    got = sorted(map(tuple, packed_ids.encode(edge_docs).collect()), key=lambda r: r[1])
+    assert got == plain_ids([(r["doc_id"], r["text"]) for r in ordered])
+    assert packed_ids.encode(no_docs).count() == 0
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.sampled_from(["The", "it's", "don't", "A1b2", "é", "ÉCOLE", "Σίσυφος", "x\ty", " ", "<|endoftext|>", "<|ENDOFTEXT|>", "a--b", "'ll", "I'LL", "\r", "\x1c", "é", "́", " ", "\n", "!?."]), max_size=12).map(" ".join))
+def test_encoder_is_the_tokenizer(text):
+    e = _encoder()
+    assert np.frombuffer(e.ids(text), "<u4").tolist() == e.tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def _encoder(held=[]):  # noqa: B006
+    if not held:
+        held.append(packed_ids.Encoder(packed_ids.tokenizer_file()))
+    return held[0]
