@@ -222,24 +222,24 @@ def similar_prints(nodes: DataFrame) -> DataFrame:
 def components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
     """node and root (its component's smallest node) of every node in links (a, b), by star contraction.
 
-    Each round is cut off in the shared folder; the driver gets two numbers a round.
+    Each round is cut off in the shared folder; the driver gets two numbers a round, and
+    the rounds end when these stay.
     """
     edges = common.cut(links.where("a <> b").distinct())
+    was = None
     for _ in range(most_rounds):
         both = edges.select(F.col("a").alias("x"), F.col("b").alias("y")).union(edges.select(F.col("b"), F.col("a")))
         # Large star: greater neighbours go to the smallest one.
         low = both.groupBy("x").agg(F.least(F.min("y"), F.col("x")).alias("m"))
-        large = both.where("y > x").join(low, "x").select(F.col("y").alias("b"), F.col("m").alias("a")).where("a <> b").distinct()
+        large = both.where("y > x").join(low, "x").select(F.col("y").alias("b"), F.col("m").alias("a"))
         # Small star: smaller neighbours and the node itself go to the smallest one.
         least = large.groupBy("b").agg(F.min("a").alias("m"))
-        small = large.join(least, "b").select("a", "b", "m")
-        after = small.select("b", F.col("m").alias("a")).union(small.where("a <> m").select(F.col("a").alias("b"), F.col("m").alias("a"))).select("a", "b").distinct()
-        after = common.cut(after)
-        same = after.agg(F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h")).first()
-        was = edges.agg(F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h")).first()
-        edges = after
-        if same == was:
+        small = large.join(least, "b").select(F.explode(F.array(F.struct("b", F.col("m").alias("a")), F.struct(F.col("a").alias("b"), F.col("m").alias("a")))).alias("e"))
+        edges = common.cut(small.select("e.a", "e.b").where("a <> b").distinct())
+        now = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
+        if now == was:
             break
+        was = now
     else:
         raise RuntimeError("components did not settle")
     stars = edges.select(F.col("b").alias("node"), F.col("a").alias("root"))
