@@ -70,6 +70,19 @@ def in_fold(doc_id: Column | str) -> Column:
     return F.coalesce(F.crc32(c.cast("string").cast("binary")) % 4, F.lit(0)) != 2
 
 
+def sampled(rows: DataFrame, id_col: str, salt: str, most: int) -> list[tuple]:
+    """At most `most` of rows (narrow ones; null ids left out), those whose ids have the least hashes.
+
+    A count sets a bound that about half as many again pass, so that what tasks send
+    to the driver doesn't grow with their number.
+    """
+    rows = rows.where(F.col(id_col).isNotNull()).withColumn("_h", F.pmod(F.xxhash64(F.lit(salt), F.col(id_col)), F.lit(1 << 32)))
+    n = rows.count()
+    if n > 2 * most:
+        rows = rows.where(F.col("_h") < int((1.5 * most + 50) / n * (1 << 32)))
+    return [tuple(r)[:-1] for r in rows.orderBy("_h", *[c for c in rows.columns if c != "_h"]).limit(most).collect()]
+
+
 def row_order(docs: DataFrame, row: str = "row") -> Column:
     """A hash of the struct column `row` of docs' columns, to tell apart rows that are otherwise alike; columns that can't be hashed don't count."""
     hashed = [c for c, kind in docs.dtypes if "map<" not in kind and "variant" not in kind]
