@@ -158,7 +158,7 @@ def coerce_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.when(F.col("event_id") % 3 == 0, F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'")).when(F.col("event_id") % 3 == 1, F.date_format("ts", "yyyy-MM-dd HH:mm:ss")).otherwise(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"))
     money = F.concat(F.lit("\u00a0 "), F.when(F.col("event_id") % 4 == 0, F.concat((F.col("event_id") % 1000).cast("string"), F.lit(".5"))).when(F.col("event_id") % 4 == 1, F.concat(F.lit("-"), (F.col("event_id") % 1000).cast("string"))).when(F.col("event_id") % 4 == 2, F.concat((F.col("event_id") % 1000).cast("string"), F.lit(".005"))).otherwise(F.lit("12,50")))
     day = F.when(F.col("event_id") % 5 == 0, F.lit("2024-02-30")).when(F.col("event_id") % 5 == 1, F.date_format("ts", "yyyy/MM/dd")).otherwise(F.date_format("ts", "yyyy-MM-dd"))
-    return e.select("event_id", coerce.timestamp(coerce.present(text)).cast("timestamp_ntz").alias("at"), coerce.date(coerce.present(day)).alias("day"), coerce.money(coerce.present(money)).alias("amount"), coerce.utc_day(text).alias("utc_day"))
+    return e.select("event_id", F.convert_timezone(F.current_timezone(), F.lit("UTC"), coerce.timestamp(coerce.present(text)).cast("timestamp_ntz")).alias("at"), coerce.date(coerce.present(day)).alias("day"), coerce.money(coerce.present(money)).alias("amount"), coerce.utc_day(text).alias("utc_day"))
 
 
 def content_hash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -70,6 +70,8 @@ class TenantSession:
     def __init__(self, spark: SparkSession, root: str, tenant_id: str):
         if not TENANT_ID.fullmatch(tenant_id or ""):
             raise NoTenant(f"not a tenant id: {tenant_id!r}")
+        if spark.conf.get("spark.sql.session.timeZone") not in ("UTC", "Etc/UTC", "Z"):
+            raise RuntimeError("days are UTC days: set spark.sql.session.timeZone to UTC")
         self.spark, self.tenant_id, self.root = spark, tenant_id, f"{root.rstrip('/')}/{tenant_id}"
         self.files = Files(spark, root)
         self.pointer = self._load()
