@@ -439,6 +439,18 @@ def test_disguises_are_read(toxic_model, text):
     assert scorer.score(f"of the and {text} of") > scorer.score("of the and of") + 0.2
 
 
+def test_every_text_counts_for_the_character_model(spark):
+    # 25,000 n-grams and more, in texts without labels.
+    words = ["".join(chr(0x4E00 + (i * 7 + k) % 12_000) for k in range(5)) for i in range(6000)]
+    rows = [(i, f"{words[i]} and {words[i]}, {words[(i + 1) % 6000]}") for i in range(6000)]
+    docs = spark.createDataFrame([*rows, (6000, "plain words here"), (6001, None)], "doc_id long, text string")
+    want = Counter()
+    for _, text in [*rows, (0, "plain words here")]:
+        toxicity.CharModel.count(Counter({w.strip(",") for w in text.split()}), want)
+    labels = spark.createDataFrame([(0, 1), (1, 0), (3, 1), (6000, 0)], "doc_id long, toxic int")
+    assert len(want) > 25_000 and toxicity.learn(docs.repartition(3), labels)["chars"] == want
+
+
 # ---- 10
 
 

@@ -9,8 +9,9 @@ its own decoding. Restored texts are scored by words and word beginnings that ar
 likelier in toxic texts, and a logistic regression over the strongest of them,
 their number and their density.
 
-Learning reads the labelled rows of the learning fold, at most TRAIN_DOCS of either
-label, chosen by a hash of the id. The score reads only the text.
+The character model counts every n-gram of every text, labelled or not. The weights
+and the regression are learned from labelled rows of the learning fold, at most
+TRAIN_DOCS of either label, chosen by a hash of the id. The score reads only the text.
 
 Nulls: a null text is empty; an empty text scores what a text without any found
 word does, near the least. Null labels aren't learned. With nothing to learn from
@@ -209,16 +210,37 @@ class _Sent:
 # ---- learning
 
 
+class _Plain(dict):
+    """The plain word of a token, empty if it isn't one; filled as tokens are met."""
+
+    def __missing__(self, token: str) -> str:
+        if len(self) > MOST_CACHED:
+            self.clear()
+        w = EDGE.sub("", token)
+        got = self[token] = w if w.isalpha() and not REPEATED.search(w) else ""
+        return got
+
+
 def _char_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Character n-grams of plain words, counted once for each text that has the word."""
-    into, seen = Counter(), Counter()
+    into, seen, plain = Counter(), Counter(), _Plain()
     for b in batches:
-        for text in common.strings(b.column(1)):
-            seen.update(w for w in (EDGE.sub("", t) for t in set(text.lower().split())) if w.isalpha() and not REPEATED.search(w))
+        for text in common.strings(b.column(0)):
+            seen.update(set(map(plain.__getitem__, set(text.lower().split()))))
+        if len(seen) > MOST_CACHED:  # n-grams are far fewer than words
+            seen.pop("", None)
+            CharModel.count(seen, into)
+            seen.clear()
+    seen.pop("", None)
     CharModel.count(seen, into)
     yield pa.RecordBatch.from_arrays([pa.array(list(into), pa.string()), pa.array(list(into.values()), pa.int64())], names=["k", "n"])
 
 
+def char_counts(texts: DataFrame) -> dict[str, int]:
+    """All character n-grams of a table with the one column text, with their counts."""
+    return {r[0]: r[1] for r in texts.mapInArrow(_char_counts, "k string, n long").groupBy("k").agg(F.sum("n").alias("n")).collect()}
+
+
 def _doc_features(batches: Iterator[pa.RecordBatch], chars: dict, wanted: frozenset[str] | None) -> Iterator[pa.RecordBatch]:
     """Texts that each feature is in, by label."""
     model, into, memo = CharModel(chars), (Counter(), Counter()), {}
@@ -272,7 +294,7 @@ def learn(docs: DataFrame, labels: DataFrame) -> dict | None:
         return None
     chosen = spark.createDataFrame(ids, "i long, label int")
     sample = common.kept(rows.join(F.broadcast(chosen), "i").select("label", F.coalesce("text", F.lit("")).alias("text")).repartition(common.shuffle_parts(spark)), "toxic-sample")
-    chars = {r[0]: r[1] for r in sample.where("label = 0 or label = 1").mapInArrow(_char_counts, "k string, n long").groupBy("k").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "k").limit(MOST_FEATURES).collect()}
+    chars = char_counts(rows.select("text"))
     n = {r[0]: r[1] for r in sample.groupBy("label").count().collect()}
 
     def counted(part: DataFrame, wanted: frozenset[str] | None) -> DataFrame:
