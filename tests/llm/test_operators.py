@@ -451,6 +451,31 @@ def test_every_text_counts_for_the_character_model(spark):
     assert len(want) > 25_000 and toxicity.learn(docs.repartition(3), labels)["chars"] == want
 
 
+@pytest.fixture(scope="module")
+def char_model():
+    counts = Counter()
+    words = "you are an idiot the and that stupid trash loser losers worthless hello this is pathetic all call feel thing out of say said did it quit"
+    toxicity.CharModel.count(dict.fromkeys(words.split(), 50), counts)
+    return toxicity.CharModel(counts)
+
+
+@pytest.mark.parametrize(
+    ("token", "word"),
+    [
+        ("$tupid", "stupid"), ("@nd", "and"), ("!diot", "idiot"), ("+rash", "trash"), ("lo$er$", "losers"), ("stuupid", "stupid"), ("iiddiioott", "idiot"),
+        ("hello!", "hello"), ("(hello)", "hello"), ("«hello»,", "hello"), ("call", "call"), ("2024", "2024"), ("...", ""), ("st,up'id", "stupid"),
+    ],
+)
+def test_edge_signs_and_doubled_letters_are_decoded(char_model, token, word):
+    assert "".join(toxicity.restored(token, char_model)) == word
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(alphabet="aabbeilnost1!$@(-.0é2²ि", max_size=14))
+def test_decoding_by_segments_is_decoding_of_the_whole(char_model, token):
+    assert "".join(toxicity.decode(token, char_model).split()) == "".join(toxicity._likeliest("^^", token, True, char_model).split())
+
+
 # ---- 10
 
 

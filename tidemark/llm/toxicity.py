@@ -4,8 +4,8 @@ A disguised word is read as what a noisy channel made of a plain one: leetspeak
 signs for letters, letters said again and again, signs put around or between
 letters, letters spaced apart. Viterbi decoding over the lattice of what each sign
 may stand for, under a character trigram model, restores it. A token of letters
-alone, none of them three times in a row, has one path through its lattice and is
-its own decoding. Restored texts are scored by words and word beginnings that are
+alone, none of them twice in a row, has one path through its lattice and is its own
+decoding; a token without any letter is a number or a mark and isn't decoded. Restored texts are scored by words and word beginnings that are
 likelier in toxic texts, and a logistic regression over the strongest of them,
 their number and their density.
 
@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import math
 import re
+import unicodedata
 from collections import Counter
 from collections.abc import Iterator, Mapping
 
@@ -36,8 +37,16 @@ from . import common
 TRAIN_DOCS, CUT, MOST_FEATURES, LEAST_SUPPORT = 4000, 0.3, 20_000, 3
 #: What a sign may stand for in a disguised word.
 SIGNS = {"0": "o", "1": "il", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "(": "c", "€": "e", "£": "l", "¡": "i"}
-EDGE = re.compile(r"^[\W_]+|[\W_]+$")
-REPEATED = re.compile(r"(.)\1\1")
+#: Marks that stand for no letter.
+MARK = rf"(?:(?![{re.escape(''.join(SIGNS))}])[\W_])"
+EDGE = re.compile(rf"^{MARK}+|{MARK}+$")
+#: The same with signs that are punctuation too where they stand in ordinary text.
+OPENS, CLOSES = "(¡", "!"
+ORDINARY = re.compile(rf"^(?:{MARK}|[{OPENS}])+|(?:{MARK}|[{CLOSES}])+$")
+REPEATED, DOUBLED = re.compile(r"(.)\1\1"), re.compile(r"(.)\1")
+#: What has more than one path, and the letters after it until all paths are in one state: runs of a letter, and other characters, at most one letter apart.
+FORKED = r"(?:([^\W\d_])\{0}+|([\W\d_])\{1}*)"
+SEGMENT = re.compile(FORKED.format(1, 2) + r"(?:(?:([^\W\d_])(?!\3))?" + FORKED.format(4, 5) + r")*(?:([^\W\d_])(?!\6)){0,2}")
 SPACED = re.compile(r"(?<![^\s])(?:[^\W\d_@$][\s.\-_*]{1,2}){2,}[^\W\d_](?![^\s.,;!?])")
 #: Costs, as negative logarithms: a sign for a letter, a letter repeated, a mark put between letters, a sign that stands for none.
 SUBSTITUTE, REPEAT, INSERT, SPURIOUS = 1.0, 0.7, 0.5, 10.0
@@ -53,6 +62,7 @@ class CharModel:
         self.kinds = max(2, sum(len(k) == 1 for k in counts))
         self.total = max(1, sum(n for k, n in counts.items() if len(k) == 1))
         self.cache: dict[str, float] = {}
+        self.segments: dict[tuple[str, str, bool], str] = {}
 
     def cost(self, before: str, c: str) -> float:
         """Negative log probability of c after the two characters before."""
@@ -74,52 +84,98 @@ class CharModel:
                     into[x[i : i + size]] += n
 
 
-def decode(token: str, model: CharModel) -> str:
-    """The plain word that most likely became token: Viterbi over states of the last two letters written."""
-    paths: dict[str, tuple[float, str]] = {"^^": (0.0, "")}
-    i, n = 0, len(token)
+def _letter(c: str) -> bool:
+    return c.isalpha() or unicodedata.category(c)[0] == "M" or (c.isalnum() and not c.isdecimal())
+
+
+def _options(c: str, run: int, opens: bool, closes: bool) -> list[tuple[float, str]]:
+    """What a run of c may stand for, with costs."""
+    options: list[tuple[float, str]] = []
+    if _letter(c):
+        options.append((REPEAT if run > 1 else 0.0, c))
+        if run > 1:
+            options.append((0.2 if run == 2 else REPEAT, c * 2))
+        return options
+    for x in SIGNS.get(c, ""):
+        options.append((SUBSTITUTE * 1.0 + (REPEAT if run > 1 else 0.0), x))
+        if run > 1:
+            options.append((SUBSTITUTE * 1.5, x * 2))
+    mark = (opens and c in OPENS) or (closes and c in CLOSES)
+    options.append((SPURIOUS if not mark and (c in SIGNS or c.isdigit()) else INSERT, ""))
+    if c.isdigit() and not SIGNS.get(c):
+        options.append((SUBSTITUTE, c))
+    return options
+
+
+def _likeliest(before: str, segment: str, ends: bool, model: CharModel) -> str:
+    """What most likely became segment after the two letters before: Viterbi over states of the last two letters written."""
+    costs: dict[str, float] = {before: 0.0}
+    done: list[str] = []
+    steps: list[dict[str, tuple[str, str]]] = []  # where each state came from, since all paths were in one state
+    i, n = 0, len(segment)
+
+    def settle(s: str) -> None:
+        back = []
+        for came in reversed(steps):
+            s, letters = came[s]
+            back.append(letters)
+        done.extend(reversed(back))
+        steps.clear()
+
     while i < n:
-        c, j = token[i], i + 1
-        while j < n and token[j] == c:
+        c, j = segment[i], i + 1
+        while j < n and segment[j] == c:
             j += 1
-        run = j - i
-        options: list[tuple[float, str]] = []
-        if c.isalpha():
-            options.append((REPEAT if run > 1 else 0.0, c))
-            if run > 1:
-                options.append((0.2 if run == 2 else REPEAT, c * 2))
-        for x in SIGNS.get(c, ""):
-            options.append((SUBSTITUTE * 1.0 + (REPEAT if run > 1 else 0.0), x))
-            if run > 1:
-                options.append((SUBSTITUTE * 1.5, x * 2))
-        if not c.isalpha():
-            options.append((SPURIOUS if c in SIGNS or c.isdigit() else INSERT, ""))
-            if c.isdigit() and not SIGNS.get(c):
-                options.append((SUBSTITUTE, c))
-        after: dict[str, tuple[float, str]] = {}
-        for state, (cost, out) in paths.items():
+        options = _options(c, j - i, i == 0 and before == "^^", ends and j == n)
+        after: dict[str, float] = {}
+        came: dict[str, tuple[str, str]] = {}
+        for state, cost in costs.items():
             for more, letters in options:
                 s, total = state, cost + more
                 for x in letters:
                     total += model.cost(s, x)
                     s = s[1:] + x
-                if s not in after or total < after[s][0]:
-                    after[s] = (total, out + letters)
-        paths = after
+                if s not in after or total < after[s]:
+                    after[s], came[s] = total, (state, letters)
+        steps.append(came)
+        costs = after
+        if len(costs) == 1:
+            settle(*costs)
         i = j
-    return min((cost + model.cost(s, "$"), out) for s, (cost, out) in paths.items())[1]
+    if steps:
+        settle(min((cost + (model.cost(s, "$") if ends else 0.0), s) for s, cost in costs.items())[1])
+    return "".join(done)
+
+
+def decode(token: str, model: CharModel) -> str:
+    """The plain word that most likely became token.
+
+    Letters with one path are copied; each segment around them is decided by itself,
+    since all paths are in one state before it and after it, and is remembered.
+    """
+    out, before, at = [], "^^", 0
+    for m in SEGMENT.finditer(token):
+        plain, segment, ends = token[at : m.start()], m[0], m.end() == len(token)
+        at = m.end()
+        before = (before + plain)[-2:]
+        key = (before, segment, ends)
+        if (got := model.segments.get(key)) is None:
+            got = _likeliest(*key, model)
+            if len(segment) <= 24:
+                if len(model.segments) > MOST_CACHED:
+                    model.segments.clear()
+                model.segments[key] = got
+        out += [plain, got]
+        before = (before + got)[-2:]
+    return "".join(out) + token[at:]
 
 
 def restored(token: str, model: CharModel) -> str:
-    """A lower-case token without what stands around it, decoded if it is disguised."""
+    """A lower-case token without the marks around it, decoded if its lattice has more than one path."""
     core = EDGE.sub("", token)
-    if core.isalpha() and not REPEATED.search(core):
-        return core
-    inner = token.rstrip(".,;:?\"'#%&*~^`)").lstrip("#%&*~^`\"'(")
-    inner = inner if inner.endswith("!") is False else inner.rstrip("!") or inner
-    if not inner or len(inner) > MOST_DECODED or not any(map(str.isalpha, inner)) or sum(c.isalpha() or c in SIGNS or c in ".-_*" for c in inner) < len(inner):
+    if (core.isalpha() and not DOUBLED.search(core)) or not any(map(str.isalpha, core)) or len(core) > MOST_DECODED:
         return core
-    return decode(inner, model)
+    return decode(core, model)
 
 
 def word_features(word: str) -> list[str]:
@@ -216,7 +272,7 @@ class _Plain(dict):
     def __missing__(self, token: str) -> str:
         if len(self) > MOST_CACHED:
             self.clear()
-        w = EDGE.sub("", token)
+        w = ORDINARY.sub("", token)
         got = self[token] = w if w.isalpha() and not REPEATED.search(w) else ""
         return got
 
