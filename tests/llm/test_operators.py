@@ -470,6 +470,11 @@ def test_edge_signs_and_doubled_letters_are_decoded(char_model, token, word):
     assert "".join(toxicity.restored(token, char_model)) == word
 
 
+@pytest.mark.parametrize(("token", "word"), [("st" + "u" * 60 + "pid", "stupid"), (("--" * 8).join("idiot"), "idiot"), ("w" + "._-*" * 20 + "orthless", "worthless"), ("." * 50 + "1" * 40 + "d10t", "idiot")])
+def test_long_disguises_are_decoded(char_model, token, word):
+    assert "".join(toxicity.restored(token, char_model)) == word
+
+
 @settings(max_examples=300, deadline=None)
 @given(st.text(alphabet="aabbeilnost1!$@(-.0é2²ि", max_size=14))
 def test_decoding_by_segments_is_decoding_of_the_whole(char_model, token):

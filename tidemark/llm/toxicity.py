@@ -50,7 +50,6 @@ SEGMENT = re.compile(FORKED.format(1, 2) + r"(?:(?:([^\W\d_])(?!\3))?" + FORKED.
 SPACED = re.compile(r"(?<![^\s])(?:[^\W\d_@$][\s.\-_*]{1,2}){2,}[^\W\d_](?![^\s.,;!?])")
 #: Costs, as negative logarithms: a sign for a letter, a letter repeated, a mark put between letters, a sign that stands for none.
 SUBSTITUTE, REPEAT, INSERT, SPURIOUS = 1.0, 0.7, 0.5, 10.0
-MOST_DECODED = 40
 MOST_CACHED = 300_000
 
 
@@ -173,7 +172,7 @@ def decode(token: str, model: CharModel) -> str:
 def restored(token: str, model: CharModel) -> str:
     """A lower-case token without the marks around it, decoded if its lattice has more than one path."""
     core = EDGE.sub("", token)
-    if (core.isalpha() and not DOUBLED.search(core)) or not any(map(str.isalpha, core)) or len(core) > MOST_DECODED:
+    if (core.isalpha() and not DOUBLED.search(core)) or not any(map(str.isalpha, core)):
         return core
     return decode(core, model)
 
