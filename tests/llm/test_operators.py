@@ -470,6 +470,21 @@ def test_edge_signs_and_doubled_letters_are_decoded(char_model, token, word):
     assert "".join(toxicity.restored(token, char_model)) == word
 
 
+SPACED = ["i. d. i. o. t", "i- d- i- o- t", "1 d 1 0 t", "s t u p ! d", "y o u i d i o t", "y o u  i d i o t", "i - d - i - o - t", "( i d i o t!)", "y.o.u.i.d.i.o.t", "ii d ii o t", "w o r t h l e s s"]
+
+
+@pytest.mark.parametrize("text", SPACED)
+def test_characters_spaced_apart_are_read(toxic_model, text):
+    scorer = toxicity.Scorer(toxic_model)
+    assert scorer.score(f"of the and {text} of") > scorer.score("of the and of") + 0.2
+
+
+@pytest.mark.parametrize(("text", "words"), [("y o u i d i o t", ["you", "idiot"]), ("1 d 1 0 t", ["idiot"]), ("s t u p ! d", ["stupid"]), ("i. d. i. o. t", ["idiot"]), ("i d i o t!", ["idiot"]), ("a b", []), ("1 0 1", [])])
+def test_gaps_join_or_split(char_model, text, words):
+    own = toxicity.words_of(text)[len(text.split()) :]
+    assert [w for r in own for w in toxicity.restored(r, char_model) if w.isalpha()] == words
+
+
 @pytest.mark.parametrize(("token", "word"), [("st" + "u" * 60 + "pid", "stupid"), (("--" * 8).join("idiot"), "idiot"), ("w" + "._-*" * 20 + "orthless", "worthless"), ("." * 50 + "1" * 40 + "d10t", "idiot")])
 def test_long_disguises_are_decoded(char_model, token, word):
     assert "".join(toxicity.restored(token, char_model)) == word

@@ -5,7 +5,8 @@ signs for letters, letters said again and again, signs put around or between
 letters, letters spaced apart. Viterbi decoding over the lattice of what each sign
 may stand for, under a character trigram model, restores it. A token of letters
 alone, none of them twice in a row, has one path through its lattice and is its own
-decoding; a token without any letter is a number or a mark and isn't decoded. Restored texts are scored by words and word beginnings that are
+decoding; a token without any letter is a number or a mark and isn't decoded. A gap
+between letters or signs spaced apart is in the lattice too: it joins or ends a word. Restored texts are scored by words and word beginnings that are
 likelier in toxic texts, and a logistic regression over the strongest of them,
 their number and their density.
 
@@ -47,10 +48,32 @@ REPEATED, DOUBLED = re.compile(r"(.)\1\1"), re.compile(r"(.)\1")
 #: What has more than one path, and the letters after it until all paths are in one state: runs of a letter, and other characters, at most one letter apart.
 FORKED = r"(?:([^\W\d_])\{0}+|([\W\d_])\{1}*)"
 SEGMENT = re.compile(FORKED.format(1, 2) + r"(?:(?:([^\W\d_])(?!\3))?" + FORKED.format(4, 5) + r")*(?:([^\W\d_])(?!\6)){0,2}")
-SPACED = re.compile(r"(?<![^\s])(?:[^\W\d_@$][\s.\-_*]{1,2}){2,}[^\W\d_](?![^\s.,;!?])")
+#: A token of one letter or sign, however often said; three or more of them, and mere marks between, are a run of characters spaced apart.
+ONE = rf"([^\W\d_]|[{re.escape(''.join(SIGNS))}])"
+SHORT = re.compile(rf"{MARK}*[{OPENS}]*{ONE}\1*[{CLOSES}]*{MARK}*")
+RUN = re.compile(r"s(?:-*s){2,}")
+#: The same in one token.
+DOTTED = re.compile(rf"{ONE}\1*(?:[.\-_*]+{ONE.replace('(', '(?P<x>', 1)}(?P=x)*){{2,}}")
 #: Costs, as negative logarithms: a sign for a letter, a letter repeated, a mark put between letters, a sign that stands for none.
 SUBSTITUTE, REPEAT, INSERT, SPURIOUS = 1.0, 0.7, 0.5, 10.0
-MOST_CACHED = 300_000
+#: The same of a gap between characters spaced apart that ends a word, as about one in five does.
+SPLIT = 2.0
+MOST_CACHED, STRONG = 300_000, 2.5
+
+
+ASCII_MARKS = "".join(c for c in map(chr, range(128)) if re.fullmatch(MARK, c))
+
+
+def bare(token: str) -> str:
+    """A token without the marks around it."""
+    core = token.strip(ASCII_MARKS)
+    return core if core.isascii() or (core[0].isalnum() and core[-1].isalnum()) else EDGE.sub("", core)
+
+
+def plain(token: str) -> str:
+    """A token without the marks and the punctuation around it."""
+    core = token.lstrip(ASCII_MARKS + OPENS).rstrip(ASCII_MARKS + CLOSES)
+    return core if core.isascii() or (core[0].isalnum() and core[-1].isalnum()) else ORDINARY.sub("", core)
 
 
 class CharModel:
@@ -76,11 +99,21 @@ class CharModel:
     @staticmethod
     def count(words: Mapping[str, int], into: Counter) -> None:
         """Adds the n-grams of each word as often as it is given."""
-        for w, n in words.items():
-            x = f"^^{w}$"
-            for size in (1, 2, 3):
-                for i in range(len(x) - size + 1):
-                    into[x[i : i + size]] += n
+        if not words:
+            return
+        codes = np.frombuffer("".join(f"^^{w}$" for w in words).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+        lengths = np.fromiter((len(w) + 3 for w in words), np.int64, len(words))
+        times = np.repeat(np.fromiter(words.values(), np.int64, len(words)), lengths)
+        left = np.repeat(np.cumsum(lengths), lengths) - np.arange(len(codes))  # characters of the word from here on
+        grams = np.zeros_like(codes)
+        for size in (1, 2, 3):
+            here = np.flatnonzero(left >= size)
+            grams[here] = grams[here] << 21 | codes[here + size - 1]
+            kinds, of = np.unique(grams[here], return_inverse=True)
+            sums = np.zeros(len(kinds), np.int64)
+            np.add.at(sums, of, times[here])
+            for k, n in zip(kinds.tolist(), sums.tolist(), strict=True):
+                into["".join(chr(k >> 21 * i & 0x1FFFFF) for i in reversed(range(size)))] += n
 
 
 def _letter(c: str) -> bool:
@@ -90,6 +123,8 @@ def _letter(c: str) -> bool:
 def _options(c: str, run: int, opens: bool, closes: bool) -> list[tuple[float, str]]:
     """What a run of c may stand for, with costs."""
     options: list[tuple[float, str]] = []
+    if c == " ":
+        return [(INSERT, ""), (SPLIT, " ")]
     if _letter(c):
         options.append((REPEAT if run > 1 else 0.0, c))
         if run > 1:
@@ -125,15 +160,20 @@ def _likeliest(before: str, segment: str, ends: bool, model: CharModel) -> str:
         c, j = segment[i], i + 1
         while j < n and segment[j] == c:
             j += 1
-        options = _options(c, j - i, i == 0 and before == "^^", ends and j == n)
+        first, last = before == "^^" if i == 0 else segment[i - 1] == " ", ends if j == n else segment[j] == " "
+        alone = first and last  # a sign spaced apart stands for a letter, unless the text begins or ends with it
+        options = _options(c, j - i, first and (not alone or i == 0), last and (not alone or j == n))
         after: dict[str, float] = {}
         came: dict[str, tuple[str, str]] = {}
         for state, cost in costs.items():
             for more, letters in options:
                 s, total = state, cost + more
-                for x in letters:
-                    total += model.cost(s, x)
-                    s = s[1:] + x
+                if letters == " ":
+                    s, total = "^^", total + model.cost(s, "$")
+                else:
+                    for x in letters:
+                        total += model.cost(s, x)
+                        s = s[1:] + x
                 if s not in after or total < after[s]:
                     after[s], came[s] = total, (state, letters)
         steps.append(came)
@@ -147,16 +187,16 @@ def _likeliest(before: str, segment: str, ends: bool, model: CharModel) -> str:
 
 
 def decode(token: str, model: CharModel) -> str:
-    """The plain word that most likely became token.
+    """The plain word that most likely became token; of characters spaced apart, the plain words.
 
     Letters with one path are copied; each segment around them is decided by itself,
     since all paths are in one state before it and after it, and is remembered.
     """
     out, before, at = [], "^^", 0
     for m in SEGMENT.finditer(token):
-        plain, segment, ends = token[at : m.start()], m[0], m.end() == len(token)
+        alone, segment, ends = token[at : m.start()], m[0], m.end() == len(token)
         at = m.end()
-        before = (before + plain)[-2:]
+        before = (before + alone)[-2:]
         key = (before, segment, ends)
         if (got := model.segments.get(key)) is None:
             got = _likeliest(*key, model)
@@ -164,34 +204,61 @@ def decode(token: str, model: CharModel) -> str:
                 if len(model.segments) > MOST_CACHED:
                     model.segments.clear()
                 model.segments[key] = got
-        out += [plain, got]
+        out += [alone, got]
         before = (before + got)[-2:]
     return "".join(out) + token[at:]
 
 
-def restored(token: str, model: CharModel) -> str:
-    """A lower-case token without the marks around it, decoded if its lattice has more than one path."""
-    core = EDGE.sub("", token)
+def spaced(core: str) -> str:
+    """The characters of a run with one blank in every gap; empty if it is none."""
+    return core if " " in core else re.sub(r"[.\-_*]+", " ", core) if DOTTED.fullmatch(core) else ""
+
+
+def restored(token: str, model: CharModel) -> list[str]:
+    """The words of a lower-case token without the marks around it, decoded if its lattice has more than one path."""
+    core = token if token.isalpha() else bare(token)
     if (core.isalpha() and not DOUBLED.search(core)) or not any(map(str.isalpha, core)):
-        return core
-    return decode(core, model)
+        return [core]
+    return decode(spaced(core) or core, model).split()
 
 
 def word_features(word: str) -> list[str]:
     if len(word) < 3:
         return []
-    return [f"={word}", *(f"^{word[:k]}" for k in (4, 5, 6) if len(word) > k)]
+    return ["=" + word, *["^" + word[:k] for k in (4, 5, 6) if len(word) > k]]
+
+
+class _Kinds(dict):
+    """s for a short token, - for mere marks, a dot for others; filled as tokens are met."""
+
+    def __missing__(self, token: str) -> str:
+        if len(self) > MOST_CACHED:
+            self.clear()
+        if len(token) > 1 and token[0].isalnum() and token[1].isalnum() and token[0] != token[1]:
+            got = "."
+        else:
+            got = "s" if SHORT.fullmatch(token) else "." if bare(token) else "-"
+        self[token] = got
+        return got
+
+
+_kinds = _Kinds()
 
 
 def words_of(text: str) -> list[str]:
-    """Lower-case tokens, and what letters spaced apart spell together."""
-    low = text.lower()
-    tokens = low.split()
-    if sum(len(t) == 1 for t in tokens) >= 3:
-        tokens += ["".join(filter(str.isalpha, m[0])) for m in SPACED.finditer(low)]
+    """Lower-case tokens, and each run of characters spaced apart with one blank in every gap."""
+    tokens = text.lower().split()
+    kinds = "".join(map(_kinds.__getitem__, tokens))
+    if "s" in kinds:
+        tokens += [" ".join(x for t in tokens[m.start() : m.end()] if (x := bare(t))) for m in RUN.finditer(kinds)]
     return tokens
 
 
+def features(token: str, model: CharModel) -> list[list[str]]:
+    """The features of each restored word."""
+    return [word_features(w) for w in restored(token, model)]
+
+
 # ---- scoring
 
 
@@ -202,34 +269,55 @@ class Scorer:
         self.chars = CharModel(model["chars"])
         self.weights: dict[str, float] = model["weights"]
         self.coefficients = model["coefficients"]
-        self.known: dict[str, float] = {}
+        self.longest = max((len(f) - 1 for f in self.weights if f[0] == "="), default=0)
+        self.known: dict[str, tuple[float, ...]] = {}
 
-    def weight(self, token: str) -> float:
-        """The largest weight among the restored word's features, 0 if it has none."""
+    def weight(self, token: str) -> tuple[float, ...]:
+        """The largest weight among the features of each restored word that has one."""
         if (got := self.known.get(token)) is None:
             if len(self.known) > MOST_CACHED:
                 self.known.clear()
-            g = self.weights.get
-            got = max((g(f, 0.0) for f in word_features(restored(token, self.chars))), default=0.0)
+            words = restored(token, self.chars)
+            got = tuple(w for w in map(self.heaviest, words) if w)
+            if not token.isalpha() and spaced(bare(token)):
+                got = max(got, self.strong_within("".join(words)), key=sum)
             if len(token) <= 64:
                 self.known[token] = got
         return got
 
+    def heaviest(self, word: str) -> float:
+        """The largest weight among a word's features, 0 if it has none."""
+        g = self.weights.get
+        return max([g(f, 0.0) for f in word_features(word)], default=0.0)
+
+    def strong_within(self, letters: str) -> tuple[float, ...]:
+        """Weights of the strong words in what a run spells, the longest at each place, wherever Viterbi split it."""
+        i, out = 0, []
+        while i < len(letters):
+            for j in range(min(len(letters), i + self.longest), i + 2, -1):
+                if (w := self.weights.get("=" + letters[i:j], 0.0)) > STRONG:
+                    out.append(w)
+                    i = j
+                    break
+            else:
+                i += 1
+        return tuple(out)
+
     def summary(self, text: str) -> list[float]:
         """Strongest weights, their sum and number, and the number a root of all words."""
         tokens = words_of(text)
         known = self.known
         found = []
         for t, n in Counter(tokens).items():
-            w = known.get(t)
-            if w is None:
-                w = self.weight(t)
-            if w:
+            own = known.get(t)
+            if own is None:
+                own = self.weight(t)
+            for w in own:
                 found.append((w, n))
         found.sort(reverse=True)
         top = [w for w, n in found[:6] for _ in range(min(n, 3))][:3] + [0.0] * 3
         total, number = sum(w for w, _ in found), sum(n for _, n in found)
-        strong = sum(n for w, n in found if w > 2.5)
+        strong = sum(n for w, n in found if w > STRONG)
         return [top[0], top[1], top[2], math.log1p(total), math.log1p(number), math.log1p(strong), 10 * strong / math.sqrt(len(tokens) + 10), 100 * strong / (len(tokens) + 50)]
 
     def score(self, text: str) -> float:
@@ -271,17 +359,17 @@ class _Plain(dict):
     def __missing__(self, token: str) -> str:
         if len(self) > MOST_CACHED:
             self.clear()
-        w = ORDINARY.sub("", token)
+        w = token if token.isalpha() else plain(token)
         got = self[token] = w if w.isalpha() and not REPEATED.search(w) else ""
         return got
 
 
 def _char_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Character n-grams of plain words, counted once for each text that has the word."""
-    into, seen, plain = Counter(), Counter(), _Plain()
+    into, seen, words = Counter(), Counter(), _Plain()
     for b in batches:
         for text in common.strings(b.column(0)):
-            seen.update(set(map(plain.__getitem__, set(text.lower().split()))))
+            seen.update(set(map(words.__getitem__, set(text.lower().split()))))
         if len(seen) > MOST_CACHED:  # n-grams are far fewer than words
             seen.pop("", None)
             CharModel.count(seen, into)
@@ -305,7 +393,7 @@ def _doc_features(batches: Iterator[pa.RecordBatch], chars: dict, wanted: frozen
             for t in set(words_of(text)):
                 f = memo.get(t)
                 if f is None:
-                    f = memo[t] = word_features(restored(t, model))
+                    f = memo[t] = [x for own_word in features(t, model) for x in own_word]
                     if wanted is not None:
                         memo[t] = f = [x for x in f if x in wanted]
                 own.update(f)
