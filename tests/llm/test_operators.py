@@ -363,6 +363,13 @@ def test_generated_pages(labeller):
     assert right / all_ > 0.98
 
 
+def test_every_word_of_a_block_counts():
+    same = "one two three four five six seven eight nine ten eleven twelve "
+    a, b = (html_blocks.vectors([html_blocks.Block(same * 3 + w, ("div",), 0)]) for w in ("cookies", "parsley"))
+    long = html_blocks.vectors([html_blocks.Block(same * 5000, ("div",), 0)])
+    assert not np.array_equal(a, b) and np.abs(long).max() < 6
+
+
 def test_blocks():
     page = "<p>a&amp;b\n <b>c</b>d<p>e<br>f<script>x='<p>'</script><ul><li>g<li>h</ul><form>i<textarea>no</textarea></form>j<!-- no --><div class='x Y-z'>k<"
     assert [b.text for b in html_blocks.blocks(page)] == ["a&b cd", "e f", "g", "h", "i", "j", "k<"]

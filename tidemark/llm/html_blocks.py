@@ -2,7 +2,7 @@
 
 A page is parsed into leaf blocks in page order (texts between block-level tags,
 without scripts, styles and form fields). Each block is a vector: hashed names of
-the tags, classes and ids on its path, hashed words, and a few measures. A
+the tags, classes and ids on its path, all its words hashed, and a few measures. A
 bidirectional LSTM in numpy reads the whole sequence and labels every block with
 document-wide context; the kept blocks are the main text.
 
@@ -152,6 +152,17 @@ def _hash(x: str) -> int:
     return got
 
 
+_buckets: dict[str, int] = {}
+
+
+def _bucket(word: str) -> int:
+    if (got := _buckets.get(word)) is None:
+        if len(_buckets) > 200_000:
+            _buckets.clear()
+        got = _buckets[word] = PATH_DIMS + _hash(word.lower().strip(".,:;!?|")) % WORD_DIMS
+    return got
+
+
 DIMS = PATH_DIMS + WORD_DIMS + 8
 
 
@@ -164,8 +175,10 @@ def vectors(found: list[Block]) -> np.ndarray:
         for x in b.path:
             row[_hash(x) % PATH_DIMS] = 1
         words = b.text.split()
-        for w in words[:12]:  # the words that tell a block's kind stand first
-            row[PATH_DIMS + _hash(w.lower().strip(".,:;!?|")) % WORD_DIMS] += 0.3
+        for w in words:
+            row[_bucket(w)] += 1
+        said = row[PATH_DIMS:-8]
+        np.multiply(np.log1p(said), 0.3 / np.log(2), out=said)  # by a log, so that a long block stays bounded
         n = len(b.text)
         row[-8:] = (min(np.log1p(n) / 6, 2), min(np.log1p(len(words)) / 4, 2), b.link / n, sum(b.text.count(c) for c in ".,;!?|") / len(words) / 2, k / len(found), before / total, 1 if b.text[-1] in ".!?" else 0, len(b.path) / 10)
         before += n
