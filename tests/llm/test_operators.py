@@ -319,6 +319,28 @@ def test_lexed_pairs(text, want):
     assert [text[a:b] for a, k, b in secrets.spans(text) if k == 3] == want
 
 
+def test_constants_reach_over_any_number_of_names():
+    chain = 'n0 = "Zx81kQ9fLmN2pR"\n' + "".join(f"n{i + 1} = n{i}\n" for i in range(40)) + "n0 = n40\n"
+    kept = lambda text: [text[a:b] for a, k, b in secrets.spans(text) if k == 3]
+    assert kept(chain + "db_password = n40\n") == ["Zx81kQ9fLmN2pR"] and kept(chain) == []
+
+
+@pytest.mark.parametrize("name", ["part." * 100 + "db_pwd", "x" * 200 + "_db_pwd", "cfg['" + "k" * 100 + "_db_pwd']"])
+def test_long_names_have_pairs(name):
+    text = f"a = 1; {name} = 's3cr3tP4ss99'"
+    assert [text[a:b] for a, k, b in secrets.spans(text) if k == 3] == ["s3cr3tP4ss99"]
+
+
+BEFORE = re.compile(r"""(?:^|[^\w$.-])(?:["'`]?([A-Za-z_$][\w$.-]{0,127})["'`]?(?:\[["']?([\w.-]{1,64})["']?\])?)[ \t]*$""")
+
+
+@settings(max_examples=1000, deadline=None)
+@given(st.text(alphabet="ab1$.-_\"'`[] \té,", max_size=14))
+def test_names_before_operators(text):
+    m = BEFORE.search(text)
+    assert secrets._name_before(text, len(text)) == (".".join(x for x in m.groups() if x) if m else "")
+
+
 def test_secrets(spark, sf, edge_docs, no_docs):
     texts = {r["doc_id"]: r["text"] or "" for r in common.table(spark, sf, "documents").collect()}
     for r in secrets.op6_secret_scan(spark, sf).collect():

@@ -3,7 +3,8 @@
 Base patterns (kinds assign, access, hex) are found as leftmost matches. The lexer
 then reads source and configuration syntax (name = literal, name: literal, "name":
 literal, name => literal, adjacent or added strings, references to other names)
-into pairs, propagates constants from name to name within a text, and scores each
+into pairs, propagates constants from name to name within a text, over any number of
+assignments, and scores each
 literal by how sensitive the names it reaches are and by how random it looks.
 Literals that score at least THRESHOLD become spans of kind pair. Ends are
 exclusive; places count code points.
@@ -35,7 +36,7 @@ HEX = re.compile(r"[0-9a-f]+")
 IS_HEX = bytes(104 if chr(i) in "0123456789abcdef" else 46 for i in range(256))
 
 OPERATOR = re.compile(r"=>|:=|\+=|(?<![=!<>+*/%&|^:-])=(?![=>~])|:(?![:/=])")
-NAME_BEFORE = re.compile(r"""(?:^|[^\w$.-])(?:["'`]?([A-Za-z_$][\w$.-]{0,127})["'`]?(?:\[["']?([\w.-]{1,64})["']?\])?)[ \t]*$""")
+NAME_CHAR, NAME_START, KEY_CHAR = re.compile(r"[\w$.-]"), re.compile(r"[A-Za-z_$]"), re.compile(r"[\w.-]")
 QUOTED = re.compile(r'''[ \t]*(?:[rbuf]{0,2})("""|\'\'\'|["'`])''', re.I)
 BARE = re.compile(r"""[ \t]*([^\s"'`#;,(){}\[\]<>|]+)""")
 REFERENCE = re.compile(r"[ \t]*(?:\$\{?|process\.env\.|os\.environ\.)?([A-Za-z_$][\w$.]*)\}?[ \t]*(?=[;,)\]}\r\n#]|$)")
@@ -49,7 +50,7 @@ SENSITIVE = {
 #: Name parts that say the literal is about a secret, and isn't one.
 HARMLESS = {"name", "file", "path", "url", "uri", "type", "length", "size", "count", "limit", "max", "min", "id", "policy", "expiry", "expires", "ttl", "field", "label", "hint", "regex", "pattern", "public", "enabled"}
 PLACEHOLDER = re.compile(r"^(?:x{4,}|\*+|\.+|<.*>|\$\{.*\}|\{\{.*\}\}|%.*%|your.*|example.*|change.?me.*|dummy.*|test.*|todo.*|none|null|undefined|true|false|redacted|placeholder.*)$", re.I)
-LEAST_LENGTH, THRESHOLD, MOST_HOPS = 8, 0.9, 8
+LEAST_LENGTH, THRESHOLD = 8, 0.9
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
@@ -102,6 +103,33 @@ def _quoted(text: str, at: int, mark: str) -> tuple[int, str] | None:
     return None
 
 
+def _name_before(text: str, end: int) -> str:
+    """The name that ends before `end`, of any length, with the key in brackets after it; empty if there is none."""
+
+    def back(at: int, one: re.Pattern) -> int:
+        while at and one.match(text[at - 1]):
+            at -= 1
+        return at
+
+    while end and text[end - 1] in " \t":
+        end -= 1
+    key = ""
+    if end and text[end - 1] == "]":
+        close = end - 1 - (end > 1 and text[end - 2] in "\"'")
+        start = back(close, KEY_CHAR)
+        key = text[start:close]
+        end = start - (start > 0 and text[start - 1] in "\"'")
+        if not key or not end or text[end - 1] != "[":
+            return ""
+        end -= 1
+    if end and text[end - 1] in "\"'`":
+        end -= 1
+    start = back(end, NAME_CHAR)
+    if start == end or not NAME_START.match(text[start]):
+        return ""
+    return text[start:end] + ("." + key if key else "")
+
+
 def pairs(text: str) -> list[tuple[str, str, int, int, str | None]]:
     """(name, literal, start, end, None) or (name, "", start, end, reference) of each assignment in text."""
     out = []
@@ -109,11 +137,9 @@ def pairs(text: str) -> list[tuple[str, str, int, int, str | None]]:
     for m in OPERATOR.finditer(text):
         if m.start() < past:
             continue  # inside the literal before
-        line = max(text.rfind("\n", 0, m.start()) + 1, m.start() - 300)
-        name = NAME_BEFORE.search(text[line : m.start()])
-        if not name:
+        target = _name_before(text, m.start())
+        if not target:
             continue
-        target = ".".join(x for x in name.groups() if x)
         if q := QUOTED.match(text, m.end()):
             start = q.end()
             if not (got := _quoted(text, start, q[1])):
@@ -144,23 +170,26 @@ def pair_spans(text: str) -> list[tuple[int, int, int]]:
     if not found:
         return []
     literals = [p for p in found if p[4] is None]
-    # A literal's names: its own, and those that refer to it, through other names too.
-    users: dict[str, set[str]] = {}
+    # How sensitive the names are that a name reaches: its own, and those that refer to it, through other names too.
+    # Told from the most sensitive names back to what they read, so that each name is met once.
+    reads: dict[str, list[str]] = {}
     for target, _, _, _, ref in found:
         if ref is not None:
-            users.setdefault(ref, set()).add(target)
+            reads.setdefault(target, []).append(ref)
+    reached: dict[str, float] = {}
+    scores = {name: name_score(name) for name in {p[0] for p in found}}
+    for name in sorted(scores, key=scores.__getitem__, reverse=True):
+        edge = [name]
+        while edge:
+            if (x := edge.pop()) not in reached:
+                reached[x] = scores[name]
+                edge += reads.get(x, ())
     best: dict[tuple[int, int], float] = {}
     for target, value, start, end, _ in literals:
         looks = literal_score(value)
         if looks == 0:
             continue
-        reach, edge = {target}, {target}
-        for _ in range(MOST_HOPS):
-            edge = set().union(*(users.get(x, set()) for x in edge)) - reach
-            if not edge:
-                break
-            reach |= edge
-        score = max(map(name_score, reach)) + looks / 2 if any(map(name_score, reach)) else 0.0
+        score = reached[target] + looks / 2 if reached[target] else 0.0
         best[start, end] = max(best.get((start, end), 0.0), score)
     return [(start, 3, end) for (start, end), s in best.items() if s >= THRESHOLD + 0.25]
 
