@@ -237,6 +237,14 @@ def test_url_filter(spark, noon):
     assert url_filter.evaluate(frame, entries.limit(0)).where("blocked").count() == 0 == url_filter.evaluate(frame.limit(0), entries).count()
 
 
+def test_deep_prefixes_and_capitals_in_paths(spark, noon):
+    deep = "p.net/" + "/".join(f"d{i}" for i in range(12))
+    entries = spark.createDataFrame([("prefix", deep, "add", noon), ("prefix", "Q.net/Docs/A", "add", noon), ("prefix", "r.net/docs", "add", noon)], "kind string, value string, action string, at timestamp")
+    urls = {f"http://p.net/{deep[6:]}/x": "prefix:" + deep, f"http://p.net/{deep[6:-4]}": None, "http://q.NET/Docs/A/b": "prefix:q.net/Docs/A", "http://q.net/docs/a": None, "http://r.net/Docs": None}
+    captures = spark.createDataFrame([(i, u, noon) for i, u in enumerate(urls)], "page_id long, url string, fetched timestamp")
+    assert {r["url"]: r["first_key"] for r in url_filter.evaluate(captures, entries).collect()} == urls
+
+
 # ---- 5
 
 

@@ -5,9 +5,9 @@ A list is a table of dated entries: (kind, value, action, at), with kind `domain
 beginning, by whole path parts), and action `add` or `remove`. The entries of one
 (kind, value) become validity intervals: from an add to the next entry. A capture
 (url, fetched) is evaluated against the entries active when it was fetched: each
-URL gives its lookup keys (one a host suffix, one the host, one a path part up to
-MOST_PARTS), and an as-of join finds the interval of each key that holds at that
-time. Blocked are captures with any active entry.
+URL gives its lookup keys (one a host suffix, one the host, one a path part), and an as-of join finds the interval of each key that holds at that
+time. Blocked are captures with any active entry. Hosts are compared in lower case,
+paths as they are.
 
 Nulls: a null or unparsable URL, or a null time, has no keys and is never blocked.
 Entries with a null value, action or time don't count; of entries for one key at
@@ -22,8 +22,6 @@ from pyspark.sql import functions as F
 
 from . import common
 
-#: Path parts that prefixes may have.
-MOST_PARTS = 8
 HOST = r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:@]+)"
 PATH = r"^[a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]+(/[^?#]*)"
 
@@ -40,7 +38,7 @@ def keys_of(url: Column) -> Column:
     n = F.size(labels)
     suffixes = F.transform(F.sequence(F.lit(1), F.greatest(n, F.lit(1))), lambda i: F.concat(F.lit("domain:"), F.array_join(F.slice(labels, i, n), ".")))
     parts = F.filter(F.split(F.regexp_extract(url, PATH, 1), "/"), lambda p: p != "")
-    steps = F.least(F.size(parts), F.lit(MOST_PARTS))
+    steps = F.size(parts)
     paths = F.when(steps > 0, F.transform(F.sequence(F.lit(1), F.greatest(steps, F.lit(1))), lambda i: F.concat(F.lit("prefix:"), host, F.lit("/"), F.array_join(F.slice(parts, F.lit(1), i), "/")))).otherwise(F.array().cast("array<string>"))
     return F.when(host.isNotNull(), F.array_union(F.concat(suffixes, F.array(F.concat(F.lit("host:"), host))), paths))
 
@@ -48,7 +46,9 @@ def keys_of(url: Column) -> Column:
 def intervals(entries: DataFrame) -> DataFrame:
     """key, valid_from, valid_to (null while it holds) of a list's entries."""
     good = entries.where("kind is not null and value is not null and action in ('add', 'remove') and at is not null")
-    keyed = good.select(F.concat_ws(":", "kind", F.lower("value")).alias("key"), F.col("at").alias("valid_from"), "action")
+    host = F.lower(F.substring_index("value", "/", 1))
+    value = F.when(F.col("kind") == "prefix", F.concat(host, F.substring("value", F.length(host) + 1, F.length("value")))).otherwise(F.lower("value"))
+    keyed = good.select(F.concat_ws(":", F.col("kind"), value).alias("key"), F.col("at").alias("valid_from"), "action")
     one = keyed.groupBy("key", "valid_from").agg(F.max("action").alias("action"))  # remove sorts after add
     order = Window.partitionBy("key").orderBy("valid_from")
     changed = one.withColumn("before", F.lag("action").over(order)).where("before is null or before <> action")
