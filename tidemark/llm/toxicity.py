@@ -58,7 +58,7 @@ DOTTED = re.compile(rf"{ONE}\1*(?:[.\-_*]+{ONE.replace('(', '(?P<x>', 1)}(?P=x)*
 SUBSTITUTE, REPEAT, INSERT, SPURIOUS = 1.0, 0.7, 0.5, 10.0
 #: The same of a gap between characters spaced apart that ends a word, as about one in five does.
 SPLIT = 2.0
-MOST_CACHED, STRONG = 300_000, 2.5
+MOST_CACHED, MOST_COUNTED, STRONG = 300_000, 100_000, 2.5
 
 
 ASCII_MARKS = "".join(c for c in map(chr, range(128)) if re.fullmatch(MARK, c))
@@ -248,7 +248,7 @@ _kinds = _Kinds()
 def words_of(text: str) -> list[str]:
     """Lower-case tokens, and each run of characters spaced apart with one blank in every gap."""
     tokens = text.lower().split()
-    kinds = "".join(map(_kinds.__getitem__, tokens))
+    kinds = "".join(["." if len(t) > 2 and t[0] != t[1] and t.isalpha() else _kinds[t] for t in tokens])
     if "s" in kinds:
         tokens += [" ".join(x for t in tokens[m.start() : m.end()] if (x := bare(t))) for m in RUN.finditer(kinds)]
     return tokens
@@ -269,6 +269,7 @@ class Scorer:
         self.chars = CharModel(model["chars"])
         self.weights: dict[str, float] = model["weights"]
         self.coefficients = model["coefficients"]
+        self.starts = {f[:5] for f in self.weights if f[0] == "^"}
         self.longest = max((len(f) - 1 for f in self.weights if f[0] == "="), default=0)
         self.known: dict[str, tuple[float, ...]] = {}
 
@@ -287,8 +288,12 @@ class Scorer:
 
     def heaviest(self, word: str) -> float:
         """The largest weight among a word's features, 0 if it has none."""
-        g = self.weights.get
-        return max([g(f, 0.0) for f in word_features(word)], default=0.0)
+        n, g, got = len(word), self.weights.get, 0.0
+        if n > 2:
+            got = g("=" + word, 0.0)
+            if n > 4 and "^" + word[:4] in self.starts:
+                got = max([got, *[g("^" + word[:k], 0.0) for k in (4, 5, 6) if n > k]])
+        return got
 
     def strong_within(self, letters: str) -> tuple[float, ...]:
         """Weights of the strong words in what a run spells, the longest at each place, wherever Viterbi split it."""
@@ -370,7 +375,7 @@ def _char_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         for text in common.strings(b.column(0)):
             seen.update(set(map(words.__getitem__, set(text.lower().split()))))
-        if len(seen) > MOST_CACHED:  # n-grams are far fewer than words
+        if len(seen) > MOST_COUNTED:  # n-grams are far fewer than words
             seen.pop("", None)
             CharModel.count(seen, into)
             seen.clear()
