@@ -82,20 +82,56 @@ def test_links_of_planted_prints(spark):
     assert sorted(map(sorted, mine.values())) == sorted(map(sorted, theirs.values()))
 
 
-@pytest.mark.parametrize("long_", [5, 40, 4096])
-def test_long_lists_lose_no_connection(monkeypatch, long_):
-    monkeypatch.setattr(simhash, "LONG", long_)
+def crowd():
+    """Fingerprints that differ in three bytes at most, so that all are in one entry."""
     rng = np.random.default_rng(1)
     base = rng.integers(0, 1 << 63, 1, dtype=np.uint64)[0]
-    fps = np.unique(np.array([base ^ np.bitwise_or.reduce(np.uint64(1) << rng.choice(24, k, replace=False).astype(np.uint64) + np.uint64(40)) for k in rng.integers(1, 9, 150)]))
-    links = simhash.list_links(fps, (0, 1, 2))
-    assert len(links) < len(fps) and all((int(fps[a]) ^ int(fps[b])).bit_count() <= 3 for a, b in links)
-    of = plain_components(range(len(fps)), [int(x) for x in fps])
+    return np.unique(np.array([base ^ np.bitwise_or.reduce(np.uint64(1) << rng.choice(24, k, replace=False).astype(np.uint64) + np.uint64(40)) for k in rng.integers(1, 9, 150)]))
+
+
+def parted(fps, links):
+    """The classes that links make of fps, and those of all pairs."""
     joined = list(range(len(fps)))
     for a, b in links:
         old, new = max(joined[a], joined[b]), min(joined[a], joined[b])
         joined = [new if x == old else x for x in joined]
-    assert len(set(joined)) == len(set(of))
+    return joined, plain_components(range(len(fps)), [int(x) for x in fps])
+
+
+def test_groups_lose_no_connection():
+    fps = crowd()
+    links = simhash.group_links(fps, np.zeros(len(fps), bool), 64)
+    assert len(links) < len(fps) and all((int(fps[a]) ^ int(fps[b])).bit_count() <= 3 for a, b in links)
+    mine, want = parted(fps, links)
+    assert mine == want
+    right = np.arange(len(fps)) % 3 == 0
+    between = {(a, b) for a in np.flatnonzero(~right) for b in np.flatnonzero(right) if (int(fps[a]) ^ int(fps[b])).bit_count() <= 3}
+    links = simhash.group_links(fps, right, 64)
+    assert set(links) <= between and parted(fps, links)[0] == parted(fps, between)[0]
+
+
+@pytest.mark.parametrize("block", [5, 40, 4096])
+def test_entries_dealt_to_blocks_lose_no_connection(spark, monkeypatch, block):
+    monkeypatch.setattr(simhash, "BLOCK", block)
+    fps = crowd()
+    at = {int(x): k for k, x in enumerate(fps.view(np.int64))}
+    links = [(at[r["a"]], at[r["b"]]) for r in simhash.similar_prints(spark.createDataFrame([(x,) for x in at], "fp long")).collect()]
+    mine, want = parted(fps, links)
+    assert mine == want and all((int(fps[a]) ^ int(fps[b])).bit_count() <= 3 for a, b in links)
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.integers(0, 2**64 - 1), min_size=1, max_size=6), st.lists(st.integers(0, 2**64 - 1), min_size=1, max_size=6))
+def test_tallies_are_sums_over_byte_postings(a, b):
+    x, y = np.array(a, np.uint64), np.array(b, np.uint64)
+    want = np.zeros((len(a), len(b)), int)
+    for p in range(8):
+        for byte in range(256):
+            left = [i for i, f in enumerate(a) if f >> 8 * p & 255 == byte]
+            right = [j for j, f in enumerate(b) if f >> 8 * p & 255 == byte]
+            if left and right:
+                want[np.ix_(left, right)] += 1
+    assert (simhash._tally(simhash._bytes(x)[:, None], simhash._bytes(y)[None]) == want).all()
 
 
 def test_simhash_edges(edge_docs, no_docs):
@@ -147,10 +183,33 @@ def test_shift_keeps_most_chunks():
     assert chunkprint.likeness(chunkprint.chunk_set(text), chunkprint.chunk_set("inserted here " + text)) > 0.95
 
 
+def in_order(rows):
+    """By id, null last; rows of one id by the hash of the text, then the text."""
+    tie = lambda t: 42 if t is None else xxhash.xxh64_intdigest(t.encode(), 42)
+    return sorted(rows, key=lambda r: (r["doc_id"] is None, r["doc_id"] or 0, tie(r["text"]) >> 1, r["text"] or ""))
+
+
+@pytest.mark.parametrize("most", [300, 2000, 1 << 25])
+def test_hot_ids_are_split(spark, monkeypatch, most):
+    monkeypatch.setattr(common, "SLICE_BYTES", most)
+    rows = [(None if i % 3 == 0 else 7 if i % 3 == 1 else i - 200, f"text {i} " + "x" * (i % 50)) for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    ordered = in_order([{"doc_id": d, "text": t} for d, t in rows])
+    got = chunkprint.fingerprints(docs).collect()
+    following = ordered[1:] + ordered[:1]
+    want = Counter((a["doc_id"], hashlib.sha256(chunkprint.edited(a["text"], b["text"]).encode()).hexdigest()) for a, b in zip(ordered, following, strict=True))
+    assert Counter((r["doc_id"], r["edited_sha256"]) for r in got) == want
+    placed, slots = common.ordered_slices(docs, "doc_id", "text")
+    sizes = placed.groupBy("slot").agg(F.sum(F.octet_length("text"))).collect()
+    assert len(sizes) <= slots and all(n < 5 * most for _, n in sizes)
+    got = sorted(map(tuple, packed_ids.encode(docs).collect()), key=lambda r: r[1])
+    assert got == plain_ids([(r["doc_id"], r["text"]) for r in ordered])
+
+
 def test_fingerprint_edges(edge_docs, no_docs):
     got = chunkprint.fingerprints(edge_docs).collect()
     assert Counter(r["doc_id"] for r in got) == Counter(r["doc_id"] for r in edge_docs.collect())
-    ordered = sorted(edge_docs.collect(), key=lambda r: (r["doc_id"] is None, r["doc_id"] or 0, r["text"] is not None, r["text"] or ""))
+    ordered = in_order(edge_docs.collect())
     texts = [r["text"] or "" for r in ordered]
     want = Counter((r["doc_id"], hashlib.sha256(chunkprint.edited(t, n).encode()).hexdigest()) for r, t, n in zip(ordered, texts, texts[1:] + texts[:1], strict=True))
     assert Counter((r["doc_id"], r["edited_sha256"]) for r in got) == want
@@ -564,7 +623,7 @@ def test_packed_ids(spark, sf, monkeypatch):
 
 
 def test_packed_ids_edges(edge_docs, no_docs):
-    ordered = sorted(edge_docs.collect(), key=lambda r: (r["doc_id"] is None, r["doc_id"] or 0, r["text"] is not None, r["text"] or ""))
+    ordered = in_order(edge_docs.collect())
     got = sorted(map(tuple, packed_ids.encode(edge_docs).collect()), key=lambda r: r[1])
     assert got == plain_ids([(r["doc_id"], r["text"]) for r in ordered])
     assert packed_ids.encode(no_docs).count() == 0
@@ -577,6 +636,15 @@ def test_encoder_is_the_tokenizer(text):
     assert np.frombuffer(e.ids(text), "<u4").tolist() == e.tokenizer.encode(text, add_special_tokens=False).ids
 
 
+def test_other_tokenizers_get_whole_texts():
+    from tokenizers import Tokenizer
+
+    path = packed_ids.tokenizer_file("byte_bpe_50k.json")
+    text = "Plain words, Twice  spaced\nand 12 more <|endoftext|> naïve."
+    assert np.frombuffer(packed_ids.Encoder(path).ids(text), "<u4").tolist() == Tokenizer.from_file(path).encode(text, add_special_tokens=False).ids
+    assert _encoder().chunked and not packed_ids.Encoder(path).chunked
+
+
 def _encoder(held=[]):  # noqa: B006
     if not held:
         held.append(packed_ids.Encoder(packed_ids.tokenizer_file()))

@@ -10,7 +10,9 @@ of two is the length of shared chunks over the lesser of the two total lengths
 
 Nulls: a null text is empty and has an empty fingerprint. Two empty ones have
 likeness 1, an empty and another one 0. Null ids come last in order; rows that tie
-in doc_id stand in text order. One document is its own next. An empty table gives
+in doc_id stand in the order of a hash of their texts, then of the texts, and repeated
+rows each give a row. Texts of any length are cut whole, in batches of a few MB. Other
+columns, whatever their names, are passed by. One document is its own next. An empty table gives
 no rows.
 """
 

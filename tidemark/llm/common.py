@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from pathlib import Path
 
 import numpy as np
@@ -13,8 +13,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: UTF-8 bytes of text that one ordered slice should hold, and the most slices.
-SLICE_BYTES, MOST_SLICES = 32 << 20, 20_000
+#: UTF-8 bytes of text that one ordered slice should hold; from MOST_SLICES slices on (3 TB) slices grow, since a shuffle has so many tasks at most. Slices are streamed, so that their size doesn't set the memory.
+SLICE_BYTES, MOST_SLICES = 32 << 20, 100_000
+#: Quantiles of the ids, and equal steps between two of them, by which bytes are counted to cut slices.
+QUANTILES, STEPS = 1000, 128
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -36,9 +38,12 @@ def prepare(spark: SparkSession) -> None:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that the cluster names in spark.checkpoint.dir; a temporary one only if that is unset, as in tests."""
+    """The folder that the cluster names in spark.checkpoint.dir; a temporary one only if that is unset and all runs in one process, as in tests."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not named:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         named = getattr(spark.sparkContext, "_tidemark_shared", None)
         if not named:
             named = spark.sparkContext._tidemark_shared = tempfile.mkdtemp(prefix="tidemark-")
@@ -48,7 +53,28 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A new folder's name in the shared folder; remove() takes such folders away."""
+    path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _made(spark).append(path)
+    return path
+
+
+def _made(spark: SparkSession) -> list[str]:
+    sc = spark.sparkContext
+    if not hasattr(sc, "_tidemark_made"):
+        sc._tidemark_made = []
+    return sc._tidemark_made
+
+
+def remove(spark: SparkSession, but: Iterable[str] = ()) -> None:
+    """Deletes all that this session has made in the shared folder, but the given paths. Frames that read it are of no use afterwards."""
+    made, stay = _made(spark), set(but)
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for path in made:
+        if path not in stay:
+            where = jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(conf).delete(where, True)
+    made[:] = [p for p in made if p in stay]
 
 
 def cut(df: DataFrame) -> DataFrame:
@@ -117,63 +143,100 @@ def small_batches(batches: Iterator[pa.RecordBatch], column: str, most: int = 8
         yield b.slice(at)
 
 
+def tie_order(text: Column | str) -> Column:
+    """What rows of one id are ordered by, before their texts: a hash of the text, 0 or greater, by which a hot id can be split."""
+    return F.shiftrightunsigned(F.xxhash64(text), 1)
+
+
+class _Cuts:
+    """Where slices begin: ids fall to fine ranges by `edges`, a range to a slice, or by the hash to one of several slices."""
+
+    def __init__(self, edges: list[int], end: int):
+        self.edges, self.ends = np.array(edges, np.int64), np.array([*edges[1:], end], np.int64)
+        self.first = self.parts = np.zeros(0, np.int32)
+
+    @property
+    def of_null(self) -> int:
+        return len(self.edges) * STEPS
+
+    def fine(self, ids) -> np.ndarray:
+        none = ids.isna().to_numpy()
+        own = ids.fillna(0).to_numpy().astype(np.int64)
+        k = np.maximum(np.searchsorted(self.edges, own, side="right") - 1, 0)
+        wide = (self.ends[k].astype(np.float64) - self.edges[k]).clip(1)
+        step = ((own.astype(np.float64) - self.edges[k]) / wide * STEPS).clip(0, STEPS - 1).astype(np.int64)
+        return np.where(none, self.of_null, k * STEPS + step)
+
+    def slot(self, ids, ties) -> np.ndarray:
+        f = self.fine(ids)
+        parts = self.parts[f]
+        return self.first[f] + np.minimum((ties.to_numpy().astype(np.float64) / 2.0**63 * parts).astype(np.int64), parts - 1)
+
+
 def ordered_slices(docs: DataFrame, id_col: str, text_col: str, with_next: bool = False) -> tuple[DataFrame, int]:
-    """Deals docs to slices of consecutive ids; slice k is partition k, sorted by id, then text.
+    """Deals docs to slices of consecutive ids of about SLICE_BYTES of text; slice k is partition k, sorted by id, then tie_order(), then text.
 
     Adds `slot` (the slice) and `lead` (false, or true for copies of the row that
-    follows the slice's last one, made if with_next is set: the first id of the
-    next slice that has rows, and after the last slice the first id of all). Null
-    ids come last. Only slice bounds, at most MOST_SLICES, reach the driver.
+    follows the slice's last one, made if with_next is set: the first row of the
+    next slice that has rows, and after the last slice the first of all). Null
+    ids come last. An id (or no id) with more text than a slice should hold is split
+    by tie_order(). To the driver go counts of at most QUANTILES * STEPS ranges of
+    ids, and one row a slice.
     """
+    import pandas as pd
+
     spark = docs.sparkSession
-    total, low = docs.agg(F.coalesce(F.sum(F.octet_length(text_col)), F.lit(0)), F.min(id_col)).first()
-    n = int(min(MOST_SLICES, max(1, -(-total // SLICE_BYTES))))
-    bounds: list[int] = []
-    if n > 1:
-        at = [i / n for i in range(1, n)]
-        found = docs.agg(F.percentile_approx(id_col, F.lit(at), F.lit(10 * n))).first()[0]
-        bounds = sorted({b for b in found or [] if b > low})
-    cuts = np.array(bounds, dtype=np.int64)
-    slots = len(bounds) + 2  # the last takes null ids
-
-    spread = F.pandas_udf(lambda ids: _slot(ids, cuts, slots), "int")
-    out = docs.withColumn("slot", spread(F.col(id_col).cast("long")) if bounds else F.when(F.col(id_col).isNull(), slots - 1).otherwise(0))
+    docs = docs.withColumn("tie", tie_order(text_col))
+    at = [i / QUANTILES for i in range(QUANTILES)]
+    low, high, found = docs.agg(F.min(id_col), F.max(id_col), F.percentile_approx(id_col, F.lit(at), F.lit(10 * QUANTILES))).first()
+    cuts = _Cuts(sorted({low or 0, *(found or [])}), (high or 0) + 1 if (high or 0) < (1 << 63) - 1 else (1 << 63) - 1)
+    fine = F.pandas_udf(lambda ids: pd.Series(cuts.fine(ids).astype(np.int32)), "int")
+    sizes = docs.groupBy(fine(F.col(id_col).cast("long")).alias("f")).agg(F.sum(F.coalesce(F.octet_length(text_col), F.lit(0))).alias("n"), F.min(F.struct(id_col, "tie")).alias("head"), (F.min(id_col).eqNullSafe(F.max(id_col))).alias("one")).collect()
+    sizes.sort(key=lambda r: r["f"])
+    most = max(SLICE_BYTES, sum(r["n"] for r in sizes) // MOST_SLICES)
+    first, parts = np.zeros(cuts.of_null + 1, np.int32), np.ones(cuts.of_null + 1, np.int32)
+    slots, held, heads, hot = 0, None, [], []
+    for r in sizes:
+        several = r["one"] and r["n"] > 2 * most
+        if held is None or several or held + r["n"] > most:
+            slots += 1
+            held = 0
+            if not several:
+                heads.append((slots - 1, tuple(r["head"])))
+        first[r["f"]] = slots - 1
+        held += r["n"]
+        if several:
+            parts[r["f"]] = -(-r["n"] // most)
+            slots += int(parts[r["f"]]) - 1
+            hot.append(r["head"][0])
+            held = None
+    slots = max(slots, 1)
+    cuts.first, cuts.parts = first, parts
+
+    place = F.pandas_udf(lambda ids, ties: pd.Series(cuts.slot(ids, ties).astype(np.int32)), "int")
+    out = docs.withColumn("slot", place(F.col(id_col).cast("long"), F.col("tie")) if slots > 1 else F.lit(0))
     if with_next:
-        # The first id of each slice; one row a slice.
-        first = {r[0]: r[1] for r in out.groupBy("slot").agg(F.min(id_col)).collect()}
-        full = sorted(first)
-        copies = [(first[k], full[i - 1]) for i, k in enumerate(full)]
-        heads = np.array(sorted((i, slot) for i, slot in copies if i is not None), dtype=np.int64).reshape(-1, 2)
-        of_null = next((slot for i, slot in copies if i is None), -1)
-        to = F.nullif(F.pandas_udf(lambda ids: _copied_to(ids, heads, of_null), "int")(F.col(id_col).cast("long")), F.lit(-1))
+        if hot:  # the parts of hot ids: one row each
+            of_hot = F.col(id_col).isin([h for h in hot if h is not None]) | (F.col(id_col).isNull() if None in hot else F.lit(False))
+            heads += [(r[0], tuple(r[1])) for r in out.where(of_hot).groupBy("slot").agg(F.min(F.struct(id_col, "tie"))).collect()]
+        heads.sort(key=lambda h: h[0])
+        copied = {key: heads[i - 1][0] for i, (_, key) in enumerate(heads)}
+        known = np.array(sorted({d for d, _ in copied if d is not None}), np.int64)
+        to = F.nullif(F.pandas_udf(lambda ids, ties: pd.Series(_copied_to(ids, ties, copied, known)), "int")(F.col(id_col).cast("long"), F.col("tie")), F.lit(-1))
         both = F.array(F.struct("slot", F.lit(False).alias("lead")), F.struct(to.alias("slot"), F.lit(True).alias("lead")))
         out = out.withColumn("_at", F.explode(F.filter(both, lambda x: x["slot"].isNotNull())))
         out = out.withColumn("slot", F.col("_at.slot")).withColumn("lead", F.col("_at.lead")).drop("_at")
     else:
         out = out.withColumn("lead", F.lit(False))
-    keys = ["slot", "lead", F.col(id_col).asc_nulls_last(), F.col(text_col)]
+    keys = ["slot", "lead", F.col(id_col).asc_nulls_last(), "tie", F.col(text_col)]
     return out.repartitionById(slots, F.col("slot")).sortWithinPartitions(*keys), slots
 
 
-def _slot(ids, cuts: np.ndarray, slots: int):
-    import pandas as pd
-
-    none = ids.isna()
-    at = np.searchsorted(cuts, ids.fillna(0).to_numpy().astype(np.int64), side="right")
-    return pd.Series(np.where(none, slots - 1, at).astype(np.int32))
-
-
-
-
-def _copied_to(ids, heads: np.ndarray, of_null: int):
-    """The slot that gets a copy of each row: that before the slice which begins with its id; -1 for none."""
-    import pandas as pd
-
-    none = ids.isna()
-    own = ids.fillna(0).to_numpy().astype(np.int64)
-    if len(heads):
-        at = np.minimum(np.searchsorted(heads[:, 0], own), len(heads) - 1)
-        to = np.where(heads[at, 0] == own, heads[at, 1], -1)
-    else:
-        to = np.full(len(own), -1)
-    return pd.Series(np.where(none, of_null, to).astype(np.int32))
+def _copied_to(ids, ties, copied: dict[tuple[int | None, int], int], known: np.ndarray) -> np.ndarray:
+    """The slot that gets a copy of each row: that before the slice which begins with its id and tie; -1 for none."""
+    none = ids.isna().to_numpy()
+    own, ties = ids.fillna(0).to_numpy().astype(np.int64), ties.to_numpy()
+    out = np.full(len(own), -1, np.int32)
+    for i in np.flatnonzero(none | np.isin(own, known)):
+        out[i] = copied.get((None if none[i] else int(own[i]), int(ties[i])), -1)
+    return out

@@ -8,13 +8,15 @@ exceptions, kept as (place, value) beside the block. The block index has each
 block's minimum, width, number of exceptions and starts, so any block can be read
 alone.
 
-Nulls: a null text is empty (one end id); null ids come last, ties in doc_id
-stand in text order, repeated rows each have their own entry. An empty table
-gives no rows.
+Nulls: a null text is empty (one end id); null ids come last. Rows that tie in
+doc_id stand in the order of a hash of their texts, then of the texts; repeated rows
+each have their own entry. Texts of any length are encoded whole, in batches of a few
+MB. Other columns, whatever their names, are passed by. An empty table gives no rows.
 """
 
 from __future__ import annotations
 
+import json
 import re
 import struct
 import sys
@@ -150,7 +152,9 @@ def read_block(payload: bytes, k: int) -> np.ndarray:
 
 # ---- tokens
 
-#: The tokenizer file's own split pattern, for ASCII without white space.
+#: The parts of a tokenizer file by which texts may be encoded chunk by chunk, and their split pattern for ASCII without white space.
+NORMALIZER = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]}
+SPLITTER = {"type": "Sequence", "pretokenizers": [{"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed", "invert": True}, {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]}
 PIECE = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
 MOST_CACHED = 250_000
 
@@ -158,9 +162,10 @@ MOST_CACHED = 250_000
 class Encoder(dict):
     """The tokenizer's ids of whole texts, as little-endian unsigned 32-bit integers.
 
-    Its normaliser and splitter never join what a space or line feed separates, so
-    ids are kept by chunk between them. Plain ASCII chunks go straight to the
-    tokenizer's model, others through the whole tokenizer.
+    A tokenizer with NORMALIZER and SPLITTER never joins what a space or line feed
+    separates, so its ids are kept by chunk between them. Plain ASCII chunks go
+    straight to the tokenizer's model, others through the whole tokenizer. Any other
+    tokenizer gets whole texts.
     """
 
     def __init__(self, path: str):
@@ -169,6 +174,8 @@ class Encoder(dict):
         super().__init__({"": b""})
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
+        own = json.loads(self.tokenizer.to_str())
+        self.chunked = own["normalizer"] == NORMALIZER and own["pre_tokenizer"] == SPLITTER and all("<|" in t["content"] for t in own["added_tokens"])
         self.older: dict[str, bytes] = {}
         self.pieces: dict[str, bytes] = {}
 
@@ -192,6 +199,8 @@ class Encoder(dict):
         return got
 
     def ids(self, text: str) -> bytes:
+        if not self.chunked:
+            return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
         if len(self) > MOST_CACHED:
             self.older = dict(self)
             self.clear()
@@ -218,7 +227,7 @@ def _parts(batches: Iterable[pa.RecordBatch], path: str, end_id: int, schema: pa
         payload = write_part(docs, np.frombuffer(b"".join(ids), "<u4"))
         return pa.RecordBatch.from_pylist([{"shard": slot, "part": part, "start": start, "n_ids": held, "n_docs": len(docs), "payload": payload}], schema)
 
-    for batch in batches:
+    for batch in common.small_batches(batches, "text"):
         for k, d, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), common.strings(batch.column(2)), strict=True):
             if docs and (k != slot or held >= PART_IDS):
                 yield flush()

@@ -1,21 +1,27 @@
 """SimHash near duplicates by a byte-position inverted index with count filtering.
 
 Fingerprints of 64 bits that differ in at most DISTANCE = 3 bits differ in at most
-three of their eight bytes, so at least MATCHES = 5 bytes are equal in place. The
-index lists fingerprints under (set of byte positions, bytes there). Its sets are
-all triples inside either half of the eight positions: five equal positions put
-three or more in one half, so every linked pair meets in a list. In a list the
-equal positional bytes of each pair are tallied, pairs with fewer than MATCHES go,
-and the rest are verified bit by bit. Each list gives a spanning forest of its
-links, never all pairs, so output is linear in its length and no connection is
-lost. A list beyond LONG is dealt again by two more of the other positions (five
-in all), and a list still beyond it is probed: the three free bytes hold at most
-2**24 fingerprints, and each looks up all neighbours within DISTANCE.
+three of their eight bytes, so a linked pair shares at least MATCHES = 5 positional
+bytes. Postings of single bytes hold 1/256 of all fingerprints each, and pairs out
+of them grow with the square of the corpus; so the index is entered by three byte
+positions at once. Its entries are all triples inside either half of the eight
+positions: five equal positions put three or more in one half, so every linked pair
+meets in an entry. Under an entry each of the other five positions has postings by
+its byte; a pair's tally is three and the number of those postings that both are in.
+Pairs with a tally under MATCHES go, the rest are verified bit by bit.
+
+An entry of more than BLOCK fingerprints is dealt by a hash to blocks, and every two
+of its blocks (and each with itself) meet in a group of their own, so that no task
+holds an entry whole. A group of over FEW gives a spanning forest of its links, never
+all pairs; no connection is lost.
 
 Nulls: a null or empty text has no words and fingerprint zero, and is linked like
 any other. Null ids are not ids: they link, but component_id is the smallest id
-that is not null (null if there is none). Repeated rows each give a row. An empty
-table gives no rows.
+that is not null (null if there is none). Ties: rows that are alike in id and text
+hash are told apart by a hash of the whole row where one of them has to stay.
+Repeated rows each give a row. Texts of any length are hashed whole, in batches of a
+few MB. Other columns, whatever their names, are passed by. An empty table gives no
+rows.
 """
 
 from __future__ import annotations
@@ -31,7 +37,9 @@ from xxhash import xxh64_intdigest
 
 from . import common
 
-SEED, SHINGLE, DISTANCE, MATCHES, LONG = 42, 3, 3, 5, 4096
+SEED, SHINGLE, DISTANCE, MATCHES = 42, 3, 3, 5
+#: Fingerprints of one entry that are compared with one another at once; groups up to FEW by neighbours, all groups at once.
+BLOCK, FEW = 4096, 16
 TRIPLES = [*combinations(range(4), 3), *combinations(range(4, 8), 3)]
 LANES = np.uint64(0x0101010101010101)
 
@@ -67,7 +75,7 @@ def fingerprint(text: str | None) -> int:
 
 
 def _prints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
+    for b in common.small_batches(batches, "text"):
         prints = np.array([fingerprint(t) for t in b.column(1).to_pylist()], np.uint64).view(np.int64)
         yield pa.RecordBatch.from_arrays([b.column(0), pa.array(prints), b.column(2)], names=["doc_id", "fp", "text_hash"])
 
@@ -82,17 +90,20 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 # ---- links
 
 
-def _linked(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Count filter, then verification, of pairs of fingerprints."""
-    diff = a ^ b
-    equal = np.zeros(diff.shape, np.uint8)
-    for i in range(8):
-        equal += ((diff >> np.uint64(8 * i)) & np.uint64(255)) == 0
-    return (equal >= MATCHES) & (np.bitwise_count(diff) <= DISTANCE)
+def _tally(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """How many positional bytes each of a shares with each of b (both rows of eight bytes)."""
+    out = np.zeros(np.broadcast_shapes(a.shape[:-1], b.shape[:-1]), np.uint8)
+    for p in range(8):
+        out += a[..., p] == b[..., p]
+    return out
+
+
+def _bytes(fps: np.ndarray) -> np.ndarray:
+    return np.ascontiguousarray(fps).view(np.uint8).reshape(-1, 8)
 
 
 class _Forest:
-    """Union-find over places in one list; keeps the links that joined something."""
+    """Union-find over places in one group; keeps the links that joined something."""
 
     def __init__(self, n: int):
         self.of = list(range(n))
@@ -110,98 +121,71 @@ class _Forest:
             self.links.append((a, b))
 
 
-def _masks() -> np.ndarray:
-    one = [np.uint64(1) << np.uint64(i) for i in range(24)]
-    return np.array([np.bitwise_or.reduce(np.array(c)) for k in (1, 2, 3) for c in combinations(one, k)], np.uint64)
-
-
-def _probe(fps: np.ndarray, places: np.ndarray, free: list[int], forest: _Forest) -> None:
-    """Links of fingerprints that are equal but in the three free bytes: each looks up all its neighbours."""
-    code = np.zeros(len(fps), np.uint64)
-    for k, p in enumerate(free):
-        code |= ((fps >> np.uint64(8 * p)) & np.uint64(255)) << np.uint64(8 * k)
-    order = np.argsort(code)
-    code, places = code[order], places[order]
-    for mask in _masks():
-        there = np.searchsorted(code, code ^ mask)
-        there[there == len(code)] = 0
-        hit = np.flatnonzero((code[there] == code ^ mask) & (places < places[there]))
-        for i in hit:
-            forest.join(int(places[i]), int(places[there[i]]))
-
-
-def _compare(fps: np.ndarray, places: np.ndarray, forest: _Forest, block: int = 1024) -> None:
-    for i in range(0, len(fps), block):
-        for j in range(i, len(fps), block):
-            x, y = np.nonzero(_linked(fps[i : i + block, None], fps[None, j : j + block]))
-            for a, b in zip(places[i + x].tolist(), places[j + y].tolist(), strict=True):
-                if a < b or (i != j and a != b):
-                    forest.join(a, b)
-
-
-def list_links(fps: np.ndarray, positions: tuple[int, ...]) -> list[tuple[int, int]]:
-    """A spanning forest, as places, of the links among distinct fingerprints that are equal at positions."""
+def group_links(fps: np.ndarray, right: np.ndarray, step: int = 1024) -> list[tuple[int, int]]:
+    """A spanning forest, as places, of the links of a group: among all, or, if some are right, between those and the rest."""
     forest = _Forest(len(fps))
-    everyone = np.arange(len(fps))
-    if len(fps) <= LONG:
-        _compare(fps, everyone, forest)
-        return forest.links
-    others = [p for p in range(8) if p not in positions]
-    for more in combinations(others, MATCHES - len(positions)):
-        key = sum(((fps >> np.uint64(8 * p)) & np.uint64(255)) << np.uint64(8 * k) for k, p in enumerate(more))
-        order = np.argsort(key, kind="stable")
-        cuts = np.flatnonzero(np.diff(key[order])) + 1
-        for group in np.split(order, cuts):
-            if len(group) > LONG:
-                _probe(fps[group], group, [p for p in others if p not in more], forest)
-            elif len(group) > 1:
-                _compare(fps[group], group, forest)
+    two = bool(right.any())
+    lefts, rights = (np.flatnonzero(~right), np.flatnonzero(right)) if two else (np.arange(len(fps)),) * 2
+    parts = _bytes(fps)
+    for i in range(0, len(lefts), step):
+        a = lefts[i : i + step]
+        for j in range(0 if two else i, len(rights), step):
+            b = rights[j : j + step]
+            x, y = np.nonzero(_tally(parts[a][:, None], parts[b][None]) >= MATCHES)
+            x, y = a[x], b[y]
+            near = (x != y) & (np.bitwise_count(fps[x] ^ fps[y]) <= DISTANCE)
+            for u, v in zip(x[near].tolist(), y[near].tolist(), strict=True):
+                forest.join(u, v)
     return forest.links
 
 
-def _lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Links of each list; batches are sorted by key, and a list may span some."""
-    left_key, left_fp = np.zeros(0, np.int64), np.zeros(0, np.uint64)
+def _few_links(group: np.ndarray, fps: np.ndarray, right: np.ndarray, few: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """All links of groups of up to FEW: neighbours at each offset, all groups at once."""
+    parts = _bytes(fps)
+    for d in range(1, min(FEW, len(group))):
+        at = np.flatnonzero((group[d:] == group[:-d]) & few[d:])
+        at = at[_tally(parts[at], parts[at + d]) >= MATCHES]
+        yield fps[at], fps[at + d]
 
-    def links(key: np.ndarray, fp: np.ndarray) -> pa.RecordBatch:
-        cuts = np.flatnonzero(np.diff(key)) + 1
-        starts, ends = np.concatenate([[0], cuts]), np.concatenate([cuts, [len(key)]])
+
+def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links of each group (entry, i, j); batches are sorted by group, and a group may span some."""
+
+    def links(group: np.ndarray, fps: np.ndarray, right: np.ndarray) -> pa.RecordBatch:
+        cuts = np.flatnonzero(np.diff(group)) + 1
+        starts, ends = np.concatenate([[0], cuts]), np.concatenate([cuts, [len(group)]])
         n = ends - starts
-        a, b = [], []
-        # Lists of few: neighbours at each offset, all lists at once.
-        few = np.repeat(n <= 16, n)
-        for d in range(1, 16):
-            if d >= len(key):
-                break
-            at = np.flatnonzero((key[d:] == key[:-d]) & few[d:])
-            at = at[_linked(fp[at], fp[at + d])]
-            a.append(fp[at])
-            b.append(fp[at + d])
-        for k in np.flatnonzero(n > 16):
-            own = fp[starts[k] : ends[k]]
-            found = np.array(list_links(own, TRIPLES[int(key[starts[k]]) >> 24]), np.int64).reshape(-1, 2)
-            a.append(own[found[:, 0]])
-            b.append(own[found[:, 1]])
-        a, b = np.concatenate(a or [fp[:0]]).view(np.int64), np.concatenate(b or [fp[:0]]).view(np.int64)
+        found = list(_few_links(group, fps, right, np.repeat(n <= FEW, n)))
+        for k in np.flatnonzero(n > FEW):
+            own = fps[starts[k] : ends[k]]
+            at = np.array(group_links(own, right[starts[k] : ends[k]]), np.int64).reshape(-1, 2)
+            found.append((own[at[:, 0]], own[at[:, 1]]))
+        near = [(a, b) for a, b in ((a, b) for a, b in found) if len(a)]
+        a, b = (np.concatenate([x[i] for x in near] or [fps[:0]]) for i in (0, 1))
+        keep = np.bitwise_count(a ^ b) <= DISTANCE
+        a, b = a[keep].view(np.int64), b[keep].view(np.int64)
         return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
 
-    held: list[tuple[np.ndarray, np.ndarray]] = []
+    held: list[tuple[np.ndarray, ...]] = []  # columns, and after them each row's group
+    ahead, last = 0, None
     for batch in batches:
-        key, fp = batch.column(0).to_numpy(), batch.column(1).to_numpy().view(np.uint64)
-        if not len(key):
-            continue
-        if held and held[-1][0][-1] == key[-1]:
-            held.append((key, fp))
+        if not batch.num_rows:
             continue
-        last = int(np.searchsorted(key, key[-1]))
-        held.append((key[:last], fp[:last]))
-        left_key, left_fp = (np.concatenate(x) for x in zip(*held, strict=True))
-        if len(left_key):
-            yield links(left_key, left_fp)
-        held = [(key[last:], fp[last:])]
+        entry, i, j, right, fps = (batch.column(k).to_numpy(zero_copy_only=False) for k in range(5))
+        fresh = np.ones(len(entry), bool)
+        fresh[1:] = (entry[1:] != entry[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])
+        fresh[0] = (entry[0], i[0], j[0]) != last
+        group = ahead + np.cumsum(fresh)
+        ahead, last = int(group[-1]), (entry[-1], i[-1], j[-1])
+        held.append((group, fps.view(np.uint64), right))
+        cut = int(np.searchsorted(group, group[-1]))
+        if cut:  # what came before the last group is whole
+            whole = [np.concatenate(x) for x in zip(*held, strict=True)]
+            keep = int(np.searchsorted(whole[0], group[-1]))
+            yield links(*(x[:keep] for x in whole))
+            held = [tuple(x[keep:] for x in whole)]
     if held:
-        left_key, left_fp = (np.concatenate(x) for x in zip(*held, strict=True))
-        yield links(left_key, left_fp)
+        yield links(*(np.concatenate(x) for x in zip(*held, strict=True)))
 
 
 def similar_prints(nodes: DataFrame) -> DataFrame:
@@ -212,8 +196,13 @@ def similar_prints(nodes: DataFrame) -> DataFrame:
         for j, p in enumerate(positions):
             key = key.bitwiseOR(F.shiftleft(F.shiftright(F.col("fp"), 8 * p).bitwiseAND(255), 8 * (2 - j)))
         keys.append(key)
-    postings = nodes.select(F.explode(F.array(*keys)).alias("key"), "fp")
-    return postings.repartition("key").sortWithinPartitions("key").mapInArrow(_lists, "a long, b long").distinct()
+    postings = nodes.select(F.explode(F.array(*keys)).alias("entry"), "fp")
+    large = common.kept(postings.groupBy("entry").count().where(F.col("count") > BLOCK), "entries")
+    blocks = F.coalesce(F.ceil(F.col("count") / BLOCK), F.lit(1))
+    own = F.pmod(F.xxhash64("fp"), F.col("_n")).cast("int")
+    dealt = postings.join(large, "entry", "left").withColumn("_n", blocks).withColumn("_own", own).withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_n").cast("int") - 1)))
+    meet = dealt.select("entry", F.least("_own", "_other").alias("i"), F.greatest("_own", "_other").alias("j"), (F.col("_own") > F.col("_other")).alias("right"), "fp")
+    return meet.repartition("entry", "i", "j").sortWithinPartitions("entry", "i", "j").mapInArrow(_groups, "a long, b long").distinct()
 
 
 # ---- components
@@ -231,7 +220,8 @@ def components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
         both = edges.select(F.col("a").alias("x"), F.col("b").alias("y")).union(edges.select(F.col("b"), F.col("a")))
         # Large star: greater neighbours go to the smallest one.
         low = both.groupBy("x").agg(F.least(F.min("y"), F.col("x")).alias("m"))
-        large = both.where("y > x").join(low, "x").select(F.col("y").alias("b"), F.col("m").alias("a"))
+        # Distinct before the next join, so that what a dense cluster says again and again of one node is said once.
+        large = both.where("y > x").join(low, "x").select(F.col("y").alias("b"), F.col("m").alias("a")).distinct()
         # Small star: smaller neighbours and the node itself go to the smallest one.
         least = large.groupBy("b").agg(F.min("a").alias("m"))
         small = large.join(least, "b").select(F.explode(F.array(F.struct("b", F.col("m").alias("a")), F.struct(F.col("a").alias("b"), F.col("m").alias("a")))).alias("e"))
