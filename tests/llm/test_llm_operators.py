@@ -268,6 +268,30 @@ def test_mix_edges(edge_docs, no_docs, edge_labels):
     assert mixing.mix(no_docs, edge_labels).count() == 0 == mixing.apply(no_docs).count()
 
 
+def plain_mix(docs, quality):
+    """Efraimidis-Spirakis, one source at a time: whole passes, then documents in the order of their keys."""
+    size = {i: len(WORD.findall(t or "")) for i, t, _ in docs}
+    sizes = Counter()
+    for i, _, s in docs:
+        sizes[s] += size[i]
+    taken = {}
+    for s, target in plain_targets(sizes).items():
+        draw = lambda i: (int(hashlib.md5(f"mix{i}".encode()).hexdigest()[:13], 16) + 0.5) / 2**52
+        weight = lambda i: {None: 1.0, 0: 0.5}.get(quality.get(i), 2.0)
+        whole = target // sizes[s] if sizes[s] else 0
+        ahead = 0
+        for i in sorted((i for i, _, own in docs if own == s), key=lambda i: (-np.log(draw(i)) / weight(i), i)):
+            taken[i] = int(min(2, whole + (ahead + size[i] / 2 <= target - whole * sizes[s]))) * size[i]
+            ahead += size[i]
+    return taken
+
+
+def test_mix_is_a_plain_pass_by_key(spark, sf):
+    docs = [(r["doc_id"], r["text"], r["source"]) for r in common.table(spark, sf, "documents").collect()]
+    quality = {r["doc_id"]: r["quality"] for r in common.table(spark, sf, "labels").collect()}
+    assert {r["doc_id"]: r["taken"] for r in mixing.op3_source_mix(spark, sf).collect()} == plain_mix(docs, quality)
+
+
 def test_better_labels_are_taken_first(spark):
     docs = spark.createDataFrame([(i, "a b c d", "x" if i < 600 else "y") for i in range(900)], "doc_id long, text string, source string")
     labels = spark.createDataFrame([(i, int(i % 2)) for i in range(900)], "doc_id long, quality int")
@@ -296,6 +320,31 @@ def test_url_filter(spark, noon):
     assert url_filter.evaluate(frame, entries.limit(0)).where("blocked").count() == 0 == url_filter.evaluate(frame.limit(0), entries).count()
 
 
+@pytest.mark.parametrize("lookups", [2, 1 << 20])
+def test_as_of_is_a_search_of_all_intervals(spark, monkeypatch, noon, lookups):
+    monkeypatch.setattr(url_filter, "LOOKUPS", lookups)
+    rng = random.Random(8)
+    day = lambda d: noon.replace(day=1 + d)
+    hosts = ["a.com", "b.a.com", "c.org", "[2001:db8::1]", "d.c.org"]
+    entries = [(rng.choice(["domain", "host"]), rng.choice([*hosts, "com"]), rng.choice(["add", "remove"]), day(rng.randrange(25))) for _ in range(60)]
+    captures = [(i, rng.choice(["http://", "HTTPS://u@"]) + rng.choice(hosts).upper() + rng.choice([":80/x", "/", ""]), day(rng.randrange(28))) for i in range(120)]
+
+    def holds(kind, value, at):
+        own = sorted((t, a) for k, v, a, t in entries if (k, v) == (kind, value) and t <= at)
+        return bool(own) and own[-1][1] == "add"
+
+    want = {}
+    for i, url, at in captures:
+        host = url.split("://")[1].split("@")[-1].split("/")[0].lower().removesuffix(":80")
+        labels = host.split(".")
+        keys = [("domain", ".".join(labels[k:])) for k in range(len(labels))] + [("host", host)]
+        want[i] = sorted(f"{k}:{v}" for k, v in keys if holds(k, v, at))
+    frame = spark.createDataFrame(captures, "page_id long, url string, fetched timestamp")
+    got = url_filter.evaluate(frame, spark.createDataFrame(entries, "kind string, value string, action string, at timestamp")).collect()
+    assert {r["page_id"]: (r["n_active"], r["first_key"]) for r in got} == {i: (len(k), k[0] if k else None) for i, k in want.items()}
+    assert 0 < sum(r["blocked"] for r in got) < len(captures)
+
+
 def test_deep_prefixes_and_capitals_in_paths(spark, noon):
     deep = "p.net/" + "/".join(f"d{i}" for i in range(12))
     entries = spark.createDataFrame([("prefix", deep, "add", noon), ("prefix", "Q.net/Docs/A", "add", noon), ("prefix", "r.net/docs", "add", noon)], "kind string, value string, action string, at timestamp")

@@ -28,4 +28,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_url_filter": url_filter.OP4_SQL}
+    return {"op3_source_mix": mixing.OP3_SQL, "op4_url_filter": url_filter.OP4_SQL}

@@ -5,14 +5,20 @@ A list is a table of dated entries: (kind, value, action, at), with kind `domain
 beginning, by whole path parts), and action `add` or `remove`. The entries of one
 (kind, value) become validity intervals: from an add to the next entry. A capture
 (url, fetched) is evaluated against the entries active when it was fetched: each
-URL gives its lookup keys (one a host suffix, one the host, one a path part), and an as-of join finds the interval of each key that holds at that
-time. Blocked are captures with any active entry. Hosts are compared in lower case,
-paths as they are.
+URL gives its lookup keys (one a host suffix, one the host, one a path part), and an
+as-of join finds the last interval of each key that began by then, which holds if it
+hasn't ended. The join is a union of lookups and intervals, in one window by key and
+time: a capture meets one interval of a key, however many the key has. A key with
+more than LOOKUPS lookups is dealt to several windows by a hash, its intervals going to each; if the list
+doesn't have it, its lookups are left out before. Blocked are captures with any
+active entry. Hosts are compared in lower case, paths as they are.
 
 Nulls: a null or unparsable URL, or a null time, has no keys and is never blocked.
 Entries with a null value, action or time don't count; of entries for one key at
-one time, a remove wins; a repeated add is no new interval. Repeated captures each
-give a row, null ids too. An empty list blocks nothing.
+one time, a remove wins; a repeated add is no new interval. An entry holds from its
+very time on. Repeated captures each give a row, null ids too. URLs of any length and
+with any number of parts are looked up whole. Other columns, whatever their names,
+are passed by. An empty table gives no rows, an empty list blocks nothing.
 """
 
 from __future__ import annotations
@@ -22,8 +28,10 @@ from pyspark.sql import functions as F
 
 from . import common
 
-HOST = r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:@]+)"
+HOST = r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?(\[[^\]/?#@]*\]|[^/?#:@]+)"
 PATH = r"^[a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]+(/[^?#]*)"
+#: Lookups of one key in one window.
+LOOKUPS = 1 << 20
 
 
 def host_of(url: Column) -> Column:
@@ -55,18 +63,30 @@ def intervals(entries: DataFrame) -> DataFrame:
     return changed.withColumn("valid_to", F.lead("valid_from").over(order)).where("action = 'add'").select("key", "valid_from", "valid_to")
 
 
+def as_of(looked: DataFrame, held: DataFrame) -> DataFrame:
+    """Rows of looked (key, url, fetched; distinct) with an interval of held (key, valid_from, valid_to) that holds then."""
+    held = common.kept(held, "intervals")
+    often = looked.groupBy("key").agg(F.count("*").alias("_n")).where(F.col("_n") > LOOKUPS)
+    listed = held.select("key").distinct().withColumn("_listed", F.lit(True))
+    hot = common.kept(often.join(listed, "key", "left"), "hot-keys")  # at most one in LOOKUPS lookups
+    parts = F.coalesce(F.ceil(F.col("_n") / LOOKUPS), F.lit(1)).cast("int")
+    lookups = looked.join(hot, "key", "left").where("_n is null or _listed").select("key", F.pmod(F.xxhash64("url", "fetched"), parts).cast("int").alias("part"), F.col("fetched").alias("at"), "url")
+    ends = held.join(hot, "key", "left").select("key", F.explode(F.sequence(F.lit(0), parts - 1)).alias("part"), F.col("valid_from").alias("at"), F.lit(None).cast("string").alias("url"), F.struct(F.col("valid_to").alias("to")).alias("held"))
+    lookups = lookups.withColumn("held", F.lit(None).cast(ends.schema["held"].dataType))
+    in_time = Window.partitionBy("key", "part").orderBy("at", F.col("url").isNotNull()).rowsBetween(Window.unboundedPreceding, 0)
+    met = lookups.unionByName(ends).withColumn("held", F.last("held", ignorenulls=True).over(in_time))
+    return met.where("url is not null and held is not null and (held.to is null or at < held.to)").select("key", "url", F.col("at").alias("fetched"))
+
+
 def evaluate(captures: DataFrame, entries: DataFrame, id_col: str = "page_id", url_col: str = "url", time_col: str = "fetched") -> DataFrame:
     """id, url, time, blocked, n_active and first_key (the smallest active key) of every capture.
 
-    Keys of equal (url, time) are looked up once, so a hot page adds no rows to the
-    join, and keys that the list doesn't have go before it is joined by time.
+    Keys of equal (url, time) are looked up once, so a hot page adds no rows to the join.
     """
     rows = captures.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), F.col(time_col).alias("fetched"))
     distinct = rows.where("url is not null and fetched is not null").select("url", "fetched").distinct()
     looked = distinct.withColumn("key", F.explode(keys_of(F.col("url"))))
-    held = intervals(entries)
-    active = looked.join(held, "key").where("valid_from <= fetched and (valid_to is null or fetched < valid_to)")
-    found = active.groupBy("url", "fetched").agg(F.count_distinct("key").alias("n_active"), F.min("key").alias("first_key"))
+    found = as_of(looked, intervals(entries)).groupBy("url", "fetched").agg(F.count("*").alias("n_active"), F.min("key").alias("first_key"))
     out = rows.join(found, ["url", "fetched"], "left")
     return out.select("page_id", "url", "fetched", F.col("n_active").isNotNull().alias("blocked"), F.coalesce("n_active", F.lit(0)).cast("long").alias("n_active"), "first_key")
 
@@ -91,7 +111,7 @@ def entries_of(pages: DataFrame) -> DataFrame:
     second is under 8) from one day on, taken off on a later day and, for some, put
     on again. The first path part of hosts beginning with 4 to 7 is listed once.
     """
-    own = pages.where("url is not null").select(host_of(F.col("url")).alias("host"), F.regexp_extract("url", r"^[a-z]+://[^/?#]+/([^/?#]+)", 1).alias("part")).where("host is not null").distinct()
+    own = pages.where("url is not null").select(host_of(F.col("url")).alias("host"), F.regexp_extract("url", r"^[a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]+/([^/?#]+)", 1).alias("part")).where("host is not null").distinct()
     own = own.withColumn("m", F.md5("host"))
     listed = own.where("substring(m, 1, 1) < '4'").select("host", "m").distinct()
     kind = F.when(F.substring("m", 2, 1) < "8", F.lit("domain")).otherwise(F.lit("host"))
@@ -109,10 +129,10 @@ def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 OP4_SQL = r"""
 WITH captures AS (
   SELECT page_id, url, TIMESTAMP '2024-01-01' + to_hours(CAST(((page_id % 8760) + 8760) % 8760 AS INTEGER)) AS fetched,
-         nullif(rtrim(lower(regexp_extract(url, '^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:@]+)', 1)), '.'), '') AS host,
+         nullif(rtrim(lower(regexp_extract(url, '^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?(\[[^\]/?#@]*\]|[^/?#:@]+)', 1)), '.'), '') AS host,
          regexp_extract_all(regexp_extract(url, '^[a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]+(/[^?#]*)', 1), '[^/]+') AS parts
   FROM pages),
-own AS (SELECT DISTINCT host, regexp_extract(url, '^[a-z]+://[^/?#]+/([^/?#]+)', 1) AS part, md5(host) AS m FROM captures WHERE host IS NOT NULL),
+own AS (SELECT DISTINCT host, regexp_extract(url, '^[a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]+/([^/?#]+)', 1) AS part, md5(host) AS m FROM captures WHERE host IS NOT NULL),
 dated AS (
   SELECT DISTINCT host, m, substr(m, 1, 1) AS d, CAST(('0x' || substr(m, 3, 2)) AS INTEGER) AS day FROM own),
 entries AS (
@@ -124,7 +144,7 @@ entries AS (
 keyed AS (
   SELECT url, fetched, 'host:' || host AS key FROM captures WHERE host IS NOT NULL
   UNION SELECT url, fetched, 'domain:' || array_to_string(list_slice(string_split(host, '.'), i, 1000), '.') FROM (SELECT *, unnest(range(1, len(string_split(host, '.')) + 1)) AS i FROM captures WHERE host IS NOT NULL)
-  UNION SELECT url, fetched, 'prefix:' || host || '/' || array_to_string(list_slice(parts, 1, i), '/') FROM (SELECT *, unnest(range(1, least(len(parts), 8) + 1)) AS i FROM captures WHERE host IS NOT NULL)),
+  UNION SELECT url, fetched, 'prefix:' || host || '/' || array_to_string(list_slice(parts, 1, i), '/') FROM (SELECT *, unnest(range(1, len(parts) + 1)) AS i FROM captures WHERE host IS NOT NULL)),
 found AS (
   SELECT url, fetched, count(DISTINCT keyed.key) AS n, min(keyed.key) AS k FROM keyed JOIN entries ON keyed.key = entries.key AND valid_from <= fetched AND (valid_to IS NULL OR fetched < valid_to) GROUP BY url, fetched)
 SELECT page_id, captures.url, captures.fetched, n IS NOT NULL AS blocked, CAST(coalesce(n, 0) AS BIGINT) AS n_active, k AS first_key
