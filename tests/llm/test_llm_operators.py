@@ -365,16 +365,63 @@ def test_decontamination(spark, sf):
     assert verbatim and verbatim <= found and all(share(items[i], docs[d]) >= decontaminate.LIKELY for d, i in found)
 
 
-def test_paraphrases_are_found(spark, sf):
-    docs, bench = common.table(spark, sf, "documents"), common.table(spark, sf, "benchmark")
+def exhaustively(item, text):
+    """Whether the item is in text by the verification alone, at every window."""
+    a, t = decontaminate.words(item), decontaminate.words(text)
+    w = decontaminate.width_of(len(a))
+    for start in range(len(t)):
+        region = t[max(0, start - w // 2) : start + w + w // 2]
+        share = decontaminate.lcs(a, region) / len(a)
+        answer = a[-decontaminate.ANSWER_WORDS :]
+        if share >= decontaminate.SURE or (share >= decontaminate.LIKELY and len(a) > len(answer) and decontaminate.lcs(answer, region) >= decontaminate.ANSWER_SHARE * len(answer)):
+            return True
+    return False
+
+
+def paraphrase(kind, text, others, rng):
+    w = text.split()
+    if kind == "dropped":
+        return [x for x in w if rng.random() > 0.12]
+    if kind == "replaced":
+        return [x if rng.random() > 0.15 else rng.choice(others) for x in w]
+    if kind == "swapped":
+        for i in range(0, len(w) - 1, 2):
+            if rng.random() < 0.3:
+                w[i], w[i + 1] = w[i + 1], w[i]
+        return w
+    half = len(w) * 2 // 3
+    return w[:half] + rng.sample(others, 6) + w[half:]  # inserted
+
+
+@pytest.mark.parametrize("kind", ["dropped", "replaced", "swapped", "inserted"])
+def test_search_against_an_exhaustive_one(spark, sf, kind):
+    bench = common.table(spark, sf, "benchmark")
     items = [(r["item_id"], r["text"]) for r in bench.orderBy("item_id").collect()]
-    rng, rows = random.Random(5), []
-    around = docs.where("lang = 'en'").orderBy("doc_id").select("text").head(2)
-    for i, t in items:
-        words = [w for w in t.split() if rng.random() > 0.12]
-        rows.append((i, around[0][0][:1000] + " " + " ".join(words) + " " + around[1][0][:500]))
-    found = decontaminate.search(spark.createDataFrame(rows, "doc_id long, text string"), bench).where("doc_id = item_id")
-    assert found.count() >= 0.9 * len(items)
+    texts = [r["text"] for r in common.table(spark, sf, "documents").where("lang = 'en'").orderBy("doc_id").select("text").head(60)]
+    rng = random.Random(5)
+    others = " ".join(texts[:20]).split()
+    rows = [(1000 + k, t[:1500]) for k, t in enumerate(texts[20:])]
+    rows += [(i, " ".join([*rng.sample(others, 60), *paraphrase(kind, t, others, rng), *rng.sample(others, 60)])) for i, t in items]
+    found = {(r["doc_id"], r["item_id"]) for r in decontaminate.search(spark.createDataFrame(rows, "doc_id long, text string"), bench).collect()}
+    want = {(d, i) for d, t in rows for i, x in items if exhaustively(x, t)}
+    assert len(want) >= 0.8 * len(items) and len(found & want) >= 0.9 * len(want) and found <= want
+
+
+def test_blocks_and_shared_rows_change_nothing(spark, sf, monkeypatch):
+    docs, bench = common.table(spark, sf, "documents"), common.table(spark, sf, "benchmark")
+    found = lambda: {(r["doc_id"], r["item_id"]) for r in decontaminate.search(docs, bench).collect() if r["lcs_share"] == 1}
+    want = found()
+    monkeypatch.setattr(decontaminate, "ITEM_WORDS", 500)
+    monkeypatch.setattr(decontaminate, "ROWS", 700)
+    assert len(list(decontaminate.indexes(docs, bench))) > 1 and found() == want
+
+
+def test_short_items_are_found(spark):
+    bench = spark.createDataFrame([(1, "abacus"), (2, "brisk cellar"), (3, "dusk, ember; fable")], "item_id long, text string")
+    fill = [f"word{i}" for i in range(40)]
+    rows = [(1, [*fill, "Abacus", *fill]), (2, [*fill, "brisk", "cellar"]), (3, ["dusk", "ember", "fable", *fill]), (4, ["cellar", *fill, "brisk"]), (5, fill), (6, ["dusk", "fable", "ember"])]
+    docs = spark.createDataFrame([(d, " ".join(t)) for d, t in rows], "doc_id long, text string")
+    assert {(r["doc_id"], r["item_id"]) for r in decontaminate.search(docs, bench).collect()} == {(1, 1), (2, 2), (3, 3)}
 
 
 @settings(max_examples=60, deadline=None)
@@ -390,7 +437,7 @@ def test_lcs(a, b):
 def test_decontamination_edges(spark, edge_docs, no_docs):
     bench = spark.createDataFrame([(1, "one two three four five six", "x"), (2, None, "x"), (3, "", "x"), (None, "a text without an id it has seven words", "x"), (4, "one two", "x")], "item_id long, text string, doc_id string")
     found = decontaminate.search(edge_docs, bench)
-    assert Counter((r["doc_id"], r["item_id"]) for r in found.collect()) == Counter({(1, 1): 2, (None, None): 1})
+    assert Counter((r["doc_id"], r["item_id"]) for r in found.collect()) == Counter({(1, 1): 2, (1, 4): 2, (None, None): 1})
     left = decontaminate.keep_uncontaminated(edge_docs, bench)
     assert left.columns == edge_docs.columns and left.count() == edge_docs.count() - 3
     assert decontaminate.search(no_docs, bench).count() == 0 == decontaminate.search(edge_docs, bench.limit(0)).count()
@@ -524,6 +571,45 @@ def test_backward_and_forward_directions_mirror():
     assert np.allclose(html_blocks._pass(p, "f", x, mask), html_blocks._pass(p, "b", x[:, ::-1], mask)[:, ::-1], atol=1e-5)
 
 
+def test_quotes_open_after_an_equals_sign_only():
+    said = lambda page: [b.text for b in html_blocks.blocks(page)]
+    assert said("<p title=don't>hello</p><p>world</p><p>it's</p>") == ["hello", "world", "it's"]
+    assert said("""<p a="x>y" b='>' c=d"e>one<p 'q>two<p title="never closed>three<p>four""") == ["one", "two", "three", "four"]
+    assert said("<!-->a<!--->b<!-- x --!>c<!-- <p>no</p> --><p") == ["abc"]
+    assert html_blocks.blocks("<div data-id=x class = 'y z'>a")[0].path == ("div", ".y", ".z")
+
+
+def test_comments_inside_the_article_are_not_main_text(labeller):
+    main = "<p>" + "Long sentences of the story, told at length. " * 6 + "</p>"
+    for comment in ('<div class="comments"><article class="comment"><p>I liked this a lot, thanks.</p></article></div>', '<section class=comments><div class=comment><span class=author>Ann</span><p>Well said!</p></div></section>'):
+        found = html_blocks.blocks(f"<nav><a href=/>Home</a></nav><article><h1>A story of the sea</h1>{main * 4}{comment}</article><footer>All rights reserved.</footer>")
+        chance = html_blocks.label(labeller, [html_blocks.vectors(found)])[0]
+        assert [b.text for b, c in zip(found, chance, strict=True) if c >= 0.5] == [b.text for b in found if b.path.count("article") == 1 and ".comments" not in b.path]
+
+
+def test_gradients_are_slopes():
+    rng = np.random.default_rng(3)
+    p = {k: v.astype(np.float64) for k, v in html_blocks._start(rng).items()}
+    x, mask = rng.normal(0, 0.3, (3, 5, html_blocks.DIMS)), np.array([[1, 1, 1, 1, 1], [1, 1, 1, 0, 0], [1, 0, 0, 0, 0]], float)
+    y = (rng.random((3, 5)) < 0.5) * mask
+
+    def loss():
+        both = np.concatenate([html_blocks._pass(p, s, x, mask).astype(np.float64) for s in "fb"], axis=2)
+        c = html_blocks._sigmoid(both @ p["o"] + p["d"])
+        return -((y * np.log(c) + (1 - y) * np.log(1 - c)) * mask).sum() / mask.sum()
+
+    grads = html_blocks.gradients(p, x, mask, y)
+    for k in p:
+        flat, own = p[k].reshape(-1), grads[k].reshape(-1)
+        for i in np.argsort(-np.abs(own))[:4]:
+            at = flat[i]
+            flat[i] = at + 1e-2
+            up = loss()
+            flat[i] = at - 1e-2
+            slope, flat[i] = (up - loss()) / 2e-2, at
+            assert own[i] == pytest.approx(slope, rel=0.03, abs=1e-5)
+
+
 def test_page_edges(spark, labeller):
     rows = [(1, "u", "", 1), (2, None, None, 1), (None, "u", "<p>", 1), (3, "u", "no markup at all", 1), (4, "u", "<article>" + "<p>long text here.</p>" * 3000, 1), (4, "u", "<article>" + "<p>long text here.</p>" * 3000, 1)]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string, text int")
@@ -548,6 +634,35 @@ def test_language(spark, sf, edge_docs, no_docs):
     assert {r["lang_pred"] for r in rows_of(language.identify(edge_docs, None))} == {"und"}
 
 
+def test_decoding_is_the_least_weighted_loss():
+    import math
+
+    rng = np.random.default_rng(4)
+    for n in (2, 4, 9):
+        code = language.codewords(n).astype(np.float32)
+        bits = code.shape[1]
+        model = {"languages": [*map(str, range(n))], "code": code, "w": rng.normal(size=(language.BUCKETS, bits)).astype(np.float32), "b": rng.normal(size=bits).astype(np.float32), "weight": rng.dirichlet(np.ones(bits)).astype(np.float32)}
+        texts = ["the quick brown fox", "Ünïcode und mehr", "a", "q" * 500, "eins zwei drei vier"]
+        best, score, unsure = language.predict(model, np.stack([language.counts(t) for t in texts]))
+        for t, b, s, u in zip(texts, best, score, unsure, strict=True):
+            x = language.features(language.counts(t))
+            margin = [float(x @ model["w"][:, k] + model["b"][k]) for k in range(bits)]
+            loss = [sum(float(model["weight"][k]) * math.log(1 + math.exp(-margin[k] * code[i, k])) for k in range(bits)) for i in range(n)]
+            assert b == min(range(n), key=loss.__getitem__)
+            assert s == pytest.approx(1 / sum(math.exp(-(v - min(loss)) * bits) for v in loss), rel=1e-3)
+            assert u == (sorted(loss)[1] - min(loss) < language.MARGIN)
+
+
+def test_a_language_that_fills_the_table_is_sampled(spark):
+    rng = random.Random(2)
+    text = lambda letters: "".join(rng.choices(letters, k=80))
+    rows = [(i, text("abcd "), "aa") for i in range(3000)] + [(5000 + i, text("wxyz "), "zz") for i in range(30)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language.learn(docs)
+    got = {r["doc_id"]: r["lang_pred"] for r in language.identify(docs, model).collect()}
+    assert all(got[i] == lang for i, _, lang in rows) and model["languages"] == ["aa", "zz"]
+
+
 @pytest.mark.parametrize("n", [1, 2, 3, 4, 6, 9, 30])
 def test_codewords_differ(n):
     code = language.codewords(n)
@@ -591,9 +706,12 @@ def test_every_text_counts_for_the_character_model(spark):
     docs = spark.createDataFrame([*rows, (6000, "plain words here"), (6001, None)], "doc_id long, text string")
     want = Counter()
     for _, text in [*rows, (0, "plain words here")]:
-        toxicity.CharModel.count(Counter({w.strip(",") for w in text.split()}), want)
+        for w in {w.strip(",") for w in text.split()}:
+            marked = f"^^{w}$"
+            want.update(toxicity.gram_code(marked[i : i + k]) for k in (1, 2, 3) for i in range(len(marked) - k + 1))
     labels = spark.createDataFrame([(0, 1), (1, 0), (3, 1), (6000, 0)], "doc_id long, toxic int")
-    assert len(want) > 25_000 and toxicity.learn(docs.repartition(3), labels)["chars"] == want
+    got = toxicity.learn(docs.repartition(3), labels)["chars"]
+    assert len(want) > 25_000 and dict(zip(got.codes.tolist(), got.numbers.tolist(), strict=True)) == want
 
 
 @pytest.fixture(scope="module")
@@ -601,7 +719,7 @@ def char_model():
     counts = Counter()
     words = "you are an idiot the and that stupid trash loser losers worthless hello this is pathetic all call feel thing out of say said did it quit"
     toxicity.CharModel.count(dict.fromkeys(words.split(), 50), counts)
-    return toxicity.CharModel(counts)
+    return toxicity.CharModel(toxicity.Grams.of(counts))
 
 
 @pytest.mark.parametrize(
@@ -641,6 +759,29 @@ def test_decoding_by_segments_is_decoding_of_the_whole(char_model, token):
     assert "".join(toxicity.decode(token, char_model).split()) == "".join(toxicity._likeliest("^^", token, True, char_model).split())
 
 
+def readings(token, model):
+    """Every path through the lattice of a token without gaps: (cost, word), by the definition of the costs."""
+    from itertools import groupby, product
+
+    runs = [(c, len(list(own))) for c, own in groupby(token)]
+    options = [toxicity._options(c, n, k == 0, k == len(runs) - 1) for k, (c, n) in enumerate(runs)]
+    for path in product(*options):
+        word, cost, before = "".join(x for _, x in path), sum(c for c, _ in path), "^^"
+        for x in word + "$":
+            cost += model.cost(before, x)
+            before = (before + x)[-2:]
+        yield cost, word
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(alphabet="aabdilosttu01!$@.", min_size=1, max_size=8))
+def test_viterbi_finds_the_cheapest_path_of_the_lattice(char_model, token):
+    costs = {}
+    for cost, word in readings(token, char_model):
+        costs[word] = min(cost, costs.get(word, cost))
+    assert costs[toxicity._likeliest("^^", token, True, char_model)] == pytest.approx(min(costs.values()))
+
+
 # ---- 10
 
 

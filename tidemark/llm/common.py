@@ -10,6 +10,7 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -133,7 +134,7 @@ def small_batches(batches: Iterator[pa.RecordBatch], column: str, most: int = 8
         if c.nbytes <= most:
             yield b
             continue
-        lengths = np.asarray(pa.compute.fill_null(pa.compute.binary_length(c), 0), dtype=np.int64)
+        lengths = np.asarray(pc.fill_null(pc.binary_length(c), 0), dtype=np.int64)
         at, total = 0, 0
         for i, n in enumerate(lengths):
             if total and total + n > most:

@@ -9,11 +9,14 @@ document-wide context; the kept blocks are the main text.
 The labeller is trained by the driver when the operator is built, on SYNTHETIC
 generated pages and on at most SAMPLE pages of the table (chosen by a hash of the
 id) that mark their article themselves; both bounds are parameters, and the seed is
-fixed.
+fixed. In those, articles inside the article (reader comments) and what its names
+call an aside aren't main text.
 
 Nulls: a null or empty page, or one without main text, has empty text and n_chars
-0. Null ids and urls pass through. Repeated rows each give a row. An empty table
-gives no rows.
+0. Null ids and urls pass through. Ties: pages with one id may all be learned from.
+Repeated rows each give a row. A page of any length is read whole, and short ones in
+batches; memory is in proportion to the longest page. Other columns, whatever their
+names, are passed by. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -32,8 +35,9 @@ from . import common
 
 SAMPLE, SYNTHETIC, HIDDEN, EPOCHS, SEED = 150, 350, 16, 24, 5
 PATH_DIMS, WORD_DIMS = 96, 32
-MARKUP = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)|<[!?/][^>]*(?:>|\Z)", re.S)
-ATTRIBUTE = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
+#: A quote opens a value only after an equals sign, and only if it is closed; elsewhere it is a character like others.
+MARKUP = re.compile(r"""<!--(?:-?>|.*?(?:--!?>|\Z))|<(/?)([a-zA-Z][^\s/>]*)((?:=\s*"[^"]*"|=\s*'[^']*'|[^>])*+)(?:>|\Z)|<[!?/][^>]*(?:>|\Z)""", re.S)
+ATTRIBUTE = re.compile(r"""(?<![\w-])(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 #: HTML's element kinds.
 RAW = {"script", "style", "textarea", "title", "xmp", "noframes", "noembed"}
 SILENT = {"script", "style", "textarea", "title", "noscript", "template", "svg", "math", "iframe", "object", "select", "option", "button", "canvas", "audio", "video", "head", "noframes", "noembed", "datalist"}
@@ -43,6 +47,11 @@ CLOSES_P = {"address", "article", "aside", "blockquote", "div", "dl", "fieldset"
 OWN_KIND = {"li": {"ul", "ol"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table", "tbody", "thead", "tfoot"}, "td": {"tr"}, "th": {"tr"}}
 
 
+#: What isn't main text inside a page's own article, for learning: tags, and words of class, id and role.
+ASIDE = {"nav", "aside", "footer", "form"}
+ASIDE |= {"." + w for w in ("ad", "ads", "advert", "sponsored", "promo", "comment", "comments", "reply", "replies", "responses", "discussion", "sidebar", "related", "recommended", "widget", "share", "menu", "nav", "breadcrumb", "cookie", "consent", "notice", "newsletter")}
+
+
 class Block:
     __slots__ = ("link", "path", "text")
 
@@ -239,6 +248,20 @@ def _back(p: dict, side: str, x: np.ndarray, kept: list, dout: np.ndarray, grads
         dc = (1 - m) * dc + dnow * f
 
 
+def gradients(p: dict, x: np.ndarray, mask: np.ndarray, y: np.ndarray) -> dict[str, np.ndarray]:
+    """Of the mean cross entropy over the steps that mask has."""
+    kf, kb = [], []
+    both = np.concatenate([_pass(p, "f", x, mask, kf), _pass(p, "b", x, mask, kb)], axis=2)
+    e = (_sigmoid(both @ p["o"] + p["d"]) - y) * mask / mask.sum()
+    grads = {k: np.zeros_like(v) for k, v in p.items()}
+    grads["o"] += np.einsum("nt,nth->h", e, both)
+    grads["d"] += e.sum()
+    dout = e[..., None] * p["o"]
+    _back(p, "f", x, kf, dout[..., :HIDDEN], grads)
+    _back(p, "b", x, kb, dout[..., HIDDEN:], grads)
+    return grads
+
+
 def _padded(seqs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     t = max(len(s) for s in seqs)
     x, mask = np.zeros((len(seqs), t, DIMS), np.float32), np.zeros((len(seqs), t), np.float32)
@@ -263,15 +286,7 @@ def train(seqs: list[np.ndarray], labels: list[np.ndarray], seed: int = SEED) ->
             y = np.zeros_like(mask)
             for r, k in enumerate(own):
                 y[r, : len(labels[k])] = labels[k]
-            kf, kb = [], []
-            both = np.concatenate([_pass(p, "f", x, mask, kf), _pass(p, "b", x, mask, kb)], axis=2)
-            e = (_sigmoid(both @ p["o"] + p["d"]) - y) * mask / mask.sum()
-            grads = {k: np.zeros_like(v) for k, v in p.items()}
-            grads["o"] += np.einsum("nt,nth->h", e, both)
-            grads["d"] += e.sum()
-            dout = e[..., None] * p["o"]
-            _back(p, "f", x, kf, dout[..., :HIDDEN], grads)
-            _back(p, "b", x, kb, dout[..., HIDDEN:], grads)
+            grads = gradients(p, x, mask, y)
             step += 1
             rate = 0.02 * (1 - epoch / EPOCHS) + 0.001
             for k in p:
@@ -380,6 +395,8 @@ class Generator:
                 parts.append(f"<blockquote>{told('p', 5, 30)}</blockquote>")
             if self.rng.random() < 0.06:
                 parts.append(self.pick(self.advert, self.sidebar, self.form)())
+        if self.rng.random() < 0.12:
+            parts.append(self.comments())
         inner = "".join(parts)
         if (r := self.rng.random()) < 0.5:
             return self.wrap("article", inner) if self.rng.random() < 0.7 else self.wrap("article", inner, "post", "article", "entry")
@@ -416,7 +433,7 @@ def learn(pages: DataFrame) -> dict[str, np.ndarray]:
     chosen = marked.join(F.broadcast(own), "page_id", "left_semi").limit(2 * SAMPLE).collect()
     for r in sorted(chosen, key=lambda r: (r["page_id"], r["html"])):
         found = blocks(r["html"])
-        inside = np.array(["article" in b.path and not {"nav", "aside", "footer", "form", ".ad"} & set(b.path) for b in found], np.float32)
+        inside = np.array([b.path.count("article") == 1 and ASIDE.isdisjoint(b.path) for b in found], np.float32)
         if len(found):
             seqs.append(vectors(found))
             labels.append(inside)

@@ -6,12 +6,17 @@ decoding gives each language the sum of its bits' logistic losses, each weighted
 the classifier's accuracy in training, and takes the least. A text whose second
 language is within MARGIN of the first is flagged ambiguous.
 
-Learning reads at most PER_LANGUAGE texts of each language, chosen by a hash of the
-id, from the learning fold; prediction reads only the text.
+Learning reads at most PER_LANGUAGE texts of each language (fewer if there are many
+languages: MOST_TEXTS in all, but LEAST_TEXTS of each), those with the least hashes of
+id and text, from the learning fold; prediction reads only the text. The driver gets
+one count a language and the features of those texts, 16 kB each.
 
 Nulls: a null text or one without letters is `und` with score 0; with nothing to
 learn from every text is. Null languages aren't learned. Null ids pass through and
-may be learned from. Repeated rows each give a row. An empty table gives no rows.
+may be learned from. Ties: of languages with equal losses the first by code point is
+taken, and the text is flagged. Repeated rows each give a row. Texts of any length are
+read whole. Other columns, whatever their names, are passed by. An empty table gives no
+rows.
 """
 
 from __future__ import annotations
@@ -22,12 +27,12 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import common
 
-PER_LANGUAGE, BUCKETS, ROUNDS, MARGIN = 400, 4096, 150, 0.1
+PER_LANGUAGE, MOST_TEXTS, LEAST_TEXTS, BUCKETS, ROUNDS, MARGIN = 400, 16_000, 8, 4096, 150, 0.1
 LETTER = regex.compile(r"\p{L}")
 _is_letter = np.array([chr(i).isalpha() for i in range(1 << 16)])
 
@@ -103,30 +108,37 @@ def predict(model: dict, c: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndar
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        for lang, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-            yield pa.RecordBatch.from_pylist([{"lang": lang, "counts": features(counts(text)).tobytes()}], pa.schema([("lang", pa.string()), ("counts", pa.binary())]))
+    for b in common.small_batches(batches, "text"):
+        found = [features(counts(text)).tobytes() for text in b.column(2).to_pylist()]
+        yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(found, pa.binary())], names=["lang", "h", "x"])
 
 
 def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> dict | None:
-    common.prepare(docs.sparkSession)
+    """The model; None without a text to learn from."""
+    spark = docs.sparkSession
+    common.prepare(spark)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang"))
     rows = rows.where(common.in_fold("doc_id") & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
-    first = Window.partitionBy("lang").orderBy(F.xxhash64(F.lit("language"), "doc_id"), "doc_id")
-    chosen = rows.select("lang", "doc_id").withColumn("nth", F.row_number().over(first)).where(F.col("nth") <= PER_LANGUAGE)
-    ids = chosen.select("lang", "doc_id").distinct().collect()  # at most PER_LANGUAGE a language
-    if not ids:
+    found = rows.groupBy("lang").count().collect()  # one row a language
+    if not found:
         return None
-    own = docs.sparkSession.createDataFrame([tuple(r) for r in ids], "l string, i long")
-    sample = rows.join(F.broadcast(own), F.col("doc_id").eqNullSafe(F.col("i")) & (F.col("lang") == F.col("l")), "left_semi")
-    got = sample.select("lang", "text").mapInArrow(_counted, "lang string, counts binary").limit(2 * len(ids)).collect()
-    got.sort(key=lambda r: (r[0], bytes(r[1])))
-    languages = sorted({r[0] for r in got})
-    return train(np.stack([np.frombuffer(bytes(r[1]), np.float32) for r in got]), np.array([languages.index(r[0]) for r in got]), languages)
+    most = max(LEAST_TEXTS, min(PER_LANGUAGE, MOST_TEXTS // len(found)))
+    # A bound of the hash by language that about half as many again pass, so that no task and no window gets a language whole.
+    bounds = [(r[0], int(min(1.0, (1.5 * most + 50) / r[1]) * (1 << 32))) for r in found]
+    near = rows.withColumn("h", F.pmod(F.xxhash64(F.lit("language"), "doc_id", "text"), F.lit(1 << 32)))
+    near = near.join(F.broadcast(spark.createDataFrame(bounds, "l string, bound long")), F.col("lang") == F.col("l")).where("h < bound")
+    got = sorted(((r[0], r[1], bytes(r[2])) for r in near.select("lang", "h", "text").mapInArrow(_counted, "lang string, h long, x binary").limit(3 * most * len(found)).collect()))
+    taken: dict[str, list[bytes]] = {}
+    for lang, _, x in got:
+        own = taken.setdefault(lang, [])
+        if len(own) < most:
+            own.append(x)
+    languages = sorted(taken)
+    return train(np.stack([np.frombuffer(x, np.float32) for lang in languages for x in taken[lang]]), np.repeat(np.arange(len(languages)), [len(taken[lang]) for lang in languages]), languages)
 
 
 def _predicted(batches: Iterator[pa.RecordBatch], model: dict | None) -> Iterator[pa.RecordBatch]:
-    for whole in batches:
+    for whole in common.small_batches(batches, "text"):
         for b in (whole.slice(i, 256) for i in range(0, whole.num_rows, 256)):
             texts = common.strings(b.column(2))
             known = [bool(model and LETTER.search(t)) for t in texts]

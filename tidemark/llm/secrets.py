@@ -9,8 +9,11 @@ literal by how sensitive the names it reaches are and by how random it looks.
 Literals that score at least THRESHOLD become spans of kind pair. Ends are
 exclusive; places count code points.
 
-Nulls: a null text is empty and has no spans. Repeated rows each give a row; ids
-pass through unchanged, null ones too. An empty table gives no rows.
+Nulls: a null text is empty and has no spans. Ties: of assignments of one literal the
+one that scores most counts. Repeated rows each give a row; ids pass through
+unchanged, null ones too. Texts of any length are scanned whole, names and chains of
+names of any length too. Other columns, whatever their names, are passed by. An empty
+table gives no rows.
 """
 
 from __future__ import annotations
@@ -50,7 +53,8 @@ SENSITIVE = {
 #: Name parts that say the literal is about a secret, and isn't one.
 HARMLESS = {"name", "file", "path", "url", "uri", "type", "length", "size", "count", "limit", "max", "min", "id", "policy", "expiry", "expires", "ttl", "field", "label", "hint", "regex", "pattern", "public", "enabled"}
 PLACEHOLDER = re.compile(r"^(?:x{4,}|\*+|\.+|<.*>|\$\{.*\}|\{\{.*\}\}|%.*%|your.*|example.*|change.?me.*|dummy.*|test.*|todo.*|none|null|undefined|true|false|redacted|placeholder.*)$", re.I)
-LEAST_LENGTH, THRESHOLD = 8, 0.9
+#: A literal's least length, and the least sum of its target's score and half its own.
+LEAST_LENGTH, THRESHOLD = 8, 1.15
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
@@ -191,7 +195,7 @@ def pair_spans(text: str) -> list[tuple[int, int, int]]:
             continue
         score = reached[target] + looks / 2 if reached[target] else 0.0
         best[start, end] = max(best.get((start, end), 0.0), score)
-    return [(start, 3, end) for (start, end), s in best.items() if s >= THRESHOLD + 0.25]
+    return [(start, 3, end) for (start, end), s in best.items() if s >= THRESHOLD]
 
 
 def spans(text: str) -> list[tuple[int, int, int]]:
@@ -204,7 +208,7 @@ def told(found: list[tuple[int, int, int]]) -> str:
 
 
 def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
+    for b in common.small_batches(batches, "text"):
         counts: list[list[int]] = [[], [], [], []]
         digests, all_ = [], []
         for text in common.strings(b.column(1)):

@@ -16,7 +16,10 @@ TRAIN_DOCS of either label, chosen by a hash of the id. The score reads only the
 
 Nulls: a null text is empty; an empty text scores what a text without any found
 word does, near the least. Null labels aren't learned. With nothing to learn from
-every score is 0. Null ids pass through. Repeated rows each give a row. An empty
+every score is 0. Null ids pass through. Ties: an id with both labels is toxic; of
+readings that cost the same the one found first is taken, on every run the same. Repeated rows each give
+a row. Texts of any length are read whole, disguised words of any length too. Other
+columns, whatever their names, are passed by; keep_clean() returns them. An empty
 table gives no rows.
 """
 
@@ -35,7 +38,7 @@ from pyspark.sql import functions as F
 
 from . import common
 
-TRAIN_DOCS, CUT, MOST_FEATURES, LEAST_SUPPORT = 4000, 0.3, 20_000, 3
+TRAIN_DOCS, CUT, LEAST_SUPPORT = 4000, 0.3, 3
 #: What a sign may stand for in a disguised word.
 SIGNS = {"0": "o", "1": "il", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "(": "c", "€": "e", "£": "l", "¡": "i"}
 #: Marks that stand for no letter.
@@ -58,7 +61,7 @@ DOTTED = re.compile(rf"{ONE}\1*(?:[.\-_*]+{ONE.replace('(', '(?P<x>', 1)}(?P=x)*
 SUBSTITUTE, REPEAT, INSERT, SPURIOUS = 1.0, 0.7, 0.5, 10.0
 #: The same of a gap between characters spaced apart that ends a word, as about one in five does.
 SPLIT = 2.0
-MOST_CACHED, MOST_COUNTED, STRONG = 300_000, 100_000, 2.5
+MOST_CACHED, MOST_COUNTED, STRONG = 150_000, 100_000, 2.5
 
 
 ASCII_MARKS = "".join(c for c in map(chr, range(128)) if re.fullmatch(MARK, c))
@@ -76,29 +79,56 @@ def plain(token: str) -> str:
     return core if core.isascii() or (core[0].isalnum() and core[-1].isalnum()) else ORDINARY.sub("", core)
 
 
+def gram_code(gram: str) -> int:
+    """One to three characters as a number, 21 bits each."""
+    code = 0
+    for c in gram:
+        code = code << 21 | ord(c)
+    return code
+
+
+class Grams:
+    """Counts of character n-grams: sorted codes, 16 bytes each, since they grow with the corpus."""
+
+    def __init__(self, codes: np.ndarray, numbers: np.ndarray):
+        order = np.argsort(codes)
+        self.codes, self.numbers = codes[order], numbers[order]
+
+    @classmethod
+    def of(cls, counts: Mapping[int, int]) -> Grams:
+        return cls(np.fromiter(counts.keys(), np.int64, len(counts)), np.fromiter(counts.values(), np.int64, len(counts)))
+
+    def get(self, gram: str) -> int:
+        code = gram_code(gram)
+        at = int(self.codes.searchsorted(code))
+        return int(self.numbers[at]) if at < len(self.codes) and self.codes[at] == code else 0
+
+
 class CharModel:
     """A trigram model of characters in words, with interpolation."""
 
-    def __init__(self, counts: dict[str, int]):
+    def __init__(self, counts: Grams):
         self.counts = counts
-        self.kinds = max(2, sum(len(k) == 1 for k in counts))
-        self.total = max(1, sum(n for k, n in counts.items() if len(k) == 1))
+        one = counts.numbers[: int(counts.codes.searchsorted(1 << 21))]
+        self.kinds, self.total = max(2, len(one)), max(1, int(one.sum()))
         self.cache: dict[str, float] = {}
         self.segments: dict[tuple[str, str, bool], str] = {}
 
     def cost(self, before: str, c: str) -> float:
         """Negative log probability of c after the two characters before."""
         if (got := self.cache.get(before + c)) is None:
+            if len(self.cache) > MOST_CACHED:
+                self.cache.clear()
             g = self.counts.get
-            p1 = (g(c, 0) + 0.5) / (self.total + self.kinds)
-            p2 = (g(before[-1:] + c, 0) + 4 * p1) / (g(before[-1:], 0) + 4)
-            p3 = (g(before + c, 0) + 4 * p2) / (g(before, 0) + 4)
+            p1 = (g(c) + 0.5) / (self.total + self.kinds)
+            p2 = (g(before[-1:] + c) + 4 * p1) / (g(before[-1:]) + 4)
+            p3 = (g(before + c) + 4 * p2) / (g(before) + 4)
             got = self.cache[before + c] = -math.log(p3)
         return got
 
     @staticmethod
     def count(words: Mapping[str, int], into: Counter) -> None:
-        """Adds the n-grams of each word as often as it is given."""
+        """Adds the codes of each word's n-grams as often as it is given."""
         if not words:
             return
         codes = np.frombuffer("".join(f"^^{w}$" for w in words).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
@@ -113,7 +143,7 @@ class CharModel:
             sums = np.zeros(len(kinds), np.int64)
             np.add.at(sums, of, times[here])
             for k, n in zip(kinds.tolist(), sums.tolist(), strict=True):
-                into["".join(chr(k >> 21 * i & 0x1FFFFF) for i in reversed(range(size)))] += n
+                into[k] += n
 
 
 def _letter(c: str) -> bool:
@@ -320,7 +350,7 @@ class Scorer:
             for w in own:
                 found.append((w, n))
         found.sort(reverse=True)
-        top = [w for w, n in found[:6] for _ in range(min(n, 3))][:3] + [0.0] * 3
+        top = [w for w, n in found[:3] for _ in range(min(n, 3))] + [0.0] * 3  # of the three heaviest words; three places are used
         total, number = sum(w for w, _ in found), sum(n for _, n in found)
         strong = sum(n for w, n in found if w > STRONG)
         return [top[0], top[1], top[2], math.log1p(total), math.log1p(number), math.log1p(strong), 10 * strong / math.sqrt(len(tokens) + 10), 100 * strong / (len(tokens) + 50)]
@@ -372,7 +402,7 @@ class _Plain(dict):
 def _char_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Character n-grams of plain words, counted once for each text that has the word."""
     into, seen, words = Counter(), Counter(), _Plain()
-    for b in batches:
+    for b in common.small_batches(batches, "text"):
         for text in common.strings(b.column(0)):
             seen.update(set(map(words.__getitem__, set(text.lower().split()))))
         if len(seen) > MOST_COUNTED:  # n-grams are far fewer than words
@@ -381,18 +411,19 @@ def _char_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             seen.clear()
     seen.pop("", None)
     CharModel.count(seen, into)
-    yield pa.RecordBatch.from_arrays([pa.array(list(into), pa.string()), pa.array(list(into.values()), pa.int64())], names=["k", "n"])
+    yield pa.RecordBatch.from_arrays([pa.array(list(into), pa.int64()), pa.array(list(into.values()), pa.int64())], names=["k", "n"])
 
 
-def char_counts(texts: DataFrame) -> dict[str, int]:
+def char_counts(texts: DataFrame) -> Grams:
     """All character n-grams of a table with the one column text, with their counts."""
-    return {r[0]: r[1] for r in texts.mapInArrow(_char_counts, "k string, n long").groupBy("k").agg(F.sum("n").alias("n")).collect()}
+    found = texts.mapInArrow(_char_counts, "k long, n long").groupBy("k").agg(F.sum("n").alias("n")).toArrow()
+    return Grams(found.column("k").to_numpy(), found.column("n").to_numpy())
 
 
-def _doc_features(batches: Iterator[pa.RecordBatch], chars: dict, wanted: frozenset[str] | None) -> Iterator[pa.RecordBatch]:
+def _doc_features(batches: Iterator[pa.RecordBatch], chars: Grams, wanted: frozenset[str] | None) -> Iterator[pa.RecordBatch]:
     """Texts that each feature is in, by label."""
     model, into, memo = CharModel(chars), (Counter(), Counter()), {}
-    for b in batches:
+    for b in common.small_batches(batches, "text"):
         for label, text in zip(b.column(0).to_pylist(), common.strings(b.column(1)), strict=True):
             own = set()
             for t in set(words_of(text)):
@@ -409,7 +440,7 @@ def _doc_features(batches: Iterator[pa.RecordBatch], chars: dict, wanted: frozen
 
 def _summaries(batches: Iterator[pa.RecordBatch], sent: _Sent) -> Iterator[pa.RecordBatch]:
     scorer = _scorer(sent)
-    for b in batches:
+    for b in common.small_batches(batches, "text"):
         x = [scorer.summary(t) for t in common.strings(b.column(1))]
         yield pa.RecordBatch.from_arrays([b.column(0), pa.array(x, pa.list_(pa.float64()))], names=["label", "x"])
 
@@ -449,7 +480,7 @@ def learn(docs: DataFrame, labels: DataFrame) -> dict | None:
         return part.mapInArrow(lambda it: _doc_features(it, chars, wanted), "f string, label int, n long").groupBy("f").agg(F.sum("n").alias("n"))
 
     least = max(2, min(LEAST_SUPPORT, n.get(1, 0) // 8))
-    often = {r[0]: r[1] for r in counted(sample.where("label = 1"), None).where(F.col("n") >= least).orderBy(F.desc("n"), "f").limit(MOST_FEATURES).collect()}
+    often = {r[0]: r[1] for r in sorted(counted(sample.where("label = 1"), None).where(F.col("n") >= least).collect())}
     wanted = frozenset(often)
     clean = {r[0]: r[1] for r in counted(sample.where("label = 0"), wanted).collect()}
     weights = {}
@@ -469,7 +500,7 @@ def learn(docs: DataFrame, labels: DataFrame) -> dict | None:
 
 def _scored(batches: Iterator[pa.RecordBatch], sent: _Sent | None) -> Iterator[pa.RecordBatch]:
     scorer = _scorer(sent) if sent else None
-    for b in batches:
+    for b in common.small_batches(batches, "text"):
         scores = [scorer.score(t) if scorer else 0.0 for t in common.strings(b.column(2))]
         yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(scores, pa.float64()), pa.array([int(s >= CUT) for s in scores], pa.int32())], names=["doc_id", "held_out", "score", "predicted"])
 
