@@ -320,9 +320,10 @@ def test_url_filter(spark, noon):
     assert url_filter.evaluate(frame, entries.limit(0)).where("blocked").count() == 0 == url_filter.evaluate(frame.limit(0), entries).count()
 
 
-@pytest.mark.parametrize("lookups", [2, 1 << 20])
-def test_as_of_is_a_search_of_all_intervals(spark, monkeypatch, noon, lookups):
+@pytest.mark.parametrize(("lookups", "few"), [(2, 0), (2, 100), (1 << 20, 0)])
+def test_as_of_is_a_search_of_all_intervals(spark, monkeypatch, noon, lookups, few):
     monkeypatch.setattr(url_filter, "LOOKUPS", lookups)
+    monkeypatch.setattr(url_filter, "FEW", few)
     rng = random.Random(8)
     day = lambda d: noon.replace(day=1 + d)
     hosts = ["a.com", "b.a.com", "c.org", "[2001:db8::1]", "d.c.org"]
@@ -684,6 +685,7 @@ def test_toxicity(spark, toxic_model, edge_docs, no_docs, edge_labels):
     got = [r for r in toxicity.score(common.table(spark, sf, "documents"), toxic_model).collect() if r["doc_id"] in want and r["held_out"]]
     hits = sum(r["predicted"] for r in got if want[r["doc_id"]])
     false = sum(r["predicted"] for r in got if not want[r["doc_id"]])
+    # 5 of the 14 toxic ones hold no word that other toxic texts have; over sf0.1 113 of 120 are found.
     assert hits >= 0.6 * sum(want[r["doc_id"]] for r in got) and false <= 0.05 * len(got)
     assert all(r["predicted"] == int(r["score"] >= 0.3) for r in got)
     edge = toxicity.score(edge_docs, toxicity.learn(edge_docs, edge_labels))

@@ -29,8 +29,8 @@ WEIGHTS, SHARE, MOST_EPOCHS = (3.0, 1.0, 2.0), 1.5, 2.0
 WORD = r"[^\x20\x09-\x0D]+"
 #: Sampling weight of a document by its quality label, and without one.
 GOOD, UNKNOWN, POOR = 2.0, 1.0, 0.5
-#: Key buckets of each source: 17 billion documents of one source are windows of a million rows.
-BUCKETS = 1 << 14
+#: Key buckets of each source: 4 billion documents of one source are windows of a million rows.
+BUCKETS = 4096
 
 
 def size_of(text: str | Column) -> Column:

@@ -9,8 +9,8 @@ URL gives its lookup keys (one a host suffix, one the host, one a path part), an
 as-of join finds the last interval of each key that began by then, which holds if it
 hasn't ended. The join is a union of lookups and intervals, in one window by key and
 time: a capture meets one interval of a key, however many the key has. A key with
-more than LOOKUPS lookups is dealt to several windows by a hash, its intervals going to each; if the list
-doesn't have it, its lookups are left out before. Blocked are captures with any
+more than LOOKUPS lookups is dealt to several windows by a hash, its intervals going
+to each; if the list doesn't have it, its lookups are left out before. Blocked are captures with any
 active entry. Hosts are compared in lower case, paths as they are.
 
 Nulls: a null or unparsable URL, or a null time, has no keys and is never blocked.
@@ -30,8 +30,8 @@ from . import common
 
 HOST = r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?(\[[^\]/?#@]*\]|[^/?#:@]+)"
 PATH = r"^[a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]+(/[^?#]*)"
-#: Lookups of one key in one window.
-LOOKUPS = 1 << 20
+#: Lookups of one key in one window; intervals of a list whose keys are broadcast, so that lookups it doesn't have are left out at once.
+LOOKUPS, FEW = 1 << 20, 100_000
 
 
 def host_of(url: Column) -> Column:
@@ -66,6 +66,8 @@ def intervals(entries: DataFrame) -> DataFrame:
 def as_of(looked: DataFrame, held: DataFrame) -> DataFrame:
     """Rows of looked (key, url, fetched; distinct) with an interval of held (key, valid_from, valid_to) that holds then."""
     held = common.kept(held, "intervals")
+    if held.count() <= FEW:
+        looked = looked.join(F.broadcast(held.select("key").distinct()), "key", "left_semi")
     often = looked.groupBy("key").agg(F.count("*").alias("_n")).where(F.col("_n") > LOOKUPS)
     listed = held.select("key").distinct().withColumn("_listed", F.lit(True))
     hot = common.kept(often.join(listed, "key", "left"), "hot-keys")  # at most one in LOOKUPS lookups
