@@ -828,6 +828,20 @@ def test_encoder_is_the_tokenizer(text):
     assert np.frombuffer(e.ids(text), "<u4").tolist() == e.tokenizer.encode(text, add_special_tokens=False).ids
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.text(alphabet=st.characters(min_codepoint=0x20, max_codepoint=0x260), max_size=40))
+def test_encoder_is_the_tokenizer_on_latin_letters(text):
+    e = _encoder()
+    assert np.frombuffer(e.ids(text), "<u4").tolist() == e.tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def test_every_latin_letter_is_encoded_as_the_tokenizer_does():
+    e = _encoder()
+    for c in map(chr, range(0x21, 0x260)):
+        for text in (c, f"a{c}b", f"{c}.{c}1"):
+            assert np.frombuffer(e.ids(text), "<u4").tolist() == e.tokenizer.encode(text, add_special_tokens=False).ids, text
+
+
 def test_other_tokenizers_get_whole_texts():
     from tokenizers import Tokenizer
 

@@ -16,8 +16,8 @@ from pyspark.sql import functions as F
 
 #: UTF-8 bytes of text that one ordered slice should hold; from MOST_SLICES slices on (3 TB) slices grow, since a shuffle has so many tasks at most. Slices are streamed, so that their size doesn't set the memory.
 SLICE_BYTES, MOST_SLICES = 32 << 20, 100_000
-#: Quantiles of the ids, and equal steps between two of them, by which bytes are counted to cut slices.
-QUANTILES, STEPS = 1000, 128
+#: Quantiles of the ids, and most equal steps between two of them, by which bytes are counted to cut slices: of some STEP_ROWS rows each.
+QUANTILES, STEPS, STEP_ROWS = 1000, 128, 50
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -152,21 +152,21 @@ def tie_order(text: Column | str) -> Column:
 class _Cuts:
     """Where slices begin: ids fall to fine ranges by `edges`, a range to a slice, or by the hash to one of several slices."""
 
-    def __init__(self, edges: list[int], end: int):
-        self.edges, self.ends = np.array(edges, np.int64), np.array([*edges[1:], end], np.int64)
+    def __init__(self, edges: list[int], end: int, steps: int):
+        self.edges, self.ends, self.steps = np.array(edges, np.int64), np.array([*edges[1:], end], np.int64), steps
         self.first = self.parts = np.zeros(0, np.int32)
 
     @property
     def of_null(self) -> int:
-        return len(self.edges) * STEPS
+        return len(self.edges) * self.steps
 
     def fine(self, ids) -> np.ndarray:
         none = ids.isna().to_numpy()
         own = ids.fillna(0).to_numpy().astype(np.int64)
         k = np.maximum(np.searchsorted(self.edges, own, side="right") - 1, 0)
         wide = (self.ends[k].astype(np.float64) - self.edges[k]).clip(1)
-        step = ((own.astype(np.float64) - self.edges[k]) / wide * STEPS).clip(0, STEPS - 1).astype(np.int64)
-        return np.where(none, self.of_null, k * STEPS + step)
+        step = ((own.astype(np.float64) - self.edges[k]) / wide * self.steps).clip(0, self.steps - 1).astype(np.int64)
+        return np.where(none, self.of_null, k * self.steps + step)
 
     def slot(self, ids, ties) -> np.ndarray:
         f = self.fine(ids)
@@ -189,10 +189,10 @@ def ordered_slices(docs: DataFrame, id_col: str, text_col: str, with_next: bool
     spark = docs.sparkSession
     docs = docs.withColumn("tie", tie_order(text_col))
     at = [i / QUANTILES for i in range(QUANTILES)]
-    low, high, found = docs.agg(F.min(id_col), F.max(id_col), F.percentile_approx(id_col, F.lit(at), F.lit(10 * QUANTILES))).first()
-    cuts = _Cuts(sorted({low or 0, *(found or [])}), (high or 0) + 1 if (high or 0) < (1 << 63) - 1 else (1 << 63) - 1)
+    low, high, n, found = docs.agg(F.min(id_col), F.max(id_col), F.count(id_col), F.percentile_approx(id_col, F.lit(at), F.lit(10 * QUANTILES))).first()
+    cuts = _Cuts(sorted({low or 0, *(found or [])}), min((high or 0) + 1, (1 << 63) - 1), max(1, min(STEPS, n // (STEP_ROWS * QUANTILES))))
     fine = F.pandas_udf(lambda ids: pd.Series(cuts.fine(ids).astype(np.int32)), "int")
-    sizes = docs.groupBy(fine(F.col(id_col).cast("long")).alias("f")).agg(F.sum(F.coalesce(F.octet_length(text_col), F.lit(0))).alias("n"), F.min(F.struct(id_col, "tie")).alias("head"), (F.min(id_col).eqNullSafe(F.max(id_col))).alias("one")).collect()
+    sizes = docs.groupBy(fine(F.col(id_col).cast("long")).alias("f")).agg(F.sum(F.coalesce(F.octet_length(text_col), F.lit(0))).alias("n"), F.min(id_col).alias("head"), (F.min(id_col).eqNullSafe(F.max(id_col))).alias("one")).collect()
     sizes.sort(key=lambda r: r["f"])
     most = max(SLICE_BYTES, sum(r["n"] for r in sizes) // MOST_SLICES)
     first, parts = np.zeros(cuts.of_null + 1, np.int32), np.ones(cuts.of_null + 1, np.int32)
@@ -203,13 +203,13 @@ def ordered_slices(docs: DataFrame, id_col: str, text_col: str, with_next: bool
             slots += 1
             held = 0
             if not several:
-                heads.append((slots - 1, tuple(r["head"])))
+                heads.append((slots - 1, (r["head"], None)))
         first[r["f"]] = slots - 1
         held += r["n"]
         if several:
             parts[r["f"]] = -(-r["n"] // most)
             slots += int(parts[r["f"]]) - 1
-            hot.append(r["head"][0])
+            hot.append(r["head"])
             held = None
     slots = max(slots, 1)
     cuts.first, cuts.parts = first, parts
@@ -233,11 +233,12 @@ def ordered_slices(docs: DataFrame, id_col: str, text_col: str, with_next: bool
     return out.repartitionById(slots, F.col("slot")).sortWithinPartitions(*keys), slots
 
 
-def _copied_to(ids, ties, copied: dict[tuple[int | None, int], int], known: np.ndarray) -> np.ndarray:
-    """The slot that gets a copy of each row: that before the slice which begins with its id and tie; -1 for none."""
+def _copied_to(ids, ties, copied: dict[tuple[int | None, int | None], int], known: np.ndarray) -> np.ndarray:
+    """The slot that gets a copy of each row: that before the slice which begins with its id (and tie, of a hot id); -1 for none."""
     none = ids.isna().to_numpy()
     own, ties = ids.fillna(0).to_numpy().astype(np.int64), ties.to_numpy()
     out = np.full(len(own), -1, np.int32)
     for i in np.flatnonzero(none | np.isin(own, known)):
-        out[i] = copied.get((None if none[i] else int(own[i]), int(ties[i])), -1)
+        d = None if none[i] else int(own[i])
+        out[i] = copied[d, None] if (d, None) in copied else copied.get((d, int(ties[i])), -1)
     return out

@@ -155,7 +155,13 @@ def read_block(payload: bytes, k: int) -> np.ndarray:
 #: The parts of a tokenizer file by which texts may be encoded chunk by chunk, and their split pattern for ASCII without white space.
 NORMALIZER = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]}
 SPLITTER = {"type": "Sequence", "pretokenizers": [{"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed", "invert": True}, {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]}
-PIECE = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
+PIECE = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zÀ-ÖØ-öø-ſ]+|[0-9]|[^a-z0-9À-ÖØ-öø-ſ]+")
+#: Printable ASCII and Latin letters, but for the one whose small letter is two characters: composed as they are, each with a small letter of its own.
+SIMPLE = re.compile(r"[!-~À-ÖØ-öø-įı-ſ]+")
+#: How the splitter writes those letters: each byte as a character, itself if it can be printed, else the next one from 256 on.
+_SHOWN = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
+_BYTE = {b: chr(b) for b in _SHOWN} | {b: chr(256 + k) for k, b in enumerate(sorted(set(range(256)) - set(_SHOWN)))}
+AS_BYTES = {c: "".join(_BYTE[b] for b in chr(c).encode()) for c in range(0xC0, 0x180)}
 MOST_CACHED = 250_000
 
 
@@ -163,9 +169,9 @@ class Encoder(dict):
     """The tokenizer's ids of whole texts, as little-endian unsigned 32-bit integers.
 
     A tokenizer with NORMALIZER and SPLITTER never joins what a space or line feed
-    separates, so its ids are kept by chunk between them. Plain ASCII chunks go
-    straight to the tokenizer's model, others through the whole tokenizer. Any other
-    tokenizer gets whole texts.
+    separates, so its ids are kept by chunk between them. Chunks of plain ASCII and
+    Latin letters go straight to the tokenizer's model, others through the whole
+    tokenizer. Any other tokenizer gets whole texts.
     """
 
     def __init__(self, path: str):
@@ -181,14 +187,14 @@ class Encoder(dict):
 
     def _piece(self, piece: str) -> bytes:
         if (got := self.pieces.get(piece)) is None:
-            got = self.pieces[piece] = array("I", [t.id for t in self.model.tokenize(piece)]).tobytes()
+            got = self.pieces[piece] = array("I", [t.id for t in self.model.tokenize(piece if piece.isascii() else piece.translate(AS_BYTES))]).tobytes()
         return got
 
     def __missing__(self, chunk: str) -> bytes:
         if (got := self.older.get(chunk)) is not None:
             self[chunk] = got
             return got
-        if chunk.isascii() and chunk.isprintable() and "<|" not in chunk:
+        if SIMPLE.fullmatch(chunk) and "<|" not in chunk:
             low = chunk.lower()
             found = [low] if low.isalpha() else PIECE.findall(low)
             got = self._piece(low) if len(found) == 1 else b"".join(map(self._piece, found))
