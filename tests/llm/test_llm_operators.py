@@ -761,6 +761,15 @@ def test_decoding_by_segments_is_decoding_of_the_whole(char_model, token):
     assert "".join(toxicity.decode(token, char_model).split()) == "".join(toxicity._likeliest("^^", token, True, char_model).split())
 
 
+def test_scores_do_not_depend_on_what_was_read_before(toxic_model, monkeypatch):
+    texts = ["of the and 1d10t", "i d i o t, of", "stuupid stuupid the", "", "ää öö y y y", "plain words only"]
+    alone = [toxicity.Scorer(toxic_model).score(t) for t in texts]
+    scorer = toxicity.Scorer(toxic_model)
+    assert scorer.scores(texts) == alone == scorer.scores(texts)
+    monkeypatch.setattr(toxicity, "MOST_CACHED", 2)
+    assert [scorer.score(t) for t in texts] == alone
+
+
 def readings(token, model):
     """Every path through the lattice of a token without gaps: (cost, word), by the definition of the costs."""
     from itertools import groupby, product

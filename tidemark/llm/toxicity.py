@@ -61,7 +61,7 @@ DOTTED = re.compile(rf"{ONE}\1*(?:[.\-_*]+{ONE.replace('(', '(?P<x>', 1)}(?P=x)*
 SUBSTITUTE, REPEAT, INSERT, SPURIOUS = 1.0, 0.7, 0.5, 10.0
 #: The same of a gap between characters spaced apart that ends a word, as about one in five does.
 SPLIT = 2.0
-MOST_CACHED, MOST_COUNTED, STRONG = 150_000, 100_000, 2.5
+MOST_CACHED, MOST_COUNTED, STRONG = 300_000, 100_000, 2.5
 
 
 ASCII_MARKS = "".join(c for c in map(chr, range(128)) if re.fullmatch(MARK, c))
@@ -131,19 +131,19 @@ class CharModel:
         """Adds the codes of each word's n-grams as often as it is given."""
         if not words:
             return
-        codes = np.frombuffer("".join(f"^^{w}$" for w in words).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
-        lengths = np.fromiter((len(w) + 3 for w in words), np.int64, len(words))
-        times = np.repeat(np.fromiter(words.values(), np.int64, len(words)), lengths)
-        left = np.repeat(np.cumsum(lengths), lengths) - np.arange(len(codes))  # characters of the word from here on
-        grams = np.zeros_like(codes)
-        for size in (1, 2, 3):
-            here = np.flatnonzero(left >= size)
-            grams[here] = grams[here] << 21 | codes[here + size - 1]
-            kinds, of = np.unique(grams[here], return_inverse=True)
-            sums = np.zeros(len(kinds), np.int64)
-            np.add.at(sums, of, times[here])
-            for k, n in zip(kinds.tolist(), sums.tolist(), strict=True):
+        codes = np.frombuffer("".join(f"^^{w}$\0\0" for w in words).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+        lengths = np.fromiter((len(w) + 5 for w in words), np.int64, len(words))
+        times = np.repeat(np.fromiter(words.values(), np.int64, len(words)), lengths)[:-2]
+        # One sort of three characters at each place; shorter n-grams are their beginnings. What has an end mark is none.
+        here = np.flatnonzero(codes[:-2])
+        kinds, of = np.unique(codes[here] << 42 | codes[here + 1] << 21 | codes[here + 2], return_inverse=True)
+        sums = np.bincount(of, weights=times[here]).astype(np.int64)
+        for size in (3, 2, 1):
+            whole = kinds & 0x1FFFFF != 0
+            for k, n in zip(kinds[whole].tolist(), sums[whole].tolist(), strict=True):
                 into[k] += n
+            kinds, first = np.unique(kinds >> 21, return_index=True)
+            sums = np.add.reduceat(sums, first) if size > 1 else sums
 
 
 def _letter(c: str) -> bool:
@@ -258,30 +258,24 @@ def word_features(word: str) -> list[str]:
     return ["=" + word, *["^" + word[:k] for k in (4, 5, 6) if len(word) > k]]
 
 
-class _Kinds(dict):
-    """s for a short token, - for mere marks, a dot for others; filled as tokens are met."""
-
-    def __missing__(self, token: str) -> str:
-        if len(self) > MOST_CACHED:
-            self.clear()
-        if len(token) > 1 and token[0].isalnum() and token[1].isalnum() and token[0] != token[1]:
-            got = "."
-        else:
-            got = "s" if SHORT.fullmatch(token) else "." if bare(token) else "-"
-        self[token] = got
-        return got
+def kind_of(token: str) -> str:
+    """s for a short token, - for mere marks, a dot for others."""
+    if token.isalpha():
+        return "s" if token[0] == token[-1] and token.count(token[0]) == len(token) else "."
+    if len(token) > 1 and token[0].isalnum() and token[1].isalnum() and token[0] != token[1]:
+        return "."
+    return "s" if SHORT.fullmatch(token) else "." if bare(token) else "-"
 
 
-_kinds = _Kinds()
+def runs_of(tokens: list[str], kinds: str) -> list[str]:
+    """Each run of characters spaced apart, with one blank in every gap."""
+    return [" ".join(x for t in tokens[m.start() : m.end()] if (x := bare(t))) for m in RUN.finditer(kinds)] if "s" in kinds else []
 
 
 def words_of(text: str) -> list[str]:
     """Lower-case tokens, and each run of characters spaced apart with one blank in every gap."""
     tokens = text.lower().split()
-    kinds = "".join(["." if len(t) > 2 and t[0] != t[1] and t.isalpha() else _kinds[t] for t in tokens])
-    if "s" in kinds:
-        tokens += [" ".join(x for t in tokens[m.start() : m.end()] if (x := bare(t))) for m in RUN.finditer(kinds)]
-    return tokens
+    return tokens + runs_of(tokens, "".join(map(kind_of, tokens)))
 
 
 def features(token: str, model: CharModel) -> list[list[str]]:
@@ -301,21 +295,32 @@ class Scorer:
         self.coefficients = model["coefficients"]
         self.starts = {f[:5] for f in self.weights if f[0] == "^"}
         self.longest = max((len(f) - 1 for f in self.weights if f[0] == "="), default=0)
-        self.known: dict[str, tuple[float, ...]] = {}
+        self.kinds: dict[str, str] = {}
+        self.hits: dict[str, tuple[float, ...]] = {}  # weights of the tokens in kinds that have any
 
     def weight(self, token: str) -> tuple[float, ...]:
         """The largest weight among the features of each restored word that has one."""
-        if (got := self.known.get(token)) is None:
-            if len(self.known) > MOST_CACHED:
-                self.known.clear()
-            words = restored(token, self.chars)
-            got = tuple(w for w in map(self.heaviest, words) if w)
-            if not token.isalpha() and spaced(bare(token)):
-                got = max(got, self.strong_within("".join(words)), key=sum)
-            if len(token) <= 64:
-                self.known[token] = got
+        words = restored(token, self.chars)
+        got = tuple(w for w in map(self.heaviest, words) if w)
+        if not token.isalpha() and spaced(bare(token)):
+            got = max(got, self.strong_within("".join(words)), key=sum)
         return got
 
+    def meet(self, tokens: set[str]) -> None:
+        """Takes note of the kind and the weights of tokens."""
+        if len(self.kinds) > MOST_CACHED:
+            self.kinds.clear()
+            self.hits.clear()
+        fresh = tokens - self.kinds.keys()
+        self.kinds.update(zip(fresh, map(kind_of, fresh), strict=True))
+        for t in fresh:
+            core = t if t.isalpha() else bare(t)
+            if core.isalpha() and not DOUBLED.search(core):  # one path
+                if w := self.heaviest(core):
+                    self.hits[t] = (w,)
+            elif got := self.weight(t):
+                self.hits[t] = got
+
     def heaviest(self, word: str) -> float:
         """The largest weight among a word's features, 0 if it has none."""
         n, g, got = len(word), self.weights.get, 0.0
@@ -339,24 +344,30 @@ class Scorer:
         return tuple(out)
 
     def summary(self, text: str) -> list[float]:
-        """Strongest weights, their sum and number, and the number a root of all words."""
-        tokens = words_of(text)
-        known = self.known
-        found = []
-        for t, n in Counter(tokens).items():
-            own = known.get(t)
-            if own is None:
-                own = self.weight(t)
-            for w in own:
-                found.append((w, n))
-        found.sort(reverse=True)
-        top = [w for w, n in found[:3] for _ in range(min(n, 3))] + [0.0] * 3  # of the three heaviest words; three places are used
-        total, number = sum(w for w, _ in found), sum(n for _, n in found)
-        strong = sum(n for w, n in found if w > STRONG)
-        return [top[0], top[1], top[2], math.log1p(total), math.log1p(number), math.log1p(strong), 10 * strong / math.sqrt(len(tokens) + 10), 100 * strong / (len(tokens) + 50)]
+        return self.summaries([text])[0]
+
+    def summaries(self, texts: list[str]) -> list[list[float]]:
+        """Of each text the three heaviest words, the sum and number of all that weigh, and the strong ones by a root of all words and by all words."""
+        docs = [t.lower().split() for t in texts]
+        self.meet(set().union(*docs))
+        out = []
+        for tokens in docs:
+            found = [(w, tokens.count(t)) for t in self.hits.keys() & set(tokens) for w in self.hits[t]]
+            runs = runs_of(tokens, "".join(map(self.kinds.__getitem__, tokens)))
+            found += [(w, n) for t, n in Counter(runs).items() for w in self.weight(t)]
+            found.sort(reverse=True)
+            top = [w for w, n in found[:3] for _ in range(min(n, 3))] + [0.0] * 3
+            total, number = sum(w for w, _ in found), sum(n for _, n in found)
+            strong = sum(n for w, n in found if w > STRONG)
+            n_all = len(tokens) + len(runs)
+            out.append([top[0], top[1], top[2], math.log1p(total), math.log1p(number), math.log1p(strong), 10 * strong / math.sqrt(n_all + 10), 100 * strong / (n_all + 50)])
+        return out
+
+    def scores(self, texts: list[str]) -> list[float]:
+        return [float(1 / (1 + math.exp(-max(-30.0, min(30.0, float(np.dot(self.coefficients[1:], x) + self.coefficients[0])))))) for x in self.summaries(texts)]
 
     def score(self, text: str) -> float:
-        return float(1 / (1 + math.exp(-max(-30.0, min(30.0, float(np.dot(self.coefficients[1:], self.summary(text)) + self.coefficients[0]))))))
+        return self.scores([text])[0]
 
 
 _scorers: dict[int, Scorer] = {}
@@ -388,23 +399,23 @@ class _Sent:
 # ---- learning
 
 
-class _Plain(dict):
-    """The plain word of a token, empty if it isn't one; filled as tokens are met."""
-
-    def __missing__(self, token: str) -> str:
-        if len(self) > MOST_CACHED:
-            self.clear()
-        w = token if token.isalpha() else plain(token)
-        got = self[token] = w if w.isalpha() and not REPEATED.search(w) else ""
-        return got
+def _plain(token: str) -> str:
+    """The plain word of a token, empty if it isn't one."""
+    w = token if token.isalpha() else plain(token)
+    return w if w.isalpha() and not REPEATED.search(w) else ""
 
 
 def _char_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Character n-grams of plain words, counted once for each text that has the word."""
-    into, seen, words = Counter(), Counter(), _Plain()
+    into, seen, words = Counter(), Counter(), {}
     for b in common.small_batches(batches, "text"):
-        for text in common.strings(b.column(0)):
-            seen.update(set(map(words.__getitem__, set(text.lower().split()))))
+        docs = [set(text.lower().split()) for text in common.strings(b.column(0))]
+        if len(words) > MOST_CACHED:
+            words.clear()
+        fresh = set().union(*docs) - words.keys()
+        words.update(zip(fresh, map(_plain, fresh), strict=True))
+        for tokens in docs:
+            seen.update(set(map(words.__getitem__, tokens)))
         if len(seen) > MOST_COUNTED:  # n-grams are far fewer than words
             seen.pop("", None)
             CharModel.count(seen, into)
@@ -441,7 +452,7 @@ def _doc_features(batches: Iterator[pa.RecordBatch], chars: Grams, wanted: froze
 def _summaries(batches: Iterator[pa.RecordBatch], sent: _Sent) -> Iterator[pa.RecordBatch]:
     scorer = _scorer(sent)
     for b in common.small_batches(batches, "text"):
-        x = [scorer.summary(t) for t in common.strings(b.column(1))]
+        x = scorer.summaries(common.strings(b.column(1)))
         yield pa.RecordBatch.from_arrays([b.column(0), pa.array(x, pa.list_(pa.float64()))], names=["label", "x"])
 
 
@@ -501,7 +512,7 @@ def learn(docs: DataFrame, labels: DataFrame) -> dict | None:
 def _scored(batches: Iterator[pa.RecordBatch], sent: _Sent | None) -> Iterator[pa.RecordBatch]:
     scorer = _scorer(sent) if sent else None
     for b in common.small_batches(batches, "text"):
-        scores = [scorer.score(t) if scorer else 0.0 for t in common.strings(b.column(2))]
+        scores = scorer.scores(common.strings(b.column(2))) if scorer else [0.0] * b.num_rows
         yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(scores, pa.float64()), pa.array([int(s >= CUT) for s in scores], pa.int32())], names=["doc_id", "held_out", "score", "predicted"])
 
 
@@ -516,8 +527,8 @@ def score(docs: DataFrame, model: dict | None) -> DataFrame:
 def _score_texts(texts, sent: _Sent):
     import pandas as pd
 
-    scorer = _scorer(sent)
-    return pd.Series([scorer.score(t or "") for t in texts])
+    scorer, texts = _scorer(sent), [t or "" for t in texts]
+    return pd.Series([x for i in range(0, len(texts), 512) for x in scorer.scores(texts[i : i + 512])], dtype=float)
 
 
 def keep_clean(docs: DataFrame, model: dict | None) -> DataFrame:
