@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tidemark import config as configs
 from tidemark.functions import coerce, display
 from tidemark.operators import checks, mapping, marts, merge
+from tidemark.plans import pipeline
 from tidemark.report import run_context, table
 from tidemark.sources import files
 
@@ -55,7 +56,7 @@ def test_csv_quirks(spark, tmp_path):
     # Spark's reader doesn't tell an empty cell from one that isn't there.
     assert got == {1: {"a": "1", "b": "x\ny", "c": "3"}, 2: {"a": "2"}, 3: {"a": "3", "b": 'say "hi"', "c": "5"}}
     assert files.header(spark, str(p), "csv") == ["a", "b", "c"] and files.header(spark, str(tmp_path / "empty.csv"), "csv") == []
-    assert len(files.fingerprint(spark, str(p))) == 64
+    assert [len(x) for x in files.fingerprints(spark, [str(p)]).values()] == [64]
     assert [(r, n) for _, r, n in files.discover(spark, str(tmp_path), "*.csv")] == [("a.csv", p.stat().st_size), ("empty.csv", 4)]
 
 
@@ -159,7 +160,8 @@ def test_config_is_strict():
     sources = {"ad_spend": SPEC}
     good = {"id": "t", "currency": "EUR", "sources": {"ad_spend": {"path": "*"}}}
     assert configs.parse_tenant(good, sources).late_arrivals == "restate"
-    for bad in ({"id": "T"}, {"currency": "eu"}, {"sources": {"x": {"path": "*"}}}, {"more": 1}, {"policies": {"late_arrivals": "never"}}, {"normalize": {"channel": {"Google": "paid_search"}}}, {"normalize": {"channel": {"google": "search"}}}):
+    assert configs.parse_tenant(good | {"id": "9-a_b", "currency": "eur"}, sources).currency == "EUR"
+    for bad in ({"id": "T"}, {"currency": "eu"}, {"id": "a/b"}, {"sources": {"x": {"path": "*"}}}, {"more": 1}, {"policies": {"late_arrivals": "never"}}, {"normalize": {"channel": {"Google": "paid_search"}}}, {"normalize": {"channel": {"google": "search"}}}):
         with pytest.raises(configs.ConfigError):
             configs.parse_tenant(good | bad, sources)
     with pytest.raises(configs.ConfigError):
@@ -168,6 +170,18 @@ def test_config_is_strict():
 
 def test_texts():
     assert table([{"a": 1, "b": None}, {"a": 22, "b": "x"}]) == "  a   b\n  --  -\n  1\n  22  x" and table([]) == "  (none)"
-    stats = {"files": [{"status": "resumed", "path": "p", "note": "resumed from line 2"}, {"status": "duplicate"}], "marts": {"orphans_resolved": 2}}
-    assert run_context("succeeded", None, stats) == "resumed p at line 2; 1 file already loaded, skipped; 2 refunds found their order"
+    stats = {"files": [{"status": "resumed", "path": "p", "note": "after record 2"}, {"status": "duplicate"}], "marts": {"orphans_resolved": 2}}
+    assert run_context("succeeded", None, stats) == "resumed: p (after record 2) | known by content: 1 | orphans settled: 2"
+    assert run_context("failed", "x", {}) == "failed: x" and run_context("succeeded", None, {}) is None and run_context("running", None, {})
 
+
+def test_a_filter_on_held_works_out_each_value_once(spark):
+    records = spark.range(1).selectExpr("id as file_load_id", "id as line_no", "concat('{', cast(id as string), '}') as payload", "cast(null as string) as error", "'v1' as schema_version")
+    plan = mapping.quarantined(mapping.map_rows(records, SPEC, TENANT))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json") == 1 and plan.count("trim(") == len(SPEC.fields)
+
+
+def test_chunks():
+    row = lambda i, done=0: ("p", {"id": i, "rows_committed": done}, None)
+    got = pipeline._chunks([row(1), row(2), row(3), row(4, 5), row(5), row(6)], {1: 2, 2: 3, 3: 4, 4: 12, 6: 1}, 5)
+    assert [[(r["id"], a, b) for r, _, a, b in c] for c in got] == [[(1, 0, 2), (2, 0, 3)], [(3, 0, 4)], [(4, 5, 10)], [(4, 10, 15)], [(4, 15, 17)], [(5, 0, 0), (6, 0, 1)]]

@@ -77,6 +77,10 @@ def test_reads(spark, clean):
     fresh = {r.source: (r.last_covered, r.stale_days, r.missing) for r in reads.freshness(s, date(2026, 1, 10)).collect()}
     assert fresh["ad_spend"] == (date(2026, 1, 6), 0, 1)
     assert reads.holds(s).where("kind = 'conflict'").count() == 1
+    assert reads.hold_counts(s) == {"quarantine": 4, "schema event": 1, "conflict": 1} and "at" in reads.holds(s).columns
+    card = reads.revenue_card(s)
+    assert list(card["channels"]) == ["paid_social", "paid_search", "email", "direct", "unattributed"] and card["net"] == sum(card["channels"].values()) == card["gross"] - card["refunds"]
+    assert (card["currency"], card["last_run"]["status"], reads.restatement_days(s).count()) == ("USD", "succeeded", 0)
     assert reads.runs(s)[0]["status"] == "succeeded"
     assert reads.status(s)["missing"] == 1
     assert tenants(spark, str(clean[0] / "store")) == ["shop"]
@@ -114,7 +118,31 @@ def test_crash_then_resume_is_a_clean_run(spark, clean, tmp_path):
     assert partial == [("shop/orders/batch_01.csv", "loading", 2)]
     assert s.read("ops.runs").first().status == "failed"
     stats = run_tenant(spark, config, str(tmp_path / "store"), "shop", now=NOW)
-    assert [(f.status, f.note) for f in stats.files if f.path == "shop/orders/batch_01.csv"] == [("resumed", "resumed from line 2")]
+    assert [(f.status, f.note) for f in stats.files if f.path == "shop/orders/batch_01.csv"] == [("resumed", "after record 2")]
+    assert snapshot(session(spark, tmp_path)) == snapshot(session(spark, clean[0]))
+
+
+def test_a_kill_between_chunks_resumes(spark, clean, tmp_path, monkeypatch):
+    config = build(tmp_path)
+    append, calls = TenantSession.append, []
+
+    def killed(self, name, rows):
+        if name == "raw.records":
+            calls.append(name)
+            if len(calls) == 7:
+                raise KeyboardInterrupt
+        append(self, name, rows)
+
+    monkeypatch.setattr(TenantSession, "append", killed)
+    with pytest.raises(KeyboardInterrupt):
+        run_tenant(spark, config, str(tmp_path / "store"), "shop", now=NOW, chunk_rows=2)
+    monkeypatch.undo()
+    s = session(spark, tmp_path)
+    # Two chunks of ad_spend, three of email, one of the first orders file.
+    assert [(r.path, r.status, r.rows_committed) for r in s.read("raw.file_loads").where("status <> 'loaded'").collect()] == [("shop/orders/batch_01.csv", "loading", 2)]
+    assert s.read("raw.records").count() == 12 and [(r.id, r.status, r.finished_at) for r in s.read("ops.runs").collect()] == [(1, "running", None)]
+    stats = run_tenant(spark, config, str(tmp_path / "store"), "shop", now=NOW, chunk_rows=3)
+    assert stats.run_id == 2 and [(r["id"], r["status"]) for r in reads.runs(session(spark, tmp_path))] == [(2, "succeeded"), (1, "running")]
     assert snapshot(session(spark, tmp_path)) == snapshot(session(spark, clean[0]))
 
 
@@ -131,6 +159,7 @@ def test_late_records_restate(spark, clean, tmp_path):
     assert moved == {(second, "unattributed", "refunds"): (Decimal("5.00"), Decimal("2.00")), (second, "unattributed", "net"): (Decimal("-5.00"), Decimal("-2.00"))}
     assert s.read("ops.restatements").first().cause == "late or changed records in: orders, refunds"
     assert snapshot(s) == snapshot(session(spark, clean[0]))
+    assert [(r.day, r.n, r.sources, r.marts) for r in reads.restatement_days(s).collect()] == [(second, 2, ["orders", "refunds"], 1)]
 
 
 def test_freeze_books_late_records_on_arrival(spark, tmp_path):
@@ -151,7 +180,7 @@ def test_unknown_header_and_unmapped_label(spark, tmp_path):
     files["orders/batch_02.csv"] = files["orders/batch_02.csv"].replace("facebook", "Pinterest")
     config = build(tmp_path, files=files)
     stats = run_tenant(spark, config, str(tmp_path / "store"), "shop", now=NOW)
-    assert [f.note for f in stats.files if f.status == "quarantined"] == ["required fields not found: spend"]
+    assert [f.note for f in stats.files if f.status == "quarantined"] == ["no column for spend"]
     held = session(spark, tmp_path).read("ops.quarantine").where("reason = 'unmapped_value'").collect()
     assert [(r.source, '"value":"Pinterest"' in r.detail) for r in held] == [("orders", True)]
     labels = {"facebook": "paid_social", "google": "paid_search", "email": "email", "direct": "direct", "pinterest": "other"}
@@ -162,6 +191,6 @@ def test_unknown_header_and_unmapped_label(spark, tmp_path):
 
 def test_fail_policy(spark, tmp_path):
     config = build(tmp_path, unknown="fail", files={"ad_spend/batch_02.csv": "date,campaign_id,platform,cost\n2026-01-03,c1,facebook,1.00\n"})
-    with pytest.raises(RunFailed, match="required fields spend not found"):
+    with pytest.raises(RunFailed, match="no column for spend"):
         run_tenant(spark, config, str(tmp_path / "store"), "shop", now=NOW)
     assert session(spark, tmp_path).read("raw.file_loads").count() == 0

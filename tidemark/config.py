@@ -14,7 +14,7 @@ EVENT_TYPES = ("delivered", "open", "click", "unsubscribe", "bounce")
 SOURCE_ORDER = ("orders", "email_events", "ad_spend", "refunds")
 CHANNEL_ORDER = (*CHANNELS, "unattributed")
 FIELD_TYPES = ("string", "timestamp", "date", "money")
-TENANT_ID = re.compile(r"[a-z][a-z0-9_]{0,62}")
+TENANT_ID = re.compile(r"[a-z0-9_-]+")
 
 
 class ConfigError(ValueError):
@@ -95,8 +95,8 @@ def parse_tenant(raw: dict, sources: dict[str, Source]) -> Tenant:
     _only(raw, {"id", "display_name", "currency", "sources", "normalize", "campaign_map", "expected_deliveries", "policies"}, where)
     if not TENANT_ID.fullmatch(str(raw.get("id", ""))):
         raise ConfigError(f"{where}: bad id")
-    if not re.fullmatch(r"[A-Z]{3}", str(raw.get("currency", ""))):
-        raise ConfigError(f"{where}: currency must be three capitals")
+    if not re.fullmatch(r"[A-Za-z]{3}", str(raw.get("currency", ""))):
+        raise ConfigError(f"{where}: currency must be three letters")
     for s, spec in raw["sources"].items():
         if s not in sources:
             raise ConfigError(f"{where}: unknown source {s}")
@@ -115,7 +115,7 @@ def parse_tenant(raw: dict, sources: dict[str, Source]) -> Tenant:
         raise ConfigError(f"{where}: bad policy")
     manifest = (raw.get("expected_deliveries") or {}).get("manifest")
     return Tenant(
-        raw["id"], raw.get("display_name", raw["id"]), raw["currency"], {s: x["path"] for s, x in raw["sources"].items()}, raw.get("normalize", {}), raw.get("campaign_map", {}), manifest, late, unknown, bool(policies.get("freeze_in_load_order", False))
+        raw["id"], raw.get("display_name", raw["id"]), raw["currency"].upper(), {s: x["path"] for s, x in raw["sources"].items()}, raw.get("normalize", {}), raw.get("campaign_map", {}), manifest, late, unknown, bool(policies.get("freeze_in_load_order", False))
     )
 
 

@@ -11,13 +11,14 @@ from pyspark.sql import functions as F
 TIMESTAMP = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}(\.\d{1,6})?Z$"
 DATE = r"^\d{4}-\d{2}-\d{2}$"
 MONEY = r"^-?\d+(\.\d{1,2})?$"
-SPACE = r"[\s\p{Z}\x{FEFF}]+"
+#: White space of any alphabet, and the byte order mark.
+SPACE = "\t\n\x0b\f\r \u00a0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000\ufeff"
 MONEY_TYPE = "decimal(14,2)"
 
 
 def trimmed(c: Column) -> Column:
     """c without white space of any alphabet around it."""
-    return F.regexp_replace(c, f"^{SPACE}|{SPACE}$", "")
+    return F.trim(c, F.lit(SPACE))
 
 
 def present(c: Column) -> Column:
@@ -42,14 +43,10 @@ def typed(c: Column, kind: str) -> Column:
     return {"string": lambda x: x, "timestamp": timestamp, "date": date, "money": money}[kind](c)
 
 
-def canonical(c: Column, kind: str) -> Column:
-    """The string that is stored and hashed for a good value: money to two places, all else as given."""
-    return money(c).cast("string") if kind == "money" else c
-
-
 def problem(c: Column, kind: str) -> Column:
-    says = {"timestamp": "not an ISO-8601 UTC timestamp: ", "date": "not a YYYY-MM-DD date: ", "money": "not a money amount: "}
-    return F.concat(F.lit(says[kind]), c) if kind in says else F.lit("")
+    """Why a value isn't of its kind."""
+    wanted = {"timestamp": "UTC time like 2026-01-31T09:30:00Z", "date": "day like 2026-01-31", "money": "amount with two decimals at most"}
+    return F.concat(F.lit(f"want a {wanted[kind]}, got "), c) if kind in wanted else F.lit("")
 
 
 def utc_day(c: Column) -> Column:

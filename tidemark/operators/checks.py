@@ -9,6 +9,9 @@ from ..config import CHANNEL_ORDER, SOURCE_ORDER
 from ..functions import display
 
 MONEY = "decimal(14,2)"
+#: The reason that conflicts are shown with, and the keys of a hold's detail in the order they are shown in.
+REDELIVERED = "redelivered with different content"
+DETAIL_ORDER = ("order_id", "refund_id", "event_id", "field", "alias", "value", "map", "columns", "fields", "amount", "error", "file")
 
 
 def source_rank(source: Column | str = "source") -> Column:
@@ -86,15 +89,24 @@ def latest_restatements(restatements: DataFrame, most: int = 500) -> DataFrame:
 
 
 def holds(quarantine: DataFrame, events: DataFrame, conflicts: DataFrame, loads: DataFrame, most: int | None = 300) -> DataFrame:
-    """Everything held back or flagged, with the batch and run it came from."""
+    """Everything held back or flagged, with the batch and run it came from; of what is alike in kind, reference and batch the newest first."""
     f = loads.select(F.col("id").alias("file_load_id"), "batch", F.col("path").alias("_path"), "run_id")
-    q = quarantine.join(f, "file_load_id", "left").select(F.lit("quarantine").alias("kind"), "source", "batch", "ref", "reason", "detail", "run_id")
+    q = quarantine.join(f, "file_load_id", "left").select(F.lit("quarantine").alias("kind"), "source", "batch", "ref", "reason", "detail", "run_id", "at")
     merged = F.to_json(F.map_concat(F.from_json("detail", "map<string,string>"), F.create_map(F.lit("file"), F.col("_path"))))
-    e = events.join(f, "file_load_id", "left").select(F.lit("schema event").alias("kind"), "source", "batch", F.lit("").alias("ref"), F.col("kind").alias("reason"), merged.alias("detail"), "run_id")
+    e = events.join(f, "file_load_id", "left").select(F.lit("schema event").alias("kind"), "source", "batch", F.lit("").alias("ref"), F.col("kind").alias("reason"), merged.alias("detail"), "run_id", "at")
     both = F.to_json(F.create_map(F.lit("previous"), F.col("previous"), F.lit("incoming"), F.col("incoming")))
-    c = conflicts.join(f, "file_load_id", "left").select(F.lit("conflict").alias("kind"), "source", "batch", F.col("natural_key").alias("ref"), F.lit("redelivered with different content").alias("reason"), both.alias("detail"), "run_id")
+    c = conflicts.join(f, "file_load_id", "left").select(F.lit("conflict").alias("kind"), "source", "batch", F.col("natural_key").alias("ref"), F.lit(REDELIVERED).alias("reason"), both.alias("detail"), "run_id", "at")
     out = q.unionByName(e).unionByName(c)
-    return out.orderBy("kind", "ref", "batch", "source", "reason", "detail").limit(most) if most else out
+    order = ["kind", "ref", F.col("batch").asc_nulls_last(), F.desc("at"), "source", "reason", "detail"]
+    return out.orderBy(*order).limit(most) if most else out
+
+
+def shown_detail(detail: Column) -> Column:
+    """A hold's detail (JSON) as `key: value` texts, what identifies the record first, then by name."""
+    entries = F.map_entries(F.from_json(detail, "map<string,string>"))
+    rank = F.array(*[F.lit(k) for k in DETAIL_ORDER])
+    ranked = F.transform(entries, lambda e: F.struct(F.coalesce(F.nullif(F.array_position(rank, e["key"]), F.lit(0)), F.lit(len(DETAIL_ORDER) + 1)).alias("r"), e["key"].alias("key"), e["value"].alias("value")))
+    return F.transform(F.array_sort(ranked), lambda e: F.concat(e["key"], F.lit(": "), F.coalesce(e["value"], F.lit("null"))))
 
 
 def latest_run(runs: DataFrame) -> DataFrame:

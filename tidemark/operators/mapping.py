@@ -55,22 +55,27 @@ def map_rows(records: DataFrame, spec: Source, tenant: Tenant) -> DataFrame:
     """records (file_load_id, line_no, payload, error, schema_version) with `held` (null, or a reason and detail: that of the first failing field), `k`, `content_hash`, `day` and the staging columns.
 
     A field takes the first of its declared names whose key the record has, even if
-    the value there is null or blank.
+    the value there is null or blank. Each step below is a projection of its own, so
+    that a payload is parsed once and a value trimmed and typed once.
     """
     rows = records.withColumn("_p", F.from_json("payload", "map<string,string>"))
-    problems = [F.when(F.col("error").isNotNull(), _held("unparseable", error=F.col("error")))]
-    strings: dict[str, Column] = {}
+    raws, values, goods = {}, {}, {}
     for name, f in spec.fields.items():
         raw = F.lit(None).cast("string")
         for c in reversed(f.names):
             raw = F.when(F.map_contains_key("_p", F.lit(c)), F.element_at("_p", F.lit(c))).otherwise(raw)
-        rows = rows.withColumn(f"_raw_{name}", raw)
-        raw, value = F.col(f"_raw_{name}"), coerce.present(F.col(f"_raw_{name}"))
+        raws[f"_raw_{name}"] = raw
+        values[f"_value_{name}"] = coerce.present(F.col(f"_raw_{name}"))
+        goods[f"_good_{name}"] = coerce.typed(F.col(f"_value_{name}"), f.type)
+    rows = rows.withColumns(raws).withColumns(values).withColumns(goods)
+    problems = [F.when(F.col("error").isNotNull(), _held("unparseable", error=F.col("error")))]
+    strings: dict[str, Column] = {}
+    for name, f in spec.fields.items():
+        raw, value, good = F.col(f"_raw_{name}"), F.col(f"_value_{name}"), F.col(f"_good_{name}")
         if f.required:
             problems.append(F.when(value.isNull(), _held("missing_required", field=F.lit(name))))
-        good = coerce.typed(value, f.type)
         problems.append(F.when(value.isNotNull() & good.isNull(), _held("bad_value", field=F.lit(name), value=raw, error=coerce.problem(value, f.type))))
-        text = coerce.canonical(value, f.type)
+        text = good.cast("string") if f.type == "money" else value  # as stored and hashed: money to two places
         if f.normalize == "lowercase":
             text = F.lower(text)
         elif f.normalize == "uppercase":
@@ -85,8 +90,11 @@ def map_rows(records: DataFrame, spec: Source, tenant: Tenant) -> DataFrame:
     strings["currency"] = F.coalesce(strings.get("currency", F.lit(None).cast("string")), F.lit(tenant.currency))
     strings["schema_version"] = F.col("schema_version")
     key, columns = STAGING[spec.source]
+    # Spark would push a filter on `held` below all this, and so work it out again from the payload; it doesn't push one
+    # below what isn't deterministic.
+    held = F.when(F.spark_partition_id() >= 0, coerce.first_of(problems))
     rows = rows.select(
-        "file_load_id", "line_no", coerce.first_of(problems).alias("held"), coerce.utc_day(strings[spec.event_time]).alias("event_day"),
+        "file_load_id", "line_no", held.alias("held"), coerce.utc_day(strings[spec.event_time]).alias("event_day"),
         *[strings.get(c, F.lit(None).cast("string")).alias(f"s_{c}") for c in columns],
     )
     text = {c: F.col(f"s_{c}") for c in columns}

@@ -6,14 +6,19 @@ clock; ties in every order are broken.
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Callable
+from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .config import Field, Source, Tenant
+from .config import Config, Field, Source, Tenant
 from .functions import coerce, display
 from .operators import checks, mapping, marts, merge
+from .plans.pipeline import run_tenant
+from .store import TenantSession
 
 MONEY = "decimal(14,2)"
 AS_OF = "2024-02-15"
@@ -184,9 +189,11 @@ LINE_ORDER = ("file_load_id", "line_no", "tie", "tie2")
 
 
 def merged_lines(spark: SparkSession, sf_dir: str) -> merge.Merged:
-    new = deliveries_of_lines(spark, sf_dir)
-    prior = spark.createDataFrame([], "k string, supplier long, flag string, amount decimal(14,2), content_hash string, posting_day date, first_file_load_id long, last_file_load_id long, times_seen int")
-    return merge.merge(prior, new, "k", ["supplier", "flag", "amount"], LINE_ORDER)
+    return merge.merge(_no_lines(spark), deliveries_of_lines(spark, sf_dir), "k", ["supplier", "flag", "amount"], LINE_ORDER)
+
+
+def _no_lines(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame([], "k string, supplier long, flag string, amount decimal(14,2), content_hash string, posting_day date, first_file_load_id long, last_file_load_id long, times_seen int")
 
 
 def natural_key_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -208,6 +215,30 @@ steps AS (SELECT *, lag(supplier) OVER w AS p_supplier, lag(flag) OVER w AS p_fl
 outcomes AS (SELECT *, CASE WHEN n = 1 THEN 'inserted' WHEN supplier = p_supplier AND flag = p_flag THEN 'unchanged' ELSE 'updated' END AS outcome FROM steps)"""
 
 
+#: Files from this one on (June 1997) come later.
+LATER = 1997 * 12 + 6
+
+
+def later_lines(spark: SparkSession, sf_dir: str, retry: bool = False) -> merge.Merged:
+    """The later deliveries, merged into the state that the earlier ones left; retry: as rows let go from a hold."""
+    lines = deliveries_of_lines(spark, sf_dir)
+    columns = ["supplier", "flag", "amount"]
+    prior = merge.merge(_no_lines(spark), lines.where(F.col("file_load_id") < LATER), "k", columns, LINE_ORDER).state
+    return merge.merge(prior, lines.where(F.col("file_load_id") >= LATER), "k", columns, LINE_ORDER, retry)
+
+
+def upsert_into_prior(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return later_lines(spark, sf_dir).state.select("k", "supplier", "flag", "posting_day", "first_file_load_id", "last_file_load_id", F.col("times_seen").cast("long").alias("times_seen"))
+
+
+def outcomes_on_prior(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merge.outcome_counts(later_lines(spark, sf_dir).outcomes)
+
+
+def retried_holds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return later_lines(spark, sf_dir, retry=True).state.select("k", "supplier", "flag", "posting_day", "first_file_load_id", "last_file_load_id", F.col("times_seen").cast("long").alias("times_seen"))
+
+
 def orphan_refunds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marts.orphans(refunds_feed(spark, sf_dir), orders_feed(spark, sf_dir)).select("refund_id", "order_id", "amount", "posting_day")
 
@@ -233,6 +264,33 @@ def freshness(spark: SparkSession, sf_dir: str) -> DataFrame:
     return checks.freshness(weeks(spark), week_loads(spark, sf_dir), F.lit(AS_OF).cast("date"))
 
 
+def _many_promised(spark: SparkSession) -> DataFrame:
+    """The weeks, promised by four sources: one out of the known order, one of which nothing came."""
+    return weeks(spark).drop("source").crossJoin(F.broadcast(spark.createDataFrame([("orders",), ("ad_spend",), ("surveys",), ("refunds",)], "source string")))
+
+
+def _many_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    of = F.array(F.lit("orders"), F.lit("surveys"), F.lit("refunds"))
+    return week_loads(spark, sf_dir).withColumn("source", F.explode(of)).where("source <> 'refunds' or batch > 2")
+
+
+def freshness_by_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return checks.freshness(_many_promised(spark), _many_loads(spark, sf_dir), F.lit(AS_OF).cast("date"))
+
+
+def expected_by_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Promised and loaded batches of several sources, with their place in display order."""
+    found = checks.promised_or_loaded(_many_promised(spark), _many_loads(spark, sf_dir))
+    place = F.row_number().over(Window.orderBy(checks.source_rank().asc_nulls_last(), "source", "batch"))  # one row a batch
+    return found.select(place.alias("place"), "source", "batch", "expected", "status")
+
+
+def latest_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last of as many runs as there are orders."""
+    runs = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"), F.when(F.col("o_orderstatus") == "F", "failed").otherwise("succeeded").alias("status"), F.col("o_orderdate").alias("finished_at"))
+    return checks.latest_run(runs)
+
+
 def missing_is_null(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Spend by promised day, null where its week didn't load."""
     loads = week_loads(spark, sf_dir).where("status = 'loaded'").select("batch", F.lit(True).alias("l"))
@@ -266,15 +324,26 @@ def late_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marts.late_postings(o, r, e, s)
 
 
+#: Windows of deliveries of lines that have arrived.
+ARRIVED = [("lines", "1997-06-20", "1997-07-10"), ("ad_spend", "1997-07-05", "1997-07-15")]
+ARRIVED_SQL = "(VALUES " + ", ".join(f"('{n}', DATE '{x}', DATE '{y}')" for n, x, y in ARRIVED) + ") AS a(source, covers_from, covers_to)"
+
+
 def dirty_days(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Days of changed events and refunds, with those that arrived deliveries cover."""
-    e = events_feed(spark, sf_dir).where("event_id % 700 = 0").select(F.col("posting_day").alias("day")).distinct().withColumn("sources", F.array(F.lit("email_events")))
-    r = refunds_feed(spark, sf_dir).where("order_id % 500 = 0").select(F.col("posting_day").alias("day")).distinct().withColumn("sources", F.array(F.lit("refunds")))
-    covered = merge.covered_days(weeks(spark).where("batch in (2, 4)"))
-    out = merge.united_days(e, r, covered)
+    """Days that the later deliveries of lines and all refunds dirty, with those that arrived deliveries cover."""
+    changed = merge.changed_days(later_lines(spark, sf_dir).outcomes, "lines")
+    r = refunds_feed(spark, sf_dir).select(F.col("posting_day").alias("day")).distinct().withColumn("sources", F.array(F.lit("refunds")))
+    arrived = spark.createDataFrame(ARRIVED, "source string, a string, b string").select("source", F.to_date("a").alias("covers_from"), F.to_date("b").alias("covers_to"))
+    out = merge.united_days(changed, r, merge.covered_days(arrived))
     return out.select("day", F.array_join("sources", ", ").alias("sources"), display.cause(F.col("sources")).alias("cause"))
 
 
+def released_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Days that refunds dirty when their orders come at last."""
+    refunds = refunds_feed(spark, sf_dir)
+    return refunds.join(resolved_refunds(spark, sf_dir).withColumnRenamed("ref", "refund_id"), "refund_id", "left_semi").select(F.col("posting_day").alias("day")).distinct()
+
+
 def restatement_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the tenth of the events that came late moved, and what a withdrawn campaign takes away."""
     e = events_feed(spark, sf_dir)
@@ -311,12 +380,29 @@ def finance_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return checks.finance(reported, mart)
 
 
-def holds_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+def all_holds(spark: SparkSession, sf_dir: str, most: int | None) -> DataFrame:
+    """Every quarantined order, two schema events and every conflict of lines."""
     loads = spark.createDataFrame([(1, 3, "orders/batch_03.csv", 12), (24000, 4, "orders/batch_04.csv", 13)], "id long, batch int, path string, run_id long")
-    q = quarantine_rows(spark, sf_dir).select(F.lit(1).cast("long").alias("file_load_id"), F.lit("orders").alias("source"), "ref", "reason", F.to_json(F.struct("field")).alias("detail"))
-    s = spark.createDataFrame([(1, "orders", "alias_used", '{"field":"gross","alias":"amount"}'), (9, "refunds", "unknown_columns", '{"columns":"x"}')], "file_load_id long, source string, kind string, detail string")
-    c = merge.conflicts(merged_lines(spark, sf_dir).outcomes).where("file_load_id between 23990 and 24000").withColumn("source", F.lit("lines"))
-    return checks.holds(q, s, c, loads).select("kind", "source", "batch", "ref", "reason", "run_id")
+    at = lambda hours: F.lit("2024-02-01").cast("timestamp_ntz") + F.make_interval(hours=hours)
+    q = quarantine_rows(spark, sf_dir).select(F.lit(1).cast("long").alias("file_load_id"), F.lit("orders").alias("source"), "ref", "reason", F.to_json(F.struct("value", "field")).alias("detail"), at(F.lit(1)).alias("at"))
+    e = spark.createDataFrame([(1, "orders", "alias_used", '{"field":"gross","alias":"amount"}'), (9, "refunds", "unknown_columns", '{"columns":"x"}')], "file_load_id long, source string, kind string, detail string").withColumn("at", at(F.lit(2)))
+    c = merge.conflicts(merged_lines(spark, sf_dir).outcomes).withColumn("source", F.lit("lines")).withColumn("at", at((F.col("file_load_id") % 7).cast("int")))
+    return checks.holds(q, e, c, loads, most)
+
+
+def holds_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return all_holds(spark, sf_dir, None).select("kind", "source", "batch", "ref", "reason", "run_id", "at")
+
+
+def holds_shown(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 300 of all holds, as the feed has them."""
+    return all_holds(spark, sf_dir, 300).select("kind", "batch", "ref")
+
+
+def hold_details(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Details of the holds of orders, what identifies them first, and of schema events with their file."""
+    found = all_holds(spark, sf_dir, None).where("source <> 'lines'")
+    return found.select("kind", "ref", "reason", F.array_join(checks.shown_detail(F.col("detail")), "; ").alias("detail"))
 
 
 def display_formats(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -327,11 +413,105 @@ def display_formats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return o.select("o_orderkey", display.money(amount).alias("money"), display.delta(F.col("o_custkey") - 500, F.lit(False)).alias("delta"), display.metric(amount, display.is_money_metric(F.lit("daily_revenue"), F.lit("gross"))).alias("metric"), display.symbol(currency).alias("symbol"), display.stamp(F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")).alias("stamp"))
 
 
+# ---- whole runs over delivery files that the tables are written to
+
+
+def _folder(spark: SparkSession) -> str:
+    """A new folder that the driver and executors share."""
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not named:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        named = tempfile.mkdtemp(prefix="tidemark-")
+    return f"{named.rstrip('/')}/deliveries-{uuid.uuid4().hex}"
+
+
+def _deliver(rows: DataFrame, base: str, source: str, kind: str) -> None:
+    """rows as files base/source/batch_N, one for each value of their column batch."""
+    to = f"{base}/{source}"
+    out = rows.repartition("batch").write.partitionBy("batch")
+    out.csv(f"{to}-parts", header=True, quote='"', escape='"', emptyValue="") if kind == "csv" else out.json(f"{to}-parts")
+    spark = rows.sparkSession
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = path(to).getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.mkdirs(path(to))
+    for folder in fs.listStatus(path(f"{to}-parts")):
+        batch = folder.getPath().getName().removeprefix("batch=")
+        for k, part in enumerate(f for f in (fs.listStatus(folder.getPath()) if folder.isDirectory() else []) if f.getPath().getName().startswith("part-")):
+            fs.rename(part.getPath(), path(f"{to}/{'' if not k else f'{k}-'}batch_{int(batch):02}.{kind}"))
+
+
+#: Sources of the run: the money column of later orders has another name.
+RUN_SOURCES = {
+    "orders": Source("orders", "csv", ("order_id",), "created_at", {
+        "order_id": Field(("order_id",), "string", True), "created_at": Field(("created_at",), "timestamp", True), "channel": Field(("channel",), "string", True, "channel"), "gross": Field(("gross", "total"), "money", True),
+        "currency": Field(("currency",), "string", False, "uppercase"), "customer_email": Field(("customer_email",), "string", False, "lowercase")}),
+    "refunds": Source("refunds", "csv", ("refund_id",), "refunded_at", {
+        "refund_id": Field(("refund_id",), "string", True), "refunded_at": Field(("refunded_at",), "timestamp", True), "order_id": Field(("order_id",), "string", True), "amount": Field(("amount",), "money", True), "currency": Field(("currency",), "string", False, "uppercase")}),
+    "email_events": Source("email_events", "ndjson", ("event_id",), "occurred_at", {
+        "event_id": Field(("event_id",), "string", True), "occurred_at": Field(("occurred_at",), "timestamp", True), "type": Field(("type",), "string", True, "event_type"), "email": Field(("email",), "string", False, "lowercase"), "campaign_id": Field(("campaign_id",), "string")}),
+}
+RUN_LABELS = {"channel": LABELS, "event_type": {k: k for k in ("delivered", "open", "click", "unsubscribe", "bounce")}}
+STAMP = "yyyy-MM-dd'T'HH:mm:ss'Z'"
+
+
+def _booked(at: str) -> Column:
+    """Seven years of days on sixty, so that a run has days worth a partition each."""
+    day = F.date_add(F.lit("2024-01-01").cast("date"), F.datediff(at, F.lit("1995-01-01")) % 60)
+    return F.date_format(day, STAMP)
+
+
+def delivered(spark: SparkSession, sf_dir: str, sources: tuple[str, ...], phases: tuple[str, ...]) -> TenantSession:
+    """The tenant's tables after a run over the tables' rows as files: orders and refunds by year, events by week."""
+    base = _folder(spark)
+    if "orders" in sources:
+        o = table(spark, sf_dir, "orders").select(F.col("o_orderkey").cast("string").alias("order_id"), _booked("o_orderdate").alias("created_at"), F.concat(F.lit(" "), "o_orderpriority").alias("channel"), F.col("o_totalprice").cast(MONEY).cast("string").alias("gross"), F.lit("usd").alias("currency"), F.year("o_orderdate").alias("batch"))
+        _deliver(o.where("batch < 1998"), base, "orders", "csv")
+        _deliver(o.where("batch >= 1998").withColumnRenamed("gross", "total"), base, "orders-later", "csv")
+    if "refunds" in sources:
+        r = table(spark, sf_dir, "lineitem").where("l_returnflag = 'R'")
+        refund_id = F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.col("l_extendedprice").cast(MONEY), F.date_format("l_shipdate", "yyyyMMdd"))
+        r = r.select(refund_id.alias("refund_id"), _booked("l_shipdate").alias("refunded_at"), F.col("l_orderkey").cast("string").alias("order_id"), F.col("l_extendedprice").cast(MONEY).cast("string").alias("amount"), F.lit("USD").alias("currency"), F.year("l_shipdate").alias("batch"))
+        _deliver(r, base, "refunds", "csv")
+    if "email_events" in sources:
+        e = events_feed(spark, sf_dir)
+        e = e.select(F.col("event_id").cast("string").alias("event_id"), F.date_format("occurred_at", STAMP).alias("occurred_at"), F.upper("type").alias("type"), "campaign_id", F.weekofyear("occurred_at").alias("batch"))
+        _deliver(e, base, "email_events", "json")
+    paths = {"orders": "orders*/batch_*.csv", "refunds": "refunds/batch_*.csv", "email_events": "email_events/batch_*.json"}
+    tenant = Tenant("bench", "Bench", "USD", {n: paths[n] for n in sources}, RUN_LABELS)
+    run_tenant(spark, Config(base, RUN_SOURCES, {"bench": tenant}), f"{base}/store", "bench", phases=phases, now=datetime(2024, 2, 15, 12))
+    return TenantSession(spark, f"{base}/store", "bench")
+
+
+def delivered_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ledger after the files have come in."""
+    s = delivered(spark, sf_dir, ("orders", "refunds"), ("ingest",))
+    return s.read("raw.file_loads").select("source", "path", "batch", "schema_version", "status", "rows_seen", "rows_committed", "attempts", "run_id", F.array_join("columns", ",").alias("columns"))
+
+
+def delivered_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The revenue mart after a whole run."""
+    return delivered(spark, sf_dir, ("orders", "refunds"), ("ingest", "stage", "marts")).read("mart.daily_revenue").select("day", "channel", "orders", "gross", "refunds", "net", "currency", "complete")
+
+
+def delivered_email(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The email mart after a whole run."""
+    return delivered(spark, sf_dir, ("email_events",), ("ingest", "stage", "marts")).read("mart.daily_email").select("day", "campaign_id", "delivered", "opens", "clicks", "unsubscribes")
+
+
+def delivered_holds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a whole run holds: orders without a label, and refunds whose order isn't known."""
+    s = delivered(spark, sf_dir, ("orders", "refunds"), ("ingest", "stage", "marts"))
+    return s.read("ops.quarantine").groupBy("source", "reason").agg(F.count("*").alias("n"), F.count_distinct("ref").alias("refs"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     own = (
         daily_revenue, daily_revenue_rollup, channel_totals, daily_email, overview_totals, label_normalize, quarantine_rows, coerce_strict, content_hash, natural_key_upsert, upsert_outcomes, conflict_history,
         orphan_refunds, resolved_refunds, expected_vs_loaded, check_deliveries, freshness, missing_is_null, freeze_posting_day, late_postings, dirty_days, restatement_diff, restatements_by_day, latest_restatements,
-        completeness, finance_reconcile, holds_feed, display_formats,
+        completeness, finance_reconcile, holds_feed, holds_shown, hold_details, display_formats, upsert_into_prior, outcomes_on_prior, retried_holds, released_days, freshness_by_source, expected_by_rank, latest_run,
+        delivered_files, delivered_revenue, delivered_email, delivered_holds,
     )
     return {f.__name__: f for f in own}
 
@@ -350,6 +530,20 @@ SPENT = f"""{EVENTS}, {DELIVERED},
 days AS (SELECT CAST(d AS DATE) AS day, bool_and(loads.batch IS NOT NULL) AS complete FROM (SELECT promised.batch, unnest(generate_series(covers_from, covers_to, INTERVAL 1 DAY)) AS d FROM promised) x LEFT JOIN loads ON loads.batch = x.batch AND status = 'loaded' GROUP BY d)"""
 
 
+HELD = f"""{RAW_SQL}, {LINES_SQL}, fed AS (SELECT 'quarantine' AS kind, 'orders' AS source, 3 AS batch, '1:' || CAST(k AS VARCHAR) AS ref, reason, CAST(12 AS BIGINT) AS run_id, TIMESTAMP '2024-02-01 01:00:00' AS at FROM raw WHERE reason IS NOT NULL
+UNION ALL SELECT 'schema event', 'orders', 3, '', 'alias_used', 12, TIMESTAMP '2024-02-01 02:00:00' UNION ALL SELECT 'schema event', 'refunds', NULL, '', 'unknown_columns', NULL, TIMESTAMP '2024-02-01 02:00:00'
+UNION ALL SELECT 'conflict', 'lines', CASE WHEN file_load_id = 24000 THEN 4 END, k, 'redelivered with different content', CASE WHEN file_load_id = 24000 THEN 13 END, TIMESTAMP '2024-02-01' + to_hours(file_load_id % 7) FROM outcomes WHERE outcome = 'updated')"""
+MANY = f"""{DELIVERED}, promised_all AS (SELECT s AS source, batch, covers_from, covers_to FROM promised, unnest(['orders', 'ad_spend', 'surveys', 'refunds']) AS t(s)),
+loads_all AS (SELECT s AS source, batch, status FROM loads, unnest(['orders', 'surveys', 'refunds']) AS t(s) WHERE s <> 'refunds' OR batch > 2)"""
+DELIVERIES = """delivered AS (SELECT 'orders' AS source, CASE WHEN year(o_orderdate) < 1998 THEN 'orders' ELSE 'orders-later' END || '/batch_' || CAST(year(o_orderdate) AS VARCHAR) || '.csv' AS path, year(o_orderdate) AS batch, CASE WHEN year(o_orderdate) < 1998 THEN 'v1' ELSE 'gross=total' END AS schema_version,
+CASE WHEN year(o_orderdate) < 1998 THEN 'order_id,created_at,channel,gross,currency' ELSE 'order_id,created_at,channel,total,currency' END AS columns FROM orders
+UNION ALL SELECT 'refunds', 'refunds/batch_' || CAST(year(l_shipdate) AS VARCHAR) || '.csv', year(l_shipdate), 'v1', 'refund_id,refunded_at,order_id,amount,currency' FROM lineitem WHERE l_returnflag = 'R')"""
+RUN_REVENUE = """sold AS (SELECT o_orderkey AS order_id, CASE o_orderpriority WHEN '1-URGENT' THEN 'paid_social' WHEN '2-HIGH' THEN 'paid_search' WHEN '3-MEDIUM' THEN 'email' ELSE 'direct' END AS channel, CAST(o_totalprice AS DECIMAL(14,2)) AS gross, DATE '2024-01-01' + CAST(date_diff('day', DATE '1995-01-01', CAST(o_orderdate AS DATE)) % 60 AS INTEGER) AS day FROM orders WHERE o_orderpriority <> '4-NOT SPECIFIED'),
+back AS (SELECT order_id, amount, DATE '2024-01-01' + CAST(date_diff('day', DATE '1995-01-01', shipped) % 60 AS INTEGER) AS day FROM (SELECT DISTINCT l_orderkey AS order_id, l_linenumber, l_partkey, l_suppkey, CAST(l_extendedprice AS DECIMAL(14,2)) AS amount, CAST(l_shipdate AS DATE) AS shipped FROM lineitem WHERE l_returnflag = 'R')),
+o AS (SELECT day, channel, count(*) AS orders, sum(gross) AS gross FROM sold GROUP BY ALL),
+r AS (SELECT back.day, coalesce(channel, 'unattributed') AS channel, sum(amount) AS refunds FROM back LEFT JOIN sold ON back.order_id = sold.order_id GROUP BY ALL)"""
+
+
 def oracle_sql() -> dict[str, str]:
     shown = lambda c: f"CASE WHEN {c} < 0 THEN '(' || format('{{:,.2f}}', -CAST({c} AS DOUBLE)) || ')' ELSE format('{{:,.2f}}', CAST({c} AS DOUBLE)) END"
     return {
@@ -384,8 +578,27 @@ SELECT days.day, CASE WHEN spend.day IS NOT NULL THEN 'email' END AS platform, c
         "late_postings": f"""WITH {EVENTS}, {FROZEN}, {REFUNDS} SELECT 'email_events' AS source, CAST(event_id AS VARCHAR) AS natural_key, posting_day AS event_day, day AS posting_day, CAST(NULL AS DECIMAL(14,2)) AS amount, coalesce(campaign_id, '(none)') AS dimension FROM frozen WHERE day <> posting_day
 UNION ALL SELECT 'orders', CAST(o_orderkey AS VARCHAR), CAST(o_orderdate AS DATE), CAST(o_orderdate AS DATE) + 40, CAST(o_totalprice AS DECIMAL(14,2)), o_orderpriority FROM orders WHERE o_orderkey % 97 = 0
 UNION ALL SELECT 'refunds', refund_id, posting_day, posting_day + 9, amount, CAST(order_id AS VARCHAR) FROM refunds_feed WHERE order_id % 89 = 0""",
-        "dirty_days": f"""WITH {EVENTS}, {REFUNDS}, marked AS (SELECT posting_day AS day, 'email_events' AS s FROM events_feed WHERE event_id % 700 = 0 UNION SELECT posting_day, 'refunds' FROM refunds_feed WHERE order_id % 500 = 0
-UNION SELECT CAST(unnest(generate_series(covers_from, covers_to, INTERVAL 1 DAY)) AS DATE), source FROM {WEEKS_SQL} WHERE batch IN (2, 4)) SELECT day, string_agg(s, ', ' ORDER BY s) AS sources, 'late or changed records in: ' || string_agg(s, ', ' ORDER BY s) AS cause FROM marked GROUP BY day""",
+        "dirty_days": f"""WITH {LINES_SQL}, {REFUNDS}, marked AS (SELECT day, 'lines' AS s FROM outcomes WHERE outcome <> 'unchanged' AND file_load_id >= {LATER} UNION SELECT posting_day, 'refunds' FROM refunds_feed
+UNION SELECT CAST(unnest(generate_series(covers_from, covers_to, INTERVAL 1 DAY)) AS DATE), source FROM {ARRIVED_SQL}) SELECT day, string_agg(s, ', ' ORDER BY s) AS sources, 'late or changed records in: ' || string_agg(s, ', ' ORDER BY s) AS cause FROM marked GROUP BY day""",
+        "released_days": f"WITH {ORDERS}, {REFUNDS} SELECT DISTINCT posting_day AS day FROM refunds_feed WHERE order_id NOT IN (SELECT order_id FROM orders_feed) AND order_id IN (SELECT o_orderkey FROM orders WHERE o_orderkey % 100 <> 0)",
+        "upsert_into_prior": f"""WITH {LINES_SQL}, last AS (SELECT k, max(n) FILTER (WHERE outcome <> 'unchanged') AS n, max(n) AS times_seen, max(file_load_id) AS last_file_load_id FROM outcomes GROUP BY k HAVING max(file_load_id) >= {LATER})
+SELECT last.k, o.supplier, o.flag, f.day AS posting_day, f.file_load_id AS first_file_load_id, last.last_file_load_id, last.times_seen FROM last JOIN outcomes o ON o.k = last.k AND o.n = last.n JOIN outcomes f ON f.k = last.k AND f.n = 1""",
+        "outcomes_on_prior": f"WITH {LINES_SQL} SELECT outcome, count(*) AS n, CAST(0 AS BIGINT) AS posted_late FROM outcomes WHERE file_load_id >= {LATER} GROUP BY outcome",
+        "retried_holds": f"""WITH {LINES_SQL}, counted AS (SELECT * FROM outcomes WHERE file_load_id < {LATER} OR outcome <> 'unchanged'),
+last AS (SELECT k, max(n) FILTER (WHERE outcome <> 'unchanged') AS n, count(*) AS times_seen, max(file_load_id) AS last_file_load_id FROM counted GROUP BY k HAVING max(file_load_id) >= {LATER})
+SELECT last.k, o.supplier, o.flag, f.day AS posting_day, f.file_load_id AS first_file_load_id, last.last_file_load_id, last.times_seen FROM last JOIN outcomes o ON o.k = last.k AND o.n = last.n JOIN outcomes f ON f.k = last.k AND f.n = 1""",
+        "freshness_by_source": f"""WITH {MANY} SELECT p.source, max(covers_to) FILTER (WHERE status = 'loaded') AS last_covered, max(covers_to) AS expected_through,
+CAST(greatest(0, coalesce(date_diff('day', max(covers_to) FILTER (WHERE status = 'loaded'), max(covers_to)), date_diff('day', max(covers_to), DATE '{AS_OF}') - 1)) AS INTEGER) AS stale_days,
+count(*) FILTER (WHERE coalesce(status, '') <> 'loaded') AS missing FROM promised_all p LEFT JOIN loads_all l ON p.source = l.source AND p.batch = l.batch GROUP BY p.source""",
+        "expected_by_rank": f"""WITH {MANY}, found AS (SELECT coalesce(p.source, l.source) AS source, CAST(coalesce(p.batch, l.batch) AS INTEGER) AS batch, p.batch IS NOT NULL AS expected, coalesce(status, 'missing') AS status FROM promised_all p FULL JOIN loads_all l ON p.source = l.source AND p.batch = l.batch)
+SELECT CAST(row_number() OVER (ORDER BY CASE source WHEN 'orders' THEN 1 WHEN 'email_events' THEN 2 WHEN 'ad_spend' THEN 3 WHEN 'refunds' THEN 4 END NULLS LAST, source, batch) AS INTEGER) AS place, * FROM found""",
+        "latest_run": "SELECT o_orderkey AS id, CASE WHEN o_orderstatus = 'F' THEN 'failed' ELSE 'succeeded' END AS status, o_orderdate AS finished_at FROM orders ORDER BY o_orderkey DESC LIMIT 1",
+        "delivered_files": f"""WITH {DELIVERIES} SELECT source, path, CAST(batch AS INTEGER) AS batch, schema_version, 'loaded' AS status, count(*) AS rows_seen, count(*) AS rows_committed, CAST(1 AS INTEGER) AS attempts, CAST(1 AS BIGINT) AS run_id, any_value(columns) AS columns FROM delivered GROUP BY source, path, batch, schema_version""",
+        "delivered_revenue": f"""WITH {RUN_REVENUE} SELECT coalesce(o.day, r.day) AS day, coalesce(o.channel, r.channel) AS channel, CAST(coalesce(orders, 0) AS BIGINT) AS orders, CAST(coalesce(gross, 0) AS DECIMAL(14,2)) AS gross, CAST(coalesce(refunds, 0) AS DECIMAL(14,2)) AS refunds,
+CAST(coalesce(gross, 0) - coalesce(refunds, 0) AS DECIMAL(14,2)) AS net, 'USD' AS currency, true AS complete FROM o FULL JOIN r ON o.day = r.day AND o.channel = r.channel""",
+        "delivered_email": f"WITH {EVENTS} SELECT posting_day AS day, coalesce(campaign_id, '(none)') AS campaign_id, {EMAIL_COUNTS} FROM events_feed GROUP BY ALL",
+        "delivered_holds": f"""WITH {RUN_REVENUE} SELECT 'orders' AS source, 'unmapped_value' AS reason, count(*) AS n, count(*) AS refs FROM orders WHERE o_orderpriority = '4-NOT SPECIFIED'
+UNION ALL SELECT 'refunds', 'unresolvable_reference', count(*), count(*) FROM back WHERE order_id NOT IN (SELECT order_id FROM sold)""",
         "restatement_diff": f"WITH {RESTATED} SELECT * FROM moved",
         "restatements_by_day": f"""WITH {RESTATED}, s AS (SELECT day, unnest(CASE WHEN metric = 'opens' THEN ['ad_spend', 'refunds'] ELSE ['email_events'] END) AS s FROM moved), t AS (SELECT day, string_agg(DISTINCT s, ',' ORDER BY s) AS sources FROM s GROUP BY day)
 SELECT moved.day, count(*) AS n, CAST(day(moved.day) % 3 AS VARCHAR) AS runs, any_value(sources) AS sources, CAST(1 AS BIGINT) AS marts FROM moved JOIN t ON t.day = moved.day GROUP BY moved.day""",
@@ -396,10 +609,10 @@ reported AS (SELECT day, CAST(sum(gross) + CASE WHEN day(day) = 5 THEN 1.25 ELSE
 o AS (SELECT day, sum(gross) AS gross FROM all_orders WHERE day(day) <> 9 GROUP BY day), r AS (SELECT posting_day AS day, sum(amount) AS refunds FROM refunds_feed WHERE day(posting_day) NOT IN (1, 9) GROUP BY posting_day)
 SELECT reported.day, g AS reported_gross, CAST(coalesce(gross, 0) AS DECIMAL(14,2)) AS mart_gross, CAST(g - coalesce(gross, 0) AS DECIMAL(14,2)) AS gross_diff, n AS reported_net, CAST(coalesce(gross, 0) - coalesce(refunds, 0) AS DECIMAL(14,2)) AS mart_net,
 CAST(n - coalesce(gross, 0) + coalesce(refunds, 0) AS DECIMAL(14,2)) AS net_diff, g = coalesce(gross, 0) AS ties FROM reported LEFT JOIN o ON o.day = reported.day LEFT JOIN r ON r.day = reported.day""",
-        "holds_feed": f"""WITH {RAW_SQL}, {LINES_SQL}, fed AS (SELECT 'quarantine' AS kind, 'orders' AS source, 3 AS batch, '1:' || CAST(k AS VARCHAR) AS ref, reason, CAST(12 AS BIGINT) AS run_id FROM raw WHERE reason IS NOT NULL
-UNION ALL SELECT 'schema event', 'orders', 3, '', 'alias_used', 12 UNION ALL SELECT 'schema event', 'refunds', NULL, '', 'unknown_columns', NULL
-UNION ALL SELECT 'conflict', 'lines', CASE WHEN file_load_id = 24000 THEN 4 END, k, 'redelivered with different content', CASE WHEN file_load_id = 24000 THEN 13 END FROM outcomes WHERE outcome = 'updated' AND file_load_id BETWEEN 23990 AND 24000)
-SELECT * FROM fed ORDER BY kind, ref, batch NULLS FIRST, source, reason LIMIT 300""",
+        "holds_feed": f"WITH {HELD} SELECT kind, source, batch, ref, reason, run_id, \"at\" FROM fed",
+        "holds_shown": f"WITH {HELD} SELECT kind, batch, ref FROM fed ORDER BY kind, ref, batch NULLS LAST, \"at\" DESC, source, reason LIMIT 300",
+        "hold_details": f"""WITH {RAW_SQL} SELECT 'quarantine' AS kind, '1:' || CAST(k AS VARCHAR) AS ref, reason, 'field: ' || field || CASE reason WHEN 'unmapped_value' THEN '; value: ' || label WHEN 'bad_value' THEN '; value: ' || price || '5' ELSE '' END AS detail FROM raw WHERE reason IS NOT NULL
+UNION ALL SELECT 'schema event', '', 'alias_used', 'field: gross; alias: amount; file: orders/batch_03.csv' UNION ALL SELECT 'schema event', '', 'unknown_columns', 'columns: x; file: null'""",
         "display_formats": f"""WITH a AS (SELECT *, CAST(CAST(o_totalprice AS DECIMAL(14,2)) - 100000 AS DECIMAL(14,2)) AS v FROM orders) SELECT o_orderkey, {shown("v")} AS money, CASE WHEN o_custkey < 500 THEN '(' || format('{{:,}}', 500 - o_custkey) || ')' ELSE '+' || format('{{:,}}', o_custkey - 500) END AS delta,
 {shown("v")} AS metric, CASE o_orderkey % 3 WHEN 0 THEN '$' WHEN 1 THEN '€' ELSE 'CHF' END AS symbol, strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS stamp FROM a""",
     }

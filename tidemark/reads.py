@@ -14,7 +14,7 @@ from .report import run_context
 from .sources import files
 from .store import TenantSession, tenants
 
-__all__ = ["deliveries", "finance", "freshness", "holds", "late_postings", "marketing", "overview", "promised", "restatements", "revenue", "runs", "status", "tenants"]
+__all__ = ["deliveries", "finance", "freshness", "hold_counts", "holds", "late_postings", "marketing", "overview", "promised", "restatement_days", "restatements", "revenue", "revenue_card", "runs", "status", "tenants"]
 
 
 def promised(s: TenantSession) -> DataFrame:
@@ -44,22 +44,44 @@ def late_postings(s: TenantSession) -> DataFrame:
     return marts.late_postings(s.read("stg.orders"), s.read("stg.refunds"), s.read("stg.email_events"), s.read("stg.ad_spend"))
 
 
+def _last_run(s: TenantSession) -> dict | None:
+    last = checks.latest_run(s.read("ops.runs")).first()
+    return last.asDict() if last else None
+
+
 def revenue(s: TenantSession) -> DataFrame:
     return checks.revenue_by_day(s.read("mart.daily_revenue")).orderBy("day")
 
 
+def revenue_card(s: TenantSession) -> dict:
+    """What stands beside the days: channels in display order with their net, totals, currency, last run."""
+    mart = s.read("mart.daily_revenue")
+    totals = mart.agg(*[F.coalesce(F.sum(c), F.lit(0)).cast(t).alias(c) for c, t in (("orders", "long"), *((m, checks.MONEY) for m in ("gross", "refunds", "net")))], F.coalesce(F.min("currency"), F.lit("")).alias("currency")).first().asDict()
+    return totals | {"channels": {r["channel"]: r["net"] for r in checks.channel_totals(mart).collect()}, "last_run": _last_run(s)}
+
+
 def restatements(s: TenantSession) -> DataFrame:
     return checks.latest_restatements(s.read("ops.restatements"))
 
 
+def restatement_days(s: TenantSession) -> DataFrame:
+    """The latest restatements by day, newest first: how many, and their runs, sources and marts."""
+    return checks.restatement_days(restatements(s)).orderBy(F.desc("day"))
+
+
 def holds(s: TenantSession) -> DataFrame:
     return checks.holds(s.read("ops.quarantine"), s.read("ops.schema_events"), s.read("ops.conflicts"), s.read("raw.file_loads"))
 
 
+def hold_counts(s: TenantSession) -> dict[str, int]:
+    """Of the holds that are shown, how many there are of each kind."""
+    return {kind: 0 for kind in ("quarantine", "schema event", "conflict")} | {r[0]: r[1] for r in holds(s).groupBy("kind").count().collect()}
+
+
 def runs(s: TenantSession, most: int = 50) -> list[dict]:
     out = []
     for r in s.read("ops.runs").orderBy(F.desc("id")).limit(most).collect():
-        stats = json.loads(r["stats"])
+        stats = json.loads(r["stats"] or "{}")
         own = stats.get("files", [])
         out.append(
             {
@@ -73,8 +95,7 @@ def runs(s: TenantSession, most: int = 50) -> list[dict]:
 def overview(s: TenantSession) -> dict:
     cells = promised(s).agg(F.count_if("expected").alias("expected"), F.count_if(F.col("status") == "loaded").alias("loaded"), F.count_if(F.col("status") == "missing").alias("missing")).first().asDict()
     totals = checks.revenue_totals(s.read("mart.daily_revenue")).first().asDict()
-    last = checks.latest_run(s.read("ops.runs")).first()
-    return cells | totals | {"restatements": s.read("ops.restatements").count(), "holds": s.read("ops.quarantine").count(), "last_run": last.asDict() if last else None}
+    return cells | totals | {"restatements": s.read("ops.restatements").count(), "holds": s.read("ops.quarantine").count(), "last_run": _last_run(s)}
 
 
 def status(s: TenantSession) -> dict:

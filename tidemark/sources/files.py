@@ -41,13 +41,19 @@ def batch_allowed(spec: str | None, batch: int | None) -> bool:
     return False
 
 
-def fingerprint(spark: SparkSession, path: str) -> str:
-    """SHA-256 of the file's bytes."""
-    local = re.sub(r"^file:/*", "/", path)
-    if os.path.isfile(local):
-        with open(local, "rb") as f:
-            return hashlib.file_digest(f, "sha256").hexdigest()
-    return spark.read.format("binaryFile").load(path).select(F.sha2("content", 256)).first()[0]
+def fingerprints(spark: SparkSession, paths: list[str]) -> dict[str, str]:
+    """SHA-256 of each file's bytes: on the driver where files are local, elsewhere in one Spark job (2 GB a file at most, as that reader takes)."""
+    out, far = {}, []
+    for path in paths:
+        local = re.sub(r"^file:/*", "/", path)
+        if os.path.isfile(local):
+            with open(local, "rb") as f:
+                out[path] = hashlib.file_digest(f, "sha256").hexdigest()
+        else:
+            far.append(path)
+    if far:
+        out |= {r[0]: r[1] for r in spark.read.format("binaryFile").load(far).select("path", F.sha2("content", 256)).collect()}
+    return out
 
 
 def header(spark: SparkSession, path: str, kind: str) -> list[str]:
@@ -81,6 +87,8 @@ def records(spark: SparkSession, paths: list[str], kind: str) -> DataFrame:
         rows = rows.select(F.to_json(values).alias("payload"), F.lit(None).cast("string").alias("error"), F.col("_metadata.file_path").alias("_from"), F.col("_metadata.file_block_start").alias("_from_block"))
     else:
         rows = _lines(spark, paths)
+    # Ids increase within a task, and a split is read by one task, in order. Both uses of rows below scan the same files with the
+    # same settings, which Spark plans into the same partitions; the numbers rest on that.
     rows = rows.withColumn("_at", F.monotonically_increasing_id())
     # A file's splits are numbered one after another: one row a split.
     splits = rows.groupBy("_from", "_from_block").agg(F.min("_at").alias("_first"), F.count("*").alias("_n"))

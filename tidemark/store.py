@@ -131,7 +131,8 @@ class TenantSession:
         if table.part is None:
             rows.write.parquet(to)
             return {ALL: [to]}
-        rows.withColumn("_part", F.col(table.part).cast("string")).repartition(F.col("_part")).write.partitionBy("_part").parquet(to)
+        # Rebalanced by partition: AQE gives a large one several tasks, and one task several small ones.
+        rows.withColumn("_part", F.col(table.part).cast("string")).hint("rebalance", "_part").write.partitionBy("_part").parquet(to)
         return {f.removeprefix("_part="): [f"{to}/{f}"] for f in self.files.folders(to) if f.startswith("_part=")}
 
     def append(self, name: str, rows: DataFrame) -> None:
