@@ -24,6 +24,19 @@ def test_run(spark):
     assert kept[0] > kept[1] > kept[2] and kept[3] == kept[4]
 
 
+def test_run_leaves_its_result_and_the_token_files(spark):
+    import os
+
+    sf = "/root/testdata/sf0.001"
+    before = common.made(spark)
+    got = corpus_pipeline.run(spark, sf)
+    new = [p for p in common.made(spark) if p not in before]
+    assert sorted(os.path.basename(p).rsplit("-", 1)[0] for p in new) == ["ids", "pipeline-token_ids"]
+    assert got.count() == got.select("start").distinct().count() > 0
+    common.remove(spark, new)
+    assert not any(map(os.path.exists, new))
+
+
 @pytest.mark.parametrize("empty", [False, True])
 def test_edges(spark, edge_docs, no_docs, empty):
     docs = no_docs if empty else edge_docs

@@ -54,28 +54,25 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A new folder's name in the shared folder; remove() takes such folders away."""
+    """A new folder's name in the shared folder."""
     path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    _made(spark).append(path)
+    spark.sparkContext._tidemark_made = [*made(spark), path]
     return path
 
 
-def _made(spark: SparkSession) -> list[str]:
-    sc = spark.sparkContext
-    if not hasattr(sc, "_tidemark_made"):
-        sc._tidemark_made = []
-    return sc._tidemark_made
+def made(spark: SparkSession) -> list[str]:
+    """Folders that operators of this session have made in the shared folder, and that haven't been removed."""
+    return getattr(spark.sparkContext, "_tidemark_made", [])
 
 
-def remove(spark: SparkSession, but: Iterable[str] = ()) -> None:
-    """Deletes all that this session has made in the shared folder, but the given paths. Frames that read it are of no use afterwards."""
-    made, stay = _made(spark), set(but)
+def remove(spark: SparkSession, paths: Iterable[str] | None = None) -> None:
+    """Deletes such folders, all by default. Frames that read them are of no use afterwards."""
+    gone = set(made(spark) if paths is None else paths)
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    for path in made:
-        if path not in stay:
-            where = jvm.org.apache.hadoop.fs.Path(path)
-            where.getFileSystem(conf).delete(where, True)
-    made[:] = [p for p in made if p in stay]
+    for path in gone:
+        where = jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(conf).delete(where, True)
+    spark.sparkContext._tidemark_made = [p for p in made(spark) if p not in gone]
 
 
 def cut(df: DataFrame) -> DataFrame:
