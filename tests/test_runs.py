@@ -194,3 +194,23 @@ def test_fail_policy(spark, tmp_path):
     with pytest.raises(RunFailed, match="no column for spend"):
         run_tenant(spark, config, str(tmp_path / "store"), "shop", now=NOW)
     assert session(spark, tmp_path).read("raw.file_loads").count() == 0
+
+
+def test_migrations_run_once_in_order(spark, tmp_path, monkeypatch):
+    from tidemark import model
+
+    root = str(tmp_path / "store")
+    s = TenantSession(spark, root, "shop")
+    s.append("ops.tenants", s.frame("ops.tenants", [{"display_name": "Shop", "currency": "usd", "config_hash": "x"}]))
+    steps = []
+
+    def upper(s):
+        steps.append(2)
+        s.replace("ops.tenants", s.frame("ops.tenants", [r.asDict() | {"currency": r.currency.upper()} for r in s.read("ops.tenants").collect()]))
+
+    monkeypatch.setattr(model, "VERSION", 3)
+    monkeypatch.setattr(model, "MIGRATIONS", {2: upper, 3: lambda s: steps.append(3)})
+    with pytest.raises(RuntimeError, match="migrate"):
+        TenantSession(spark, root, "shop")
+    assert TenantSession.migrate(spark, root, "shop") == [2, 3] == steps and TenantSession.migrate(spark, root, "shop") == []
+    assert TenantSession(spark, root, "shop").read("ops.tenants").first().currency == "USD"

@@ -2,11 +2,18 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
+from typing import TYPE_CHECKING
 
 from pyspark.sql import types as T
 
+if TYPE_CHECKING:
+    from .store import TenantSession
+
 VERSION = 1
+#: What brings a store of the version before to each version: a function of the tenant's session, run in one commit.
+MIGRATIONS: dict[int, Callable[[TenantSession], None]] = {}
 
 
 _KINDS = {"string": T.StringType(), "long": T.LongType(), "int": T.IntegerType(), "boolean": T.BooleanType(), "date": T.DateType(), "timestamp": T.TimestampType(), "decimal(14,2)": T.DecimalType(14, 2), "array<string>": T.ArrayType(T.StringType())}

@@ -13,17 +13,19 @@ def posting_days(rows: DataFrame, deliveries: DataFrame | None, as_of: Column, i
 
     deliveries (file_load_id, covers_from, covers_to) are those of the source that
     have loaded; None: no day is ever closed. A day is closed by any other of them
-    that covers it (with in_load_order, by an earlier one). The range condition is
-    tried once for each (file, day), against one row a delivery.
+    that covers it (with in_load_order, by an earlier one): of the files that cover a
+    day, the least or the greatest is another one. Windows become days, so the join
+    is by equality; its right side is one row a day that is covered.
     """
     if deliveries is None:
         return rows.withColumn("day", F.col("event_day"))
-    pairs = rows.select("file_load_id", "event_day").distinct()
-    d = deliveries.select(F.col("file_load_id").alias("_f"), "covers_from", "covers_to")
-    other = (F.col("_f") < F.col("file_load_id")) if in_load_order else (F.col("_f") != F.col("file_load_id"))
-    closed = pairs.join(d, other & (F.col("covers_from") <= F.col("event_day")) & (F.col("event_day") <= F.col("covers_to")), "left_semi").withColumn("_closed", F.lit(True))
-    out = rows.join(closed, ["file_load_id", "event_day"], "left")
-    return out.withColumn("day", F.when(F.col("_closed"), as_of).otherwise(F.col("event_day"))).drop("_closed")
+    each = deliveries.where("covers_from <= covers_to").select(F.explode(F.sequence("covers_from", "covers_to", F.expr("interval 1 day"))).alias("event_day"), F.col("file_load_id").alias("_f"))
+    covered = each.groupBy("event_day").agg(F.min("_f").alias("_least"), F.max("_f").alias("_most"))
+    other = F.col("_least") < F.col("file_load_id")
+    if not in_load_order:
+        other = other | (F.col("_most") > F.col("file_load_id"))
+    out = rows.join(F.broadcast(covered), "event_day", "left")  # 365 rows a year
+    return out.withColumn("day", F.when(other, as_of).otherwise(F.col("event_day"))).drop("_least", "_most")
 
 
 @dataclass

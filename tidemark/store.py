@@ -22,8 +22,9 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import model
 from .config import TENANT_ID
-from .model import CATALOGUE, VERSION
+from .model import CATALOGUE
 
 ALL = "all"
 
@@ -67,7 +68,9 @@ class NoTenant(PermissionError):
 
 
 class TenantSession:
-    def __init__(self, spark: SparkSession, root: str, tenant_id: str):
+    def __init__(self, spark: SparkSession, root: str, tenant_id: str, version: int | None = None):
+        """version: only for migrate()."""
+        self._version = model.VERSION if version is None else version
         if not TENANT_ID.fullmatch(tenant_id or ""):
             raise NoTenant(f"not a tenant id: {tenant_id!r}")
         if spark.conf.get("spark.sql.session.timeZone") not in ("UTC", "Etc/UTC", "Z"):
@@ -81,11 +84,24 @@ class TenantSession:
 
     def _load(self) -> dict:
         raw = self.files.read(f"{self.root}/_pointer.json")
-        pointer = json.loads(raw) if raw else {"schema": VERSION, "version": 0, "tables": {}}
-        if pointer["schema"] != VERSION:
-            raise RuntimeError(f"the store has schema {pointer['schema']}, not {VERSION}")
+        pointer = json.loads(raw) if raw else {"schema": self._version, "version": 0, "tables": {}}
+        if pointer["schema"] != self._version:
+            raise RuntimeError(f"the store has schema {pointer['schema']}, not {self._version}: migrate it")
         return pointer
 
+    @classmethod
+    def migrate(cls, spark: SparkSession, root: str, tenant_id: str) -> list[int]:
+        """Brings a tenant's store to the version of now, each step once and in one commit; gives the versions it went through."""
+        raw = Files(spark, root).read(f"{root.rstrip('/')}/{tenant_id}/_pointer.json") if TENANT_ID.fullmatch(tenant_id or "") else None
+        done, at = [], json.loads(raw)["schema"] if raw else model.VERSION
+        while at < model.VERSION:
+            s = cls(spark, root, tenant_id, at)
+            with s.commit():
+                model.MIGRATIONS[at + 1](s)
+                s._open["schema"] = at = at + 1
+            done.append(at)
+        return done
+
     @contextmanager
     def commit(self):
         """Writes inside take effect together at the end, or not at all."""
@@ -95,7 +111,7 @@ class TenantSession:
         self._open = deepcopy(self.pointer)
         try:
             yield
-            if self._open["tables"] != self.pointer["tables"]:
+            if (self._open["tables"], self._open["schema"]) != (self.pointer["tables"], self.pointer["schema"]):
                 if self._load()["version"] != self.pointer["version"]:
                     raise RuntimeError("another run has committed meanwhile")
                 self._open["version"] += 1
