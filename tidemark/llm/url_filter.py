@@ -31,7 +31,7 @@ from . import common
 HOST = r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?(\[[^\]/?#@]*\]|[^/?#:@]+)"
 PATH = r"^[a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]+(/[^?#]*)"
 #: Lookups of one key in one window; intervals of a list whose keys are broadcast, so that lookups it doesn't have are left out at once.
-LOOKUPS, FEW = 1 << 20, 100_000
+LOOKUPS, FEW = 1 << 10, 100_000
 
 
 def host_of(url: Column) -> Column:
