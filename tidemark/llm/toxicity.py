@@ -527,8 +527,14 @@ def score(docs: DataFrame, model: dict | None) -> DataFrame:
 def _score_texts(texts, sent: _Sent):
     import pandas as pd
 
-    scorer, texts = _scorer(sent), [t or "" for t in texts]
-    return pd.Series([x for i in range(0, len(texts), 512) for x in scorer.scores(texts[i : i + 512])], dtype=float)
+    scorer, out, held, size = _scorer(sent), [], [], 0
+    for t in texts:
+        held.append(t or "")
+        size += len(held[-1])
+        if size > 4 << 20:  # so that work space doesn't follow text length
+            out += scorer.scores(held)
+            held, size = [], 0
+    return pd.Series(out + scorer.scores(held), dtype=float)
 
 
 def keep_clean(docs: DataFrame, model: dict | None) -> DataFrame:
