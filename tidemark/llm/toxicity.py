@@ -30,6 +30,7 @@ import re
 import unicodedata
 from collections import Counter
 from collections.abc import Iterator, Mapping
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -61,7 +62,9 @@ DOTTED = re.compile(rf"{ONE}\1*(?:[.\-_*]+{ONE.replace('(', '(?P<x>', 1)}(?P=x)*
 SUBSTITUTE, REPEAT, INSERT, SPURIOUS = 1.0, 0.7, 0.5, 10.0
 #: The same of a gap between characters spaced apart that ends a word, as about one in five does.
 SPLIT = 2.0
-MOST_CACHED, MOST_COUNTED, STRONG = 300_000, 100_000, 2.5
+MOST_CACHED, MOST_COUNTED, STRONG = 200_000, 50_000, 2.5
+#: Bytes of text that are read at once, segments and costs that are remembered, and words whose n-grams are counted at once.
+SLICE, MOST_KEPT, WORDS_AT_ONCE = 2 << 20, 100_000, 1 << 15
 
 
 ASCII_MARKS = "".join(c for c in map(chr, range(128)) if re.fullmatch(MARK, c))
@@ -117,7 +120,7 @@ class CharModel:
     def cost(self, before: str, c: str) -> float:
         """Negative log probability of c after the two characters before."""
         if (got := self.cache.get(before + c)) is None:
-            if len(self.cache) > MOST_CACHED:
+            if len(self.cache) > MOST_KEPT:
                 self.cache.clear()
             g = self.counts.get
             p1 = (g(c) + 0.5) / (self.total + self.kinds)
@@ -129,6 +132,11 @@ class CharModel:
     @staticmethod
     def count(words: Mapping[str, int], into: Counter) -> None:
         """Adds the codes of each word's n-grams as often as it is given."""
+        if len(words) > WORDS_AT_ONCE:
+            items = iter(words.items())
+            while part := dict(islice(items, WORDS_AT_ONCE)):
+                CharModel.count(part, into)
+            return
         if not words:
             return
         codes = np.frombuffer("".join(f"^^{w}$\0\0" for w in words).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
@@ -231,7 +239,7 @@ def decode(token: str, model: CharModel) -> str:
         if (got := model.segments.get(key)) is None:
             got = _likeliest(*key, model)
             if len(segment) <= 24:
-                if len(model.segments) > MOST_CACHED:
+                if len(model.segments) > MOST_KEPT:
                     model.segments.clear()
                 model.segments[key] = got
         out += [alone, got]
@@ -408,7 +416,7 @@ def _plain(token: str) -> str:
 def _char_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Character n-grams of plain words, counted once for each text that has the word."""
     into, seen, words = Counter(), Counter(), {}
-    for b in common.small_batches(batches, "text"):
+    for b in common.small_batches(batches, "text", SLICE):
         docs = [set(text.lower().split()) for text in common.strings(b.column(0))]
         if len(words) > MOST_CACHED:
             words.clear()
@@ -434,7 +442,7 @@ def char_counts(texts: DataFrame) -> Grams:
 def _doc_features(batches: Iterator[pa.RecordBatch], chars: Grams, wanted: frozenset[str] | None) -> Iterator[pa.RecordBatch]:
     """Texts that each feature is in, by label."""
     model, into, memo = CharModel(chars), (Counter(), Counter()), {}
-    for b in common.small_batches(batches, "text"):
+    for b in common.small_batches(batches, "text", SLICE):
         for label, text in zip(b.column(0).to_pylist(), common.strings(b.column(1)), strict=True):
             own = set()
             for t in set(words_of(text)):
@@ -451,7 +459,7 @@ def _doc_features(batches: Iterator[pa.RecordBatch], chars: Grams, wanted: froze
 
 def _summaries(batches: Iterator[pa.RecordBatch], sent: _Sent) -> Iterator[pa.RecordBatch]:
     scorer = _scorer(sent)
-    for b in common.small_batches(batches, "text"):
+    for b in common.small_batches(batches, "text", SLICE):
         x = scorer.summaries(common.strings(b.column(1)))
         yield pa.RecordBatch.from_arrays([b.column(0), pa.array(x, pa.list_(pa.float64()))], names=["label", "x"])
 
@@ -511,7 +519,7 @@ def learn(docs: DataFrame, labels: DataFrame) -> dict | None:
 
 def _scored(batches: Iterator[pa.RecordBatch], sent: _Sent | None) -> Iterator[pa.RecordBatch]:
     scorer = _scorer(sent) if sent else None
-    for b in common.small_batches(batches, "text"):
+    for b in common.small_batches(batches, "text", SLICE):
         scores = scorer.scores(common.strings(b.column(2))) if scorer else [0.0] * b.num_rows
         yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(scores, pa.float64()), pa.array([int(s >= CUT) for s in scores], pa.int32())], names=["doc_id", "held_out", "score", "predicted"])
 
@@ -531,7 +539,7 @@ def _score_texts(texts, sent: _Sent):
     for t in texts:
         held.append(t or "")
         size += len(held[-1])
-        if size > 4 << 20:  # so that work space doesn't follow text length
+        if size > SLICE:  # so that work space doesn't follow text length
             out += scorer.scores(held)
             held, size = [], 0
     return pd.Series(out + scorer.scores(held), dtype=float)
