@@ -162,7 +162,7 @@ SIMPLE = re.compile(r"[!-~À-ÖØ-öø-įı-ſ]+")
 _SHOWN = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
 _BYTE = {b: chr(b) for b in _SHOWN} | {b: chr(256 + k) for k, b in enumerate(sorted(set(range(256)) - set(_SHOWN)))}
 AS_BYTES = {c: "".join(_BYTE[b] for b in chr(c).encode()) for c in range(0xC0, 0x180)}
-MOST_CACHED = 250_000
+MOST_CACHED = 150_000
 
 
 class Encoder(dict):

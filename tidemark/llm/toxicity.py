@@ -532,17 +532,23 @@ def score(docs: DataFrame, model: dict | None) -> DataFrame:
     return rows.mapInArrow(lambda it: _scored(it, sent), "doc_id long, held_out boolean, score double, predicted int")
 
 
-def _score_texts(texts, sent: _Sent):
+def _score_texts(columns, sent: _Sent):
+    """Scores of each Series of texts; what was remembered of words goes with the partition, since workers live on in later stages."""
     import pandas as pd
 
-    scorer, out, held, size = _scorer(sent), [], [], 0
-    for t in texts:
-        held.append(t or "")
-        size += len(held[-1])
-        if size > SLICE:  # so that work space doesn't follow text length
-            out += scorer.scores(held)
-            held, size = [], 0
-    return pd.Series(out + scorer.scores(held), dtype=float)
+    scorer = _scorer(sent)
+    try:
+        for texts in columns:
+            out, held, size = [], [], 0
+            for t in texts:
+                held.append(t or "")
+                size += len(held[-1])
+                if size > SLICE:  # so that work space doesn't follow text length
+                    out += scorer.scores(held)
+                    held, size = [], 0
+            yield pd.Series(out + scorer.scores(held), dtype=float)
+    finally:
+        _scorers.clear()
 
 
 def keep_clean(docs: DataFrame, model: dict | None) -> DataFrame:
@@ -551,7 +557,7 @@ def keep_clean(docs: DataFrame, model: dict | None) -> DataFrame:
     if not model:
         return docs
     sent = _Sent(docs.sparkSession, model)
-    own = F.pandas_udf(lambda texts: _score_texts(texts, sent), "double")
+    own = F.pandas_udf(lambda columns: _score_texts(columns, sent), "double", F.PandasUDFType.SCALAR_ITER)
     return docs.where(own(F.col("text")) < CUT)
 
 
