@@ -180,8 +180,9 @@ class Encoder(dict):
         super().__init__({"": b""})
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
-        own = json.loads(self.tokenizer.to_str())
-        self.chunked = own["normalizer"] == NORMALIZER and own["pre_tokenizer"] == SPLITTER and all("<|" in t["content"] for t in own["added_tokens"])
+        part = lambda x: json.loads(x.__getstate__()) if x else None  # noqa: E731 -- as it stands in the file
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        self.chunked = part(self.tokenizer.normalizer) == NORMALIZER and part(self.tokenizer.pre_tokenizer) == SPLITTER and all("<|" in t.content for t in added)
         self.older: dict[str, bytes] = {}
         self.pieces: dict[str, bytes] = {}
 
