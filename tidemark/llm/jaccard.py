@@ -15,14 +15,16 @@ under d + 1 of its words, those with the most shingles, which few other sets hav
 chance; and in the next band too if a set there may be near enough in size.
 
 Joining: a task combines its sets with equal words first and passes on one leader a
-word, then words meet, and each set gets pairs with leaders, which have smaller ids.
-Of its leaders a set is verified with the one that it shares most words with, and links
-make components. That connects almost all; what it may have missed lies under words
-whose sets are in different components still. Those sets meet all to all, block by
-block where they are many, and pairs of different components go on if the parity bits
-of the sets (one bit flipped by a shingle; another lower bound) differ in no more than
-links may. Verification is exact, over the sets themselves, which are made again from
-the texts of those documents alone. No link between different components is lost.
+word, then words meet. Of the sets of a word three are leaders, by different orders,
+and every set is tried with the TRIED leaders that it shares most words with. That
+connects almost all; what it may have missed lies under words whose sets are in
+different components still. Those sets meet all to all, block by block where they are
+many, and pairs of different components are tried too. A pair that is tried goes on if
+the parity bits of its sets (one bit flipped by a shingle; another lower bound) differ
+in no more than a link allows, and is then verified exactly, over the sets themselves,
+which are made again from the texts of those documents alone. No link between
+different components is lost. Sets that share a word because they share a long passage
+and not much else are compared by their bits alone, but in all pairs.
 
 Nodes of the join are distinct sets, named by 64 bits of a hash of the whole set, so
 copies cost nothing; sets of one name and another size are not expected either.
@@ -50,8 +52,8 @@ from .simhash import components
 SHINGLE = 5
 #: Words of a band's sketch for each shingle of the largest difference in it.
 SPARE = 1.25
-#: Sets of one word that are compared with one another at once.
-BLOCK = 4096
+#: Sets of one word that are compared with one another at once; leaders that a set is tried with.
+BLOCK, TRIED = 4096, 4
 #: Entries that a task combines at once; words that it remembers of texts; bits of the filter of ids.
 COMBINED, REMEMBERED, FILTER_BITS = 2_000_000, 500_000, 1 << 24
 
@@ -214,6 +216,17 @@ def led(scanned: DataFrame) -> DataFrame:
     return common.kept(own.withColumn("lane", lane).withColumn("leader", first).where("leader < node").select("key", "node", "leader"), "leaders")
 
 
+def tried(leaders: DataFrame) -> DataFrame:
+    """Pairs (a < b) of each node and those leaders of its keys that it shares most keys with."""
+    members = leaders.select("key", "node").union(leaders.select("key", "leader")).distinct()
+    by = [F.min_by("node", F.xxhash64("node", F.lit(r))) for r in (1, 2)]
+    heads = members.groupBy("key").agg(F.array_distinct(F.array(F.min("node"), *by)).alias("heads"))
+    pairs = members.join(heads, "key").select("node", F.explode("heads").alias("head")).where("node <> head")
+    order = Window.partitionBy("node").orderBy(F.desc("count"), "head")
+    best = pairs.groupBy("node", "head").count().withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= TRIED)
+    return best.select(F.least("node", "head").alias("a"), F.greatest("node", "head").alias("b")).distinct()
+
+
 # ---- verification
 
 
@@ -259,6 +272,25 @@ def sets_of(docs: DataFrame, scanned: DataFrame, nodes: DataFrame, id_col: str,
     return common.kept(out.dropDuplicates(["node"]), "hashes")
 
 
+def _near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs (a, b, sizes m and n, bits x and y) whose parity bits allow a link."""
+    for b in batches:
+        m, n = b.column(2).to_numpy(), b.column(3).to_numpy()
+        keep = np.zeros(len(m), bool)
+        for i, (x, y) in enumerate(zip(b.column(4).to_pylist(), b.column(5).to_pylist(), strict=True)):
+            if 4 * m[i] <= 5 * n[i] and 4 * n[i] <= 5 * m[i]:
+                one, two, to = np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8), min(len(x), len(y))
+                keep[i] = int(np.bitwise_count(_folded(one, to) ^ _folded(two, to)).sum()) <= (m[i] + n[i]) // 9
+        yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], names=["a", "b"]).filter(pa.array(keep))
+
+
+def near(pairs: DataFrame, bits: DataFrame) -> DataFrame:
+    """Those of the pairs (a, b) that sizes and parity bits (node, n, bits) allow to link."""
+    one, two = (bits.select(F.col("node").alias(x), F.col("n").alias(f"_n{x}"), F.col("bits").alias(f"_{x}")) for x in "ab")
+    both = pairs.join(one, "a").join(two, "b").select("a", "b", "_na", "_nb", "_a", "_b")
+    return both.mapInArrow(_near, "a long, b long")
+
+
 def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """Those of the pairs (a, b) that link."""
     one, two = (sets.select(F.col("node").alias(x), F.col("hashes").alias(f"_{x}")) for x in "ab")
@@ -306,8 +338,8 @@ def _of_group(table: pa.Table) -> pa.Table:
     return pa.table([np.minimum(a, b), np.maximum(a, b)], names=["a", "b"])
 
 
-def missed(scanned: DataFrame, leaders: DataFrame, roots: DataFrame) -> DataFrame:
-    """Pairs of different components that share a key and may link by size and parity bits.
+def missed(leaders: DataFrame, bits: DataFrame, roots: DataFrame) -> DataFrame:
+    """Pairs (a < b) of different components that share a key and may link by size and parity bits.
 
     roots: node and root of every node in leaders. Keys whose nodes are of one
     component have nothing to add. A key of more than BLOCK nodes is dealt by a hash
@@ -317,12 +349,11 @@ def missed(scanned: DataFrame, leaders: DataFrame, roots: DataFrame) -> DataFram
     open_keys = of.where("_root <> root").select("key").distinct()
     members = leaders.join(open_keys, "key", "left_semi")
     members = members.select("key", "node").union(members.select("key", "leader")).distinct()
-    known = scanned.where("keys is not null").select("node", "n", "bits").join(members.select("node").distinct(), "node", "left_semi").dropDuplicates(["node"])
     large = members.groupBy("key").agg(F.count("*").alias("_count")).where(F.col("_count") > BLOCK)
     dealt = members.join(large, "key", "left").withColumn("_n", F.coalesce(F.ceil(F.col("_count") / BLOCK), F.lit(1)))
     dealt = dealt.withColumn("_own", F.pmod(F.xxhash64("node"), F.col("_n")).cast("int")).withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_n").cast("int") - 1)))
     meet = dealt.select("key", F.least("_own", "_other").alias("i"), F.greatest("_own", "_other").alias("j"), (F.col("_own") > F.col("_other")).alias("right"), "node")
-    return meet.join(known.join(roots, "node"), "node").groupBy("key", "i", "j").applyInArrow(_of_group, "a long, b long").distinct()
+    return meet.join(bits.join(roots, "node"), "node").groupBy("key", "i", "j").applyInArrow(_of_group, "a long, b long").distinct()
 
 
 # ---- the join
@@ -338,13 +369,14 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     scanned = scan(docs, id_col, text_col)
     leaders = led(scanned)
     nodes = common.cut(leaders.select("node").union(leaders.select("leader")).distinct())
-    sets = sets_of(docs, scanned, nodes, id_col, text_col)
-    most_shared = leaders.groupBy("node", "leader").count().groupBy("node").agg(F.max_by("leader", F.struct("count", "leader")).alias("leader"))
-    links = common.cut(verified(most_shared.select(F.col("leader").alias("a"), F.col("node").alias("b")), sets))
-    roots = common.cut(_named(nodes, links))
-    more = common.cut(verified(missed(scanned, leaders, roots), sets))
-    if more.head(1):
-        roots = common.cut(_named(nodes, links.union(more)))
+    bits = common.kept(scanned.where("keys is not null").select("node", "n", "bits").join(nodes, "node", "left_semi").dropDuplicates(["node"]), "bits")
+    links, roots = None, nodes.withColumn("root", F.col("node"))
+    for pairs in (lambda: near(tried(leaders), bits), lambda: missed(leaders, bits, roots)):
+        pairs = common.cut(pairs())
+        ends = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+        found = verified(pairs, sets_of(docs, scanned, ends, id_col, text_col))
+        links = common.cut(found if links is None else links.union(found))
+        roots = common.cut(_named(nodes, links))
     rows = scanned.select("doc_id", "n", "node")
     lows = rows.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("_low")).join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     lows = common.cut(lows)
