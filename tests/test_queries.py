@@ -6,9 +6,10 @@ import duckdb
 import pandas as pd
 import pytest
 
-from tidemark import queries
+from tidemark import chronicle, queries
 
 SF = "/root/testdata/sf0.001"
+QUERIES, ORACLE = queries.queries() | chronicle.queries(), queries.oracle_sql() | chronicle.oracle_sql()
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 
 
@@ -37,8 +38,8 @@ def rows(frame):
 
 
 @pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
-@pytest.mark.parametrize("name", sorted(queries.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, duck, name):
-    got = queries.queries()[name](spark, SF).toPandas()
-    want = duck.sql(queries.oracle_sql()[name]).df()
+    got = QUERIES[name](spark, SF).toPandas()
+    want = duck.sql(ORACLE[name]).df()
     assert sorted(got.columns) == sorted(want.columns) and rows(got) == rows(want)

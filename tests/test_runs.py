@@ -7,7 +7,7 @@ import pytest
 from shop import FILES, NOW, build, snapshot
 
 from tidemark import reads
-from tidemark.plans.pipeline import RunFailed, SimulatedCrash, run_tenant
+from tidemark.plans.pipeline import Run, RunFailed, SimulatedCrash, _recover, run_tenant
 from tidemark.store import NoTenant, TenantSession, tenants
 
 
@@ -122,30 +122,54 @@ def test_crash_then_resume_is_a_clean_run(spark, clean, tmp_path):
     assert snapshot(session(spark, tmp_path)) == snapshot(session(spark, clean[0]))
 
 
-def test_a_kill_between_chunks_resumes(spark, clean, tmp_path, monkeypatch):
+@pytest.mark.parametrize(("written", "left"), [(None, []), ([0, 2], [("shop/orders/batch_01.csv", "loading", 2), ("shop/orders/batch_02.csv", "loading", 0), ("shop/orders/batch_03.csv", "loading", 0)]), ([], None)])
+def test_a_kill_keeps_whole_chunks(spark, clean, tmp_path, monkeypatch, written, left):
+    """Killed after the job but before its commit, or in the job with some chunks written: those up to the first that isn't there count."""
     config = build(tmp_path)
-    append, calls = TenantSession.append, []
+    adopt, write = TenantSession.adopt_chunks, TenantSession.write_chunks
 
-    def killed(self, name, rows):
-        if name == "raw.records":
-            calls.append(name)
-            if len(calls) == 7:
-                raise KeyboardInterrupt
-        append(self, name, rows)
+    def orders(s, to):
+        first = next(x for x in s.state["meta"]["staged"] if x["to"] == to)["chunks"][0][0][0]
+        return s.read("raw.file_loads").where(f"id = {first}").first()["source"] == "orders"
 
-    monkeypatch.setattr(TenantSession, "append", killed)
+    def killed_before_commit(self, to, taken):
+        if orders(self, to):
+            raise KeyboardInterrupt
+        adopt(self, to, taken)
+
+    def killed_in_job(self, name, to, rows, n):
+        if orders(self, to):
+            if written:
+                write(self, name, to, rows.where(rows["_chunk"].isin(written)), n)
+            raise KeyboardInterrupt
+        write(self, name, to, rows, n)
+
+    monkeypatch.setattr(TenantSession, *(("adopt_chunks", killed_before_commit) if written is None else ("write_chunks", killed_in_job)))
     with pytest.raises(KeyboardInterrupt):
         run_tenant(spark, config, str(tmp_path / "store"), "shop", now=NOW, chunk_rows=2)
     monkeypatch.undo()
     s = session(spark, tmp_path)
-    # Two chunks of ad_spend, three of email, one of the first orders file.
-    assert [(r.path, r.status, r.rows_committed) for r in s.read("raw.file_loads").where("status <> 'loaded'").collect()] == [("shop/orders/batch_01.csv", "loading", 2)]
-    assert s.read("raw.records").count() == 12 and [(r.id, r.status, r.finished_at) for r in s.read("ops.runs").collect()] == [(1, "running", None)]
+    assert s.read("raw.records").count() == 10 and [(r.id, r.status, r.finished_at) for r in s.read("ops.runs").collect()] == [(1, "running", None)]
+    run = Run(spark, config, config.tenant("shop"), s, 2, NOW)
+    if left is not None:
+        _recover(run, config.sources["orders"])
+        assert sorted((r["path"], r["status"], r["rows_committed"]) for r in run.loads("status <> 'loaded'")) == left
+        assert s.state["meta"]["staged"] == []
     stats = run_tenant(spark, config, str(tmp_path / "store"), "shop", now=NOW, chunk_rows=3)
     assert stats.run_id == 2 and [(r["id"], r["status"]) for r in reads.runs(session(spark, tmp_path))] == [(2, "succeeded"), (1, "running")]
     assert snapshot(session(spark, tmp_path)) == snapshot(session(spark, clean[0]))
 
 
+def test_an_ingest_is_one_write_for_each_source(spark, tmp_path, monkeypatch):
+    config, write, calls = build(tmp_path), TenantSession.write_chunks, []
+    monkeypatch.setattr(TenantSession, "write_chunks", lambda self, name, to, rows, n: (calls.append(n), write(self, name, to, rows, n))[1])
+    run_tenant(spark, config, str(tmp_path / "store"), "shop", now=NOW, chunk_rows=2, phases=("ingest",))
+    assert len(calls) == 4 and sum(calls) > 10
+    s = session(spark, tmp_path)
+    paths = [p for own in s.state["tables"]["raw.records"].values() for p in own]
+    assert all("/_chunk=" in p for p in paths) and s.state["meta"]["staged"] == []
+
+
 def test_late_records_restate(spark, clean, tmp_path):
     config = build(tmp_path)
     first = run_tenant(spark, config, str(tmp_path / "store"), "shop", batches="1", now=NOW)

@@ -16,16 +16,20 @@ def on_days(rows: DataFrame, days: DataFrame | None, column: str = "posting_day"
     return rows if days is None else rows.join(days.select(F.col("day").alias(column)).distinct(), column, "left_semi")
 
 
-def revenue(orders: DataFrame, refunds: DataFrame, days: DataFrame | None = None) -> DataFrame:
+def revenue(orders: DataFrame, refunds: DataFrame, days: DataFrame | None = None, named: DataFrame | None = None) -> DataFrame:
     """day, dimension (channel), orders, gross, refunds, net.
 
     orders: order_id, channel, gross, posting_day; refunds: order_id, amount,
     posting_day. Both sides are summed before they meet, so what is shuffled to the
     full join is one row a day and channel; a refund takes its order's channel,
-    whatever day that order is on.
+    whatever day that order is on. named: orders that hold all that the refunds name (all
+    orders by default); they are reduced to those before they meet the refunds, so a
+    day's refunds don't move every order.
     """
     sold = on_days(orders, days).groupBy(F.col("posting_day").alias("day"), F.col("channel").alias("dimension")).agg(F.count("*").alias("orders"), F.sum("gross").cast(MONEY).alias("gross"))
-    back = on_days(refunds, days).join(orders.select("order_id", "channel"), "order_id", "left")
+    back = on_days(refunds, days)
+    named = (orders if named is None else named).select("order_id", "channel").join(back.select("order_id").distinct(), "order_id", "left_semi")
+    back = back.join(named, "order_id", "left")
     back = back.groupBy(F.col("posting_day").alias("day"), F.coalesce("channel", F.lit("unattributed")).alias("dimension")).agg(F.sum("amount").cast(MONEY).alias("refunds"))
     zero = F.lit(0).cast(MONEY)
     both = sold.join(back, ["day", "dimension"], "full")
@@ -95,5 +99,6 @@ def orphans(refunds: DataFrame, orders: DataFrame) -> DataFrame:
 
 def resolved(held: DataFrame, refunds: DataFrame, orders: DataFrame) -> DataFrame:
     """Held references (ref: a refund's id) whose order has come."""
-    known = refunds.join(orders.select("order_id"), "order_id", "left_semi").select(F.col("refund_id").alias("ref"))
+    own = refunds.join(held.select(F.col("ref").alias("refund_id")).distinct(), "refund_id", "left_semi")  # few, before they meet orders
+    known = own.join(orders.select("order_id"), "order_id", "left_semi").select(F.col("refund_id").alias("ref"))
     return held.join(known, "ref", "left_semi")

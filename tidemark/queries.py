@@ -431,7 +431,12 @@ def _deliver(rows: DataFrame, base: str, source: str, kind: str) -> None:
     """rows as files base/source/batch_N, one for each value of their column batch."""
     to = f"{base}/{source}"
     out = rows.repartition("batch").write.partitionBy("batch")
-    out.csv(f"{to}-parts", header=True, quote='"', escape='"', emptyValue="") if kind == "csv" else out.json(f"{to}-parts")
+    if kind == "csv":
+        out.csv(f"{to}-parts", header=True, quote='"', escape='"', emptyValue="")
+    elif kind == "json":
+        out.json(f"{to}-parts")
+    else:  # lines as they are
+        out.text(f"{to}-parts")
     spark = rows.sparkSession
     path = spark._jvm.org.apache.hadoop.fs.Path
     fs = path(to).getFileSystem(spark._jsc.hadoopConfiguration())

@@ -85,7 +85,7 @@ def runs(s: TenantSession, most: int = 50) -> list[dict]:
         own = stats.get("files", [])
         out.append(
             {
-                "id": r["id"], "status": r["status"], "started_at": r["started_at"], "finished_at": r["finished_at"], "error": r["error"], "files": len(own), "duplicates": sum(f["status"] == "duplicate" for f in own),
+                "id": r["id"], "status": r["status"], "started_at": r["started_at"], "finished_at": r["finished_at"], "error": r["error"], "args": json.loads(r["args"] or "{}"), "files": len(own), "duplicates": sum(f["status"] == "duplicate" for f in own),
                 "inserted": sum(f["rows_inserted"] for f in own), "restatements": (stats.get("marts") or {}).get("restatements", 0), "missing": len(stats.get("missing", [])), "context": run_context(r["status"], r["error"], stats),
             }
         )
