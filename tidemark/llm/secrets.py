@@ -12,7 +12,9 @@ exclusive; places count code points.
 Nulls: a null text is empty and has no spans. Ties: of assignments of one literal the
 one that scores most counts. Repeated rows each give a row; ids pass through
 unchanged, null ones too. Texts of any length are scanned whole, names and chains of
-names of any length too. Other columns, whatever their names, are passed by. An empty
+names of any length too, in time in proportion to the text: a literal without quotes
+is the whole of what follows an operator up to a blank or a sign of syntax, and other
+operators inside it don't count, but parameters of a URL do. Other columns, whatever their names, are passed by. An empty
 table gives no rows.
 """
 
@@ -42,6 +44,8 @@ OPERATOR = re.compile(r"=>|:=|\+=|(?<![=!<>+*/%&|^:-])=(?![=>~])|:(?![:/=])")
 NAME_CHAR, NAME_START, KEY_CHAR = re.compile(r"[\w$.-]"), re.compile(r"[A-Za-z_$]"), re.compile(r"[\w.-]")
 QUOTED = re.compile(r'''[ \t]*(?:[rbuf]{0,2})("""|\'\'\'|["'`])''', re.I)
 BARE = re.compile(r"""[ \t]*([^\s"'`#;,(){}\[\]<>|]+)""")
+#: A parameter of a URL inside a bare literal.
+QUERY = re.compile(r"""[?&]([A-Za-z_$][\w$.-]*)=([^\s"'`#;,(){}\[\]<>|&]+)""")
 REFERENCE = re.compile(r"[ \t]*(?:\$\{?|process\.env\.|os\.environ\.)?([A-Za-z_$][\w$.]*)\}?[ \t]*(?=[;,)\]}\r\n#]|$)")
 JOINED = re.compile(r"[ \t]*[+.]?[ \t]*\\?\n?[ \t]*(?=[\"'])")
 PART = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|\d+")
@@ -162,6 +166,8 @@ def pairs(text: str) -> list[tuple[str, str, int, int, str | None]]:
             out.append((target, r[1], r.start(1), r.end(1), None))  # or a bare word of a configuration file
         elif b := BARE.match(text, m.end()):
             out.append((target, b[1], b.start(1), b.end(1), None))
+            out += [(x[1], x[2], x.start(2), x.end(2), None) for x in QUERY.finditer(text, b.start(1), b.end(1))]
+            past = b.end(1)
             if (r := REFERENCE.match(text, m.end())) is not None:
                 out.append((target, "", r.start(1), r.end(1), r[1]))
     return out
