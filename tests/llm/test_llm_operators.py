@@ -566,8 +566,8 @@ def test_generated_pages(labeller):
 
 def test_every_word_of_a_block_counts():
     same = "one two three four five six seven eight nine ten eleven twelve "
-    a, b = (html_blocks.vectors([html_blocks.Block(same * 3 + w, ("div",), 0)]) for w in ("cookies", "parsley"))
-    long = html_blocks.vectors([html_blocks.Block(same * 5000, ("div",), 0)])
+    a, b = (html_blocks.vectors([html_blocks.Block(same * 3 + w, html_blocks._Open("div", ["div"], None), 0)]) for w in ("cookies", "parsley"))
+    long = html_blocks.vectors([html_blocks.Block(same * 5000, html_blocks._Open("div", ["div"], None), 0)])
     assert not np.array_equal(a, b) and np.abs(long).max() < 6
 
 

@@ -52,32 +52,60 @@ ASIDE = {"nav", "aside", "footer", "form"}
 ASIDE |= {"." + w for w in ("ad", "ads", "advert", "sponsored", "promo", "comment", "comments", "reply", "replies", "responses", "discussion", "sidebar", "related", "recommended", "widget", "share", "menu", "nav", "breadcrumb", "cookie", "consent", "notice", "newsletter")}
 
 
+class _Open:
+    """An open element: its names, and what its path adds up to, so that blocks below share it."""
+
+    __slots__ = ("bits", "depth", "own", "parent", "tag")
+
+    def __init__(self, tag: str, own: list[str], parent: _Open | None):
+        self.tag, self.own, self.parent = tag, own, parent
+        self.depth, self.bits = len(own) + (parent.depth if parent else 0), parent.bits if parent else 0
+        for x in own:
+            self.bits |= 1 << _hash(x) % PATH_DIMS
+
+
 class Block:
-    __slots__ = ("link", "path", "text")
+    __slots__ = ("inside", "link", "text")
 
-    def __init__(self, text: str, path: tuple[str, ...], link: int):
-        self.text, self.path, self.link = text, path, link
+    def __init__(self, text: str, inside: _Open | None, link: int):
+        self.text, self.inside, self.link = text, inside, link
+
+    @property
+    def path(self) -> tuple[str, ...]:
+        out, at = [], self.inside
+        while at:
+            out.append(at.own)
+            at = at.parent
+        return tuple(x for own in reversed(out) for x in own)
 
 
 def blocks(page: str) -> list[Block]:
-    """Leaf blocks in page order; path items are tags and, after a dot, words of class, id and role."""
+    """Leaf blocks in page order; path items are tags and, after a dot, words of class, id and role. Time is in proportion to the page: where each tag is open, and which elements aren't inline, is kept beside the stack."""
     out: list[Block] = []
-    stack: list[tuple[str, tuple[str, ...]]] = []
+    stack: list[_Open] = []
+    open_at: dict[str, list[int]] = {}  # places in the stack, by tag
+    hard: list[int] = []  # places of elements that aren't inline
     held: list[str] = []
     link = silent = anchors = at = 0
 
+    def last(tags) -> int:
+        return max((open_at[t][-1] for t in tags if open_at.get(t)), default=-1)
+
     def flush() -> None:
         nonlocal link
         text = " ".join("".join(held).split())
         if text:
-            out.append(Block(text, tuple(x for _, own in stack for x in own), link))
+            out.append(Block(text, stack[-1] if stack else None, link))
         held.clear()
         link = 0
 
     def pop(k: int) -> None:
         nonlocal silent, anchors
         while len(stack) > k:
-            tag, _ = stack.pop()
+            tag = stack.pop().tag
+            open_at[tag].pop()
+            if tag not in INLINE:
+                hard.pop()
             silent -= tag in SILENT
             anchors -= tag == "a"
 
@@ -107,11 +135,9 @@ def blocks(page: str) -> list[Block]:
         if tag not in INLINE:
             flush()
         if m[1]:
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] == tag:
-                    if tag not in INLINE or all(x[0] in INLINE for x in stack[k:]):
-                        pop(k)
-                    break
+            k = last((tag,))
+            if k >= 0 and (tag not in INLINE or not hard or hard[-1] < k):
+                pop(k)
             continue
         if tag in VOID:
             continue
@@ -120,28 +146,24 @@ def blocks(page: str) -> list[Block]:
             at = end.end() if end else n
             continue
         if tag in CLOSES_P:
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] == "p":
-                    pop(k)
-                    break
-                if stack[k][0] not in INLINE:
-                    break
+            if hard and stack[hard[-1]].tag == "p":
+                pop(hard[-1])
         elif tag in OWN_KIND:
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] == tag or (tag in ("dt", "dd") and stack[k][0] in ("dt", "dd")) or (tag in ("td", "th") and stack[k][0] in ("td", "th")):
-                    pop(k)
-                    break
-                if stack[k][0] in OWN_KIND[tag]:
-                    break
+            k = last(next((x for x in (("dt", "dd"), ("td", "th")) if tag in x), (tag,)))
+            if k > last(OWN_KIND[tag]):
+                pop(k)
         elif tag == "a" and anchors:
-            pop(max(k for k, x in enumerate(stack) if x[0] == "a"))
+            pop(last(("a",)))
         own = [tag]
         if m[3] and not m[3].isspace():
             for a in ATTRIBUTE.finditer(m[3]):
                 own += ["." + w for w in re.split(r"[^a-z]+", (a[2] or a[3] or a[4] or "").lower()) if w]
         if m[3].rstrip().endswith("/") and tag not in INLINE and tag in ("svg", "math", "iframe"):
             continue
-        stack.append((tag, tuple(own)))
+        open_at.setdefault(tag, []).append(len(stack))
+        if tag not in INLINE:
+            hard.append(len(stack))
+        stack.append(_Open(tag, own, stack[-1] if stack else None))
         silent += tag in SILENT
         anchors += tag == "a"
     flush()
@@ -181,15 +203,15 @@ def vectors(found: list[Block]) -> np.ndarray:
     before = 0
     for k, b in enumerate(found):
         row = out[k]
-        for x in b.path:
-            row[_hash(x) % PATH_DIMS] = 1
+        if b.inside:
+            row[:PATH_DIMS] = np.unpackbits(np.frombuffer(b.inside.bits.to_bytes(PATH_DIMS // 8, "little"), np.uint8), bitorder="little")
         words = b.text.split()
         for w in words:
             row[_bucket(w)] += 1
         said = row[PATH_DIMS:-8]
         np.multiply(np.log1p(said), 0.3 / np.log(2), out=said)  # by a log, so that a long block stays bounded
         n = len(b.text)
-        row[-8:] = (min(np.log1p(n) / 6, 2), min(np.log1p(len(words)) / 4, 2), b.link / n, sum(b.text.count(c) for c in ".,;!?|") / len(words) / 2, k / len(found), before / total, 1 if b.text[-1] in ".!?" else 0, len(b.path) / 10)
+        row[-8:] = (min(np.log1p(n) / 6, 2), min(np.log1p(len(words)) / 4, 2), b.link / n, sum(b.text.count(c) for c in ".,;!?|") / len(words) / 2, k / len(found), before / total, 1 if b.text[-1] in ".!?" else 0, (b.inside.depth if b.inside else 0) / 10)
         before += n
     return out
 
