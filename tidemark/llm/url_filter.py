@@ -5,7 +5,8 @@ A list is a table of dated entries: (kind, value, action, at), with kind `domain
 beginning, by whole path parts), and action `add` or `remove`. The entries of one
 (kind, value) become validity intervals: from an add to the next entry. A capture
 (url, fetched) is evaluated against the entries active when it was fetched: each
-URL gives its lookup keys (one a host suffix, one the host, one a path part), and an
+URL gives its lookup keys (one a host suffix, one the host, one a path part, as far as
+the list has entries so long), and an
 as-of join finds the last interval of each key that began by then, which holds if it
 hasn't ended. The join is a union of lookups and intervals, in one window by key and
 time: a capture meets one interval of a key, however many the key has. A key with
@@ -39,14 +40,14 @@ def host_of(url: Column) -> Column:
     return F.nullif(F.lower(F.rtrim(F.regexp_extract(url, HOST, 1), F.lit("."))), F.lit(""))
 
 
-def keys_of(url: Column) -> Column:
-    """`kind:value` of each entry that a URL could match."""
+def keys_of(url: Column, labels_: int, parts_: int) -> Column:
+    """`kind:value` of each entry that a URL could match, if no domain of the list has more labels and no prefix more parts than that. The bounds are the list's own, so no entry is missed, and a long URL gives no more keys than a list can have."""
     host = host_of(url)
     labels = F.split(host, r"\.")
     n = F.size(labels)
-    suffixes = F.transform(F.sequence(F.lit(1), F.greatest(n, F.lit(1))), lambda i: F.concat(F.lit("domain:"), F.array_join(F.slice(labels, i, n), ".")))
-    parts = F.filter(F.split(F.regexp_extract(url, PATH, 1), "/"), lambda p: p != "")
-    steps = F.size(parts)
+    suffixes = F.transform(F.sequence(F.greatest(n - labels_ + 1, F.lit(1)), F.greatest(n, F.lit(1))), lambda i: F.concat(F.lit("domain:"), F.array_join(F.slice(labels, i, n), ".")))
+    parts = F.slice(F.filter(F.split(F.regexp_extract(url, PATH, 1), "/"), lambda p: p != ""), 1, max(parts_, 1))
+    steps = F.size(parts) if parts_ else F.lit(0)
     paths = F.when(steps > 0, F.transform(F.sequence(F.lit(1), F.greatest(steps, F.lit(1))), lambda i: F.concat(F.lit("prefix:"), host, F.lit("/"), F.array_join(F.slice(parts, F.lit(1), i), "/")))).otherwise(F.array().cast("array<string>"))
     return F.when(host.isNotNull(), F.array_union(F.concat(suffixes, F.array(F.concat(F.lit("host:"), host))), paths))
 
@@ -65,7 +66,6 @@ def intervals(entries: DataFrame) -> DataFrame:
 
 def as_of(looked: DataFrame, held: DataFrame) -> DataFrame:
     """Rows of looked (key, url, fetched; distinct) with an interval of held (key, valid_from, valid_to) that holds then."""
-    held = common.kept(held, "intervals")
     if held.count() <= FEW:
         looked = looked.join(F.broadcast(held.select("key").distinct()), "key", "left_semi")
     often = looked.groupBy("key").agg(F.count("*").alias("_n")).where(F.col("_n") > LOOKUPS)
@@ -87,8 +87,11 @@ def evaluate(captures: DataFrame, entries: DataFrame, id_col: str = "page_id", u
     """
     rows = captures.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), F.col(time_col).alias("fetched"))
     distinct = rows.where("url is not null and fetched is not null").select("url", "fetched").distinct()
-    looked = distinct.withColumn("key", F.explode(keys_of(F.col("url"))))
-    found = as_of(looked, intervals(entries)).groupBy("url", "fetched").agg(F.count("*").alias("n_active"), F.min("key").alias("first_key"))
+    held = common.kept(intervals(entries), "intervals")
+    longest = lambda kind, sign: F.coalesce(F.max(F.when(F.startswith("key", F.lit(f"{kind}:")), F.size(F.split("key", sign)))), F.lit(0))
+    labels, parts = held.agg(longest("domain", r"\."), longest("prefix", "/") - 1).first()
+    looked = distinct.withColumn("key", F.explode(keys_of(F.col("url"), max(labels, 1), max(parts, 0))))
+    found = as_of(looked, held).groupBy("url", "fetched").agg(F.count("*").alias("n_active"), F.min("key").alias("first_key"))
     out = rows.join(found, ["url", "fetched"], "left")
     return out.select("page_id", "url", "fetched", F.col("n_active").isNotNull().alias("blocked"), F.coalesce("n_active", F.lit(0)).cast("long").alias("n_active"), "first_key")
 
