@@ -51,11 +51,11 @@ ORDINARY = re.compile(rf"^(?:{MARK}|[{OPENS}])+|(?:{MARK}|[{CLOSES}])+$")
 REPEATED, DOUBLED = re.compile(r"(.)\1\1"), re.compile(r"(.)\1")
 #: What has more than one path, and the letters after it until all paths are in one state: runs of a letter, and other characters, at most one letter apart.
 FORKED = r"(?:([^\W\d_])\{0}+|([\W\d_])\{1}*)"
-SEGMENT = re.compile(FORKED.format(1, 2) + r"(?:(?:([^\W\d_])(?!\3))?" + FORKED.format(4, 5) + r")*(?:([^\W\d_])(?!\6)){0,2}")
+BEGINS, GOES_ON, ENDS = re.compile(FORKED.format(1, 2)), re.compile(r"(?:([^\W\d_])(?!\1))?" + FORKED.format(2, 3)), re.compile(r"(?:([^\W\d_])(?!\1)){0,2}")
 #: A token of one letter or sign, however often said; three or more of them, and mere marks between, are a run of characters spaced apart.
 ONE = rf"([^\W\d_]|[{re.escape(''.join(SIGNS))}])"
 SHORT = re.compile(rf"{MARK}*[{OPENS}]*{ONE}\1*[{CLOSES}]*{MARK}*")
-RUN = re.compile(r"s(?:-*s){2,}")
+RUN = re.compile(r"s[-s]*s")
 #: The same in one token.
 DOTTED = re.compile(rf"{ONE}\1*(?:[.\-_*]+{ONE.replace('(', '(?P<x>', 1)}(?P=x)*){{2,}}")
 #: Costs, as negative logarithms: a sign for a letter, a letter repeated, a mark put between letters, a sign that stands for none.
@@ -65,6 +65,8 @@ SPLIT = 2.0
 MOST_CACHED, MOST_COUNTED, STRONG = 200_000, 50_000, 2.5
 #: Bytes of text that are read at once, segments and costs that are remembered, and words whose n-grams are counted at once.
 SLICE, MOST_KEPT, WORDS_AT_ONCE = 2 << 20, 100_000, 1 << 15
+#: Steps of the decoder after which what all paths have in common is settled.
+COMMON = 4096
 
 
 ASCII_MARKS = "".join(c for c in map(chr, range(128)) if re.fullmatch(MARK, c))
@@ -183,16 +185,25 @@ def _likeliest(before: str, segment: str, ends: bool, model: CharModel) -> str:
     """What most likely became segment after the two letters before: Viterbi over states of the last two letters written."""
     costs: dict[str, float] = {before: 0.0}
     done: list[str] = []
-    steps: list[dict[str, tuple[str, str]]] = []  # where each state came from, since all paths were in one state
-    i, n = 0, len(segment)
+    steps: list[dict[str, tuple[str, str]]] = []  # where each state came from, since all paths had last been one
+    i, n, most = 0, len(segment), COMMON
 
-    def settle(s: str) -> None:
+    def settle(s: str, upto: int | None = None) -> None:
         back = []
-        for came in reversed(steps):
+        for came in reversed(steps[:upto]):
             s, letters = came[s]
             back.append(letters)
-        done.extend(reversed(back))
-        steps.clear()
+        done.append("".join(reversed(back)))
+        del steps[:upto]
+
+    def settle_beginning() -> None:
+        """Settles the steps that all paths have in common."""
+        at, k = set(costs), len(steps)
+        while k and len(at) > 1:
+            k -= 1
+            at = {steps[k][s][0] for s in at}
+        if k:
+            settle(*at, k)
 
     while i < n:
         c, j = segment[i], i + 1
@@ -218,12 +229,26 @@ def _likeliest(before: str, segment: str, ends: bool, model: CharModel) -> str:
         costs = after
         if len(costs) == 1:
             settle(*costs)
+        elif len(steps) >= most:
+            settle_beginning()
+            most = max(COMMON, 2 * len(steps))
         i = j
     if steps:
         settle(min((cost + (model.cost(s, "$") if ends else 0.0), s) for s, cost in costs.items())[1])
     return "".join(done)
 
 
+def _segments(token: str) -> Iterator[tuple[int, int]]:
+    """Where each segment with more than one path begins and ends."""
+    at = 0
+    while m := BEGINS.search(token, at):
+        end = m.end()
+        while n := GOES_ON.match(token, end):
+            end = n.end()
+        at = ENDS.match(token, end).end()
+        yield m.start(), at
+
+
 def decode(token: str, model: CharModel) -> str:
     """The plain word that most likely became token; of characters spaced apart, the plain words.
 
@@ -231,9 +256,9 @@ def decode(token: str, model: CharModel) -> str:
     since all paths are in one state before it and after it, and is remembered.
     """
     out, before, at = [], "^^", 0
-    for m in SEGMENT.finditer(token):
-        alone, segment, ends = token[at : m.start()], m[0], m.end() == len(token)
-        at = m.end()
+    for start, end in _segments(token):
+        alone, segment, ends = token[at:start], token[start:end], end == len(token)
+        at = end
         before = (before + alone)[-2:]
         key = (before, segment, ends)
         if (got := model.segments.get(key)) is None:
@@ -277,7 +302,7 @@ def kind_of(token: str) -> str:
 
 def runs_of(tokens: list[str], kinds: str) -> list[str]:
     """Each run of characters spaced apart, with one blank in every gap."""
-    return [" ".join(x for t in tokens[m.start() : m.end()] if (x := bare(t))) for m in RUN.finditer(kinds)] if "s" in kinds else []
+    return [" ".join(x for t in tokens[m.start() : m.end()] if (x := bare(t))) for m in RUN.finditer(kinds) if m[0].count("s") > 2] if "s" in kinds else []
 
 
 def words_of(text: str) -> list[str]:
