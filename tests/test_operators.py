@@ -1,5 +1,6 @@
 """Operators of the engine on small frames, and properties of the merge."""
 
+import hashlib
 import json
 import random
 from datetime import date
@@ -60,6 +61,57 @@ def test_csv_quirks(spark, tmp_path):
     assert [(r, n) for _, r, n in files.discover(spark, str(tmp_path), "*.csv")] == [("a.csv", p.stat().st_size), ("empty.csv", 4)]
 
 
+def random_csv(rng, rows):
+    """A file with quoted line ends, quotes, blank lines, short and long rows, and quotes in plain values."""
+    def value():
+        kind = rng.random()
+        if kind < 0.15:
+            return '"' + "".join(rng.choice(["x", ",", "\n", '""', " ", "\n\n", "\r\n"]) for _ in range(rng.randrange(12))) + '"'
+        return "" if kind < 0.2 else f'{rng.randrange(99)}" wide' if kind < 0.23 else str(rng.randrange(10**6))
+
+    out = ["\ufeffa,b,c"]
+    for _ in range(rows):
+        out.append(",".join(value() for _ in range(rng.choice([3, 3, 3, 2, 4]))))
+        out += [""] * (rng.random() < 0.05)
+    return "\n".join(out) + rng.choice(["", "\n"])
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_csv_by_byte_ranges_is_the_read_of_one_task(spark, tmp_path, seed):
+    rng = random.Random(seed)
+    p = tmp_path / "with blank.csv"
+    with open(p, "w", newline="") as f:
+        f.write(random_csv(rng, 400))
+    names = ["a", "b", "c"]
+    whole = [{c: v for c, v in zip(names, r, strict=True) if v is not None} for r in files._whole(spark, str(p)).select(*names).collect()]
+    assert any("\n" in v for r in whole for v in r.values())
+    for most in ("128m", "2000", "700"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", most)
+        spark.conf.set("spark.sql.files.openCostInBytes", "1")
+        try:
+            found = files.records(spark, [str(p)], "csv", names)
+            got = {r.line_no: json.loads(r.payload) for r in found.collect()}
+            assert [got[i + 1] for i in range(len(got))] == whole
+            assert most == "128m" or files._text(spark, [str(p)]).rdd.getNumPartitions() > 3
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+            spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_fingerprints_of_large_files_are_streamed(spark, tmp_path):
+    p = tmp_path / "large"
+    with open(p, "wb") as f:
+        f.write(b"head")
+        f.truncate(3 << 30)  # a sparse file, larger than a row can be
+    digest = hashlib.sha256(b"head")
+    rest = (3 << 30) - 4
+    while rest:
+        n = min(rest, 1 << 24)
+        digest.update(bytes(n))
+        rest -= n
+    assert files.fingerprints(spark, [str(p), f"file:{p}"]) == dict.fromkeys([str(p), f"file:{p}"], digest.hexdigest())
+
+
 def test_many_files_are_numbered_alone(spark, tmp_path):
     for k in range(3):
         (tmp_path / f"{k}.ndjson").write_text("\n".join(json.dumps({"id": i}) for i in range(k + 2)) + "\n\n")
@@ -175,6 +227,16 @@ def test_texts():
     assert run_context("failed", "x", {}) == "failed: x" and run_context("succeeded", None, {}) is None and run_context("running", None, {})
 
 
+def test_orders_are_reduced_before_they_meet_refunds(spark):
+    orders = spark.range(1000).selectExpr("cast(id AS string) AS order_id", "'c' AS channel", "cast(1 AS decimal(14,2)) AS gross", "date_add(date '2026-01-01', cast(id % 100 AS int)) AS posting_day")
+    refunds = spark.range(5).selectExpr("cast(id * 7 AS string) AS order_id", "cast(1 AS decimal(14,2)) AS amount", "date '2026-01-03' AS posting_day")
+    days = spark.createDataFrame([(D(2026, 1, 3),)], "day date")
+    out = marts.revenue(orders, refunds, F.broadcast(days))
+    assert [(r.dimension, r.orders, r.refunds) for r in out.collect()] == [("c", 10, Decimal("5.00"))]
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftSemi, (order_id" in plan and plan.index("LeftOuter") < plan.index("LeftSemi, (order_id")
+
+
 def test_a_filter_on_held_works_out_each_value_once(spark):
     records = spark.range(1).selectExpr("id as file_load_id", "id as line_no", "concat('{', cast(id as string), '}') as payload", "cast(null as string) as error", "'v1' as schema_version")
     plan = mapping.quarantined(mapping.map_rows(records, SPEC, TENANT))._jdf.queryExecution().optimizedPlan().toString()

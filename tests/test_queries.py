@@ -43,3 +43,11 @@ def test_query(spark, duck, name):
     got = QUERIES[name](spark, SF).toPandas()
     want = duck.sql(ORACLE[name]).df()
     assert sorted(got.columns) == sorted(want.columns) and rows(got) == rows(want)
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
+def test_deliveries_can_be_removed(spark):
+    made = spark.sparkContext._tidemark_deliveries if hasattr(spark.sparkContext, "_tidemark_deliveries") else [queries._folder(spark)]
+    queries.remove(spark)
+    chronicle._made.clear()
+    assert made and not any(map(os.path.exists, made)) and spark.sparkContext._tidemark_deliveries == []

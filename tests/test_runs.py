@@ -7,6 +7,7 @@ import pytest
 from shop import FILES, NOW, build, snapshot
 
 from tidemark import reads
+from tidemark.operators import mapping
 from tidemark.plans.pipeline import Run, RunFailed, SimulatedCrash, _recover, run_tenant
 from tidemark.store import NoTenant, TenantSession, tenants
 
@@ -86,6 +87,26 @@ def test_reads(spark, clean):
     assert tenants(spark, str(clean[0] / "store")) == ["shop"]
 
 
+def test_sql_of_one_tenant(spark, clean):
+    own = reads.sql_session(spark, str(clean[0] / "store"), "shop")
+    assert own.sql("SELECT sum(orders) FROM daily_revenue").first()[0] == 9
+    assert own.sql("SELECT count(*) FROM daily_marketing WHERE spend IS NULL").first()[0] == 2
+    other = reads.sql_session(spark, str(clean[0] / "store"), "other")
+    assert other.sql("SELECT count(*) FROM orders").first()[0] == 0 and not spark.catalog.tableExists("daily_revenue")
+    with pytest.raises(Exception, match="(?i)not.*found|cannot be found|UNSUPPORTED"):
+        other.sql(f"SELECT * FROM parquet.`{clean[0]}/store/shop/mart.daily_revenue`").collect()
+
+
+def test_held_rows_are_tried_again_only_with_another_configuration(spark, clean, monkeypatch):
+    folder, config, _ = clean
+    tried = []
+    monkeypatch.setattr("tidemark.plans.pipeline._retry_held", lambda run, spec, closed, stats: tried.append(spec.source))
+    run_tenant(spark, config, str(folder / "store"), "shop", now=NOW, phases=("stage",))
+    assert tried == []
+    labels = {"facebook": "paid_social", "google": "paid_search", "email": "email", "direct": "direct", "pinterest": "other"}
+    assert mapping.fingerprint(config.sources["orders"], build(folder, labels=labels).tenant("shop")) != mapping.fingerprint(config.sources["orders"], config.tenant("shop"))
+
+
 def test_isolation(spark, clean):
     root = str(clean[0] / "store")
     assert TenantSession(spark, root, "other").read("stg.orders").count() == 0
@@ -122,9 +143,9 @@ def test_crash_then_resume_is_a_clean_run(spark, clean, tmp_path):
     assert snapshot(session(spark, tmp_path)) == snapshot(session(spark, clean[0]))
 
 
-@pytest.mark.parametrize(("written", "left"), [(None, []), ([0, 2], [("shop/orders/batch_01.csv", "loading", 2), ("shop/orders/batch_02.csv", "loading", 0), ("shop/orders/batch_03.csv", "loading", 0)]), ([], None)])
+@pytest.mark.parametrize(("written", "left"), [(None, []), ([0, 2], [("shop/orders/batch_01.csv", "loading", 2), ("shop/orders/batch_02.csv", "loading", 2), ("shop/orders/batch_03.csv", "loading", 0)]), ([], None)])
 def test_a_kill_keeps_whole_chunks(spark, clean, tmp_path, monkeypatch, written, left):
-    """Killed after the job but before its commit, or in the job with some chunks written: those up to the first that isn't there count."""
+    """Killed after the job but before its commit, or in the job with some chunks written: of each file those up to the first that isn't there count."""
     config = build(tmp_path)
     adopt, write = TenantSession.adopt_chunks, TenantSession.write_chunks
 

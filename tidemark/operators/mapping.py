@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import hashlib
+import json
+from dataclasses import asdict, dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -47,6 +49,11 @@ def schema_events(resolved: Resolved) -> list[tuple[str, dict]]:
     return out
 
 
+def fingerprint(spec: Source, tenant: Tenant) -> str:
+    """A hash of all that decides how a source's records are mapped."""
+    return hashlib.sha256(json.dumps([asdict(spec), tenant.normalize, tenant.currency], sort_keys=True).encode()).hexdigest()[:16]
+
+
 def _held(reason: str, **detail: Column) -> Column:
     return F.struct(F.lit(reason).alias("reason"), F.to_json(F.struct(*[c.alias(k) for k, c in detail.items()])).alias("detail"))
 

@@ -59,14 +59,14 @@ def merge(prior: DataFrame, new: DataFrame, key: Column | str, columns: list[str
     outcome = F.when(F.col("_new") == 0, "prior").when(F.col("_before").isNull(), "inserted").when(F.col("_before.content_hash") == F.col("content_hash"), "unchanged").otherwise("updated")
     rows = rows.withColumn("outcome", outcome)
     counted = rows.where("outcome <> 'unchanged'") if retry else rows
-    # Of each key the last row, with what led to it; the same order serves both windows, and a key that only has a prior row ends with that.
+    # Of each key the last row, with what led to it: its content is that of the last change, since an unchanged row has the
+    # content before it. The same order serves both windows, and a key that only has a prior row ends with that.
     upto = w.rowsBetween(Window.unboundedPreceding, 0)
-    changed = F.when(F.col("outcome") != "unchanged", F.struct("content_hash", "_row"))
     state = counted.select(
-        "k", F.last(changed, ignorenulls=True).over(upto).alias("_last"), F.first("posting_day").over(upto).alias("posting_day"), F.first("first_file_load_id").over(upto).alias("first_file_load_id"),
+        "k", "_row", "content_hash", F.first("posting_day").over(upto).alias("posting_day"), F.first("first_file_load_id").over(upto).alias("first_file_load_id"),
         "last_file_load_id", F.sum("times_seen").over(upto).cast("int").alias("times_seen"), "_new", F.lead("_new").over(w).alias("_next"),
     )
-    state = state.where("_next is null and _new = 1").select("k", *[F.col(f"_last._row.{c}").alias(c) for c in columns], "posting_day", F.col("_last.content_hash").alias("content_hash"), "first_file_load_id", "last_file_load_id", "times_seen")
+    state = state.where("_next is null and _new = 1").select("k", *[F.col(f"_row.{c}").alias(c) for c in columns], "posting_day", "content_hash", "first_file_load_id", "last_file_load_id", "times_seen")
     outcomes = rows.where("_new = 1").select("k", *[F.col(f"_o{i}").alias(o) for i, o in enumerate(order)], "outcome", "event_day", "day", F.col("_before._row").alias("previous"), F.col("_row").alias("incoming"))
     return Merged(outcomes, state)
 

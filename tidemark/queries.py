@@ -424,7 +424,18 @@ def _folder(spark: SparkSession) -> str:
         if not master.startswith("local") or master.startswith("local-cluster"):
             raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         named = tempfile.mkdtemp(prefix="tidemark-")
-    return f"{named.rstrip('/')}/deliveries-{uuid.uuid4().hex}"
+    path = f"{named.rstrip('/')}/deliveries-{uuid.uuid4().hex}"
+    spark.sparkContext._tidemark_deliveries = [*getattr(spark.sparkContext, "_tidemark_deliveries", []), path]
+    return path
+
+
+def remove(spark: SparkSession) -> None:
+    """Deletes the delivery files and stores that queries of this session have made; frames that read them are of no use afterwards."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for path in getattr(spark.sparkContext, "_tidemark_deliveries", []):
+        where = jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(conf).delete(where, True)
+    spark.sparkContext._tidemark_deliveries = []
 
 
 def _deliver(rows: DataFrame, base: str, source: str, kind: str) -> None:

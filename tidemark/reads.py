@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .config import Config
@@ -14,7 +14,7 @@ from .report import run_context
 from .sources import files
 from .store import TenantSession, tenants
 
-__all__ = ["deliveries", "finance", "freshness", "hold_counts", "holds", "late_postings", "marketing", "overview", "promised", "restatement_days", "restatements", "revenue", "revenue_card", "runs", "status", "tenants"]
+__all__ = ["deliveries", "finance", "freshness", "hold_counts", "holds", "late_postings", "marketing", "overview", "promised", "restatement_days", "restatements", "revenue", "revenue_card", "runs", "sql_session", "status", "tenants"]
 
 
 def promised(s: TenantSession) -> DataFrame:
@@ -107,3 +107,24 @@ def status(s: TenantSession) -> dict:
     return {"tenant": s.tenant_id, "display_name": tenant and tenant["display_name"], "currency": tenant and tenant["currency"]} | card
 
 
+#: Views of a tenant's session for SQL, by name.
+VIEWS = {
+    "orders": lambda s: s.read("stg.orders"), "refunds": lambda s: s.read("stg.refunds"), "email_events": lambda s: s.read("stg.email_events"), "ad_spend": lambda s: s.read("stg.ad_spend"),
+    "daily_revenue": lambda s: s.read("mart.daily_revenue"), "daily_email": lambda s: s.read("mart.daily_email"), "daily_marketing": marketing, "late_postings": late_postings, "restatements": lambda s: s.read("ops.restatements"),
+    "quarantine": lambda s: s.read("ops.quarantine"), "conflicts": lambda s: s.read("ops.conflicts"), "expected_deliveries": lambda s: s.read("ops.expected_deliveries"), "file_loads": lambda s: s.read("raw.file_loads"), "runs": lambda s: s.read("ops.runs"),
+}
+
+
+def sql_session(spark: SparkSession, root: str, tenant_id: str) -> SparkSession:
+    """A Spark session in which SQL sees one tenant's tables as views, and files by path not at all.
+
+    It shares nothing with other sessions but the context: temporary views are a
+    session's own. The views show the version that was last when it was made.
+    """
+    own = spark.newSession()
+    own.conf.set("spark.sql.session.timeZone", "UTC")
+    s = TenantSession(own, root, tenant_id)
+    for name, view in VIEWS.items():
+        view(s).createOrReplaceTempView(name)
+    own.conf.set("spark.sql.runSQLOnFiles", "false")
+    return own

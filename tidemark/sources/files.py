@@ -237,15 +237,15 @@ def _csv(spark: SparkSession, paths: list[str], columns: list[str]) -> DataFrame
     at the beginnings of their ranges, and only records of several lines are shuffled.
     Lines end with a line feed, which a carriage return may precede.
     """
-    text = _text(spark, paths).withColumn("value", F.regexp_replace("value", "\r$", ""))
+    text = _text(spark, paths)
     broken = {r[0] for r in text.where(F.col("value").contains('"') & F.col("value").rlike(OPENS)).select("_from").distinct().collect()}
     own = {p: uri(spark, p) in broken for p in paths}
     parts = []
     if plain := [p for p in paths if not own[p]]:
-        lines = _text(spark, plain).where(~_blank("value")).withColumn("value", F.regexp_replace("value", "\r$", ""))
+        lines = _text(spark, plain).where(~_blank("value"))
         parts.append(_in_order(lines).select("_from", "_no", "value"))
     if several := [p for p in paths if own[p]]:
-        lines = _text(spark, several).withColumn("value", F.regexp_replace("value", "\r$", ""))
+        lines = _text(spark, several)
         begins = F.broadcast(_begins(spark, lines))  # one row a range
         lines = lines.join(begins, ["_from", "_from_block"]).select("value", "_from", "_from_block", "begins", "before")
         lines = lines.mapInArrow(_assembled, "_from string, _from_block long, _seq long, _no long, value string, alone boolean")
@@ -258,7 +258,7 @@ def _csv(spark: SparkSession, paths: list[str], columns: list[str]) -> DataFrame
     names = list(dict.fromkeys(columns))
     at = {c: len(columns) - 1 - columns[::-1].index(c) for c in names}  # of columns of one name the last counts
     read = F.from_csv("value", ", ".join(f"c{i} string" for i in range(len(columns))), {"mode": "PERMISSIVE", "maxCharsPerColumn": "-1", **CSV})
-    rows = rows.where("_no > 1").withColumn("_r", read)
+    rows = rows.where("_no > 1").withColumn("value", F.regexp_replace("value", "\r$", "")).withColumn("_r", read)
     values = F.map_filter(F.map_from_arrays(F.array(*[F.lit(c) for c in names]), F.array(*[F.col(f"_r.c{at[c]}") for c in names])), lambda k, v: v.isNotNull())
     return rows.select("_from", (F.col("_no") - 1).alias("_no"), F.to_json(values).alias("payload"))
 

@@ -262,6 +262,14 @@ class TenantSession:
     def jvm_now(self) -> int:
         return self.spark._jvm.java.lang.System.currentTimeMillis()
 
+    def meta(self, key: str):
+        return (self._open or self.state)["meta"].get(key)
+
+    def note(self, key: str, value) -> None:
+        """Keeps a small value (as JSON has them) with the tables."""
+        with self.commit():
+            self._open["meta"][key] = value
+
     # ---- tables
 
     def _parts(self, name: str) -> dict[str, list[str]]:
