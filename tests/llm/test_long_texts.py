@@ -73,3 +73,10 @@ def test_settling_the_beginning_changes_nothing(model, monkeypatch, token):
     for n in (1, 2, 5):
         monkeypatch.setattr(toxicity, "COMMON", n)
         assert toxicity._likeliest(before, token, ends, model) == want
+
+
+@pytest.mark.parametrize("token", ["1 d 1 0 t s t u p ! d", "stuupid!!", "ab1cd2ef33gg", "$$a$$", "xx", "7h3 w34th3r 1s n1c3", "aabbccd--e_f", "éété ab c"])
+def test_segments_step_by_step_are_those_of_the_pattern(monkeypatch, token):
+    want = list(toxicity._segments(token))
+    monkeypatch.setattr(toxicity, "LONG_TOKEN", 0)
+    assert list(toxicity._segments(token)) == want

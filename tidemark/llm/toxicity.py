@@ -51,7 +51,9 @@ ORDINARY = re.compile(rf"^(?:{MARK}|[{OPENS}])+|(?:{MARK}|[{CLOSES}])+$")
 REPEATED, DOUBLED = re.compile(r"(.)\1\1"), re.compile(r"(.)\1")
 #: What has more than one path, and the letters after it until all paths are in one state: runs of a letter, and other characters, at most one letter apart.
 FORKED = r"(?:([^\W\d_])\{0}+|([\W\d_])\{1}*)"
-BEGINS, GOES_ON, ENDS = re.compile(FORKED.format(1, 2)), re.compile(r"(?:([^\W\d_])(?!\1))?" + FORKED.format(2, 3)), re.compile(r"(?:([^\W\d_])(?!\1)){0,2}")
+SEGMENT = re.compile(FORKED.format(1, 2) + r"(?:(?:([^\W\d_])(?!\3))?" + FORKED.format(4, 5) + r")*(?:([^\W\d_])(?!\6)){0,2}")
+#: The same step by step, for tokens over so many characters, since the pattern above keeps some 400 bytes a step.
+LONG_TOKEN, BEGINS, GOES_ON, ENDS = 1000, re.compile(FORKED.format(1, 2)), re.compile(r"(?:([^\W\d_])(?!\1))?" + FORKED.format(2, 3)), re.compile(r"(?:([^\W\d_])(?!\1)){0,2}")
 #: A token of one letter or sign, however often said; three or more of them, and mere marks between, are a run of characters spaced apart.
 ONE = rf"([^\W\d_]|[{re.escape(''.join(SIGNS))}])"
 SHORT = re.compile(rf"{MARK}*[{OPENS}]*{ONE}\1*[{CLOSES}]*{MARK}*")
@@ -240,6 +242,9 @@ def _likeliest(before: str, segment: str, ends: bool, model: CharModel) -> str:
 
 def _segments(token: str) -> Iterator[tuple[int, int]]:
     """Where each segment with more than one path begins and ends."""
+    if len(token) <= LONG_TOKEN:
+        yield from (m.span() for m in SEGMENT.finditer(token))
+        return
     at = 0
     while m := BEGINS.search(token, at):
         end = m.end()
