@@ -81,8 +81,11 @@ CATALOGUE: dict[str, Table] = {
         Table("ops.dirty_days", _schema("tenant_id string, day date, sources array<string>"), ("day",)),
         # Refunds that were staged or changed since marts were built, whose order hasn't been looked for.
         Table("ops.unchecked", _schema("tenant_id string, ref string"), ("ref",)),
+        # What staged changes add to a day, until marts take it.
+        Table("ops.sold_changes", _schema("tenant_id string, day date, dimension string, orders long, gross decimal(14,2)"), (), "day"),
+        Table("ops.email_changes", _schema("tenant_id string, day date, dimension string, events long, delivered long, opens long, clicks long, unsubscribes long"), (), "day"),
         Table("ops.restatements", _schema("tenant_id string, mart string, day date, dimension string, metric string, previous decimal(14,2), current decimal(14,2), run_id long, cause string, at timestamp"), ()),
         Table("mart.daily_revenue", _schema("tenant_id string, day date, channel string, orders long, gross decimal(14,2), refunds decimal(14,2), net decimal(14,2), currency string, complete boolean, built_by_run long"), ("day", "channel"), "day"),
-        Table("mart.daily_email", _schema("tenant_id string, day date, campaign_id string, delivered long, opens long, clicks long, unsubscribes long, built_by_run long"), ("day", "campaign_id"), "day"),
+        Table("mart.daily_email", _schema("tenant_id string, day date, campaign_id string, events long, delivered long, opens long, clicks long, unsubscribes long, built_by_run long"), ("day", "campaign_id"), "day"),
     )
 }

@@ -26,21 +26,61 @@ def revenue(orders: DataFrame, refunds: DataFrame, days: DataFrame | None = None
     orders by default); they are reduced to those before they meet the refunds, so a
     day's refunds don't move every order.
     """
-    sold = on_days(orders, days).groupBy(F.col("posting_day").alias("day"), F.col("channel").alias("dimension")).agg(F.count("*").alias("orders"), F.sum("gross").cast(MONEY).alias("gross"))
-    back = on_days(refunds, days)
-    named = (orders if named is None else named).select("order_id", "channel").join(back.select("order_id").distinct(), "order_id", "left_semi")
-    back = back.join(named, "order_id", "left")
-    back = back.groupBy(F.col("posting_day").alias("day"), F.coalesce("channel", F.lit("unattributed")).alias("dimension")).agg(F.sum("amount").cast(MONEY).alias("refunds"))
+    return both_sides(sold(on_days(orders, days)), returned(on_days(refunds, days), orders if named is None else named))
+
+
+def sold(orders: DataFrame) -> DataFrame:
+    """day, dimension, orders and gross."""
+    return orders.groupBy(F.col("posting_day").alias("day"), F.col("channel").alias("dimension")).agg(F.count("*").alias("orders"), F.sum("gross").cast(MONEY).alias("gross"))
+
+
+def returned(refunds: DataFrame, named: DataFrame) -> DataFrame:
+    """day, dimension (the channel of each refund's order) and refunds."""
+    named = named.select("order_id", "channel").join(refunds.select("order_id").distinct(), "order_id", "left_semi")
+    back = refunds.join(named, "order_id", "left")
+    return back.groupBy(F.col("posting_day").alias("day"), F.coalesce("channel", F.lit("unattributed")).alias("dimension")).agg(F.sum("amount").cast(MONEY).alias("refunds"))
+
+
+def both_sides(sold: DataFrame, back: DataFrame) -> DataFrame:
+    """day, dimension, orders, gross, refunds and net."""
     zero = F.lit(0).cast(MONEY)
     both = sold.join(back, ["day", "dimension"], "full")
     both = both.select("day", "dimension", F.coalesce("orders", F.lit(0).cast("long")).alias("orders"), F.coalesce("gross", zero).alias("gross"), F.coalesce("refunds", zero).alias("refunds"))
     return both.withColumn("net", (F.col("gross") - F.col("refunds")).cast(MONEY))
 
 
+# ---- signed contributions: what a staged change adds to its day, and takes from it
+
+
+def _signed(outcomes: DataFrame) -> DataFrame:
+    """day (on which the record is booked), sign and row: what came in counts 1, what it replaced -1."""
+    sides = F.array(F.struct(F.lit(-1).alias("sign"), F.col("previous").alias("row")), F.struct(F.lit(1).alias("sign"), F.col("incoming").alias("row")))
+    each = outcomes.where("outcome in ('inserted', 'updated')").select(F.col("booked").alias("day"), F.explode(sides).alias("s"))
+    return each.select("day", "s.sign", "s.row").where("row is not null")
+
+
+def sold_change(outcomes: DataFrame) -> DataFrame:
+    """day, dimension, orders and gross that staged orders add (outcomes of their merge)."""
+    return _signed(outcomes).groupBy("day", F.col("row.channel").alias("dimension")).agg(F.sum("sign").alias("orders"), F.sum(F.col("sign") * F.col("row.gross")).cast(MONEY).alias("gross")).where("orders <> 0 or gross <> 0")
+
+
+def email_change(outcomes: DataFrame) -> DataFrame:
+    """day, dimension, events and the counted metrics that staged email events add."""
+    counts = [F.sum(F.when(F.col("row.type") == kind, F.col("sign")).otherwise(0)).alias(metric) for kind, metric in COUNTED.items()]
+    out = _signed(outcomes).groupBy("day", F.coalesce("row.campaign_id", F.lit("(none)")).alias("dimension")).agg(F.sum("sign").alias("events"), *counts)
+    return out.where(" or ".join(f"{c} <> 0" for c in ("events", *EMAIL)))
+
+
+def added(old: DataFrame, changes: DataFrame, count: str, sums: dict[str, str]) -> DataFrame:
+    """old (day, dimension, sums) with changes added; a dimension of which no record is left (count) goes."""
+    both = old.select("day", "dimension", *sums).unionByName(changes.select("day", "dimension", *sums))
+    return both.groupBy("day", "dimension").agg(*[F.sum(c).cast(kind).alias(c) for c, kind in sums.items()]).where(F.col(count) > 0)
+
+
 def email(events: DataFrame, days: DataFrame | None = None) -> DataFrame:
-    """day, dimension (campaign), delivered, opens, clicks, unsubscribes; events: campaign_id, type, posting_day."""
+    """day, dimension (campaign), events, delivered, opens, clicks, unsubscribes; events: campaign_id, type, posting_day."""
     counts = [F.count_if(F.col("type") == kind).alias(metric) for kind, metric in COUNTED.items()]
-    return on_days(events, days).groupBy(F.col("posting_day").alias("day"), F.coalesce("campaign_id", F.lit("(none)")).alias("dimension")).agg(*counts)
+    return on_days(events, days).groupBy(F.col("posting_day").alias("day"), F.coalesce("campaign_id", F.lit("(none)")).alias("dimension")).agg(F.count("*").alias("events"), *counts)
 
 
 def restated(old: DataFrame, new: DataFrame, metrics: tuple[str, ...]) -> DataFrame:

@@ -30,7 +30,7 @@ def posting_days(rows: DataFrame, deliveries: DataFrame | None, as_of: Column, i
 
 @dataclass
 class Merged:
-    outcomes: DataFrame  # every new row, with outcome and what it replaced
+    outcomes: DataFrame  # every new row, with outcome, the day that it is booked on and what it replaced
     state: DataFrame  # the state after, of each key that new rows count for
 
 
@@ -67,7 +67,8 @@ def merge(prior: DataFrame, new: DataFrame, key: Column | str, columns: list[str
         "last_file_load_id", F.sum("times_seen").over(upto).cast("int").alias("times_seen"), "_new", F.lead("_new").over(w).alias("_next"),
     )
     state = state.where("_next is null and _new = 1").select("k", *[F.col(f"_row.{c}").alias(c) for c in columns], "posting_day", "content_hash", "first_file_load_id", "last_file_load_id", "times_seen")
-    outcomes = rows.where("_new = 1").select("k", *[F.col(f"_o{i}").alias(o) for i, o in enumerate(order)], "outcome", "event_day", "day", F.col("_before._row").alias("previous"), F.col("_row").alias("incoming"))
+    rows = rows.withColumn("booked", F.first("posting_day").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    outcomes = rows.where("_new = 1").select("k", *[F.col(f"_o{i}").alias(o) for i, o in enumerate(order)], "outcome", "event_day", "day", "booked", F.col("_before._row").alias("previous"), F.col("_row").alias("incoming"))
     return Merged(outcomes, state)
 
 

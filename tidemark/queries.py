@@ -109,7 +109,7 @@ def channel_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def daily_email(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return marts.email(events_feed(spark, sf_dir))
+    return marts.email(events_feed(spark, sf_dir)).drop("events")
 
 
 def overview_totals(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -340,6 +340,12 @@ class TenantSession:
                 raise ValueError(f"{name}: rows outside the partitions that are replaced: {sorted(other)[:5]}")
             tables.update(written)
 
+    def drop(self, name: str, keys: list) -> None:
+        """Takes partitions off a table."""
+        with self.commit():
+            for k in keys:
+                self._open["tables"].get(name, {}).pop(str(k), None)
+
     def put(self, name: str, rows: list[dict]) -> None:
         """Puts rows of the table's id in place of those with the same ids; only the blocks of ids that they are in are read and written."""
         if not rows:
