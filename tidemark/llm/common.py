@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import tempfile
 import uuid
 import zipfile
 from collections.abc import Iterable, Iterator
+from contextlib import suppress
 from pathlib import Path
 
 import numpy as np
@@ -16,6 +19,8 @@ from pyspark.sql import functions as F
 
 #: UTF-8 bytes of text that one ordered slice should hold; from MOST_SLICES slices on (3 TB) slices grow, since a shuffle has so many tasks at most. Slices are streamed, so that their size doesn't set the memory.
 SLICE_BYTES, MOST_SLICES = 32 << 20, 100_000
+#: Bytes of an Arrow batch: an executor holds one or two for each of its cores, in the JVM and in Python.
+ARROW_BYTES = 8 << 20
 #: Quantiles of the ids, and most equal steps between two of them, by which bytes are counted to cut slices: of some STEP_ROWS rows each.
 QUANTILES, STEPS, STEP_ROWS = 1000, 128, 50
 
@@ -25,8 +30,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def prepare(spark: SparkSession) -> None:
-    """Makes the package importable on executors and the checkpoint folder known."""
+    """Makes the package importable on executors, and Arrow batches no larger than ARROW_BYTES where the session has Spark's own limit."""
     sc = spark.sparkContext
+    if spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch").lower() in ("67108864b", "67108864", "64m", "64mb"):
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
     if getattr(sc, "_tidemark_shipped", False):
         return
     top = Path(__file__).resolve().parents[1]
@@ -75,6 +82,26 @@ def remove(spark: SparkSession, paths: Iterable[str] | None = None) -> None:
     spark.sparkContext._tidemark_made = [p for p in made(spark) if p not in gone]
 
 
+def release() -> None:
+    """Gives memory that a task has freed back to the system: workers live on, and in later stages others need it."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with suppress(OSError, AttributeError):  # another C library
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
+_remembered: dict[str, dict] = {}
+
+
+def remembered(owner: str) -> dict:
+    """What an operator's tasks remember from one to the next in a worker process; it goes when another operator that remembers has a task there."""
+    if owner not in _remembered:
+        _remembered.clear()
+        release()
+        _remembered[owner] = {}
+    return _remembered[owner]
+
+
 def cut(df: DataFrame) -> DataFrame:
     """df computed once and kept in the shared folder, with no lineage behind it."""
     shared_dir(df.sparkSession)

@@ -218,13 +218,11 @@ class Encoder(dict):
         return b"".join(map(self.__getitem__, text.replace("\n", " ").split(" ")))
 
 
-_encoders: dict[str, Encoder] = {}
-
-
 def _parts(batches: Iterable[pa.RecordBatch], path: str, end_id: int, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
-    if path not in _encoders:
-        _encoders[path] = Encoder(path)
-    encoder = _encoders[path]
+    encoders = common.remembered("token ids")
+    if path not in encoders:
+        encoders[path] = Encoder(path)
+    encoder = encoders[path]
     end = np.array([end_id], "<u4").tobytes()
     docs: list[tuple[int | None, int]] = []
     ids: list[bytes] = []

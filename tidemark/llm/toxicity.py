@@ -408,15 +408,13 @@ class Scorer:
         return self.scores([text])[0]
 
 
-_scorers: dict[int, Scorer] = {}
-
-
 def _scorer(sent) -> Scorer:
     """One scorer in each worker process, for the model sent last."""
-    if sent.id not in _scorers:
-        _scorers.clear()
-        _scorers[sent.id] = Scorer(sent.value)
-    return _scorers[sent.id]
+    own = common.remembered("toxicity")
+    if sent.id not in own:
+        own.clear()
+        own[sent.id] = Scorer(sent.value)
+    return own[sent.id]
 
 
 class _Sent:
@@ -445,6 +443,7 @@ def _plain(token: str) -> str:
 
 def _char_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Character n-grams of plain words, counted once for each text that has the word."""
+    common.remembered("toxicity")
     into, seen, words = Counter(), Counter(), {}
     for b in common.small_batches(batches, "text", SLICE):
         docs = [set(text.lower().split()) for text in common.strings(b.column(0))]
@@ -461,6 +460,8 @@ def _char_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     seen.pop("", None)
     CharModel.count(seen, into)
     yield pa.RecordBatch.from_arrays([pa.array(list(into), pa.int64()), pa.array(list(into.values()), pa.int64())], names=["k", "n"])
+    del into, seen, words
+    common.release()
 
 
 def char_counts(texts: DataFrame) -> Grams:
@@ -578,7 +579,9 @@ def _score_texts(columns, sent: _Sent):
                     held, size = [], 0
             yield pd.Series(out + scorer.scores(held), dtype=float)
     finally:
-        _scorers.clear()
+        del scorer
+        common.remembered("toxicity").clear()
+        common.release()
 
 
 def keep_clean(docs: DataFrame, model: dict | None) -> DataFrame:
