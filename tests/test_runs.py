@@ -193,6 +193,22 @@ def test_an_ingest_is_one_write_for_each_source(spark, tmp_path, monkeypatch):
     assert all("/_chunk=" in p for p in paths) and s.state["meta"]["staged"] == []
 
 
+def test_a_run_beside_another_fails_and_says_so(spark, tmp_path, monkeypatch):
+    config, adopt = build(tmp_path), TenantSession.adopt_chunks
+
+    def raced(self, to, taken):
+        monkeypatch.setattr(TenantSession, "adopt_chunks", adopt)
+        other = session(spark, tmp_path)
+        other.put("ops.runs", [{"id": 7, "status": "running"}])
+        adopt(self, to, taken)
+
+    monkeypatch.setattr(TenantSession, "adopt_chunks", raced)
+    with pytest.raises(RunFailed, match="another run"):
+        run_tenant(spark, config, str(tmp_path / "store"), "shop", now=NOW, phases=("ingest",))
+    assert {r.id: r.status for r in session(spark, tmp_path).read("ops.runs").collect()} == {1: "failed", 7: "running"}
+    assert {f.status for f in run_tenant(spark, config, str(tmp_path / "store"), "shop", now=NOW, phases=("ingest",)).files} == {"resumed", "loaded"}
+
+
 def test_late_records_restate(spark, clean, tmp_path):
     config = build(tmp_path)
     first = run_tenant(spark, config, str(tmp_path / "store"), "shop", batches="1", now=NOW)

@@ -181,6 +181,10 @@ class TenantSession:
             raise RuntimeError(f"the store has schema {state['schema']}, not {self._version}: migrate it")
         return state
 
+    def refresh(self) -> None:
+        """Goes on from the version that is last now."""
+        self.state = self._load()
+
     @classmethod
     def migrate(cls, spark: SparkSession, root: str, tenant_id: str) -> list[int]:
         """Brings a tenant's store to the version of now, each step once and in one commit; gives the versions it went through."""
@@ -417,7 +421,7 @@ class TenantSession:
         A task's file comes to its place when the task commits (algorithm 2), so
         whatever ends the job, the chunks that can be seen are whole.
         """
-        out = self._owned(name, rows).repartitionById(n, F.col("_chunk")).sortWithinPartitions(*CATALOGUE[name].key)
+        out = self._owned(name, rows).repartitionById(n, F.col("_chunk")).sortWithinPartitions("_chunk", *CATALOGUE[name].key)
         out.write.partitionBy("_chunk").option("mapreduce.fileoutputcommitter.algorithm.version", "2").mode("append").parquet(f"{self.root}/{to}")
 
     def written_chunks(self, to: str) -> set[int]:
