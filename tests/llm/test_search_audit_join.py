@@ -176,10 +176,11 @@ def edited(rng, words, share):
     return [rng.choice(["x", "y", "z"]) + str(rng.random()) if rng.random() < share else w for w in words]
 
 
-@pytest.mark.parametrize("block", [3, 4096])
-def test_join_loses_no_link(spark, monkeypatch, block):
+@pytest.mark.parametrize(("block", "few"), [(3, 2), (4096, 6)])
+def test_join_loses_no_link(spark, monkeypatch, block, few):
     """Chains of edits, short texts, passages that many texts share, and pairs near the bound; hot words dealt to small blocks."""
     monkeypatch.setattr(jaccard, "BLOCK", block)
+    monkeypatch.setattr(jaccard, "FEW", few)
     rng, texts = random.Random(11), []
     passage = [f"p{i}" for i in range(60)]
     for size in (1, 2, 4, 5, 7, 8, 9, 10, 12, 14, 20, 40, 130, 300):

@@ -52,8 +52,8 @@ from .simhash import components
 SHINGLE = 5
 #: Words of a band's sketch for each shingle of the largest difference in it.
 SPARE = 1.25
-#: Sets of one word that are compared with one another at once; leaders that a set is tried with.
-BLOCK, TRIED = 4096, 4
+#: Sets of one word that are compared with one another at once, and up to how many by a join of pairs; leaders that a set is tried with.
+BLOCK, FEW, TRIED = 4096, 6, 4
 #: Entries that a task combines at once; words that it remembers of texts; bits of the filter of ids.
 COMBINED, REMEMBERED, FILTER_BITS = 2_000_000, 500_000, 1 << 24
 
@@ -342,18 +342,22 @@ def missed(leaders: DataFrame, bits: DataFrame, roots: DataFrame) -> DataFrame:
     """Pairs (a < b) of different components that share a key and may link by size and parity bits.
 
     roots: node and root of every node in leaders. Keys whose nodes are of one
-    component have nothing to add. A key of more than BLOCK nodes is dealt by a hash
-    to blocks, every two of which meet.
+    component have nothing to add. Nodes of a key with more than FEW are compared in one
+    group, those of one with more than BLOCK in blocks, by a hash, every two of which meet.
     """
     of = leaders.join(roots, "node").withColumnRenamed("root", "_root").join(roots.select(F.col("node").alias("leader"), "root"), "leader")
     open_keys = of.where("_root <> root").select("key").distinct()
     members = leaders.join(open_keys, "key", "left_semi")
     members = members.select("key", "node").union(members.select("key", "leader")).distinct()
-    large = members.groupBy("key").agg(F.count("*").alias("_count")).where(F.col("_count") > BLOCK)
-    dealt = members.join(large, "key", "left").withColumn("_n", F.coalesce(F.ceil(F.col("_count") / BLOCK), F.lit(1)))
+    counts = members.groupBy("key").agg(F.count("*").alias("_count"))
+    # Most keys have two or three nodes: their pairs, each once however many keys it has, are cheaper to make by a join.
+    few = members.join(counts.where(F.col("_count") <= FEW).select("key"), "key", "left_semi").join(roots, "node")
+    pairs = few.select("key", F.col("node").alias("a"), F.col("root").alias("_x")).join(few.select("key", F.col("node").alias("b"), F.col("root").alias("_y")), "key").where("a < b and _x <> _y")
+    close = near(pairs.select("a", "b").distinct(), bits)
+    dealt = members.join(counts.where(F.col("_count") > FEW), "key").withColumn("_n", F.ceil(F.col("_count") / BLOCK))
     dealt = dealt.withColumn("_own", F.pmod(F.xxhash64("node"), F.col("_n")).cast("int")).withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_n").cast("int") - 1)))
     meet = dealt.select("key", F.least("_own", "_other").alias("i"), F.greatest("_own", "_other").alias("j"), (F.col("_own") > F.col("_other")).alias("right"), "node")
-    return meet.join(bits.join(roots, "node"), "node").groupBy("key", "i", "j").applyInArrow(_of_group, "a long, b long").distinct()
+    return close.union(meet.join(bits.join(roots, "node"), "node").groupBy("key", "i", "j").applyInArrow(_of_group, "a long, b long")).distinct()
 
 
 # ---- the join
