@@ -48,7 +48,7 @@ EDGE = re.compile(rf"^{MARK}+|{MARK}+$")
 #: The same with signs that are punctuation too where they stand in ordinary text.
 OPENS, CLOSES = "(¡", "!"
 ORDINARY = re.compile(rf"^(?:{MARK}|[{OPENS}])+|(?:{MARK}|[{CLOSES}])+$")
-REPEATED, DOUBLED = re.compile(r"(.)\1\1"), re.compile(r"(.)\1")
+DOUBLED = re.compile(r"(.)\1")
 #: What has more than one path, and the letters after it until all paths are in one state: runs of a letter, and other characters, at most one letter apart.
 FORKED = r"(?:([^\W\d_])\{0}+|([\W\d_])\{1}*)"
 SEGMENT = re.compile(FORKED.format(1, 2) + r"(?:(?:([^\W\d_])(?!\3))?" + FORKED.format(4, 5) + r")*(?:([^\W\d_])(?!\6)){0,2}")
@@ -86,6 +86,14 @@ def plain(token: str) -> str:
     return core if core.isascii() or (core[0].isalnum() and core[-1].isalnum()) else ORDINARY.sub("", core)
 
 
+def with_runs(words: list[str], length: int) -> np.ndarray:
+    """Places of the words, none of which holds a line end, that say a character two or three times in a row."""
+    codes = np.frombuffer("\n".join(words).encode("utf-32-le", "surrogatepass"), np.uint32)
+    same = codes[1:] == codes[:-1]
+    at = np.flatnonzero(same if length == 2 else same[1:] & same[:-1])
+    return np.unique(np.searchsorted(np.flatnonzero(codes == 10), at))
+
+
 def gram_code(gram: str) -> int:
     """One to three characters as a number, 21 bits each."""
     code = 0
@@ -143,8 +151,8 @@ class CharModel:
             return
         if not words:
             return
-        codes = np.frombuffer("".join(f"^^{w}$\0\0" for w in words).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
-        lengths = np.fromiter((len(w) + 5 for w in words), np.int64, len(words))
+        codes = np.frombuffer(("^^" + "$\0\0^^".join(words) + "$\0\0").encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+        lengths = np.fromiter(map(len, words), np.int64, len(words)) + 5
         times = np.repeat(np.fromiter(words.values(), np.int64, len(words)), lengths)[:-2]
         # One sort of three characters at each place; shorter n-grams are their beginnings. What has an end mark is none.
         here = np.flatnonzero(codes[:-2])
@@ -331,10 +339,12 @@ class Scorer:
         self.chars = CharModel(model["chars"])
         self.weights: dict[str, float] = model["weights"]
         self.coefficients = model["coefficients"]
-        self.starts = {f[:5] for f in self.weights if f[0] == "^"}
-        self.longest = max((len(f) - 1 for f in self.weights if f[0] == "="), default=0)
-        self.kinds: dict[str, str] = {}
-        self.hits: dict[str, tuple[float, ...]] = {}  # weights of the tokens in kinds that have any
+        self.whole = {f[1:] for f in self.weights if f[0] == "="}
+        self.starts = {f[1:5] for f in self.weights if f[0] == "^"}
+        self.longest = max(map(len, self.whole), default=0)
+        self.met: set[str] = set()
+        # Of the tokens met, short ones, mere marks, and those that have weights.
+        self.short, self.marks, self.hits = set[str](), set[str](), dict[str, tuple[float, ...]]()
 
     def weight(self, token: str) -> tuple[float, ...]:
         """The largest weight among the features of each restored word that has one."""
@@ -345,26 +355,44 @@ class Scorer:
         return got
 
     def meet(self, tokens: set[str]) -> None:
-        """Takes note of the kind and the weights of tokens."""
-        if len(self.kinds) > MOST_CACHED:
-            self.kinds.clear()
-            self.hits.clear()
-        fresh = tokens - self.kinds.keys()
-        self.kinds.update(zip(fresh, map(kind_of, fresh), strict=True))
-        for t in fresh:
-            core = t if t.isalpha() else bare(t)
+        """Takes note of the kinds and the weights of tokens."""
+        if len(self.met) > MOST_CACHED:
+            for known in (self.met, self.short, self.marks, self.hits):
+                known.clear()
+        fresh = tokens - self.met
+        self.met |= fresh
+        words = [t for t in fresh if t.isalpha()]
+        forked = {words[i] for i in with_runs(words, 2)}
+        self.short.update(t for t in forked if t[0] == t[-1] and kind_of(t) == "s")
+        self.short.update(t for t in words if len(t) == 1)
+        for t in forked:
+            if w := self.heaviest(decode(t, self.chars)):
+                self.hits[t] = (w,)
+        one_path = [t for t in words if t[:4] in self.starts or t in self.whole]
+        self.hits.update((t, (w,)) for t in one_path if t not in forked and (w := self.heaviest(t)))
+        for t in fresh.difference(words):
+            if (kind := kind_of(t)) != ".":
+                (self.short if kind == "s" else self.marks).add(t)
+            core = bare(t)
             if core.isalpha() and not DOUBLED.search(core):  # one path
                 if w := self.heaviest(core):
                     self.hits[t] = (w,)
             elif got := self.weight(t):
                 self.hits[t] = got
 
+    def runs(self, tokens: list[str], own: set[str]) -> list[str]:
+        """Each run of characters spaced apart in tokens, all of which have been met; own is their set."""
+        if not (short := own & self.short):
+            return []
+        kinds = dict.fromkeys(own & self.marks, "-") | dict.fromkeys(short, "s")
+        return runs_of(tokens, "".join([kinds.get(t, ".") for t in tokens]))
+
     def heaviest(self, word: str) -> float:
         """The largest weight among a word's features, 0 if it has none."""
         n, g, got = len(word), self.weights.get, 0.0
         if n > 2:
             got = g("=" + word, 0.0)
-            if n > 4 and "^" + word[:4] in self.starts:
+            if n > 4 and word[:4] in self.starts:
                 got = max([got, *[g("^" + word[:k], 0.0) for k in (4, 5, 6) if n > k]])
         return got
 
@@ -390,8 +418,9 @@ class Scorer:
         self.meet(set().union(*docs))
         out = []
         for tokens in docs:
-            found = [(w, tokens.count(t)) for t in self.hits.keys() & set(tokens) for w in self.hits[t]]
-            runs = runs_of(tokens, "".join(map(self.kinds.__getitem__, tokens)))
+            own = set(tokens)
+            found = [(w, tokens.count(t)) for t in self.hits.keys() & own for w in self.hits[t]]
+            runs = self.runs(tokens, own)
             found += [(w, n) for t, n in Counter(runs).items() for w in self.weight(t)]
             found.sort(reverse=True)
             top = [w for w, n in found[:3] for _ in range(min(n, 3))] + [0.0] * 3
@@ -435,30 +464,41 @@ class _Sent:
 # ---- learning
 
 
-def _plain(token: str) -> str:
-    """The plain word of a token, empty if it isn't one."""
-    w = token if token.isalpha() else plain(token)
-    return w if w.isalpha() and not REPEATED.search(w) else ""
+class _Plain(dict[str, str]):
+    """The word in each token that is more than letters, empty if there is none."""
+
+    def __missing__(self, token: str) -> str:
+        if len(self) > MOST_CACHED:
+            self.clear()
+        w = plain(token)
+        self[token] = w = w if w.isalpha() else ""
+        return w
+
+
+def _count(seen: Counter, into: Counter) -> None:
+    """Adds the n-grams of the words seen that say no letter three times in a row."""
+    seen.pop("", None)
+    words = list(seen)
+    for i in with_runs(words, 3).tolist():
+        del seen[words[i]]
+    CharModel.count(seen, into)
+    seen.clear()
 
 
 def _char_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Character n-grams of plain words, counted once for each text that has the word."""
     common.remembered("toxicity")
-    into, seen, words = Counter(), Counter(), {}
+    into, seen, words = Counter(), Counter(), _Plain()
     for b in common.small_batches(batches, "text", SLICE):
-        docs = [set(text.lower().split()) for text in common.strings(b.column(0))]
-        if len(words) > MOST_CACHED:
-            words.clear()
-        fresh = set().union(*docs) - words.keys()
-        words.update(zip(fresh, map(_plain, fresh), strict=True))
-        for tokens in docs:
-            seen.update(set(map(words.__getitem__, tokens)))
-        if len(seen) > MOST_COUNTED:  # n-grams are far fewer than words
-            seen.pop("", None)
-            CharModel.count(seen, into)
-            seen.clear()
-    seen.pop("", None)
-    CharModel.count(seen, into)
+        for text in common.strings(b.column(0)):
+            own = set(text.lower().split())
+            others = [t for t in own if not t.isalpha()]
+            own.difference_update(others)
+            own.update([words[t] for t in others])
+            seen.update(own)
+            if len(seen) > MOST_COUNTED:  # n-grams are far fewer than words
+                _count(seen, into)
+    _count(seen, into)
     yield pa.RecordBatch.from_arrays([pa.array(list(into), pa.int64()), pa.array(list(into.values()), pa.int64())], names=["k", "n"])
     del into, seen, words
     common.release()
