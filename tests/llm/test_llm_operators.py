@@ -444,6 +444,45 @@ def test_decontamination_edges(spark, edge_docs, no_docs):
     assert decontaminate.search(no_docs, bench).count() == 0 == decontaminate.search(edge_docs, bench.limit(0)).count()
 
 
+def test_an_item_of_a_common_word_drops_no_document(spark):
+    texts = ["the weather is nice today", "a walk in the park", "the quick brown fox jumps over the dog", "nothing of it", None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    bench = spark.createDataFrame([(1, "The"), (2, "in the park"), (3, "the quick brown fox jumps"), (4, "…")], "item_id long, text string")
+    found = {(r["doc_id"], r["item_id"]) for r in decontaminate.search(docs, bench).collect()}
+    assert found == {(0, 1), (1, 1), (2, 1), (1, 2), (2, 3)}
+    left = lambda **more: {r["doc_id"] for r in decontaminate.keep_uncontaminated(docs, bench, **more).collect()}
+    assert left() == {0, 1, 3, 4} and left(least_words=3) == {0, 3, 4} and left(least_words=1) == {3, 4}
+    assert left(least_words=6) == {0, 1, 2, 3, 4}
+
+
+def test_toxic_tokens_are_met_as_each_by_itself(monkeypatch):
+    counts = Counter()
+    toxicity.CharModel.count(dict.fromkeys("you are an idiot and so stupid letter book good".split(), 20), counts)
+    chars = toxicity.Grams.of(counts)
+    weights = {"=idiot": 4.0, "^stup": 3.0, "=book": 1.5, "=so": 2.0}
+    texts = ["you idiot", "iddiot, s t u p i d -- book", "s--t - u p 1 d", "stuuupid letter $tupid! aa bb cc dd", "book bookk BOOK boook so", "a a", "", "idi0t" * 40]
+
+    def by_itself(text):
+        """Words with weights, by the plain functions."""
+        scorer, words = toxicity.Scorer({"chars": chars, "weights": weights, "coefficients": [0.0] * 9}), toxicity.words_of(text)
+        return sorted((w for t in words for w in scorer.weight(t)), reverse=True)[:3]
+
+    for most in (200_000, 1):
+        monkeypatch.setattr(toxicity, "MOST_CACHED", most)
+        scorer = toxicity.Scorer({"chars": chars, "weights": weights, "coefficients": [0.0] * 9})
+        for own in (texts, texts[::-1], *[[t] for t in texts]):
+            for text, got in zip(own, scorer.summaries(own), strict=True):
+                want = by_itself(text)
+                assert [w for w in got[:3] if w] == want, text
+
+
+def test_words_with_runs():
+    words = ["a", "aa", "book", "boook", "aaa", "xy", "ñññ", "zz"]
+    assert [words[i] for i in toxicity.with_runs(words, 2)] == ["aa", "book", "boook", "aaa", "ñññ", "zz"]
+    assert [words[i] for i in toxicity.with_runs(words, 3)] == ["boook", "aaa", "ñññ"]
+    assert toxicity.with_runs([], 2).tolist() == [] == toxicity.with_runs(["a"], 3).tolist()
+
+
 # ---- 6
 
 

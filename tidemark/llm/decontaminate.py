@@ -19,7 +19,9 @@ driver to executors, the items in blocks of about ITEM_WORDS words. All document
 read once to count words and once for each block, which is one for some 20,000 items.
 
 Nulls: null and empty texts, of documents or items, have no words and match
-nothing. An item of a few words is found wherever they stand in order. Ties: items
+nothing. An item of a few words is found wherever they stand in order; since that says
+little, keep_uncontaminated() drops documents for items of LEAST_WORDS words or more
+only, while search() reports all. Ties: items
 with the same text are each reported; of windows that hold an item alike the one with
 the greatest cosine counts, then the first. Null ids pass through. Repeated rows are
 each reported. Texts of any length are searched whole, in blocks of words. Other
@@ -44,6 +46,8 @@ from . import common
 RANK, EXTRA, POWER, SAMPLE_DOCS, SAMPLE_ITEMS, SAMPLE_PARTS = 256, 16, 2, 1000, 2000, 8
 SHARE, COSINE, SURE, LIKELY, ANSWER_WORDS, ANSWER_SHARE = 0.5, 0.5, 0.8, 0.65, 8, 0.5
 BLOCK_WORDS, FIT_WINDOW = 1 << 16, 64
+#: Words of an item, as many as a shingle has, that a document must not hold.
+LEAST_WORDS = 5
 #: Rows of the latent space (at 256 dimensions 134 MB), rows that the driver gets as one value, and words of the items that are searched for in one pass.
 ROWS, ROW_BLOCK, ITEM_WORDS = 1 << 17, 1024, 2_000_000
 WORD = re.compile(r"\w+")
@@ -272,8 +276,8 @@ def fit(docs: DataFrame, benchmark: DataFrame) -> Space | None:
     return Space(vocabulary, np.vstack([latent * idf[:, None], np.zeros((1, latent.shape[1]))]).astype(np.float32))
 
 
-def indexes(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Iterator[Index]:
-    """The index of each block of items that has words, all in one latent space."""
+def indexes(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_words: int = 1) -> Iterator[Index]:
+    """The index of each block of items with that many words at least, all in one latent space."""
     common.prepare(docs.sparkSession)
     benchmark = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
     space = fit(docs.select(F.col(id_col).alias("i"), F.col(text_col).alias("text")), benchmark)
@@ -283,7 +287,7 @@ def indexes(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_
     for k in range(n):
         own = benchmark.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == k).collect()  # about ITEM_WORDS words
         items = [(i, [space.vocabulary[w] for w in words(t)]) for i, t in sorted(map(tuple, own), key=lambda r: (r[0] is None, r[0] or 0, r[1] or ""))]
-        index = Index(space, [(i, ids) for i, ids in items if ids])
+        index = Index(space, [(i, ids) for i, ids in items if len(ids) >= least_words])
         if index.items:
             index.prepare()
             yield index
@@ -318,10 +322,10 @@ def _holds(texts, sent):
     return pd.Series([bool(sent.value.matches(t)) for t in texts], dtype=bool)
 
 
-def keep_uncontaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Rows of docs in which no item of the benchmark is found."""
+def keep_uncontaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_words: int = LEAST_WORDS) -> DataFrame:
+    """Rows of docs in which no item of the benchmark with least_words words or more is found."""
     left = docs
-    for index in indexes(docs, benchmark, id_col, text_col):
+    for index in indexes(docs, benchmark, id_col, text_col, least_words):
         sent = docs.sparkSession.sparkContext.broadcast(index)
         holds = F.pandas_udf(lambda texts, s=sent: _holds(texts, s), "boolean")
         left = left.where(~holds(F.col(text_col)))
