@@ -205,6 +205,13 @@ class Encoder(dict):
             self[chunk] = got
         return got
 
+    def forget(self) -> None:
+        """Drops what is kept by chunk and piece."""
+        self.clear()
+        self[""] = b""
+        self.older.clear()
+        self.pieces.clear()
+
     def ids(self, text: str) -> bytes:
         if not self.chunked:
             return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
@@ -232,18 +239,23 @@ def _parts(batches: Iterable[pa.RecordBatch], path: str, end_id: int, schema: pa
         payload = write_part(docs, np.frombuffer(b"".join(ids), "<u4"))
         return pa.RecordBatch.from_pylist([{"shard": slot, "part": part, "start": start, "n_ids": held, "n_docs": len(docs), "payload": payload}], schema)
 
-    for batch in common.small_batches(batches, "text"):
-        for k, d, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), common.strings(batch.column(2)), strict=True):
-            if docs and (k != slot or held >= PART_IDS):
-                yield flush()
-                part, start = (part + 1, start + held) if k == slot else (0, 0)
-                docs, ids, held = [], [], 0
-            slot = k
-            ids.append(encoder.ids(text) + end)
-            docs.append((d, len(ids[-1]) // 4))
-            held += docs[-1][1]
-    if docs:
-        yield flush()
+    try:
+        for batch in common.small_batches(batches, "text"):
+            for k, d, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), common.strings(batch.column(2)), strict=True):
+                if docs and (k != slot or held >= PART_IDS):
+                    yield flush()
+                    part, start = (part + 1, start + held) if k == slot else (0, 0)
+                    docs, ids, held = [], [], 0
+                slot = k
+                ids.append(encoder.ids(text) + end)
+                docs.append((d, len(ids[-1]) // 4))
+                held += docs[-1][1]
+        if docs:
+            yield flush()
+    finally:  # workers live on, and in later stages others need the memory
+        encoder.forget()
+        ids.clear()
+        common.release()
 
 
 def write(docs: DataFrame, path: str, tokenizer_path: str, end_id: int = 2, id_col: str = "doc_id", text_col: str = "text") -> str:
