@@ -202,6 +202,38 @@ def test_join_loses_no_link(spark, monkeypatch, block, few):
     assert found_by_join(spark.createDataFrame(docs, "doc_id long, text string").repartition(4)) == want
 
 
+def test_pairs_of_a_hot_word_stay_in_their_task(spark, monkeypatch):
+    """What a group of sets about the bound gives grows with the group, not with its square, and no link is lost."""
+    monkeypatch.setattr(jaccard, "BLOCK_SHINGLES", 3000)  # several blocks
+    rng, base = random.Random(4), [f"b{i}" for i in range(200)]
+    docs = []
+    for i in range(120):
+        w = list(base)
+        for j in rng.sample(range(200), rng.choice([2, 3])):
+            w[j] = f"e{rng.random()}"
+        docs.append((i, " ".join(w)))
+    sets = [jaccard.shingles(t) for _, t in docs]
+    sizes, bits, right = np.array([len(s) for s in sets]), [jaccard.parity_bits(s).tobytes() for s in sets], np.zeros(len(sets), bool)
+    a, b = jaccard.near_in_group(np.arange(len(sets)), np.arange(len(sets)), sizes, bits, right)
+    all_near = [(i, j) for i in range(len(sets)) for j in range(i) if len(sets[i]) and int(np.bitwise_count(np.frombuffer(bits[i], np.uint8) ^ np.frombuffer(bits[j], np.uint8)).sum()) <= (sizes[i] + sizes[j]) // 9]
+    assert len(all_near) > 3 * len(sets) > 3 * len(a)
+    assert classes(len(sets), zip(a.tolist(), b.tolist(), strict=True)) == classes(len(sets), all_near)
+    links = [(i, j) for i in range(len(sets)) for j in range(i) if 100 * (both := len(np.intersect1d(sets[i], sets[j]))) >= 80 * (sizes[i] + sizes[j] - both)]
+    a, b = jaccard.links_in_family(np.arange(len(sets)), sets, right)
+    assert len(a) < len(sets) and {(max(p), min(p)) for p in zip(a.tolist(), b.tolist(), strict=True)} <= set(links)
+    assert classes(len(sets), zip(a.tolist(), b.tolist(), strict=True)) == classes(len(sets), links)
+    assert found_by_join(spark.createDataFrame(docs, "doc_id long, text string").repartition(4)) == joined(docs)
+
+
+def classes(n, pairs):
+    """The least place that each place is connected with."""
+    low = list(range(n))
+    for a, b in pairs:
+        x, y = sorted((low[a], low[b]))
+        low = [x if c == y else c for c in low]
+    return low
+
+
 def test_linked_sets_share_an_entry():
     """Any two sets that link are entered under one key at least, whatever their sizes."""
     rng = np.random.default_rng(7)

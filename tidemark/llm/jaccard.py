@@ -22,8 +22,12 @@ different components still. Those sets meet all to all, block by block where the
 many, and pairs of different components are tried too. A pair that is tried goes on if
 the parity bits of its sets (one bit flipped by a shingle; another lower bound) differ
 in no more than a link allows, and is then verified exactly, over the sets themselves,
-which are made again from the texts of those documents alone. No link between
-different components is lost. Sets that share a word because they share a long passage
+which are made again from the texts of those documents alone. Of a word with many sets
+pairs that go on may be as many as its sets' square, so none but a spanning forest of
+them leaves the task; the sets that forests connect are a family, in which all sets of
+different components are verified with one another, in one task or block by block, and
+again a spanning forest of links is all that comes out. No link between different
+components is lost. Sets that share a word because they share a long passage
 and not much else are compared by their bits alone, but in all pairs.
 
 Nodes of the join are distinct sets, named by 64 bits of a hash of the whole set, so
@@ -42,6 +46,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
@@ -54,6 +59,8 @@ SHINGLE = 5
 SPARE = 1.25
 #: Sets of one word that are compared with one another at once, and up to how many by a join of pairs; leaders that a set is tried with.
 BLOCK, FEW, TRIED = 4096, 6, 4
+#: Shingles of the sets that are verified with one another at once.
+BLOCK_SHINGLES = 1 << 20
 #: Entries that a task combines at once; words that it remembers of texts; bits of the filter of ids.
 COMBINED, REMEMBERED, FILTER_BITS = 2_000_000, 500_000, 1 << 24
 
@@ -302,11 +309,30 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 # ---- what leaders may have missed
 
 
+def forest(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
+    """Places of pairs (a, b) of n things that connect whatever all the pairs connect, fewer than n."""
+    label, at, chosen = np.arange(n), np.arange(len(a)), []
+    while True:
+        x, y = label[a[at]], label[b[at]]
+        at, x, y = (v[x != y] for v in (at, x, y))
+        if not len(at):
+            return np.concatenate([np.zeros(0, np.int64), *chosen])
+        low, high = np.minimum(x, y), np.maximum(x, y)
+        order = np.lexsort((low, high))
+        first = order[np.flatnonzero(np.concatenate([[True], np.diff(high[order]) != 0]))]
+        chosen.append(at[first])
+        label_of = np.arange(n)
+        label_of[high[first]] = low[first]
+        while (label_of != (further := label_of[label_of])).any():
+            label_of = further
+        label = label_of[label]
+
+
 def near_in_group(nodes: np.ndarray, component: np.ndarray, sizes: np.ndarray, bits: list[bytes], right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of a group, by place, of different components whose sizes and parity bits allow a link; between right and other places if some are right, else among all."""
+    """Of the pairs of a group, by place, of different components whose sizes and parity bits allow a link, as many as connect what all of them do; between right and other places if some are right, else among all."""
     left_at, right_at = (np.flatnonzero(~right), np.flatnonzero(right)) if right.any() else (np.arange(len(nodes)),) * 2
     widths = np.array([len(b) for b in bits])
-    found = []
+    a_kept, b_kept = np.zeros(0, np.int64), np.zeros(0, np.int64)
     for w in np.unique(widths[left_at]):
         for v in np.unique(widths[right_at]):
             if max(w, v) > 2 * min(w, v):
@@ -327,19 +353,30 @@ def near_in_group(nodes: np.ndarray, component: np.ndarray, sizes: np.ndarray, b
                     p, q = x[j : j + (1 << 20)], y[j : j + (1 << 20)]
                     apart = np.bitwise_count(words[0][i + p] ^ words[1][q]).sum(axis=1)
                     near = apart <= (sizes[a[p]] + sizes[two[q]]) // 9
-                    found.append((a[p[near]], two[q[near]]))
-    return tuple(np.concatenate([f[k] for f in found] or [np.zeros(0, np.int64)]) for k in (0, 1))
+                    both = np.concatenate([a_kept, a[p[near]]]), np.concatenate([b_kept, two[q[near]]])
+                    keep = forest(*both, len(nodes))
+                    a_kept, b_kept = both[0][keep], both[1][keep]
+    return a_kept, b_kept
 
 
 def _of_group(table: pa.Table) -> pa.Table:
+    table = table.sort_by("node")  # groups of much the same nodes give the same pairs
     nodes, component, sizes = (table[c].to_numpy() for c in ("node", "root", "n"))
     a, b = near_in_group(nodes, component, sizes, table["bits"].to_pylist(), table["right"].to_numpy())
     a, b = nodes[a], nodes[b]
     return pa.table([np.minimum(a, b), np.maximum(a, b)], names=["a", "b"])
 
 
-def missed(leaders: DataFrame, bits: DataFrame, roots: DataFrame) -> DataFrame:
-    """Pairs (a < b) of different components that share a key and may link by size and parity bits.
+def _dealt(members: DataFrame, group: str, blocks: Column) -> DataFrame:
+    """Nodes of a group dealt by a hash to so many blocks, every two of which meet: group, i, j, right (of the block j) and the other columns."""
+    dealt = members.withColumn("_n", blocks.cast("int"))
+    dealt = dealt.withColumn("_own", F.pmod(F.xxhash64("node"), F.col("_n")).cast("int")).withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_n") - 1)))
+    rest = [c for c in members.columns if c != group]
+    return dealt.select(group, F.least("_own", "_other").alias("i"), F.greatest("_own", "_other").alias("j"), (F.col("_own") > F.col("_other")).alias("right"), *rest)
+
+
+def missed(leaders: DataFrame, bits: DataFrame, roots: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Pairs (a < b) of different components that share a key and may link by size and parity bits: all those of keys with at most FEW nodes; and of other keys as many as connect what all of their pairs do.
 
     roots: node and root of every node in leaders. Keys whose nodes are of one
     component have nothing to add. Nodes of a key with more than FEW are compared in one
@@ -354,10 +391,59 @@ def missed(leaders: DataFrame, bits: DataFrame, roots: DataFrame) -> DataFrame:
     few = members.join(counts.where(F.col("_count") <= FEW).select("key"), "key", "left_semi").join(roots, "node")
     pairs = few.select("key", F.col("node").alias("a"), F.col("root").alias("_x")).join(few.select("key", F.col("node").alias("b"), F.col("root").alias("_y")), "key").where("a < b and _x <> _y")
     close = near(pairs.select("a", "b").distinct(), bits)
-    dealt = members.join(counts.where(F.col("_count") > FEW), "key").withColumn("_n", F.ceil(F.col("_count") / BLOCK))
-    dealt = dealt.withColumn("_own", F.pmod(F.xxhash64("node"), F.col("_n")).cast("int")).withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_n").cast("int") - 1)))
-    meet = dealt.select("key", F.least("_own", "_other").alias("i"), F.greatest("_own", "_other").alias("j"), (F.col("_own") > F.col("_other")).alias("right"), "node")
-    return close.union(meet.join(bits.join(roots, "node"), "node").groupBy("key", "i", "j").applyInArrow(_of_group, "a long, b long")).distinct()
+    many = members.join(counts.where(F.col("_count") > FEW), "key")
+    meet = _dealt(many, "key", F.ceil(F.col("_count") / BLOCK)).drop("_count")
+    return close, meet.join(bits.join(roots, "node"), "node").groupBy("key", "i", "j").applyInArrow(_of_group, "a long, b long").distinct()
+
+
+def links_in_family(component: np.ndarray, sets: list[np.ndarray], right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of places that link, as many as connect different components that any pair's link connects; between right and other places if some are right, else among all."""
+    sizes = np.array([len(x) for x in sets], np.int64)
+    flat = np.unique(np.concatenate(sets), return_inverse=True)[1]
+    starts, held = np.concatenate([[0], np.cumsum(sizes)]), np.zeros(len(flat) + 1, bool)
+    label = np.unique(component, return_inverse=True)[1]
+    lefts, rights = (np.flatnonzero(~right), np.flatnonzero(right)) if right.any() else (np.arange(len(sets)),) * 2
+    found = []
+    for i in lefts.tolist():
+        others = rights if right.any() else np.arange(i + 1, len(sets))
+        own = flat[starts[i] : starts[i + 1]]
+        m, n = sizes[i], sizes[others]
+        others = others[(label[others] != label[i]) & (5 * m >= 4 * n) & (5 * n >= 4 * m)]
+        if not len(others):
+            continue
+        held[own] = True
+        n = sizes[others]
+        begins = np.cumsum(n) - n
+        both = np.add.reduceat(held[flat[np.repeat(starts[others] - begins, n) + np.arange(n.sum())]], begins, dtype=np.int64)
+        held[own] = False
+        linked = others[100 * both >= 80 * (m + n - both)]
+        # One link for each of the components that i meets.
+        found += [(i, j) for j in linked[np.unique(label[linked], return_index=True)[1]].tolist()]
+        label[np.isin(label, label[linked])] = label[i]
+    at = np.array(found, np.int64).reshape(-1, 2)
+    return at[:, 0], at[:, 1]
+
+
+def _of_family(table: pa.Table) -> pa.Table:
+    nodes = table["node"].to_numpy()
+    lists = table["hashes"].combine_chunks()
+    sets = np.split(lists.flatten().to_numpy(), np.cumsum(pc.list_value_length(lists).to_numpy())[:-1])
+    a, b = links_in_family(table["root"].to_numpy(), sets, table["right"].to_numpy())
+    a, b = nodes[a], nodes[b]
+    return pa.table([np.minimum(a, b), np.maximum(a, b)], names=["a", "b"])
+
+
+def linked_in_families(families: DataFrame, sets: DataFrame, roots: DataFrame) -> DataFrame:
+    """Links (a < b) between different components within each family (node, family): enough of them to connect all that link.
+
+    A family is compared set by set in one task, one with more than BLOCK sets or
+    BLOCK_SHINGLES shingles in blocks, by a hash, every two of which meet. What comes out
+    are links, fewer than a task has sets, however many pairs were compared.
+    """
+    members = families.join(sets.withColumn("n", F.size("hashes").cast("long")).select("node", "n"), "node")
+    counts = members.groupBy("family").agg(F.ceil(F.greatest(F.count("*") / BLOCK, F.sum("n") / BLOCK_SHINGLES)).alias("_blocks"))
+    meet = _dealt(members.select("node", "family").join(counts, "family"), "family", F.col("_blocks")).drop("_blocks")
+    return meet.join(roots, "node").join(sets, "node").groupBy("family", "i", "j").applyInArrow(_of_family, "a long, b long").distinct()
 
 
 # ---- the join
@@ -374,13 +460,20 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     leaders = led(scanned)
     nodes = common.cut(leaders.select("node").union(leaders.select("leader")).distinct())
     bits = common.kept(scanned.where("keys is not null").select("node", "n", "bits").join(nodes, "node", "left_semi").dropDuplicates(["node"]), "bits")
-    links, roots = None, nodes.withColumn("root", F.col("node"))
-    for pairs in (lambda: near(tried(leaders), bits), lambda: missed(leaders, bits, roots)):
-        pairs = common.cut(pairs())
-        ends = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-        found = verified(pairs, sets_of(docs, scanned, ends, id_col, text_col))
-        links = common.cut(found if links is None else links.union(found))
-        roots = common.cut(_named(nodes, links))
+    def ends(pairs: DataFrame) -> DataFrame:
+        return pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+
+    def sets(of: DataFrame) -> DataFrame:
+        return sets_of(docs, scanned, of, id_col, text_col)
+
+    pairs = common.cut(near(tried(leaders), bits))
+    links = common.cut(verified(pairs, sets(ends(pairs))))
+    roots = common.cut(_named(nodes, links))
+    close, forests = map(common.cut, missed(leaders, bits, roots))
+    families = common.cut(components(forests).withColumnRenamed("root", "family"))
+    hashes = sets(ends(close).union(families.select("node")).distinct())
+    links = common.cut(links.union(verified(close, hashes)).union(linked_in_families(families, hashes, roots)))
+    roots = common.cut(_named(nodes, links))
     rows = scanned.select("doc_id", "n", "node")
     lows = rows.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("_low")).join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     lows = common.cut(lows)
