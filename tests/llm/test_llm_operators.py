@@ -918,3 +918,22 @@ def _encoder(held=[]):  # noqa: B006
     if not held:
         held.append(packed_ids.Encoder(packed_ids.tokenizer_file()))
     return held[0]
+
+
+def test_plain_texts_are_kept_by_piece(monkeypatch):
+    """Plain texts have the tokenizer's ids, and of words with many marks beside them the words are what is kept."""
+    from tokenizers import Tokenizer
+
+    path = packed_ids.tokenizer_file()
+    whole, encoder, rng = Tokenizer.from_file(path), packed_ids.Encoder(path), random.Random(3)
+    monkeypatch.setattr(packed_ids, "MOST_CACHED", 40)
+    alphabet = ["don't", "It'S", "ÉCOLE", "œuvre", "ſtraße", "x1y22", "'ll", "'", "--", "a,b;c", "<", "|", "<|im_end|>", "İ", "×", "\t", "…", "e\u0301", "Z" * 70, "word"]
+    texts = ["".join(rng.choice(alphabet) + rng.choice([" ", "", "\n", "  ", ", "]) for _ in range(rng.choice([0, 1, 5, 60]))) for _ in range(300)]
+    for listed in (1 << 20, 10):
+        monkeypatch.setattr(packed_ids, "LISTED", listed)
+        for text in texts:
+            assert np.frombuffer(encoder.ids(text), "<u4").tolist() == whole.encode(text, add_special_tokens=False).ids, text
+    monkeypatch.setattr(packed_ids, "MOST_CACHED", 1000)
+    encoder.forget()
+    encoder.ids(" ".join(a + w + b for w in ("one", "Two", "three") for a in ("", "(", "'") for b in ("", ",", ".", ")", "!", "?")))
+    assert set(encoder) == {""} and len(encoder.pieces) < 20

@@ -162,16 +162,46 @@ SIMPLE = re.compile(r"[!-~À-ÖØ-öø-įı-ſ]+")
 _SHOWN = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
 _BYTE = {b: chr(b) for b in _SHOWN} | {b: chr(256 + k) for k, b in enumerate(sorted(set(range(256)) - set(_SHOWN)))}
 AS_BYTES = {c: "".join(_BYTE[b] for b in chr(c).encode()) for c in range(0xC0, 0x180)}
-MOST_CACHED = 150_000
+#: Texts of these letters and blanks alone are cut into pieces at once: no piece reaches over a blank.
+SIMPLE_TEXT = re.compile(r"[\n !-~À-ÖØ-öø-įı-ſ]*")
+PIECE_OF_TEXT = re.compile(PIECE.pattern.replace("[^a-z", "[^\n a-z"))
+#: Pieces and chunks that are kept; characters of what is kept, and of texts whose pieces are listed at once.
+MOST_CACHED, LONGEST_KEPT, LISTED = 150_000, 64, 1 << 20
+
+
+class _Pieces(dict):
+    """The model's ids of pieces; of those not met for long, the ids go."""
+
+    def __init__(self, model):
+        super().__init__()
+        self.model, self.older = model, {}
+
+    def __missing__(self, piece: str) -> bytes:
+        if (got := self.older.get(piece)) is None:
+            got = array("I", [t.id for t in self.model.tokenize(piece if piece.isascii() else piece.translate(AS_BYTES))]).tobytes()
+        if len(piece) <= LONGEST_KEPT:
+            self[piece] = got
+        return got
+
+    def make_room(self) -> None:
+        if len(self) > MOST_CACHED:
+            self.older = dict(self)
+            self.clear()
+
+    def forget(self) -> None:
+        self.clear()
+        self.older.clear()
 
 
 class Encoder(dict):
     """The tokenizer's ids of whole texts, as little-endian unsigned 32-bit integers.
 
     A tokenizer with NORMALIZER and SPLITTER never joins what a space or line feed
-    separates, so its ids are kept by chunk between them. Chunks of plain ASCII and
-    Latin letters go straight to the tokenizer's model, others through the whole
-    tokenizer. Any other tokenizer gets whole texts.
+    separates. Texts of plain ASCII and Latin letters are cut into the splitter's pieces,
+    which go straight to the tokenizer's model; pieces are far fewer than words with the
+    marks beside them, so their ids are kept. Of other texts ids are kept by chunk between
+    spaces, and chunks that aren't plain go through the whole tokenizer. Any other
+    tokenizer gets whole texts.
     """
 
     def __init__(self, path: str):
@@ -184,12 +214,7 @@ class Encoder(dict):
         added = self.tokenizer.get_added_tokens_decoder().values()
         self.chunked = part(self.tokenizer.normalizer) == NORMALIZER and part(self.tokenizer.pre_tokenizer) == SPLITTER and all("<|" in t.content for t in added)
         self.older: dict[str, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
-
-    def _piece(self, piece: str) -> bytes:
-        if (got := self.pieces.get(piece)) is None:
-            got = self.pieces[piece] = array("I", [t.id for t in self.model.tokenize(piece if piece.isascii() else piece.translate(AS_BYTES))]).tobytes()
-        return got
+        self.pieces = _Pieces(self.model)
 
     def __missing__(self, chunk: str) -> bytes:
         if (got := self.older.get(chunk)) is not None:
@@ -198,10 +223,10 @@ class Encoder(dict):
         if SIMPLE.fullmatch(chunk) and "<|" not in chunk:
             low = chunk.lower()
             found = [low] if low.isalpha() else PIECE.findall(low)
-            got = self._piece(low) if len(found) == 1 else b"".join(map(self._piece, found))
+            got = b"".join(map(self.pieces.__getitem__, found))
         else:
             got = array("I", self.tokenizer.encode(chunk, add_special_tokens=False).ids).tobytes()
-        if len(chunk) <= 64:
+        if len(chunk) <= LONGEST_KEPT:
             self[chunk] = got
         return got
 
@@ -210,18 +235,21 @@ class Encoder(dict):
         self.clear()
         self[""] = b""
         self.older.clear()
-        self.pieces.clear()
+        self.pieces.forget()
 
     def ids(self, text: str) -> bytes:
         if not self.chunked:
             return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+        self.pieces.make_room()
+        if SIMPLE_TEXT.fullmatch(text) and "<|" not in text:
+            text = text.lower()  # as the normaliser does
+            pieces = PIECE_OF_TEXT.findall(text) if len(text) <= LISTED else (m[0] for m in PIECE_OF_TEXT.finditer(text))
+            return b"".join(map(self.pieces.__getitem__, pieces))
         if len(self) > MOST_CACHED:
             self.older = dict(self)
             self.clear()
-        if len(self.pieces) > MOST_CACHED:
-            self.pieces.clear()
         if text.isascii() and "<|" not in text:
-            text = text.lower()  # as the normaliser does; fewer chunks to keep
+            text = text.lower()  # fewer chunks to keep
         return b"".join(map(self.__getitem__, text.replace("\n", " ").split(" ")))
 
 
