@@ -1,6 +1,7 @@
 """Each operator against a brute-force version, and on edge cases."""
 
 import hashlib
+import math
 import random
 import re
 import zlib
@@ -937,3 +938,16 @@ def test_plain_texts_are_kept_by_piece(monkeypatch):
     encoder.forget()
     encoder.ids(" ".join(a + w + b for w in ("one", "Two", "three") for a in ("", "(", "'") for b in ("", ",", ".", ")", "!", "?")))
     assert set(encoder) == {""} and len(encoder.pieces) < 20
+
+
+def test_toxicity_learns_from_every_labelled_row(spark):
+    """Counts behind the weights are those of all labelled texts of the learning fold, however many."""
+    rows = [(i, f"{'zorbag' if i % 2 and i % 3 else 'quiet'} n{i % 7}ver plain w{i}" + (" zorbag" if i % 50 == 0 else ""), i % 2) for i in range(12_000)]
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string").repartition(3)
+    model = toxicity.learn(docs, spark.createDataFrame([(i, label) for i, _, label in rows], "doc_id long, toxic int"))
+    own = [(text, label) for i, text, label in rows if zlib.crc32(str(i).encode()) % 4 != 2]
+    n = Counter(label for _, label in own)
+    k, c = (sum("zorbag" in text for text, label in own if label == want) for want in (1, 0))
+    assert min(n.values()) > 4000 and c
+    assert model["weights"]["=zorbag"] == pytest.approx(math.log((k - 0.7 * k**0.5) / n[1] / ((c + 0.3 + 0.5 * c**0.5) / n[0])), rel=1e-12)
+    assert toxicity.score(docs, model).where("predicted = 1").count() >= k

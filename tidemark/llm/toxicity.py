@@ -11,8 +11,10 @@ likelier in toxic texts, and a logistic regression over the strongest of them,
 their number and their density.
 
 The character model counts every n-gram of every text, labelled or not. The weights
-and the regression are learned from labelled rows of the learning fold, at most
-TRAIN_DOCS of either label, chosen by a hash of the id. The score reads only the text.
+and the regression are learned from all labelled rows of the learning fold: texts of
+either label are counted by token, each distinct token is decoded once, and a feature has
+the sum over its tokens; the regression's steps are sums over tasks. The score reads only
+the text.
 
 Nulls: a null text is empty; an empty text scores what a text without any found
 word does, near the least. Null labels aren't learned. With nothing to learn from
@@ -34,12 +36,12 @@ from itertools import islice
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import common
 
-TRAIN_DOCS, CUT, LEAST_SUPPORT = 4000, 0.3, 3
+CUT, LEAST_SUPPORT = 0.3, 3
 #: What a sign may stand for in a disguised word.
 SIGNS = {"0": "o", "1": "il", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "(": "c", "€": "e", "£": "l", "¡": "i"}
 #: Marks that stand for no letter.
@@ -510,81 +512,157 @@ def char_counts(texts: DataFrame) -> Grams:
     return Grams(found.column("k").to_numpy(), found.column("n").to_numpy())
 
 
-def _doc_features(batches: Iterator[pa.RecordBatch], chars: Grams, wanted: frozenset[str] | None) -> Iterator[pa.RecordBatch]:
-    """Texts that each feature is in, by label."""
-    model, into, memo = CharModel(chars), (Counter(), Counter()), {}
+def _token_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts that each token, or run of characters spaced apart, is in, by label."""
+    common.remembered("toxicity")
+    into, met, short, marks = (Counter(), Counter()), set(), set(), set()
+
+    def flush() -> pa.RecordBatch:
+        columns = [pa.array([t for c in into for t in c], pa.string()), pa.array([label for label in (0, 1) for _ in into[label]], pa.int32()), pa.array([n for c in into for n in c.values()], pa.int64())]
+        for c in into:
+            c.clear()
+        return pa.RecordBatch.from_arrays(columns, names=["t", "label", "n"])
+
     for b in common.small_batches(batches, "text", SLICE):
         for label, text in zip(b.column(0).to_pylist(), common.strings(b.column(1)), strict=True):
-            own = set()
-            for t in set(words_of(text)):
-                f = memo.get(t)
-                if f is None:
-                    f = memo[t] = [x for own_word in features(t, model) for x in own_word]
-                    if wanted is not None:
-                        memo[t] = f = [x for x in f if x in wanted]
-                own.update(f)
+            tokens = text.lower().split()
+            own = set(tokens)
+            if fresh := own - met:
+                if len(met) > MOST_CACHED:
+                    for known in (met, short, marks):
+                        known.clear()
+                    fresh = own
+                met |= fresh
+                for t in fresh:
+                    if (not t.isalpha() or t[0] == t[-1]) and (kind := kind_of(t)) != ".":
+                        (short if kind == "s" else marks).add(t)
+            if here := own & short:
+                kinds = dict.fromkeys(own & marks, "-") | dict.fromkeys(here, "s")
+                own.update(runs_of(tokens, "".join([kinds.get(t, ".") for t in tokens])))
             into[label].update(own)
-    for label in (0, 1):
-        yield pa.RecordBatch.from_arrays([pa.array(list(into[label]), pa.string()), pa.array([label] * len(into[label]), pa.int32()), pa.array(list(into[label].values()), pa.int64())], names=["f", "label", "n"])
+        if len(into[0]) + len(into[1]) > MOST_CACHED:
+            yield flush()
+    yield flush()
+    del into, met, short, marks
+    common.release()
 
 
-def _summaries(batches: Iterator[pa.RecordBatch], sent: _Sent) -> Iterator[pa.RecordBatch]:
+def _feature_counts(batches: Iterator[pa.RecordBatch], chars: Grams) -> Iterator[pa.RecordBatch]:
+    """Of each feature the sums over tokens (t, texts of either label) that have it; every token is decoded once."""
+    model, into = CharModel(chars), (Counter(), Counter())
+
+    def flush() -> pa.RecordBatch:
+        names = list(into[0].keys() | into[1].keys())
+        out = pa.RecordBatch.from_arrays([pa.array(names, pa.string()), *[pa.array([c[f] for f in names], pa.int64()) for c in into]], names=["f", "clean", "toxic"])
+        for c in into:
+            c.clear()
+        return out
+
+    for b in batches:
+        for t, *numbers in zip(*(b.column(k).to_pylist() for k in range(3)), strict=True):
+            own = {f for word in features(t, model) for f in word}
+            for c, n in zip(into, numbers, strict=True):
+                if n:
+                    for f in own:
+                        c[f] += n
+        if len(into[0]) + len(into[1]) > MOST_CACHED:
+            yield flush()
+    yield flush()
+    del model, into
+    common.release()
+
+
+def _described(batches: Iterator[pa.RecordBatch], sent: _Sent) -> Iterator[pa.RecordBatch]:
     scorer = _scorer(sent)
     for b in common.small_batches(batches, "text", SLICE):
-        x = scorer.summaries(common.strings(b.column(1)))
-        yield pa.RecordBatch.from_arrays([b.column(0), pa.array(x, pa.list_(pa.float64()))], names=["label", "x"])
+        x = scorer.summaries(common.strings(b.column(2)))
+        yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(x, pa.list_(pa.float64()))], names=["doc_id", "held_out", "x"])
 
 
-def fit(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Logistic regression by Newton's method with a small ridge; intercept first."""
+def _slopes(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Slope and curvature of the log likelihood at w; intercept first."""
     x = np.hstack([np.ones((len(x), 1)), x])
-    w, ridge = np.zeros(x.shape[1]), np.diag([1e-3] + [0.3] * (x.shape[1] - 1))
+    p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
+    return x.T @ (y - p), (x * (p * (1 - p))[:, None]).T @ x
+
+
+def fit(rows: DataFrame) -> np.ndarray:
+    """Logistic regression over all rows (label, x) by Newton's method with a small ridge; intercept first. The driver gets one row of sums a task and step."""
+    size = 9
+    w, ridge = np.zeros(size), np.diag([1e-3] + [0.3] * (size - 1))
+
+    def sums(batches: Iterator[pa.RecordBatch], at: np.ndarray) -> Iterator[pa.RecordBatch]:
+        slope, curve = np.zeros(size), np.zeros((size, size))
+        for b in batches:
+            if b.num_rows:
+                one, two = _slopes(b.column(1).flatten().to_numpy().reshape(b.num_rows, -1), b.column(0).to_numpy(), at)
+                slope, curve = slope + one, curve + two
+        yield pa.RecordBatch.from_arrays([pa.array([np.concatenate([slope, curve.ravel()]).tolist()], pa.list_(pa.float64()))], names=["s"])
+
+    rows = rows.select("label", "x")
     for _ in range(40):
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + ridge, x.T @ (y - p) - ridge @ w)
-        w += step
+        got = sorted(r["s"] for r in rows.mapInArrow(lambda it, at=w: sums(it, at), "s array<double>").collect())
+        total = np.sum(np.array(got), axis=0)
+        step = np.linalg.solve(total[size:].reshape(size, size) + ridge, total[:size] - ridge @ w)
+        w = w + step
         if np.abs(step).max() < 1e-6:
             break
     return w
 
 
-def learn(docs: DataFrame, labels: DataFrame) -> dict | None:
-    """The model; None if either label has no text to learn from."""
+def _labels_of(labels: DataFrame) -> DataFrame:
+    """i and label of every id that may be learned from."""
+    of = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1) & common.in_fold("doc_id"))
+    return of.groupBy(F.col("doc_id").cast("long").alias("i")).agg(F.max("toxic").cast("int").alias("label"))
+
+
+def weigh(docs: DataFrame, labels: DataFrame) -> dict | None:
+    """The model but for its coefficients; None if either label has no text to learn from."""
     spark = docs.sparkSession
     common.prepare(spark)
-    of = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1) & common.in_fold("doc_id"))
-    of = of.groupBy(F.col("doc_id").cast("long").alias("i")).agg(F.max("toxic").cast("int").alias("label"))
+    of = _labels_of(labels)
     rows = docs.select(F.col("doc_id").cast("long").alias("i"), F.col("text").alias("text"))
-    ids = []
-    for label in (0, 1):  # at most TRAIN_DOCS ids of each
-        own = of.where(F.col("label") == label).join(rows.select("i"), "i", "left_semi")
-        ids += common.sampled(own, "i", "toxic", TRAIN_DOCS)
-    if len({label for _, label in ids}) < 2:
+    n = {r[0]: r[1] for r in rows.select("i").join(of, "i").groupBy("label").count().collect()}
+    if len(n) < 2:
         return None
-    chosen = spark.createDataFrame(ids, "i long, label int")
-    sample = common.kept(rows.join(F.broadcast(chosen), "i").select("label", F.coalesce("text", F.lit("")).alias("text")).repartition(common.shuffle_parts(spark)), "toxic-sample")
     chars = char_counts(rows.select("text"))
-    n = {r[0]: r[1] for r in sample.groupBy("label").count().collect()}
-
-    def counted(part: DataFrame, wanted: frozenset[str] | None) -> DataFrame:
-        return part.mapInArrow(lambda it: _doc_features(it, chars, wanted), "f string, label int, n long").groupBy("f").agg(F.sum("n").alias("n"))
-
-    least = max(2, min(LEAST_SUPPORT, n.get(1, 0) // 8))
-    often = {r[0]: r[1] for r in sorted(counted(sample.where("label = 1"), None).where(F.col("n") >= least).collect())}
-    wanted = frozenset(often)
-    clean = {r[0]: r[1] for r in counted(sample.where("label = 0"), wanted).collect()}
-    weights = {}
-    for f, k in often.items():
-        # The ratio of shares, with the toxic share low and the clean share high by about a standard deviation.
-        a = (k - 0.7 * math.sqrt(k)) / n[1]
-        c = (clean.get(f, 0) + 0.3 + 0.5 * math.sqrt(clean.get(f, 0))) / n[0]
-        if a > 0 and (w := math.log(a / c)) > 0.7:
-            weights[f] = w
-    model = {"chars": chars, "weights": weights, "coefficients": np.zeros(9)}
-    sent = _Sent(spark, model)
-    got = sample.mapInArrow(lambda it: _summaries(it, sent), "label int, x array<double>").collect()
-    got.sort(key=lambda r: (r[0], r[1]))
-    model["coefficients"] = fit(np.array([r[1] for r in got]), np.array([r[0] for r in got]))
+    labelled = rows.where(common.in_fold("i")).join(of, "i").select("label", F.coalesce("text", F.lit("")).alias("text"))
+    found = labelled.mapInArrow(_token_counts, "t string, label int, n long").groupBy("t")
+    tokens = found.agg(*[F.sum(F.when(F.col("label") == label, F.col("n")).otherwise(0)).alias(name) for label, name in ((0, "clean"), (1, "toxic"))])
+    counts = tokens.mapInArrow(lambda it: _feature_counts(it, chars), "f string, clean long, toxic long").groupBy("f").agg(F.sum("clean").alias("c"), F.sum("toxic").alias("k"))
+    # The ratio of shares, with the toxic share low and the clean share high by about a standard deviation.
+    least = max(2, min(LEAST_SUPPORT, n[1] // 8))
+    a = (F.col("k") - 0.7 * F.sqrt("k")) / n[1]
+    c = (F.col("c") + 0.3 + 0.5 * F.sqrt("c")) / n[0]
+    strong = counts.where(F.col("k") >= least).select("f", F.log(a / c).alias("w")).where("w > 0.7")
+    return {"chars": chars, "weights": dict(sorted(map(tuple, strong.collect()))), "coefficients": np.zeros(9)}
+
+
+def described(docs: DataFrame, model: dict) -> DataFrame:
+    """doc_id, held_out and x (what the regression weighs) of every row, kept."""
+    sent = _Sent(docs.sparkSession, model)
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), (~common.in_fold("doc_id")).alias("held_out"), F.col("text").alias("text"))
+    return common.kept(rows.mapInArrow(lambda it: _described(it, sent), "doc_id long, held_out boolean, x array<double>"), "toxic-x")
+
+
+def fitted(rows: DataFrame, labels: DataFrame) -> np.ndarray:
+    """The coefficients, from rows (doc_id, x) of all documents."""
+    of = rows.select(F.col("doc_id").cast("long").alias("i"), "x").join(_labels_of(labels), "i")
+    return fit(common.kept(of.select("label", "x"), "toxic-labelled"))
+
+
+def score_of(coefficients: np.ndarray) -> Column:
+    """The score of a row that has x."""
+    total = F.lit(float(coefficients[0]))
+    for k, c in enumerate(coefficients[1:]):
+        total = total + F.lit(float(c)) * F.col("x")[k]
+    return 1 / (1 + F.exp(-F.greatest(F.lit(-30.0), F.least(F.lit(30.0), total))))
+
+
+def learn(docs: DataFrame, labels: DataFrame) -> dict | None:
+    """The model, from every labelled row of the learning fold; None if either label has no text to learn from."""
+    if model := weigh(docs, labels):
+        model["coefficients"] = fitted(described(docs, model), labels)
     return model
 
 
@@ -603,8 +681,8 @@ def score(docs: DataFrame, model: dict | None) -> DataFrame:
     return rows.mapInArrow(lambda it: _scored(it, sent), "doc_id long, held_out boolean, score double, predicted int")
 
 
-def _score_texts(columns, sent: _Sent):
-    """Scores of each Series of texts; what was remembered of words goes with the partition, since workers live on in later stages."""
+def _text_columns(columns, sent: _Sent, of=Scorer.scores, kind=float):
+    """What `of` gives for each Series of texts, scores by default; what was remembered of words goes with the partition, since workers live on in later stages."""
     import pandas as pd
 
     scorer = _scorer(sent)
@@ -615,9 +693,9 @@ def _score_texts(columns, sent: _Sent):
                 held.append(t or "")
                 size += len(held[-1])
                 if size > SLICE:  # so that work space doesn't follow text length
-                    out += scorer.scores(held)
+                    out += of(scorer, held)
                     held, size = [], 0
-            yield pd.Series(out + scorer.scores(held), dtype=float)
+            yield pd.Series(out + of(scorer, held), dtype=kind)
     finally:
         del scorer
         common.remembered("toxicity").clear()
@@ -630,10 +708,24 @@ def keep_clean(docs: DataFrame, model: dict | None) -> DataFrame:
     if not model:
         return docs
     sent = _Sent(docs.sparkSession, model)
-    own = F.pandas_udf(lambda columns: _score_texts(columns, sent), "double", F.PandasUDFType.SCALAR_ITER)
+    own = F.pandas_udf(lambda columns: _text_columns(columns, sent), "double", F.PandasUDFType.SCALAR_ITER)
     return docs.where(own(F.col("text")) < CUT)
 
 
+def learn_and_keep_clean(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """Rows of docs that a model learned from them doesn't predict toxic; texts are described once, to learn and to score."""
+    if not (model := weigh(docs, labels)):
+        return docs
+    sent = _Sent(docs.sparkSession, model)
+    own = F.pandas_udf(lambda columns: _text_columns(columns, sent, Scorer.summaries, None), "array<double>", F.PandasUDFType.SCALAR_ITER)
+    rows = common.kept(docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), own(F.col("text")).alias("x")), "toxic-x")
+    coefficients = fitted(rows.select(F.col("row.doc_id").alias("doc_id"), "x"), labels)
+    return rows.where(score_of(coefficients) < CUT).select("row.*")
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = common.table(spark, sf_dir, "documents")
-    return score(docs, learn(docs, common.table(spark, sf_dir, "labels")))
+    docs, labels = common.table(spark, sf_dir, "documents"), common.table(spark, sf_dir, "labels")
+    if not (model := weigh(docs, labels)):
+        return score(docs, None)
+    rows = described(docs, model)
+    return rows.select("doc_id", "held_out", score_of(fitted(rows, labels)).alias("score")).withColumn("predicted", (F.col("score") >= CUT).cast("int"))
