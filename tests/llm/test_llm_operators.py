@@ -940,6 +940,43 @@ def test_plain_texts_are_kept_by_piece(monkeypatch):
     assert set(encoder) == {""} and len(encoder.pieces) < 20
 
 
+def shuffled_bytes(spark) -> int:
+    """What all stages so far have written to shuffles."""
+    sc = spark.sparkContext._jsc.sc()
+    sc.listenerBus().waitUntilEmpty(30_000)
+    executors = sc.statusStore().executorList(False)
+    return sum(int(executors.apply(i).totalShuffleWrite()) for i in range(executors.size()))
+
+
+@pytest.mark.parametrize("threshold", ["10m", "-1"])
+def test_texts_without_a_label_do_not_move(spark, threshold):
+    """Whether labels are few enough to broadcast or not, the texts that learning shuffles are those with labels, and it shuffles them."""
+    rng = random.Random(5)
+    words = ["".join(rng.choices("bcdfglmnprstv", k=6)) for _ in range(300)]
+    rows = [(i, " ".join(rng.choices(words, k=3000))) for i in range(600)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3).localCheckpoint()
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id long, toxic int")
+    size, before = sum(len(text) for i, text in rows if i < 60 and zlib.crc32(str(i).encode()) % 4 != 2), spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        at = shuffled_bytes(spark)
+        toxicity.weigh(docs, labels)
+        moved = shuffled_bytes(spark) - at
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert 0.3 * size < moved < 1.2 * size
+
+
+def test_key_filter_lets_all_wanted_pass(spark, monkeypatch):
+    rows = spark.createDataFrame([(i * 7919 - 10**6, i) for i in range(5000)] + [(None, -1)], "i long, v int")
+    wanted = rows.where("v % 50 = 0").select("i")
+    assert sorted(map(tuple, common.perhaps_in(rows, "i", wanted).collect())) == sorted((i * 7919 - 10**6, i) for i in range(0, 5000, 50))
+    monkeypatch.setattr(common, "KEY_BITS", 256)
+    found = {v for _, v in common.perhaps_in(rows, "i", wanted).collect()}
+    assert set(range(0, 5000, 50)) <= found and len(found) < 2500
+    assert common.perhaps_in(rows, "i", wanted.limit(0)).count() == 0
+
+
 def test_toxicity_learns_from_every_labelled_row(spark):
     """Counts behind the weights are those of all labelled texts of the learning fold, however many."""
     rows = [(i, f"{'zorbag' if i % 2 and i % 3 else 'quiet'} n{i % 7}ver plain w{i}" + (" zorbag" if i % 50 == 0 else ""), i % 2) for i in range(12_000)]

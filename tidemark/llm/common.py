@@ -23,6 +23,8 @@ SLICE_BYTES, MOST_SLICES = 32 << 20, 100_000
 ARROW_BYTES = 8 << 20
 #: Quantiles of the ids, and most equal steps between two of them, by which bytes are counted to cut slices: of some STEP_ROWS rows each.
 QUANTILES, STEPS, STEP_ROWS = 1000, 128, 50
+#: Bits of a filter of keys, by which rows are left out before they move.
+KEY_BITS = 1 << 24
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -134,6 +136,17 @@ def sampled(rows: DataFrame, id_col: str, salt: str, most: int) -> list[tuple]:
     return [tuple(r)[:-1] for r in rows.orderBy("_h", *[c for c in rows.columns if c != "_h"]).limit(most).collect()]
 
 
+def perhaps_in(rows: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
+    """Rows whose key may be in the column key of wanted: all those that are, and those whose hash falls on one of their bits, of KEY_BITS.
+
+    Rows don't move; what is broadcast is KEY_BITS / 64 rows at most, however many are wanted.
+    """
+    at = F.pmod(F.xxhash64(key), F.lit(KEY_BITS))
+    words = wanted.select(at.alias("_at")).selectExpr("shiftright(_at, 6) AS _word", "shiftleft(1L, cast(_at % 64 AS int)) AS _bit").groupBy("_word").agg(F.bit_or("_bit").alias("_bits"))
+    placed = rows.withColumn("_at", at).withColumn("_word", F.shiftright("_at", 6))
+    return placed.join(F.broadcast(words), "_word").where("(shiftright(_bits, cast(_at % 64 AS int)) & 1L) = 1L").select(*rows.columns)
+
+
 def row_order(docs: DataFrame, row: str = "row") -> Column:
     """A hash of the struct column `row` of docs' columns, to tell apart rows that are otherwise alike; columns that can't be hashed don't count."""
     hashed = [c for c, kind in docs.dtypes if "map<" not in kind and "variant" not in kind]

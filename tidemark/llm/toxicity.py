@@ -616,17 +616,27 @@ def _labels_of(labels: DataFrame) -> DataFrame:
     return of.groupBy(F.col("doc_id").cast("long").alias("i")).agg(F.max("toxic").cast("int").alias("label"))
 
 
+def _with_labels(rows: DataFrame, of: DataFrame) -> DataFrame:
+    """label and the columns of those rows whose i has one.
+
+    A filter of bounded size leaves out most others before they move. What is left is
+    joined by a shuffle whatever its size, so that a plan measured on a small input is
+    that of a large one.
+    """
+    return common.perhaps_in(rows.where(common.in_fold("i")), "i", of).join(of.hint("shuffle_hash"), "i")
+
+
 def weigh(docs: DataFrame, labels: DataFrame) -> dict | None:
     """The model but for its coefficients; None if either label has no text to learn from."""
     spark = docs.sparkSession
     common.prepare(spark)
     of = _labels_of(labels)
     rows = docs.select(F.col("doc_id").cast("long").alias("i"), F.col("text").alias("text"))
-    n = {r[0]: r[1] for r in rows.select("i").join(of, "i").groupBy("label").count().collect()}
+    n = {r[0]: r[1] for r in _with_labels(rows.select("i"), of).groupBy("label").count().collect()}
     if len(n) < 2:
         return None
     chars = char_counts(rows.select("text"))
-    labelled = rows.where(common.in_fold("i")).join(of, "i").select("label", F.coalesce("text", F.lit("")).alias("text"))
+    labelled = _with_labels(rows, of).select("label", F.coalesce("text", F.lit("")).alias("text"))
     found = labelled.mapInArrow(_token_counts, "t string, label int, n long").groupBy("t")
     tokens = found.agg(*[F.sum(F.when(F.col("label") == label, F.col("n")).otherwise(0)).alias(name) for label, name in ((0, "clean"), (1, "toxic"))])
     counts = tokens.mapInArrow(lambda it: _feature_counts(it, chars), "f string, clean long, toxic long").groupBy("f").agg(F.sum("clean").alias("c"), F.sum("toxic").alias("k"))
@@ -647,8 +657,8 @@ def described(docs: DataFrame, model: dict) -> DataFrame:
 
 def fitted(rows: DataFrame, labels: DataFrame) -> np.ndarray:
     """The coefficients, from rows (doc_id, x) of all documents."""
-    of = rows.select(F.col("doc_id").cast("long").alias("i"), "x").join(_labels_of(labels), "i")
-    return fit(common.kept(of.select("label", "x"), "toxic-labelled"))
+    of = _with_labels(rows.select(F.col("doc_id").cast("long").alias("i"), "x"), _labels_of(labels))
+    return fit(common.kept(of.select("label", "x").sortWithinPartitions("label", "x"), "toxic-labelled"))  # sums in one order on every run
 
 
 def score_of(coefficients: np.ndarray) -> Column:
