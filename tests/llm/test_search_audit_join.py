@@ -234,6 +234,55 @@ def classes(n, pairs):
     return low
 
 
+def shuffled_bytes(spark) -> int:
+    """What all stages so far have written to shuffles."""
+    sc = spark.sparkContext._jsc.sc()
+    sc.listenerBus().waitUntilEmpty(30_000)
+    executors = sc.statusStore().executorList(False)
+    return sum(int(executors.apply(i).totalShuffleWrite()) for i in range(executors.size()))
+
+
+def test_copies_are_summed_up_before_they_meet(spark):
+    """Of a set with many copies a row a task moves to find the document that it is made from."""
+    rng = random.Random(7)
+    ids = rng.sample(range(1 << 50), 20_000)
+    text = "one set that has very many copies here"
+    docs = spark.createDataFrame([(i, text) for i in ids[:50]] + [(-1, "another text of six words or so")], "doc_id long, text string")
+    node = jaccard.name_of(jaccard.shingles(text))
+    scanned = spark.createDataFrame([(i, node) for i in [*ids, min(ids[:50]) - (1 << 51)]], "doc_id long, node long").repartition(3).localCheckpoint()
+    docs = docs.union(spark.createDataFrame([(min(ids[:50]) - (1 << 51), text)], docs.schema))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        at = shuffled_bytes(spark)
+        found = jaccard.sets_of(docs, scanned, spark.createDataFrame([(node,)], "node long"), "doc_id", "text").collect()
+        moved = shuffled_bytes(spark) - at
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert [(r["node"], r["hashes"]) for r in found] == [(node, jaccard.shingles(text).view(np.int64).tolist())]
+    assert moved < 20_000
+
+
+def test_later_links_join_components_as_all_links_at_once(spark, monkeypatch):
+    """Roots after more links are those of all links together, and the second search goes over roots alone."""
+    rng = random.Random(11)
+    first = [(rng.randrange(400) - 200, rng.randrange(400) - 200) for _ in range(150)]
+    later = [(rng.randrange(400) - 200, rng.randrange(400) - 200) for _ in range(60)]
+    nodes = spark.createDataFrame([(i,) for i in range(-200, 200)], "node long")
+    links = [spark.createDataFrame([(min(p), max(p)) for p in x if p[0] != p[1]], "a long, b long") for x in (first, later)]
+    roots = jaccard._named(nodes, links[0]).localCheckpoint()
+    whole = {r["node"]: r["root"] for r in jaccard._named(nodes, links[0].union(links[1])).collect()}
+    seen, components = set(), jaccard.components
+
+    def watched(given):
+        seen.update(x for r in given.collect() for x in r)
+        return components(given)
+
+    monkeypatch.setattr(jaccard, "components", watched)
+    assert {r["node"]: r["root"] for r in jaccard._merged(roots, links[1]).collect()} == whole
+    assert seen <= {r["root"] for r in roots.collect()} and len(whole) == 400
+
+
 def test_linked_sets_share_an_entry():
     """Any two sets that link are entered under one key at least, whatever their sizes."""
     rng = np.random.default_rng(7)

@@ -263,7 +263,8 @@ class _IdFilter:
 def sets_of(docs: DataFrame, scanned: DataFrame, nodes: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """node and hashes of these nodes' sets, made from the texts of one document each, kept."""
     spark = docs.sparkSession
-    wanted = scanned.join(nodes, "node", "left_semi").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
+    # Summed up before they meet: copies of a set are one row a task.
+    wanted = scanned.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("doc_id")).join(nodes, "node", "left_semi")
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = _Words()
@@ -454,6 +455,13 @@ def _named(nodes: DataFrame, links: DataFrame) -> DataFrame:
     return nodes.join(components(links), "node", "left").select("node", F.coalesce("root", "node").alias("root"))
 
 
+def _merged(roots: DataFrame, links: DataFrame) -> DataFrame:
+    """node and root of the same nodes, with links (a, b) added; between roots alone, since all that a component holds has its root already."""
+    one, two = (roots.select(F.col("node").alias(x), F.col("root").alias(f"_{x}")) for x in "ab")
+    tops = components(links.join(one, "a").join(two, "b").select(F.col("_a").alias("a"), F.col("_b").alias("b")))
+    return roots.join(tops.select(F.col("node").alias("root"), F.col("root").alias("_top")), "root", "left").select("node", F.coalesce("_top", "root").alias("root"))
+
+
 def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_shingles, node (the set's name), root (the set that names the component) and component_id of every row of docs."""
     scanned = scan(docs, id_col, text_col)
@@ -467,13 +475,12 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
         return sets_of(docs, scanned, of, id_col, text_col)
 
     pairs = common.cut(near(tried(leaders), bits))
-    links = common.cut(verified(pairs, sets(ends(pairs))))
-    roots = common.cut(_named(nodes, links))
-    close, forests = map(common.cut, missed(leaders, bits, roots))
+    roots = common.cut(_named(nodes, verified(pairs, sets(ends(pairs)))))  # components() cuts off what it is given
+    close, forests = missed(leaders, bits, roots)
+    close = common.cut(close)
     families = common.cut(components(forests).withColumnRenamed("root", "family"))
     hashes = sets(ends(close).union(families.select("node")).distinct())
-    links = common.cut(links.union(verified(close, hashes)).union(linked_in_families(families, hashes, roots)))
-    roots = common.cut(_named(nodes, links))
+    roots = common.cut(_merged(roots, verified(close, hashes).union(linked_in_families(families, hashes, roots))))
     rows = scanned.select("doc_id", "n", "node")
     lows = rows.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("_low")).join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     lows = common.cut(lows)
