@@ -3,6 +3,7 @@
 import math
 import random
 import re
+import time
 from collections import Counter
 from itertools import permutations
 
@@ -283,6 +284,29 @@ def test_later_links_join_components_as_all_links_at_once(spark, monkeypatch):
     assert seen <= {r["root"] for r in roots.collect()} and len(whole) == 400
 
 
+def shuffle_files(spark) -> set[str]:
+    """Names of the files of shuffles that are on disk; in a local session all are the driver's."""
+    found = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {name for i in range(found.size()) if (name := found.apply(i).getName()).startswith("shuffle_")}
+
+
+def test_no_shuffle_of_a_finished_step_stays(spark):
+    """Steps leave no shuffle files for the driver's garbage collection; what is returned can be computed again, and the session's setting is as before."""
+    rng, base = random.Random(5), [f"b{i}" for i in range(200)]
+    docs = [(i, " ".join(edited(rng, base, 0.01))) for i in range(30)] + [(100, " ".join(base)), (101, " ".join(base)), (102, None)]
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, setting = shuffle_files(spark), spark.conf.get(key, None)
+    found = jaccard.join(spark.createDataFrame(docs, "doc_id long, text string").repartition(4)).select("doc_id", "n_shingles", "component_id")
+    for _ in range(20):  # files go in the background
+        if not (left := shuffle_files(spark) - before):
+            break
+        time.sleep(0.5)
+    assert not left
+    assert spark.conf.get(key, None) == setting
+    for _ in range(2):
+        assert sorted((tuple(r) for r in found.collect()), key=str) == joined(docs)
+
+
 def test_linked_sets_share_an_entry():
     """Any two sets that link are entered under one key at least, whatever their sizes."""
     rng = np.random.default_rng(7)

@@ -8,7 +8,7 @@ import tempfile
 import uuid
 import zipfile
 from collections.abc import Iterable, Iterator
-from contextlib import suppress
+from contextlib import contextmanager, suppress
 from pathlib import Path
 
 import numpy as np
@@ -25,6 +25,8 @@ ARROW_BYTES = 8 << 20
 QUANTILES, STEPS, STEP_ROWS = 1000, 128, 50
 #: Bits of a filter of keys, by which rows are left out before they move.
 KEY_BITS = 1 << 24
+#: Spark's setting (from 4.1 on) by which a query's shuffle files go when the query ends.
+CLEANED = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -117,6 +119,23 @@ def kept(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def cleaned(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of frames made and computed in here go when each has been computed; else they stay until the driver happens to collect its garbage.
+
+    A frame that somebody may compute twice had better be made outside.
+    """
+    before = spark.conf.get(CLEANED, None)
+    spark.conf.set(CLEANED, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(CLEANED)
+        else:
+            spark.conf.set(CLEANED, before)
+
+
 def in_fold(doc_id: Column | str) -> Column:
     """Whether a row may be learned from: crc32 of the id as text modulo 4 is not 2; a null id counts as remainder 0."""
     c = F.col(doc_id) if isinstance(doc_id, str) else doc_id

@@ -265,6 +265,7 @@ def sets_of(docs: DataFrame, scanned: DataFrame, nodes: DataFrame, id_col: str,
     spark = docs.sparkSession
     # Summed up before they meet: copies of a set are one row a task.
     wanted = scanned.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("doc_id")).join(nodes, "node", "left_semi")
+    wanted = common.kept(wanted, "wanted")  # for the filter and the join
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = _Words()
@@ -386,7 +387,7 @@ def missed(leaders: DataFrame, bits: DataFrame, roots: DataFrame) -> tuple[DataF
     of = leaders.join(roots, "node").withColumnRenamed("root", "_root").join(roots.select(F.col("node").alias("leader"), "root"), "leader")
     open_keys = of.where("_root <> root").select("key").distinct()
     members = leaders.join(open_keys, "key", "left_semi")
-    members = members.select("key", "node").union(members.select("key", "leader")).distinct()
+    members = common.kept(members.select("key", "node").union(members.select("key", "leader")).distinct(), "members")  # for both kinds of keys
     counts = members.groupBy("key").agg(F.count("*").alias("_count"))
     # Most keys have two or three nodes: their pairs, each once however many keys it has, are cheaper to make by a join.
     few = members.join(counts.where(F.col("_count") <= FEW).select("key"), "key", "left_semi").join(roots, "node")
@@ -464,26 +465,27 @@ def _merged(roots: DataFrame, links: DataFrame) -> DataFrame:
 
 def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_shingles, node (the set's name), root (the set that names the component) and component_id of every row of docs."""
-    scanned = scan(docs, id_col, text_col)
-    leaders = led(scanned)
-    nodes = common.cut(leaders.select("node").union(leaders.select("leader")).distinct())
-    bits = common.kept(scanned.where("keys is not null").select("node", "n", "bits").join(nodes, "node", "left_semi").dropDuplicates(["node"]), "bits")
     def ends(pairs: DataFrame) -> DataFrame:
-        return pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+        return pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
 
     def sets(of: DataFrame) -> DataFrame:
         return sets_of(docs, scanned, of, id_col, text_col)
 
-    pairs = common.cut(near(tried(leaders), bits))
-    roots = common.cut(_named(nodes, verified(pairs, sets(ends(pairs)))))  # components() cuts off what it is given
-    close, forests = missed(leaders, bits, roots)
-    close = common.cut(close)
-    families = common.cut(components(forests).withColumnRenamed("root", "family"))
-    hashes = sets(ends(close).union(families.select("node")).distinct())
-    roots = common.cut(_merged(roots, verified(close, hashes).union(linked_in_families(families, hashes, roots))))
-    rows = scanned.select("doc_id", "n", "node")
-    lows = rows.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("_low")).join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    lows = common.cut(lows)
+    with common.cleaned(docs.sparkSession):
+        scanned = scan(docs, id_col, text_col)
+        leaders = led(scanned)
+        nodes = common.cut(leaders.select("node").union(leaders.select("leader")).distinct())
+        bits = common.kept(scanned.where("keys is not null").select("node", "n", "bits").join(nodes, "node", "left_semi").dropDuplicates(["node"]), "bits")
+        pairs = common.cut(near(tried(leaders), bits))
+        roots = common.cut(_named(nodes, verified(pairs, sets(ends(pairs)))))  # components() cuts off what it is given
+        close, forests = missed(leaders, bits, roots)
+        close = common.cut(close)
+        families = common.cut(components(forests).withColumnRenamed("root", "family"))
+        hashes = sets(ends(close).union(families.select("node")).distinct())
+        roots = common.cut(_merged(roots, verified(close, hashes).union(linked_in_families(families, hashes, roots))))
+        rows = scanned.select("doc_id", "n", "node")
+        lows = rows.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("_low")).join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        lows = common.cut(lows)
     lowest = lows.groupBy("root").agg(F.min("_low").alias("component_id"))
     classes = lows.select(F.col("node").alias("_node"), "root").join(lowest, "root")
     out = rows.join(classes, F.col("node") == F.col("_node"), "left")
