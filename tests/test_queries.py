@@ -1,6 +1,8 @@
 """Driver queries against their SQL on the smallest tables."""
 
 import os
+from datetime import date
+from decimal import Decimal
 
 import duckdb
 import pandas as pd
@@ -45,6 +47,15 @@ def test_query(spark, duck, name):
     assert sorted(got.columns) == sorted(want.columns) and rows(got) == rows(want)
 
 
+@pytest.mark.parametrize(("each", "kind"), [("1.25", "decimal(14,2)"), ("999999999999.99", "decimal(24,2)")])
+def test_totals_beyond_the_type_of_money_are_whole(spark, monkeypatch, each, kind):
+    """Amounts fit decimal(14,2), their sum may not."""
+    rows = [(date(2024, 1, d), "x", 1, Decimal(each), Decimal(0), Decimal(each)) for d in (1, 13)]
+    monkeypatch.setattr(queries, "daily_revenue", lambda *_: spark.createDataFrame(rows, "day date, dimension string, orders long, gross decimal(14,2), refunds decimal(14,2), net decimal(14,2)"))
+    out = queries.overview_totals(spark, "")
+    assert dict(out.dtypes)["gross"] == kind and tuple(out.first()) == (2, 2 * Decimal(each), Decimal(0), 2 * Decimal(each), 1)
+
+
 @pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
 def test_deliveries_can_be_removed(spark):
     made = spark.sparkContext._tidemark_deliveries if hasattr(spark.sparkContext, "_tidemark_deliveries") else [queries._folder(spark)]

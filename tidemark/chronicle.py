@@ -154,7 +154,8 @@ def chronicle_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = ("tenant", "display_name", "currency", "expected", "loaded", "missing", "days", "gross", "net", "incomplete_days", "restatements", "holds", "late_postings")
     cards = [reads.status(s) for s in history(spark, sf_dir).values()]
     rows = [tuple(c[n] for n in names) for c in cards]
-    return spark.createDataFrame(rows, "tenant string, display_name string, currency string, expected long, loaded long, missing long, days long, gross decimal(14,2), net decimal(14,2), incomplete_days long, restatements long, holds long, late_postings long")
+    kind = q.money_of(*(c[n] for c in cards for n in ("gross", "net")))
+    return spark.createDataFrame(rows, f"tenant string, display_name string, currency string, expected long, loaded long, missing long, days long, gross {kind}, net {kind}, incomplete_days long, restatements long, holds long, late_postings long")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

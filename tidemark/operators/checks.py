@@ -9,6 +9,8 @@ from ..config import CHANNEL_ORDER, SOURCE_ORDER
 from ..functions import display
 
 MONEY = "decimal(14,2)"
+#: Sums over all of a mart, which MONEY may be too narrow for.
+TOTAL = "decimal(24,2)"
 #: The reason that conflicts are shown with, and the keys of a hold's detail in the order they are shown in.
 REDELIVERED = "redelivered with different content"
 DETAIL_ORDER = ("order_id", "refund_id", "event_id", "field", "alias", "value", "map", "columns", "fields", "amount", "error", "file")
@@ -59,7 +61,7 @@ def promised_or_loaded(expected: DataFrame, loads: DataFrame) -> DataFrame:
 
 def revenue_totals(mart: DataFrame) -> DataFrame:
     """One row: days, gross, refunds, net, incomplete_days."""
-    money = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast(MONEY).alias(c)
+    money = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast(TOTAL).alias(c)
     return mart.agg(F.count_distinct("day").alias("days"), money("gross"), money("refunds"), money("net"), F.count_distinct(F.when(~F.col("complete"), F.col("day"))).alias("incomplete_days"))
 
 

@@ -10,6 +10,7 @@ import tempfile
 import uuid
 from collections.abc import Callable
 from datetime import datetime
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -112,8 +113,15 @@ def daily_email(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marts.email(events_feed(spark, sf_dir)).drop("events")
 
 
+def money_of(*totals: Decimal | None) -> str:
+    """The type that totals are shown in: MONEY, as in SQL, or a wider one if that can't hold them."""
+    return MONEY if all(t is None or abs(t) < 10**12 for t in totals) else checks.TOTAL
+
+
 def overview_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return checks.revenue_totals(with_status(daily_revenue(spark, sf_dir)))
+    row = checks.revenue_totals(with_status(daily_revenue(spark, sf_dir))).first()
+    kind = money_of(row["gross"], row["refunds"], row["net"])
+    return spark.createDataFrame([row], f"days long, gross {kind}, refunds {kind}, net {kind}, incomplete_days long")
 
 
 SPEC = Source(
