@@ -193,6 +193,23 @@ def test_an_ingest_is_one_write_for_each_source(spark, tmp_path, monkeypatch):
     assert all("/_chunk=" in p for p in paths) and s.state["meta"]["staged"] == []
 
 
+def test_many_small_chunks_share_folders_and_stop_where_they_did(spark, clean, tmp_path, monkeypatch):
+    """Folders and tasks of a write don't grow with the number of chunks; a stop on request still counts each chunk."""
+    config, write, calls = build(tmp_path), TenantSession.write_chunks, []
+    monkeypatch.setattr("tidemark.plans.pipeline.FOLDERS", 2)
+    monkeypatch.setattr(TenantSession, "write_chunks", lambda self, name, to, rows, n: (calls.append(n), write(self, name, to, rows, n))[1])
+    with pytest.raises(RunFailed):
+        run_tenant(spark, config, str(tmp_path / "store"), "shop", now=NOW, crash_after_rows=13, chunk_rows=1)
+    s = session(spark, tmp_path)
+    partial = [(r.path, r.status, r.rows_committed) for r in s.read("raw.file_loads").collect() if r.status != "loaded"]
+    assert partial == [("shop/orders/batch_01.csv", "loading", 3)]
+    run_tenant(spark, config, str(tmp_path / "store"), "shop", now=NOW, chunk_rows=1)
+    assert len(calls) == 5 and max(calls) == 2
+    s = session(spark, tmp_path)
+    assert snapshot(s) == snapshot(session(spark, clean[0]))
+    assert s.files.folders(f"{s.root}/kept") == []
+
+
 def test_a_run_beside_another_fails_and_says_so(spark, tmp_path, monkeypatch):
     config, adopt = build(tmp_path), TenantSession.adopt_chunks
 

@@ -11,9 +11,11 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from contextlib import suppress
 from datetime import date, datetime, timedelta
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,7 +23,7 @@ from . import queries as q
 from . import reads
 from .config import Config, Tenant
 from .plans.pipeline import RunFailed, run_tenant
-from .store import TenantSession
+from .store import TenantSession, cleaned
 
 EAST, WEST = "east", "west"
 TENANTS = (EAST, WEST)
@@ -40,19 +42,21 @@ def _orders(spark: SparkSession, sf_dir: str, tenant: str) -> DataFrame:
     return o.select(F.col("o_orderkey").cast("string").alias("order_id"), q._booked("o_orderdate").alias("created_at"), F.col("o_orderpriority").alias("channel"), F.col("o_totalprice").cast(q.MONEY).alias("gross"), F.lit("usd").alias("currency"), F.year("o_orderdate").alias("batch"))
 
 
-def _delivered(spark: SparkSession, sf_dir: str, base: str) -> None:
-    for t in TENANTS:
-        o = _orders(spark, sf_dir, t)
-        q._deliver(o.where("batch < 1998"), base, f"{t}/orders", "csv")
-        q._deliver(o.where("batch >= 1998").withColumnRenamed("gross", "total"), base, f"{t}/orders-later", "csv")
-        e = q.events_feed(spark, sf_dir).where(F.col("user_id") % 2 == TENANTS.index(t))
-        line = F.to_json(F.struct(F.col("event_id").cast("string").alias("event_id"), F.date_format("occurred_at", q.STAMP).alias("occurred_at"), F.upper("type").alias("type"), "campaign_id"))
-        line = F.when(F.col("event_id") % 97 == 0, F.concat(F.lit("not json "), "event_id")).when(F.col("event_id") % 89 == 0, F.lit("[1, 2]")).otherwise(line)
-        q._deliver(e.select(line.alias("value"), F.weekofyear("occurred_at").alias("batch")), base, f"{t}/email_events", "ndjson")
-        # The client's own books: a dollar more on every seventh day of the month.
-        day = F.to_date("created_at")
-        books = o.groupBy(day.alias("date")).agg((F.sum("gross") + F.when(F.day("date") % 7 == 0, 1).otherwise(0)).cast(q.MONEY).alias("gross_reported"))
-        books.select("date", "gross_reported", F.col("gross_reported").alias("net_reported"), F.lit("USD").alias("currency")).write.csv(f"{base}/{t}/finance_summary.csv", header=True)
+def _delivered(spark: SparkSession, sf_dir: str, base: str, t: str) -> None:
+    o = _orders(spark, sf_dir, t)
+    q._deliver(o.where("batch < 1998"), base, f"{t}/orders", "csv")
+    q._deliver(o.where("batch >= 1998").withColumnRenamed("gross", "total"), base, f"{t}/orders-later", "csv")
+    e = q.events_feed(spark, sf_dir).where(F.col("user_id") % 2 == TENANTS.index(t))
+    line = F.to_json(F.struct(F.col("event_id").cast("string").alias("event_id"), F.date_format("occurred_at", q.STAMP).alias("occurred_at"), F.upper("type").alias("type"), "campaign_id"))
+    line = F.when(F.col("event_id") % 97 == 0, F.concat(F.lit("not json "), "event_id")).when(F.col("event_id") % 89 == 0, F.lit("[1, 2]")).otherwise(line)
+    q._deliver(e.select(line.alias("value"), F.weekofyear("occurred_at").alias("batch")), base, f"{t}/email_events", "ndjson")
+    # The client's own books: a dollar more on every seventh day of the month.
+    day = F.to_date("created_at")
+    books = o.groupBy(day.alias("date")).agg((F.sum("gross") + F.when(F.day("date") % 7 == 0, 1).otherwise(0)).cast(q.MONEY).alias("gross_reported"))
+    books.select("date", "gross_reported", F.col("gross_reported").alias("net_reported"), F.lit("USD").alias("currency")).write.csv(f"{base}/{t}/finance_summary.csv", header=True)
+
+
+def _promises(spark: SparkSession, base: str) -> None:
     promised = [{"tenant": t, "source": "orders", "batch": b, "path": f"{t}/orders/batch_{b}.csv", "covers_from": str(_window(b)[0]), "covers_to": str(_window(b)[1])} for t in TENANTS for b in PROMISED]
     spark.createDataFrame([(json.dumps({"batches": promised}),)], "value string").coalesce(1).write.text(f"{base}/manifest")
 
@@ -68,18 +72,29 @@ def history(spark: SparkSession, sf_dir: str) -> dict[str, TenantSession]:
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _made:
         base = q._folder(spark)
-        _delivered(spark, sf_dir, base)
         own = {t: Tenant(t, t.title(), "USD", {"orders": f"{t}/orders*/batch_*.csv", "email_events": f"{t}/email_events/batch_*.ndjson"}, q.RUN_LABELS, manifest="manifest") for t in TENANTS}
         config = Config(base, {k: v for k, v in q.RUN_SOURCES.items() if k in ("orders", "email_events")}, own)
         run = lambda t, **more: run_tenant(spark, config, f"{base}/store", t, now=NOW, **more)
-        first = _orders(spark, sf_dir, EAST).where("batch = 1995").count()
-        with suppress(RunFailed):
-            run(EAST, source="orders", batches="1995-1997", crash_after_rows=first + CHUNK + 10, chunk_rows=CHUNK)
-        run(EAST)
-        run(EAST)
-        q._deliver(_again(spark, sf_dir), base, f"{EAST}/orders-again", "csv")
-        run(EAST)
-        run(WEST)
+
+        def east() -> None:
+            _delivered(spark, sf_dir, base, EAST)
+            first = _orders(spark, sf_dir, EAST).where("batch = 1995").count()
+            with suppress(RunFailed):
+                run(EAST, source="orders", batches="1995-1997", crash_after_rows=first + CHUNK + 10, chunk_rows=CHUNK)
+            run(EAST)
+            run(EAST)
+            q._deliver(_again(spark, sf_dir), base, f"{EAST}/orders-again", "csv")
+            run(EAST)
+
+        def west() -> None:
+            _delivered(spark, sf_dir, base, WEST)
+            run(WEST)
+
+        # Tenants share nothing but the manifest, so their runs go side by side.
+        with cleaned(spark), ThreadPoolExecutor(len(TENANTS)) as pool:
+            _promises(spark, base)
+            for done in [pool.submit(inheritable_thread_target(spark)(f)) for f in (east, west)]:
+                done.result()
         _made.clear()
         _made[key] = {t: TenantSession(spark, f"{base}/store", t) for t in TENANTS}
     return _made[key]

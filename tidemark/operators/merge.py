@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -32,6 +33,21 @@ def posting_days(rows: DataFrame, deliveries: DataFrame | None, as_of: Column, i
 class Merged:
     outcomes: DataFrame  # every new row, with outcome, the day that it is booked on and what it replaced
     state: DataFrame  # the state after, of each key that new rows count for
+    steps: DataFrame | None = None  # what both are columns of, if they are of one frame
+    columns: tuple[str, ...] = ()
+    order: tuple[str, ...] = ()
+
+    def kept(self, keep: Callable[[DataFrame], DataFrame]) -> Merged:
+        """The same, read from what keep() makes of the rows, so that they are merged once."""
+        if self.steps is None:
+            return Merged(keep(self.outcomes), keep(self.state))
+        return _of_steps(keep(self.steps), self.columns, self.order)
+
+
+def _of_steps(steps: DataFrame, columns: tuple[str, ...], order: tuple[str, ...]) -> Merged:
+    outcomes = steps.select("k", *[F.col(f"_o{i}").alias(o) for i, o in enumerate(order)], "outcome", "event_day", "day", "booked", "previous", "incoming")
+    state = steps.where("_next is null").select("k", *[F.col(f"incoming.{c}").alias(c) for c in columns], F.col("booked").alias("posting_day"), "content_hash", "first_file_load_id", "last_file_load_id", "times_seen")
+    return Merged(outcomes, state, steps, columns, order)
 
 
 def merge(prior: DataFrame, new: DataFrame, key: Column | str, columns: list[str], order: tuple[str, ...] = ("file_load_id", "line_no"), retry: bool = False) -> Merged:
@@ -58,18 +74,19 @@ def merge(prior: DataFrame, new: DataFrame, key: Column | str, columns: list[str
     rows = a.unionByName(b).withColumn("_before", F.lag(F.struct("content_hash", "_row")).over(w))
     outcome = F.when(F.col("_new") == 0, "prior").when(F.col("_before").isNull(), "inserted").when(F.col("_before.content_hash") == F.col("content_hash"), "unchanged").otherwise("updated")
     rows = rows.withColumn("outcome", outcome)
-    counted = rows.where("outcome <> 'unchanged'") if retry else rows
     # Of each key the last row, with what led to it: its content is that of the last change, since an unchanged row has the
     # content before it. The same order serves both windows, and a key that only has a prior row ends with that.
     upto = w.rowsBetween(Window.unboundedPreceding, 0)
-    state = counted.select(
-        "k", "_row", "content_hash", F.first("posting_day").over(upto).alias("posting_day"), F.first("first_file_load_id").over(upto).alias("first_file_load_id"),
-        "last_file_load_id", F.sum("times_seen").over(upto).cast("int").alias("times_seen"), "_new", F.lead("_new").over(w).alias("_next"),
-    )
-    state = state.where("_next is null and _new = 1").select("k", *[F.col(f"_row.{c}").alias(c) for c in columns], "posting_day", "content_hash", "first_file_load_id", "last_file_load_id", "times_seen")
-    rows = rows.withColumn("booked", F.first("posting_day").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    outcomes = rows.where("_new = 1").select("k", *[F.col(f"_o{i}").alias(o) for i, o in enumerate(order)], "outcome", "event_day", "day", "booked", F.col("_before._row").alias("previous"), F.col("_row").alias("incoming"))
-    return Merged(outcomes, state)
+
+    def stepped(own: DataFrame) -> Merged:
+        steps = own.select(
+            "k", *[f"_o{i}" for i in range(len(order))], "outcome", "event_day", "day", F.first("posting_day").over(upto).alias("booked"), F.col("_before._row").alias("previous"), F.col("_row").alias("incoming"), "content_hash",
+            F.first("first_file_load_id").over(upto).alias("first_file_load_id"), "last_file_load_id", F.sum("times_seen").over(upto).cast("int").alias("times_seen"), "_new", F.lead("_new").over(w).alias("_next"),
+        )
+        return _of_steps(steps.where("_new = 1").drop("_new"), tuple(columns), order)
+
+    out = stepped(rows)
+    return Merged(out.outcomes, stepped(rows.where("outcome <> 'unchanged'")).state) if retry else out
 
 
 def conflicts(outcomes: DataFrame) -> DataFrame:

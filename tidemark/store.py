@@ -26,7 +26,7 @@ import json
 import os
 import re
 import uuid
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable, Iterator
 from contextlib import contextmanager
 from copy import deepcopy
 from datetime import date
@@ -43,6 +43,22 @@ ALL = "all"
 CHECKPOINT, KEPT_LOG, MOST_FOLDERS = 16, 256, 32
 #: Buckets that an index of keys begins with, keys that a bucket should hold, and by how much buckets are split.
 BUCKETS, BUCKET_ROWS, SPLIT = 16, 2_000_000, 4
+#: Spark's setting (from 4.1 on) by which a query's shuffle files go when the query ends.
+CLEANED = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def cleaned(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of frames made and computed in here go when each has been computed; else they stay until the driver happens to collect its garbage."""
+    before = spark.conf.get(CLEANED, None)
+    spark.conf.set(CLEANED, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(CLEANED)
+        else:
+            spark.conf.set(CLEANED, before)
 
 
 class Files:
@@ -371,6 +387,21 @@ class TenantSession:
         """Distinct days of rows; a day is a partition, so these are few."""
         return sorted(r[0] for r in rows.select(column).distinct().collect())
 
+    @contextmanager
+    def scratch(self) -> Iterator[Callable[[DataFrame], DataFrame]]:
+        """Gives a function that computes a frame once, into the tenant's folder, and reads it from there; what it wrote goes at the end (vacuum() takes what a killed run left)."""
+        top, made = f"{self.root}/kept/{uuid.uuid4().hex}", []
+
+        def keep(rows: DataFrame) -> DataFrame:
+            made.append(f"{top}/{len(made)}")
+            rows.write.parquet(made[-1])
+            return self.spark.read.schema(rows.schema).parquet(made[-1])
+
+        try:
+            yield keep
+        finally:
+            self.files.delete(top)
+
     # ---- keys of staged rows
 
     def days_of(self, source: str, wanted: DataFrame) -> DataFrame:
