@@ -11,7 +11,7 @@ from shop import FILES, NOW, build, snapshot
 from tidemark import reads
 from tidemark.operators import mapping
 from tidemark.plans.pipeline import Run, RunFailed, SimulatedCrash, _recover, drift, run_tenant
-from tidemark.store import NoTenant, TenantSession, tenants
+from tidemark.store import CLEANED, NoTenant, TenantSession, tenants
 
 
 @pytest.fixture(scope="module")
@@ -210,6 +210,24 @@ def test_many_small_chunks_share_folders_and_stop_where_they_did(spark, clean, t
     assert s.files.folders(f"{s.root}/kept") == []
 
 
+def test_a_run_keeps_on_disk_only_what_is_still_read(spark, tmp_path, monkeypatch):
+    """Mapped rows have gone when staged ones are written, shuffle files go with their query, and files of the store are compressed well."""
+    config, replace, seen = build(tmp_path), TenantSession.replace, []
+
+    def looked(self, name, rows, keys=None):
+        if name == "stg.refunds":
+            top = f"{self.root}/kept"
+            seen.append((sum(len(self.files.folders(f"{top}/{f}")) for f in self.files.folders(top)), spark.conf.get(CLEANED, None)))
+        replace(self, name, rows, keys)
+
+    before = spark.conf.get(CLEANED, None)
+    monkeypatch.setattr(TenantSession, "replace", looked)
+    run_tenant(spark, config, str(tmp_path / "store"), "shop", now=NOW, source="refunds", phases=("ingest", "stage"))
+    assert seen == [(1, "true")] and spark.conf.get(CLEANED, None) == before
+    files = [p.name for t in ("raw.records", "stg.refunds") for p in (tmp_path / "store" / "shop" / t).rglob("part-*.parquet")]
+    assert files and all(".zstd." in f for f in files)
+
+
 def test_a_run_beside_another_fails_and_says_so(spark, tmp_path, monkeypatch):
     config, adopt = build(tmp_path), TenantSession.adopt_chunks
 
